@@ -1,0 +1,57 @@
+"""The few Hadoop FileSystem calls the tables need, on whatever storage the path names."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+
+class Storage:
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self._jvm = spark._jvm
+        self._conf = spark._jsc.hadoopConfiguration()
+        self.root = root.rstrip("/")
+        self._fs = self._path("").getFileSystem(self._conf)
+
+    def _path(self, relative: str):
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{relative}" if relative else self.root)
+
+    def exists(self, relative: str = "") -> bool:
+        return self._fs.exists(self._path(relative))
+
+    def children(self, relative: str = "") -> list[tuple[str, bool, int, int]]:
+        """(name, is a directory, length, modified ms) of the direct children."""
+        if not self.exists(relative):
+            return []
+        return [
+            (s.getPath().getName(), s.isDirectory(), s.getLen(), s.getModificationTime())
+            for s in self._fs.listStatus(self._path(relative))
+        ]
+
+    def sizes(self, relative: str) -> tuple[int, int]:
+        """(data files, bytes) below a directory."""
+        files = size = 0
+        listing = self._fs.listFiles(self._path(relative), True)
+        while listing.hasNext():
+            status = listing.next()
+            if not status.getPath().getName().startswith(("_", ".")):
+                files, size = files + 1, size + status.getLen()
+        return files, size
+
+    def read(self, relative: str) -> str:
+        stream = self._fs.open(self._path(relative))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def publish(self, relative: str, text: str) -> None:
+        """Create a small file in one step; fails when it exists already."""
+        draft = self._path(f"{relative}.draft")
+        stream = self._fs.create(draft, True)
+        stream.write(bytearray(text, "utf-8"))
+        stream.close()
+        if self.exists(relative) or not self._fs.rename(draft, self._path(relative)):
+            raise FileExistsError(f"{self.root}/{relative} was committed by another writer")
+
+    def delete(self, relative: str) -> None:
+        self._fs.delete(self._path(relative), True)
