@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.values import typed_watermark
 
@@ -28,23 +29,47 @@ def in_order(df: DataFrame, field: str, *tie_break: str) -> DataFrame:
     return df.orderBy(field, *tie_break)
 
 
+# Fractions a batch may be looked for in, and the rank precision of the sketch over them.
+FRACTIONS = (0.001, 0.01, 0.1, 0.25, 0.5)
+SKETCH_ACCURACY = 10_000
+SKETCHED = (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType)
+
+
+def _batch_end(values: DataFrame, field: str, size: int) -> Column:
+    """The ``size``-th smallest value, as a scalar subquery.
+
+    A plain top-n would send ``size`` rows of every scan task to a single one.  Instead a
+    quantile sketch narrows the column to a fraction sure to hold the batch, equal values are
+    counted where they are read, and only the ``size`` smallest distinct ones meet in one task.
+    """
+    if isinstance(values.schema[field].dataType, SKETCHED):
+        stats = values.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.percentile_approx(field, list(FRACTIONS), SKETCH_ACCURACY).alias("cuts"),
+            F.max(field).alias("top"),
+        )
+        n = F.col("n").cast("double")
+        enough = [size + 1 + n * 2 / SKETCH_ACCURACY <= n * f for f in FRACTIONS]
+        cuts = [F.when(holds, F.get("cuts", F.lit(i))) for i, holds in enumerate(enough)]
+        cut = F.coalesce(*cuts, F.col("top"))
+        values = values.where(F.col(field) <= stats.select(cut).scalar())
+    counted = values.groupBy(field).agg(F.count(F.lit(1)).alias("n")).orderBy(field).limit(size)
+    reached = F.sum("n").over(Window.orderBy(field)) >= size
+    end = counted.select(field, reached.alias("reached")).agg(
+        F.coalesce(F.min(F.when(F.col("reached"), F.col(field))), F.max(field))
+    )
+    return end.scalar()
+
+
 def next_batch(df: DataFrame, field: str, size: int, watermark: object = None) -> DataFrame:
     """The first ``size`` rows after the watermark, with every tie of the last one.
 
     A batch that cut between equal values would lose the rest of them: the next run starts
-    strictly above the value reached here.  The boundary is a top-n over one column; as a scalar
-    subquery it is pushed to the scan as an ordinary ``<=``.
+    strictly above the value reached here.  The end is pushed to the scan as a plain ``<=``.
     """
     rows = since(df, field, watermark)
-    boundary = (
-        rows.where(F.col(field).isNotNull())
-        .select(field)
-        .orderBy(field)
-        .limit(size)
-        .agg(F.max(field))
-        .scalar()
-    )
-    within = F.col(field) <= boundary
+    values = rows.select(field).where(F.col(field).isNotNull())
+    within = F.col(field) <= _batch_end(values, field, size)
     if typed_watermark(watermark, df.schema[field].dataType) is None:
         # a null never exceeds a watermark, so the first load is its only chance
         within = within | F.col(field).isNull()
