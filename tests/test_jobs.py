@@ -1,0 +1,274 @@
+"""Jobs and streams with their state: incremental, restartable, logged."""
+
+from __future__ import annotations
+
+from collections import Counter
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.test_operators import OTHER_VIEW, TEST_VIEW, change_feed
+from tidemark import schemas
+from tidemark.operators import points as point_ops
+from tidemark.plans.config import Destination, EventFeed, RawExport, RawFeed, Space, Subscription
+from tidemark.plans.jobs import Jobs
+from tidemark.sources import Layout, ParquetTable
+from tidemark.sources.feeds import stream_feed
+from tidemark.streaming.handlers import events_handler, points_handler
+from tidemark.streaming.run import drain, start
+
+
+@pytest.fixture
+def job(spark, tmp_path):
+    return Jobs(spark, str(tmp_path / "state"))
+
+
+def log(job):
+    return Counter((r.pipeline, r.status) for r in job.log.table.read().collect())
+
+
+def series_points(spark, n, start=0):
+    begin = datetime(2024, 1, 1)
+    data = [("s1", begin + timedelta(minutes=i), float(i)) for i in range(start, n)]
+    return spark.createDataFrame(data, "externalId string, timestamp timestamp, value double")
+
+
+def test_points_feed_with_metadata(spark, job, tmp_path):
+    feed = str(tmp_path / "feed")
+    sub = Subscription("sub", feed, str(tmp_path / "dps"), str(tmp_path / "ts"))
+    series = spark.createDataFrame(
+        [("id1", "n", None, False, False, "u", {}, None), ("id2", None, None, False, False, "u", {}, None)],
+        "externalId string, name string, description string, isString boolean, isStep boolean, unit string, "
+        "metadata map<string,string>, assetId long",
+    )
+    assets = spark.createDataFrame([], "id long, externalId string")
+
+    def land(*records):
+        spark.createDataFrame(list(records), schemas.POINTS_FEED).coalesce(1).write.mode("append").parquet(feed)
+
+    land(("id1", ([1000, 2000], [1.0, 2.0]), 1), ("id2", ([1000], [5.0]), 2))
+    job.replicate_points([sub], series, assets)
+    land(("id1", ([2000, 3000], [2.5, 3.0]), 3))
+    named = series.withColumn("name", F.coalesce("name", F.lit("late")))
+    job.replicate_points([sub], named, assets)
+    got = job.table(sub.points_table).read().select("externalId", F.unix_millis("timestamp"), "value")
+    assert sorted(map(tuple, got.collect())) == [
+        ("id1", 1000, 1.0), ("id1", 2000, 2.5), ("id1", 3000, 3.0), ("id2", 1000, 5.0),
+    ]
+    # a series without a name is left out, stays unseen, and comes with a later batch of its points
+    assert [r.externalId for r in job.table(sub.series_table).read().collect()] == ["id1"]
+    land(("id2", ([4000], [6.0]), 4))
+    job.replicate_points([sub], named, assets)
+    assert job.table(sub.series_table).read().count() == 2
+    assert log(job)[("sub", "success")] == 3
+
+
+def test_a_failing_batch_is_repeated_without_loss_or_copies(spark, tmp_path):
+    feed_path, table_path = str(tmp_path / "feed"), str(tmp_path / "points")
+    spark.createDataFrame([("id1", ([1000], [1.0]), 1)], schemas.POINTS_FEED).write.parquet(feed_path)
+    table = ParquetTable(spark, table_path, Layout.by_day("timestamp"))
+    apply = points_handler(table, "p")
+
+    def crash_after_write(batch, batch_id):
+        apply(batch, batch_id)
+        raise RuntimeError("lost the driver")
+
+    feed = stream_feed(spark, feed_path, schemas.POINTS_FEED)
+    query = start(feed, crash_after_write, str(tmp_path / "cp"))
+    with pytest.raises(Exception, match="lost the driver"):
+        query.awaitTermination()
+    drain(feed, apply, str(tmp_path / "cp"))
+    assert table.read().count() == 1 and table.snapshot().generation == 1
+
+
+def test_appended_events_survive_a_repeat_once(spark, tmp_path):
+    feed_path = str(tmp_path / "feed")
+    events = spark.createDataFrame([("e1", 1, {"k": "v"})], "externalId string, createdTime long, metadata map<string,string>")
+    events.write.parquet(feed_path)
+    table = ParquetTable(spark, str(tmp_path / "events"))
+    for checkpoint in ("one", "two"):
+        drain(stream_feed(spark, feed_path, events.schema), events_handler(table, "e"), str(tmp_path / checkpoint))
+    assert [tuple(r) for r in table.read().collect()] == [("e1", 1, '{"k": "v"}')]
+
+
+def test_a_polling_stream_can_be_stopped(spark, tmp_path):
+    feed_path = str(tmp_path / "feed")
+    spark.createDataFrame([("id1", ([1000], [1.0]), 1)], schemas.POINTS_FEED).write.parquet(feed_path)
+    table = ParquetTable(spark, str(tmp_path / "points"), Layout.by_day("timestamp"))
+    query = start(
+        stream_feed(spark, feed_path, schemas.POINTS_FEED, max_files=1),
+        points_handler(table, "p"),
+        str(tmp_path / "cp"),
+        poll_seconds=0.2,
+    )
+    query.processAllAvailable()
+    query.stop()
+    assert table.read().count() == 1
+
+
+@pytest.mark.parametrize("size, batch", [(10, None), (25, 10), (100, 10)])
+def test_events_are_read_once_whatever_the_batch(spark, job, tmp_path, size, batch):
+    feed = EventFeed(str(tmp_path / "events"), "test_dataset", batch)
+    events = spark.range(1, size + 1).select(
+        F.concat(F.lit("e"), "id").alias("externalId"),
+        F.col("id").alias("createdTime"),
+        F.lit("test_dataset").alias("dataSet"),
+        F.create_map(F.lit("k"), F.lit("v")).alias("metadata"),
+    )
+    assert job.replicate_events(events, feed) == size
+    assert job.replicate_events(events, feed) == 0
+    table = job.table(feed.table).read()
+    assert table.count() == size and table.select("externalId").distinct().count() == size
+    assert table.first().metadata == '{"k": "v"}'
+    assert job.states.get("event_state", "high") == str(size)
+    assert log(job)[("event_state", "seen")] == 1
+
+
+def raw_feed(spark, data):
+    rows = spark.createDataFrame(data, "key string, v int, last_updated_time long")
+    return rows.select("key", F.struct("v").alias("columns"), "last_updated_time")
+
+
+@pytest.mark.parametrize("batch", [None, 1, 2])
+def test_raw_rows_are_upserted_from_the_watermark_on(spark, job, tmp_path, batch):
+    feed = RawFeed("raw_db", "raw_table", str(tmp_path / "rows"), batch_size=batch, buckets=4)
+    job.replicate_raw(raw_feed(spark, [("a", 1, 10), ("b", 2, 20), ("c", 2, 20)]), feed)
+    assert job.states.get("raw_db_raw_table_raw_state") == "20"
+    # at or below the watermark is not looked at again; above it updates and inserts
+    job.replicate_raw(raw_feed(spark, [("a", 99, 10), ("b", 3, 30), ("d", 4, 40)]), feed)
+    got = sorted(map(tuple, job.table(feed.table).read().collect()))
+    assert got == [(1, "a", 10), (2, "c", 20), (3, "b", 30), (4, "d", 40)]
+
+
+def test_instances_bootstrap_then_follow(spark, job, tmp_path):
+    space = Space("test_space", (TEST_VIEW, OTHER_VIEW), str(tmp_path / "tables"), buckets=4)
+    feed = change_feed(spark)
+    snapshot = feed.where("deletedTime IS NULL")
+    job.replicate_instances(space, feed, snapshot)
+    nodes = job.table(f"{space.tables}/test_space_test_view")
+    assert [r.externalId for r in nodes.read().collect()] == ["id2"]
+    newer = feed.withColumn("version", F.lit(2)).withColumn("lastUpdatedTime", F.col("lastUpdatedTime") + 1)
+    job.replicate_instances(space, feed.unionByName(newer.where("deletedTime IS NULL")))
+    assert sorted(r.version for r in nodes.read().collect()) == [1, 2]  # history, nothing replaced
+    gone = newer.withColumn("lastUpdatedTime", F.col("lastUpdatedTime") + 1).withColumn("deletedTime", F.lit(9).cast("long"))
+    job.replicate_instances(space, gone)
+    assert nodes.read().count() == 0 and job.table(f"{space.tables}/test_space_edges").read().count() == 0
+    assert set(job.space_tables(space)) == {
+        f"{space.tables}/{n}" for n in ("test_space_test_view", "test_space_other", "test_space_edges")
+    }
+
+
+def test_instance_changes_after_the_run_start_wait(spark, job, tmp_path):
+    space = Space("test_space", (TEST_VIEW,), str(tmp_path / "tables"), buckets=4)
+    feed = change_feed(spark).where("deletedTime IS NULL")
+    late = feed.withColumn("lastUpdatedTime", F.lit(20000000).cast("long")).withColumn("version", F.lit(2))
+    job.replicate_instances(space, feed.unionByName(late), run_start=15000000)
+    table = job.table(f"{space.tables}/test_space_test_view")
+    assert [r.version for r in table.read().collect()] == [1]
+    job.replicate_instances(space, feed.unionByName(late))
+    assert sorted(r.version for r in table.read().collect()) == [1, 2]
+
+
+def test_exported_points_continue_per_series(spark, job, tmp_path):
+    to = Destination(str(tmp_path / "out"), "test_ts_", 123456, buckets=4)
+    assert job.export_points(series_points(spark, 50), "Tables/RawTS", to) == 50
+    assert job.states.get("Tables/RawTS-s1-state").startswith("2024-01-01 00:49:00")
+    assert job.export_points(series_points(spark, 100), "Tables/RawTS", to) == 50
+    assert job.export_points(series_points(spark, 100), "Tables/RawTS", to) == 0
+    table = job.table(f"{to.tables}/points").read()
+    assert table.count() == 100 and {r.externalId for r in table.select("externalId").distinct().collect()} == {"test_ts_s1"}
+    created = [r.asDict() for r in job.table(f"{to.tables}/series").read().collect()]
+    assert created == [{"externalId": "test_ts_s1", "name": "test_ts_s1", "isString": True, "dataSetId": 123456}]
+
+
+def test_a_stored_state_skips_the_first_half(spark, job, tmp_path):
+    to = Destination(str(tmp_path / "out"), buckets=4)
+    job.states.set_value("Tables/RawTS-s1-state", "2024-01-01 00:49:00+00:00")
+    assert job.export_points(series_points(spark, 100), "Tables/RawTS", to) == 50
+
+
+def test_exported_events_are_resolved_and_upserted(spark, job, tmp_path):
+    to = Destination(str(tmp_path / "out"), data_set_id=7, buckets=4)
+    assets = spark.createDataFrame([(1, "asset1"), (2, "asset2")], "id long, externalId string")
+
+    def lake(*data):
+        return spark.createDataFrame(
+            list(data), "externalId string, startTime long, type string, assetExternalIds array<string>, lastUpdatedTime long"
+        )
+
+    job.export_events(lake(("e1", 1, "t", ["asset2", "asset1"], 1), ("e2", 1, "t", None, None)), "ev", to, assets, "lastUpdatedTime")
+    job.export_events(
+        lake(("e1", 1, "old", [], 1), ("e1", 2, "new", ["asset1"], 3), ("e1", 2, "mid", [], 2)), "ev", to, assets, "lastUpdatedTime"
+    )
+    got = job.table(f"{to.tables}/events").read().select("externalId", "type", "assetIds", "dataSetId")
+    assert sorted(map(tuple, got.collect())) == [("e1", "new", [1], 7), ("e2", "t", None, 7)]
+    assert job.states.get("ev-state") == "3"
+
+
+def test_raw_export_messages_and_watermark(spark, job, tmp_path):
+    to = Destination(str(tmp_path / "out"), buckets=4)
+    spec = RawExport("test_db", "test_table", ("col1", "col2"), "last_updated_time")
+    df = spark.createDataFrame([(1, 4, 1), (2, 5, 2), (3, 6, 3)], "col1 int, col2 int, last_updated_time int")
+    job.states.set_value(spec.state_id, 2)
+    assert job.export_raw(df, spec, to) == 1
+    assert [r.key for r in job.table(f"{to.tables}/test_db/test_table").read().collect()] == ["3-6"]
+    assert job.states.get(spec.state_id) == "3"
+    assert job.log.table.read().where("status = 'success'").first().message == "1 rows inserted to test_table"
+    assert job.export_raw(df, spec, to) == 0
+    assert log(job)[(spec.state_id, "seen")] == 1
+
+
+def test_without_an_incremental_field_everything_is_reloaded(spark, job, tmp_path):
+    to = Destination(str(tmp_path / "out"), buckets=4)
+    spec = RawExport("db", "t")
+    df = spark.createDataFrame([(1,), (2,)], "a int")
+    assert job.export_raw(df, spec, to) == 2 and job.export_raw(df, spec, to) == 2
+    assert job.table(f"{to.tables}/db/t").read().count() == 2 and job.states.get(spec.state_id) is None
+
+
+def test_files_are_taken_when_new_or_changed(spark, job, tmp_path):
+    folder, to = tmp_path / "files", Destination(str(tmp_path / "out"), data_set_id=7, buckets=4)
+    folder.mkdir()
+    (folder / "a.txt").write_text("1")
+    (folder / "b.txt").write_text("22")
+    assert job.export_files(str(folder), to, content=True) == 2
+    assert job.export_files(str(folder), to, content=True) == 0
+    import os
+
+    os.utime(folder / "a.txt", (1, 1))  # an older time is a change as well
+    assert job.export_files(str(folder), to, content=True) == 1
+    got = job.table(f"{to.tables}/files").read().orderBy("name").select("name", "length", "source_modified_time").collect()
+    assert [r.name for r in got] == ["a.txt", "b.txt"] and got[0].source_modified_time == 1000
+
+
+def test_failures_are_logged_and_raised(spark, job, tmp_path):
+    to = Destination(str(tmp_path / "out"), buckets=4)
+    df = spark.createDataFrame([(1,)], "a int")
+    with pytest.raises(Exception):
+        job.export_raw(df, RawExport("db", "t", ("missing",)), to)
+    assert log(job)[("raw/db/t", "failure")] == 1
+
+
+def test_maintenance_goes_on_after_a_failing_table(spark, job, tmp_path):
+    good = str(tmp_path / "good")
+    table = ParquetTable(spark, good)
+    for i in range(3):
+        table.append(spark.createDataFrame([(i,)], "a int"))
+    bad = tmp_path / "bad" / "tm_gen=1"
+    bad.mkdir(parents=True)
+    (bad / "_live").write_text("not json")
+    job.log.seen("x")
+    outcome = job.maintain([str(tmp_path / "bad"), good])
+    assert isinstance(outcome[str(tmp_path / "bad")], Exception)
+    assert outcome[good]["files_after"] == 1 and table.read().count() == 3
+    assert log(job)[("maintenance", "failure")] == 1
+
+
+def test_the_run_log_rejects_unknown_states(job):
+    with pytest.raises(ValueError):
+        job.log.write("p", "great")
+
+
+def test_point_keys():
+    assert point_ops.POINT_KEYS == ("externalId", "timestamp")
