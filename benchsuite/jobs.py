@@ -72,7 +72,8 @@ def job_replicate_instances(spark, sf):
     home = shared_folder(spark, "job-instances")
     job = Jobs(spark, f"{home}/state")
     space = Space(d.SPACE, d.VIEWS, f"{home}/tables", buckets=8)
-    changes = d.instances(spark, sf)
+    d.instances(spark, sf).write.parquet(f"{home}/feed")
+    changes = spark.read.parquet(f"{home}/feed")
     job.replicate_instances(space, changes, run_start=950000000000)
     job.replicate_instances(space, changes)
     out = None

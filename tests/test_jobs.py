@@ -272,3 +272,39 @@ def test_the_run_log_rejects_unknown_states(job):
 
 def test_point_keys():
     assert point_ops.POINT_KEYS == ("externalId", "timestamp")
+
+
+def test_an_interrupted_instance_run_neither_loses_nor_repeats(spark, job, tmp_path, monkeypatch):
+    space = Space("test_space", (TEST_VIEW,), str(tmp_path / "tables"), buckets=4)
+    feed = change_feed(spark)
+    with monkeypatch.context() as patch:
+        patch.setattr(job.states, "set_values", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+        with pytest.raises(RuntimeError):
+            job.replicate_instances(space, feed)
+    newer = feed.where("deletedTime IS NULL").withColumn("version", F.lit(2)).withColumn(
+        "lastUpdatedTime", F.col("lastUpdatedTime") + 1
+    )
+    job.replicate_instances(space, feed.unionByName(newer))
+    table = job.table(f"{space.tables}/test_space_test_view")
+    assert sorted((r.externalId, r.version) for r in table.read().collect()) == [("id2", 1), ("id2", 2)]
+
+
+def test_an_interrupted_event_run_neither_loses_nor_repeats(spark, job, tmp_path, monkeypatch):
+    feed = EventFeed(str(tmp_path / "events"), "d")
+    events = spark.createDataFrame([("e1", 1, "d"), ("e2", 2, "d")], "externalId string, createdTime long, dataSet string")
+    with monkeypatch.context() as patch:
+        patch.setattr(job.states, "set_value", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+        with pytest.raises(RuntimeError):
+            job.replicate_events(events.where("createdTime = 1"), feed)
+    assert job.replicate_events(events, feed) == 1
+    assert sorted(r.externalId for r in job.table(feed.table).read().collect()) == ["e1", "e2"]
+
+
+def test_folding_keeps_the_newest_setting(job):
+    for value in (1, 2, 3):
+        job.states.set_value("a", value)
+    job.states.set_value("a", 9, "high")
+    job.states.set_value("a", 0)
+    job.states.fold()
+    assert job.states.get("a") == "3" and job.states.get("a", "high") == "9"
+    assert job.states.table.read().count() == 1

@@ -60,18 +60,25 @@ def series_bounds(states: DataFrame, path: str) -> DataFrame:
     )
 
 
-def advance(states: DataFrame, new: DataFrame) -> DataFrame:
-    """State table after setting the new rows; empty values (null, 0) change nothing.
-
-    A side the new row does not set keeps its stored value.
-    """
+def set_rows(new: DataFrame) -> DataFrame:
+    """The rows that set something: an empty value (null, 0) leaves the stored one alone."""
     value = F.coalesce("low", "high")
-    setting = new.where(value.isNotNull() & ~value.isin("", "0", "0.0"))
-    old, upd = states.alias("old"), setting.alias("upd")
-    return old.join(upd, "state_id", "full").select(
-        "state_id",
-        *[F.coalesce(f"upd.{c}", f"old.{c}").alias(c) for c in ("low", "high", "value_type")],
-    )
+    return new.where(value.isNotNull() & ~value.isin("", "0", "0.0"))
+
+
+def latest(history: DataFrame, order: str = "seq") -> DataFrame:
+    """One row per state from its settings in order; a side not set keeps its earlier value."""
+    newest = {
+        c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c)
+        for c in ("low", "high", "value_type")
+    }
+    return history.groupBy("state_id").agg(*newest.values())
+
+
+def advance(states: DataFrame, new: DataFrame) -> DataFrame:
+    """The states after setting the new rows."""
+    before = states.withColumn("seq", F.lit(0))
+    return latest(before.unionByName(set_rows(new).withColumn("seq", F.lit(1))))
 
 
 def has_recent_update(instances: DataFrame, run_start: int, field: str = "lastUpdatedTime") -> DataFrame:

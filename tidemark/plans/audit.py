@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
@@ -18,11 +18,16 @@ class RunLog:
     def __init__(self, table) -> None:
         self.table = table
 
-    def write(self, pipeline: str, status: str, rows: int | None = None, message: str = "") -> None:
-        if status not in STATUSES:
+    def write_all(self, entries: Iterable[tuple[str, str, int | None, str]]) -> None:
+        """Append (pipeline, status, rows, message) entries in one commit."""
+        now = datetime.now(timezone.utc)
+        rows = [(pipeline, status, message, count, now) for pipeline, status, count, message in entries]
+        if any(status not in STATUSES for _, status, *_ in rows):
             raise ValueError(f"status must be one of {STATUSES}")
-        row = (pipeline, status, message, rows, datetime.now(timezone.utc))
-        self.table.append(self.table.spark.createDataFrame([row], RUN_LOG))
+        self.table.append(self.table.spark.createDataFrame(rows, RUN_LOG))
+
+    def write(self, pipeline: str, status: str, rows: int | None = None, message: str = "") -> None:
+        self.write_all([(pipeline, status, rows, message)])
 
     def seen(self, pipeline: str) -> None:
         self.write(pipeline, "seen")

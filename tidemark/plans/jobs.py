@@ -38,7 +38,7 @@ class Jobs:
 
     def __init__(self, spark: SparkSession, home: str, fmt: str = "parquet") -> None:
         self.spark, self.home, self.fmt = spark, home.rstrip("/"), fmt
-        self.states = Watermarks(self.table(f"{self.home}/watermarks", Layout.by_bucket("state_id", 16)))
+        self.states = Watermarks(self.table(f"{self.home}/watermarks"))
         self.log = RunLog(self.table(f"{self.home}/run_log"))
 
     def table(self, path: str, layout: Layout | None = None):
@@ -77,15 +77,17 @@ class Jobs:
         table, total = self.table(feed.table), 0
         with self.log.watching(EVENT_STATE):
             while True:
-                last = self.states.get(EVENT_STATE, "high")
-                rows = scan.events_since(events, int(last) if last else None, feed.data_set)
+                # the table knows of an append whose watermark a crash kept from being stored
+                done = table.last_transaction(EVENT_STATE)
+                last = max((int(v) for v in (self.states.get(EVENT_STATE, "high"), done) if v), default=None)
+                rows = scan.events_since(events, last, feed.data_set)
                 if feed.batch_size:
                     rows = scan.next_batch(rows, "createdTime", feed.batch_size)
                 bound, count = _bound(rows, "createdTime")
                 if not count:
                     break
                 rows = scan.since(rows, "createdTime", up_to=bound)
-                table.append(event_ops.metadata_as_json(rows))
+                table.append(event_ops.metadata_as_json(rows), (EVENT_STATE, int(bound)))
                 self.states.set_value(EVENT_STATE, bound, "high")
                 self.log.success(EVENT_STATE, count, "events written to the table")
                 total += count
@@ -145,53 +147,53 @@ class Jobs:
         """
         nodes = [v for v in space.views if v.used_for != "edge"]
         edge_views = [v for v in space.views if v.used_for == "edge"]
-        for view in nodes:
-            state_id = f"state_{space.space}_{view.external_id}_{view.version}"
-            self._follow(
-                state_id,
-                f"{space.tables}/{view.table}",
-                space.buckets,
-                lambda df, v=view: graph.flatten_nodes(df.where(F.col("instanceType") == "node"), v),
-                changes,
-                snapshot,
-                run_start,
+        kind = F.col("instanceType")
+        flows = {
+            f"state_{space.space}_{v.external_id}_{v.version}": (
+                v.table,
+                lambda df, view=v: graph.flatten_nodes(df.where(kind == "node"), view),
             )
-        self._follow(
-            f"state_{space.space}_edges",
-            f"{space.tables}/{graph.edge_table(space.space)}",
-            space.buckets,
+            for v in nodes
+        }
+        flows[f"state_{space.space}_edges"] = (
+            graph.edge_table(space.space),
             lambda df: graph.flatten_edges(
-                df.where((F.col("instanceType") == "edge") & (F.col("space") == space.space)), edge_views
+                df.where((kind == "edge") & (F.col("space") == space.space)), edge_views
             ),
-            changes,
-            snapshot,
-            run_start,
         )
-
-    def _follow(self, state_id, path, buckets, flatten, changes, snapshot, run_start) -> None:
-        table = self.table(path, Layout.by_bucket("externalId", buckets))
-        with self.log.watching(state_id):
-            last = self.states.get(state_id, "high")
-            fresh = graph.changes_since(changes, last and int(last), run_start)
-            bound, _ = _bound(fresh, "lastUpdatedTime")
-            if last is None and snapshot is not None:
-                batch = snapshot
-                bound = bound or _bound(snapshot, "lastUpdatedTime")[0]
-            else:
-                batch = scan.since(fresh, "lastUpdatedTime", up_to=bound)
-            flat = flatten(batch)
-            counts = flat.agg(
-                F.count_if(F.col("deletedTime").isNull()).alias("live"),
-                F.count_if(F.col("deletedTime").isNotNull()).alias("deleted"),
-            ).first()
-            live, deleted = graph.split_deleted(flat)
-            if counts["live"]:
-                table.append(live)
-            if counts["deleted"]:
-                table.delete(deleted)
-            if bound is not None:
-                self.states.set_value(state_id, bound, "high")
-            self.log.success(state_id, counts["live"], "instances written")
+        bound, _ = _bound(graph.changes_since(changes, None, run_start), "lastUpdatedTime")
+        if bound is None and snapshot is not None:
+            bound, _ = _bound(snapshot, "lastUpdatedTime")
+        stored = self.states.get_all(list(flows), "high")
+        reached, entries = {}, []
+        for state_id, (name, flatten) in flows.items():
+            with self.log.watching(state_id):
+                path = f"{space.tables}/{name}"
+                table = self.table(path, Layout.by_bucket("externalId", space.buckets))
+                last = None if stored[state_id] is None else int(stored[state_id])
+
+                def batch(up_to, last):
+                    first = last is None and snapshot is not None
+                    return snapshot if first else graph.changes_since(changes, last, up_to)
+
+                appended = table.last_transaction(state_id)
+                if appended is not None and (last is None or appended > last):
+                    # the previous run stopped between its append and its watermark
+                    _delete_gone(table, flatten(batch(appended, last)))
+                    reached[state_id] = last = appended
+                if bound is None or last == int(bound):
+                    entries.append((state_id, "seen", None, ""))
+                    continue
+                flat = flatten(batch(int(bound), last))
+                live, _ = graph.split_deleted(flat)
+                written = live.count()
+                if written:
+                    table.append(live, (state_id, int(bound)))
+                _delete_gone(table, flat)
+                reached[state_id] = bound
+                entries.append((state_id, "success", written, f"{written} instances written"))
+        self.states.set_values(reached, "high")
+        self.log.write_all(entries)
 
     # ---- lake tables out ---------------------------------------------------------------------
 
@@ -305,6 +307,8 @@ class Jobs:
         for path in [*paths, f"{self.home}/watermarks", f"{self.home}/run_log"]:
             try:
                 table = self.table(path)
+                if path == self.states.table.path:
+                    self.states.fold()
                 outcome[path] = table.compact()
                 table.expire()
             except Exception as error:
@@ -318,6 +322,13 @@ class Jobs:
         return [f"{space.tables}/{n}" for n in [*names, graph.edge_table(space.space)]]
 
 
+def _delete_gone(table, flat: DataFrame) -> None:
+    """Delete the ids of the deleted instances among the rows, when there are any."""
+    _, deleted = graph.split_deleted(flat)
+    if not deleted.isEmpty():
+        table.delete(deleted)
+
+
 def _bound(df: DataFrame, field: str) -> tuple[str | None, int]:
     """Highest value of the field as watermark text, and the row count, in one pass."""
     top = marks.value_text(F.max(field), df.schema[field].dataType)

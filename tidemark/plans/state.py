@@ -2,34 +2,62 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators import watermark as marks
 from tidemark.schemas import WATERMARKS
 
+HISTORY = T.StructType([*WATERMARKS.fields, T.StructField("seq", T.LongType())])
+
 
 class Watermarks:
-    """A small table of watermark rows; written only after the sink of a run has committed."""
+    """Watermark rows in a table; set only after the sink of a run has committed.
+
+    A setting is appended with a running number, so it costs what it sets, not what is stored,
+    and the newest one counts.  ``fold`` drops the settings that were overtaken.
+    """
 
     def __init__(self, table) -> None:
         self.table = table
 
-    def frame(self) -> DataFrame:
+    def _history(self) -> DataFrame:
         if self.table.exists():
             return self.table.read()
-        return self.table.spark.createDataFrame([], WATERMARKS)
+        return self.table.spark.createDataFrame([], HISTORY)
+
+    def frame(self) -> DataFrame:
+        return marks.latest(self._history())
+
+    def get_all(self, state_ids: Sequence[str], side: str = "low") -> dict[str, str | None]:
+        """Stored values of the named states, read in one go; None where there is none."""
+        wanted = self._history().where(F.col("state_id").isin(list(state_ids)))
+        stored = {r["state_id"]: r[side] for r in marks.latest(wanted).collect()}
+        return {state_id: stored.get(state_id) for state_id in state_ids}
 
     def get(self, state_id: str, side: str = "low") -> str | None:
-        row = self.frame().where(F.col("state_id") == state_id).select(side).first()
-        return row[0] if row else None
+        return self.get_all([state_id], side)[state_id]
 
     def set(self, new: DataFrame) -> None:
-        """Store new rows; only the buckets of their ids are rewritten."""
-        stored = self.frame().join(new.select("state_id"), "state_id", "left_semi")
-        self.table.upsert(marks.advance(stored, new), ["state_id"])
+        seq = (self._history().agg(F.max("seq")).first()[0] or 0) + 1
+        self.table.append(marks.set_rows(new).withColumn("seq", F.lit(seq).cast("long")))
+
+    def set_values(self, values: Mapping[str, object], side: str = "low") -> None:
+        rows = [
+            (k, str(v) if side == "low" else None, str(v) if side == "high" else None, type(v).__name__)
+            for k, v in values.items()
+            if v is not None
+        ]
+        if rows:
+            self.set(self.table.spark.createDataFrame(rows, WATERMARKS))
 
     def set_value(self, state_id: str, value: object, side: str = "low") -> None:
-        low, high = (value, None) if side == "low" else (None, value)
-        row = (state_id, *[None if v is None else str(v) for v in (low, high)], type(value).__name__)
-        self.set(self.table.spark.createDataFrame([row], WATERMARKS))
+        self.set_values({state_id: value}, side)
+
+    def fold(self) -> None:
+        """Keep the newest setting of each state only."""
+        if self.table.exists():
+            self.table.overwrite(self.frame().withColumn("seq", F.lit(0).cast("long")))

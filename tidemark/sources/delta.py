@@ -27,6 +27,10 @@ class DeltaLakeTable:
         """The table; file statistics prune what partition arguments prune elsewhere."""
         return self.spark.read.format("delta").load(self.path)
 
+    def last_transaction(self, writer: str) -> int | None:
+        """Not readable through the public API; Delta itself skips a repeated transaction."""
+        return None
+
     def append(self, df: DataFrame, transaction: tuple[str, int] | None = None) -> None:
         writer = df.write.format("delta").mode("append").option("mergeSchema", "true")
         if transaction:

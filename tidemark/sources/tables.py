@@ -213,6 +213,11 @@ class ParquetTable:
             columns.append(column)
         return df.select(*columns), T.StructType([*before.schema.fields, *added])
 
+    def last_transaction(self, writer: str) -> int | None:
+        """The last batch of a writer the table holds."""
+        snap = self.snapshot()
+        return snap.transactions.get(writer) if snap else None
+
     def _applied(self, snap: Snapshot | None, transaction: tuple[str, int] | None) -> bool:
         return bool(snap and transaction and snap.transactions.get(transaction[0], -1) >= transaction[1])
 
@@ -265,8 +270,9 @@ class ParquetTable:
             return before
         listed, _ = self._evolved(before, deleted.select(*keys))
         # a bucket of the key tells where its rows are; any other layout has to look everywhere
-        narrowed = self.layout.buckets and self.layout.column in keys
-        touched = [v for v in before.live if v in set(self._touched(listed))] if narrowed else list(before.live)
+        touched = list(before.live)
+        if self.layout.buckets and self.layout.column in keys:
+            touched = [v for v in self._touched(listed) if v in before.live]
         if not touched:
             return before
         left = merge.delete_by_key(self.read(touched), listed, keys)
