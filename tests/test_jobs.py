@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+import threading
 from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tests.test_operators import OTHER_VIEW, TEST_VIEW, change_feed
 from tidemark import schemas
 from tidemark.operators import points as point_ops
+from tidemark.operators.instances import View, views_of
+from tidemark.plans.audit import counters
 from tidemark.plans.config import Destination, EventFeed, RawExport, RawFeed, Space, Subscription
 from tidemark.plans.jobs import Jobs
 from tidemark.sources import Layout, ParquetTable
 from tidemark.sources.feeds import stream_feed
 from tidemark.streaming.handlers import events_handler, points_handler
-from tidemark.streaming.run import drain, start
+from tidemark.streaming.run import drain, repeat, start
 
 
 @pytest.fixture
@@ -308,3 +312,57 @@ def test_folding_keeps_the_newest_setting(job):
     job.states.fold()
     assert job.states.get("a") == "3" and job.states.get("a", "high") == "9"
     assert job.states.table.read().count() == 1
+
+
+def test_only_listed_partitions_of_a_feed_are_followed(spark, job, tmp_path):
+    feed = str(tmp_path / "feed")
+    for part in (0, 1, 2):
+        record = (f"id{part}", ([1000], [f"v{part}"]), 1)
+        rows = spark.createDataFrame([record], schemas.points_feed(T.StringType()))
+        rows.write.parquet(f"{feed}/partition={part}")
+    sub = Subscription("sub", feed, str(tmp_path / "p"), str(tmp_path / "s"), (0, 2), T.StringType())
+    series = spark.createDataFrame([], "externalId string, name string, description string, isString boolean, "
+                                   "isStep boolean, unit string, metadata map<string,string>, assetId long")
+    job.replicate_points([sub], series, spark.createDataFrame([], "id long, externalId string"))
+    got = job.table(sub.points_table).read().select("externalId", "value").collect()
+    assert sorted(map(tuple, got)) == [("id0", "v0"), ("id2", "v2")]
+
+
+def test_unknown_assets_fail_a_strict_export(spark, job, tmp_path):
+    to = Destination(str(tmp_path / "out"), buckets=4)
+    lake = spark.createDataFrame([("e1", 1, ["nope"])], "externalId string, startTime long, assetExternalIds array<string>")
+    assets = spark.createDataFrame([(1, "asset1")], "id long, externalId string")
+    with pytest.raises(LookupError, match="nope"):
+        job.export_events(lake, "ev", to, assets, strict=True)
+    assert job.states.get("ev-state") is None and log(job)[("ev", "failure")] == 1
+
+
+def test_counters(spark, job):
+    job.log.success("p", 3, "rows")
+    job.log.success("p", 4, "rows")
+    job.log.write("p", "failure")
+    job.log.seen("q")
+    got = {r.pipeline: (r.writes, r.failures, r["rows"]) for r in counters(job.log.table.read()).collect()}
+    assert got == {"p": (2, 1, 7), "q": (0, 0, 0)}
+
+
+def test_jobs_repeat_until_stopped():
+    stop, runs = threading.Event(), []
+
+    def once():
+        runs.append(1)
+        if len(runs) == 3:
+            stop.set()
+
+    repeat(once, 0.01, stop)
+    assert len(runs) == 3
+
+
+def test_views_come_from_the_catalog(spark):
+    catalog = spark.createDataFrame(
+        [("s", "Movie", "1", "node", {"title": "", "meta": ""}), ("s", "Acts", "2", "edge", {}), ("t", "X", "1", "node", {})],
+        "space string, externalId string, version string, usedFor string, properties map<string,string>",
+    )
+    movie = View("s", "Movie", "1", "node", ("meta", "title"))
+    assert views_of(catalog, "s") == (View("s", "Acts", "2", "edge", ()), movie)
+    assert movie.table == "s_Movie"

@@ -125,3 +125,11 @@ def test_no_side_is_forced_to_broadcast(spark, unique):
         assert "Broadcast" not in plan and "CartesianProduct" not in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_keys_of_different_types_still_match(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    source = spark.createDataFrame([(2, "c"), (5_000_000_000, "d")], "k long, v string")
+    assert rows(merge.upsert(target, source, ["k"])) == Counter(
+        {(1, "a"): 1, (2, "c"): 1, (5_000_000_000, "d"): 1}
+    )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import json_text
+from tidemark.operators.joins import join_aggregated
 from tidemark.schemas import EVENT_OPTIONAL
 
 
@@ -43,14 +44,14 @@ def resolve_assets(events: DataFrame, assets: DataFrame) -> DataFrame:
     ids = assets.groupBy("externalId").agg(F.min("id").alias("id"))
     resolved = (
         lists.select("assetExternalIds", F.posexplode("assetExternalIds").alias("pos", "externalId"))
-        .join(ids, "externalId")
+        .transform(join_aggregated, ids, ["externalId"], "inner")
         .groupBy("assetExternalIds")
         .agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("__hits"))
         .select("assetExternalIds", F.transform("__hits", lambda h: h["id"]).alias("__ids"))
     )
     listed = F.when(F.col("assetExternalIds").isNotNull(), F.array().cast("array<bigint>"))
     kept = [c for c in events.columns if c != "assetExternalIds"]
-    return events.join(resolved, "assetExternalIds", "left").select(
+    return join_aggregated(events, resolved, ["assetExternalIds"], "left").select(
         *kept, F.coalesce(F.col("__ids").cast("array<bigint>"), listed).alias("assetIds")
     )
 

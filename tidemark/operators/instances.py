@@ -38,6 +38,16 @@ class View:
         return f"properties.`{self.external_id}`"
 
 
+def views_of(catalog: DataFrame, space: str) -> tuple[View, ...]:
+    """The views of a space from the view catalog: (space, externalId, version, usedFor,
+    properties).  A catalog has a row per view, and each becomes one lazy DataFrame."""
+    rows = catalog.where(F.col("space") == space).orderBy("externalId", "version").collect()
+    return tuple(
+        View(r["space"], r["externalId"], r["version"], r["usedFor"], tuple(sorted(r["properties"])))
+        for r in rows
+    )
+
+
 def edge_table(space: str) -> str:
     return f"{space}_edges"
 
@@ -134,8 +144,8 @@ def changes_since(instances: DataFrame, watermark: int | None, up_to: int | None
 def bootstrap(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
     """First load followed by the run after it.
 
-    The start position is read from the snapshot's side before the changes are followed, so a
-    change is never in both parts and none falls between them.
+    The start position is the snapshot's newest change, so a change is never in both parts and
+    none falls between them.
     """
     start = snapshot.agg(F.max("lastUpdatedTime")).scalar()
     newer = start.isNull() | (F.col("lastUpdatedTime") > start)

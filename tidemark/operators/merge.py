@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.joins import join_aggregated
+
 
 def _orderable(dtype: T.DataType) -> bool:
     if isinstance(dtype, T.StructType):
@@ -64,9 +66,8 @@ def delete_by_key(target: DataFrame, deleted: DataFrame, keys: Sequence[str] = (
     """Target rows whose key is not listed; every version of a listed key goes.
 
     Keys travel as rows, so quotes in ids need no escaping and the list may be of any length.
-    The distinct collapses repeated ids before the join, which reuses its partitioning.
     """
-    return target.join(deleted.select(*keys).distinct(), list(keys), "left_anti")
+    return join_aggregated(target, deleted.select(*keys).distinct(), keys, "left_anti")
 
 
 def upsert(
@@ -101,7 +102,7 @@ def upsert(
         F.struct(*[_quoted(c) for c in shared + added], F.lit(True).alias("__hit")).alias("__new"),
     )
     hit = F.col("__new.__hit")
-    updated = target.join(incoming, keys, "left").select(
+    updated = join_aggregated(target, incoming, keys, "left").select(
         *[
             F.when(hit, F.col(f"__new.`{c}`")).otherwise(_quoted(c)).alias(c) if c in shared else _quoted(c)
             for c in target.columns
@@ -109,5 +110,6 @@ def upsert(
         *[F.col(f"__new.`{c}`").alias(c) for c in added],
     )
     # target keys the source holds: small when the source is, whatever the size of the target
-    present = target.select(*keys).join(source.select(*keys).distinct(), keys, "left_semi").distinct()
-    return append_evolving(updated, src.join(present, keys, "left_anti"))
+    named = source.select(*keys).distinct()
+    present = join_aggregated(target.select(*keys), named, keys, "left_semi").distinct()
+    return append_evolving(updated, join_aggregated(src, present, keys, "left_anti"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.values import typed_watermark
+from tidemark.operators.joins import join_aggregated
 
 
 def since(
@@ -86,9 +87,9 @@ def series_since(points: DataFrame, watermarks: DataFrame) -> DataFrame:
     """Points newer than their own series' watermark; series without one come whole.
 
     ``watermarks`` is (externalId, since), one row per series.  One pass over the points serves
-    every series; the hot side is the left one, which AQE may split.
+    every series, and a series holding most of them is split.
     """
-    joined = points.join(watermarks.select("externalId", "since"), "externalId", "left")
+    joined = join_aggregated(points, watermarks.select("externalId", "since"), ["externalId"], "left")
     newer = F.col("since").isNull() | (
         F.col("timestamp") > F.col("since").cast(points.schema["timestamp"].dataType)
     )

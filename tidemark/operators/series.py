@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import join_aggregated
+
 # Fixed value: what an empty metadata map is replaced with.
 DEFAULT_METADATA_KEY = "source"
 
@@ -22,7 +24,7 @@ def series_rows(series: DataFrame, assets: DataFrame, service: str = "tidemark")
     empty = F.col("metadata").isNull() | (F.size("metadata") == 0)
     default = F.create_map(F.lit(DEFAULT_METADATA_KEY), F.lit(service))
     complete = series.dropna(subset=["externalId", "name", "isString", "isStep", "unit"])
-    return complete.join(lookup, "assetId", "left").select(
+    return join_aggregated(complete, lookup, ["assetId"], "left").select(
         "externalId",
         "name",
         F.coalesce("description", F.lit("")).alias("description"),

@@ -50,3 +50,13 @@ def written_counts(df: DataFrame, *by: str) -> DataFrame:
     counted = df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))
     message = F.concat(F.col("rows").cast("string"), F.lit(" rows written"))
     return counted.withColumn("status", F.lit("success")).withColumn("message", message)
+
+
+def counters(log: DataFrame) -> DataFrame:
+    """Per pipeline: runs that wrote, runs that failed, rows written in all."""
+    succeeded = F.col("status") == "success"
+    return log.groupBy("pipeline").agg(
+        F.count_if(succeeded).alias("writes"),
+        F.count_if(F.col("status") == "failure").alias("failures"),
+        F.coalesce(F.sum(F.when(succeeded, F.col("rows"))), F.lit(0)).alias("rows"),
+    )

@@ -4,27 +4,25 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from tidemark.operators.instances import View
-
-# The defaults jobs start from.
-POLL_SECONDS = 5
-MAINTENANCE_SECONDS = 3600
-FEED_PAGE = 10_000
-INGEST_BATCH = 100_000
-EVENT_BATCH = 1_000
-READ_BATCH = 1_000
+from pyspark.sql import types as T
 
+from tidemark.operators.instances import View
 
 @dataclass(frozen=True)
 class Subscription:
-    """A points feed and the two tables it keeps."""
+    """A points feed and the two tables it keeps.
+
+    With ``partitions`` the feed folder is laid out as ``partition=N`` and only those are followed.
+    """
 
     external_id: str
     feed: str
     points_table: str
     series_table: str
-    partitions: int = 1
+    partitions: tuple[int, ...] | None = None
+    value_type: T.DataType = T.DoubleType()
     max_files: int | None = None
+    max_bytes: str | None = None
 
 
 @dataclass(frozen=True)

@@ -25,6 +25,7 @@ from tidemark.operators import watermark as marks
 from tidemark.plans.audit import RunLog
 from tidemark.plans.config import Destination, EventFeed, RawExport, RawFeed, Space, Subscription
 from tidemark.plans.state import Watermarks
+from tidemark.session import apply_settings
 from tidemark.sources.feeds import list_files, stream_feed
 from tidemark.sources.tables import Layout, open_table
 from tidemark.streaming.handlers import events_handler, points_handler, raw_handler
@@ -37,7 +38,7 @@ class Jobs:
     """The jobs of one deployment: a session, its state and log tables, a table format."""
 
     def __init__(self, spark: SparkSession, home: str, fmt: str = "parquet") -> None:
-        self.spark, self.home, self.fmt = spark, home.rstrip("/"), fmt
+        self.spark, self.home, self.fmt = apply_settings(spark), home.rstrip("/"), fmt
         self.states = Watermarks(self.table(f"{self.home}/watermarks"))
         self.log = RunLog(self.table(f"{self.home}/run_log"))
 
@@ -56,7 +57,14 @@ class Jobs:
         """Stream each subscription's feed into its points and series tables."""
         queries = []
         for sub in subscriptions:
-            feed = stream_feed(self.spark, sub.feed, schemas.POINTS_FEED, max_files=sub.max_files)
+            feed = stream_feed(
+                self.spark,
+                sub.feed,
+                schemas.points_feed(sub.value_type),
+                max_files=sub.max_files,
+                max_bytes=sub.max_bytes,
+                partitions=sub.partitions,
+            )
             apply = points_handler(
                 self.table(sub.points_table, Layout.by_day("timestamp")),
                 sub.external_id,
@@ -232,8 +240,12 @@ class Jobs:
         to: Destination,
         assets: DataFrame,
         incremental_field: str | None = None,
+        strict: bool = False,
     ) -> int:
-        """Upsert the lake's new events by external id, asset references resolved."""
+        """Upsert the lake's new events by external id, asset references resolved.
+
+        A reference to an unknown asset is skipped, or with ``strict`` fails the run.
+        """
         state_id = f"{path}-state"
         with self.log.watching(path):
             fresh, bound, count = self._fresh(events, incremental_field, state_id)
@@ -241,6 +253,10 @@ class Jobs:
                 self.log.seen(path)
                 return 0
             shaped = event_ops.event_rows(fresh, to.data_set_id, incremental_field or "startTime")
+            if strict:
+                unknown = event_ops.unknown_assets(shaped, assets).take(10)
+                if unknown:
+                    raise LookupError(f"no such assets: {[r['externalId'] for r in unknown]}")
             rows = event_ops.resolve_assets(shaped, assets)
             target = self.table(f"{to.tables}/events", Layout.by_bucket("externalId", to.buckets))
             target.upsert(rows, ["externalId"], ["__order"], ["__order"])

@@ -4,43 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# One change-feed record per series: parallel arrays of epoch milliseconds and values.
-POINTS_FEED = T.StructType(
-    [
-        T.StructField("external_id", T.StringType()),
-        T.StructField(
-            "upserts",
-            T.StructType(
-                [
-                    T.StructField("timestamp", T.ArrayType(T.LongType())),
-                    T.StructField("value", T.ArrayType(T.DoubleType())),
-                ]
-            ),
-        ),
-        T.StructField("cursor", T.LongType()),
-    ]
-)
 
-POINTS = T.StructType(
-    [
-        T.StructField("externalId", T.StringType()),
-        T.StructField("timestamp", T.TimestampType()),
-        T.StructField("value", T.DoubleType()),
-    ]
-)
+def points_feed(value: T.DataType = T.DoubleType()) -> T.StructType:
+    """One change-feed record per series: parallel arrays of epoch milliseconds and values.
 
-SERIES = T.StructType(
-    [
-        T.StructField("externalId", T.StringType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("description", T.StringType()),
-        T.StructField("isString", T.BooleanType()),
-        T.StructField("isStep", T.BooleanType()),
-        T.StructField("unit", T.StringType()),
-        T.StructField("metadata", T.MapType(T.StringType(), T.StringType())),
-        T.StructField("assetExternalId", T.StringType()),
+    String-valued series come on a feed, and go to a table, of their own.
+    """
+    upserts = [
+        T.StructField("timestamp", T.ArrayType(T.LongType())),
+        T.StructField("value", T.ArrayType(value)),
     ]
-)
+    return T.StructType(
+        [
+            T.StructField("external_id", T.StringType()),
+            T.StructField("upserts", T.StructType(upserts)),
+            T.StructField("cursor", T.LongType()),
+        ]
+    )
+
+
+POINTS_FEED = points_feed()
 
 # Optional columns of an event as stored in the lake; externalId and startTime are mandatory.
 EVENT_OPTIONAL = {

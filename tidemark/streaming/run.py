@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import threading
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-POLL_SECONDS = 5
-
 
 def start(
     feed: DataFrame,
@@ -30,3 +30,11 @@ def start(
 def drain(feed: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     """Process everything available and return when it is done."""
     start(feed, apply, checkpoint).awaitTermination()
+
+
+def repeat(job: Callable[[], object], seconds: float, stop: threading.Event) -> None:
+    """Run a batch job at a fixed cadence until told to stop; a long run shortens the wait."""
+    while not stop.is_set():
+        started = time.monotonic()
+        job()
+        stop.wait(max(seconds - (time.monotonic() - started), 0))
