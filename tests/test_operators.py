@@ -329,3 +329,20 @@ def test_file_catalog_and_changes(spark, tmp_path):
     assert [r.name for r in files.changed_files(catalog, known).collect()] == ["other.txt"]
     assert files.changed_files(catalog, known.limit(0)).count() == 2
     assert "content" not in files.catalog_rows(list_files(spark, str(tmp_path))).columns
+
+
+def test_batches_over_uneven_values(spark):
+    df = spark.range(50_000).select(
+        F.when(F.col("id") < 30_000, 7).when(F.col("id") == 49_999, 10**15).otherwise(F.col("id")).cast("long").alias("v")
+    )
+    ranked = sorted(r.v for r in df.collect())
+    for size in (1, 30_000, 30_001, 49_999, 50_000, 60_000):
+        expected = ranked[min(size, 50_000) - 1]
+        got = scan.next_batch(df, "v", size).agg(F.max("v"), F.count("v")).first()
+        assert tuple(got) == (expected, sum(1 for v in ranked if v <= expected))
+
+
+def test_batches_over_dates_and_doubles(spark):
+    df = spark.range(100).select(F.date_add(F.lit("2024-01-01"), F.col("id").cast("int")).alias("d"), (F.col("id") / 7).alias("x"))
+    assert scan.next_batch(df, "d", 10).count() == 10 and scan.next_batch(df, "x", 10).count() == 10
+    assert scan.next_batch(df, "d", 10, "2024-01-31").count() == 10

@@ -30,36 +30,43 @@ def in_order(df: DataFrame, field: str, *tie_break: str) -> DataFrame:
     return df.orderBy(field, *tie_break)
 
 
-# Fractions a batch may be looked for in, and the rank precision of the sketch over them.
-FRACTIONS = (0.001, 0.01, 0.1, 0.25, 0.5)
-SKETCH_ACCURACY = 10_000
-SKETCHED = (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType)
+HISTOGRAM_BINS = 2048
+
+
+def _axis(field: str, dtype: T.DataType) -> Column | None:
+    """The field as a double that never decreases where the field increases."""
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(field).cast("timestamp")).cast("double")
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(field).cast("double")
+    return F.col(field).cast("double") if isinstance(dtype, T.NumericType) else None
+
+
+def _reached(counts: DataFrame, order: str, value: str, size: int) -> Column:
+    """The first ``value``, going through the few counts in order, by which ``size`` rows are had."""
+    enough = F.sum("n").over(Window.orderBy(order)) >= size
+    running = counts.select(value, enough.alias("enough"))
+    first = F.min(F.when(F.col("enough"), F.col(value)))
+    return running.agg(F.coalesce(first, F.max(value))).scalar()
 
 
 def _batch_end(values: DataFrame, field: str, size: int) -> Column:
     """The ``size``-th smallest value, as a scalar subquery.
 
     A plain top-n would send ``size`` rows of every scan task to a single one.  Instead a
-    quantile sketch narrows the column to a fraction sure to hold the batch, equal values are
-    counted where they are read, and only the ``size`` smallest distinct ones meet in one task.
+    histogram of the column narrows it to the bins that hold the batch, equal values are counted
+    where they are read, and only the ``size`` smallest distinct ones meet in one task.
     """
-    if isinstance(values.schema[field].dataType, SKETCHED):
-        stats = values.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile_approx(field, list(FRACTIONS), SKETCH_ACCURACY).alias("cuts"),
-            F.max(field).alias("top"),
+    axis = _axis(field, values.schema[field].dataType)
+    if axis is not None:
+        low, high = (values.agg(f(axis)).scalar() for f in (F.min, F.max))
+        place = F.try_divide((axis - low) * HISTOGRAM_BINS, high - low)
+        bins = values.groupBy(F.coalesce(F.floor(place), F.lit(0)).alias("bin")).agg(
+            F.count(F.lit(1)).alias("n"), F.max(field).alias("top")
         )
-        n = F.col("n").cast("double")
-        enough = [size + 1 + n * 2 / SKETCH_ACCURACY <= n * f for f in FRACTIONS]
-        cuts = [F.when(holds, F.get("cuts", F.lit(i))) for i, holds in enumerate(enough)]
-        cut = F.coalesce(*cuts, F.col("top"))
-        values = values.where(F.col(field) <= stats.select(cut).scalar())
-    counted = values.groupBy(field).agg(F.count(F.lit(1)).alias("n")).orderBy(field).limit(size)
-    reached = F.sum("n").over(Window.orderBy(field)) >= size
-    end = counted.select(field, reached.alias("reached")).agg(
-        F.coalesce(F.min(F.when(F.col("reached"), F.col(field))), F.max(field))
-    )
-    return end.scalar()
+        values = values.where(F.col(field) <= _reached(bins, "bin", "top", size))
+    counts = values.groupBy(field).agg(F.count(F.lit(1)).alias("n")).orderBy(field).limit(size)
+    return _reached(counts, field, field, size)
 
 
 def next_batch(df: DataFrame, field: str, size: int, watermark: object = None) -> DataFrame:
