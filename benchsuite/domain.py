@@ -5,6 +5,8 @@ The SQL fragments are the same mappings for the oracle; keep the two in step.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -268,6 +270,16 @@ def instances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nodes(spark, sf_dir).unionByName(edges(spark, sf_dir))
 
 
+def ids_per_table(tables: dict) -> DataFrame:
+    """(table_name, externalId) of all tables; one no instance was routed to does not exist."""
+    parts = [
+        table.read().select(F.lit(name).alias("table_name"), "externalId")
+        for name, table in tables.items()
+        if table.exists()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # ---- files -----------------------------------------------------------------------------------
 
 

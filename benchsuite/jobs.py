@@ -76,13 +76,8 @@ def job_replicate_instances(spark, sf):
     changes = spark.read.parquet(f"{home}/feed")
     job.replicate_instances(space, changes, run_start=950000000000)
     job.replicate_instances(space, changes)
-    out = None
-    for path in job.space_tables(space):
-        rows = job.table(path).read().select(
-            F.lit(path.rsplit("/", 1)[1]).alias("table_name"), "externalId"
-        )
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    tables = {path.rsplit("/", 1)[1]: job.table(path) for path in job.space_tables(space)}
+    return d.ids_per_table(tables)
 
 
 @query(
