@@ -91,9 +91,21 @@ def test_appended_events_survive_a_repeat_once(spark, tmp_path):
     events = spark.createDataFrame([("e1", 1, {"k": "v"})], "externalId string, createdTime long, metadata map<string,string>")
     events.write.parquet(feed_path)
     table = ParquetTable(spark, str(tmp_path / "events"))
-    for checkpoint in ("one", "two"):
-        drain(stream_feed(spark, feed_path, events.schema), events_handler(table, "e"), str(tmp_path / checkpoint))
+    apply = events_handler(table, "e")
+
+    def crash_after_write(batch, batch_id):
+        apply(batch, batch_id)
+        raise RuntimeError("lost the driver")
+
+    feed = stream_feed(spark, feed_path, events.schema)
+    with pytest.raises(Exception, match="lost the driver"):
+        start(feed, crash_after_write, str(tmp_path / "cp")).awaitTermination()
+    drain(feed, apply, str(tmp_path / "cp"))
     assert [tuple(r) for r in table.read().collect()] == [("e1", 1, '{"k": "v"}')]
+    # a lost checkpoint starts over: its batches are new ones, whatever their numbers
+    events.withColumn("externalId", F.lit("e2")).write.mode("append").parquet(feed_path)
+    drain(feed, apply, str(tmp_path / "another"))
+    assert sorted(r.externalId for r in table.read().collect()) == ["e1", "e1", "e2"]
 
 
 def test_a_polling_stream_can_be_stopped(spark, tmp_path):

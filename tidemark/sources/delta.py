@@ -60,12 +60,7 @@ class DeltaLakeTable:
             .execute()
         )
 
-    def delete(
-        self,
-        deleted: DataFrame,
-        keys: Sequence[str] = ("externalId",),
-        transaction: tuple[str, int] | None = None,
-    ) -> None:
+    def delete(self, deleted: DataFrame, keys: Sequence[str] = ("externalId",)) -> None:
         if not self.exists():
             return
         condition = " AND ".join(f"s.`{k}` = t.`{k}`" for k in keys)

@@ -27,15 +27,18 @@ class Storage:
             for s in self._fs.listStatus(self._path(relative))
         ]
 
-    def sizes(self, relative: str) -> tuple[int, int]:
-        """(data files, bytes) below a directory."""
-        files = size = 0
+    def sizes(self, relative: str) -> dict[str, tuple[int, int]]:
+        """(data files, bytes) per child folder below a folder; ``""`` for files right in it."""
+        found: dict[str, tuple[int, int]] = {}
+        start = len(self._fs.makeQualified(self._path(relative)).toString()) + 1
         listing = self._fs.listFiles(self._path(relative), True)
         while listing.hasNext():
             status = listing.next()
-            if not status.getPath().getName().startswith(("_", ".")):
-                files, size = files + 1, size + status.getLen()
-        return files, size
+            folder, _, name = status.getPath().toString()[start:].rpartition("/")
+            if not name.startswith(("_", ".")):
+                files, size = found.get(folder, (0, 0))
+                found[folder] = files + 1, size + status.getLen()
+        return found
 
     def read(self, relative: str) -> str:
         stream = self._fs.open(self._path(relative))

@@ -64,18 +64,19 @@ class Snapshot:
     generation: int
     schema: T.StructType
     live: dict[str, list[str]]  # partition value ("" when unpartitioned) -> directories
+    sizes: dict[str, list[int]]  # directory -> files, bytes
     transactions: dict[str, int]  # writer -> last batch applied
-    layout: Layout = Layout()
+    layout: Layout
 
     def to_json(self) -> str:
-        state = {"schema": json.loads(self.schema.json()), "live": self.live}
-        return json.dumps({**state, "transactions": self.transactions, "layout": asdict(self.layout)})
+        schema, layout = json.loads(self.schema.json()), asdict(self.layout)
+        return json.dumps({**vars(self), "schema": schema, "layout": layout})
 
     @staticmethod
-    def from_json(generation: int, text: str) -> Snapshot:
+    def from_json(text: str) -> Snapshot:
         state = json.loads(text)
         schema, layout = T.StructType.fromJson(state["schema"]), Layout(**state["layout"])
-        return Snapshot(generation, schema, state["live"], state["transactions"], layout)
+        return Snapshot(**{**state, "schema": schema, "layout": layout})
 
 
 class ParquetTable:
@@ -99,7 +100,7 @@ class ParquetTable:
         file = f"{GEN}={generation}/_live"
         if not self._storage.exists(file):
             return None
-        return Snapshot.from_json(generation, self._storage.read(file))
+        return Snapshot.from_json(self._storage.read(file))
 
     def snapshot(self) -> Snapshot | None:
         """The newest published state."""
@@ -149,25 +150,19 @@ class ParquetTable:
         rows = source.select(part.cast("string").alias(PART)).distinct().collect()
         return [NULL_PART if r[0] is None else r[0] for r in rows]
 
-    def _write(self, df: DataFrame) -> tuple[int, dict[str, list[str]]]:
-        """Write rows into a new generation; returns it with the directories per partition."""
+    def _write(self, df: DataFrame) -> tuple[int, dict[str, list[int]]]:
+        """Write rows into a new generation; returns it with the size of each directory in it."""
         generation = max(self._generations(), default=0) + 1
         place = f"{GEN}={generation}"
-        if not self.layout.column:
+        if self.layout.column:
+            # rebalance gives each partition one writer and splits a partition that is too large
+            part = self.layout.expression(df.schema[self.layout.column].dataType)
+            df = df.withColumn(PART, part).hint("rebalance", PART)
+            df.write.partitionBy(PART).parquet(f"{self.path}/{place}")
+        else:
             df.write.parquet(f"{self.path}/{place}")
-            return generation, {"": [place]}
-        # rebalance gives each partition one writer and splits a partition that is too large
-        (
-            df.withColumn(PART, self.layout.expression(df.schema[self.layout.column].dataType))
-            .hint("rebalance", PART)
-            .write.partitionBy(PART)
-            .parquet(f"{self.path}/{place}")
-        )
-        return generation, {
-            name.removeprefix(f"{PART}="): [f"{place}/{name}"]
-            for name, is_dir, *_ in self._storage.children(place)
-            if is_dir and name.startswith(f"{PART}=")
-        }
+        written = self._storage.sizes(place)
+        return generation, {f"{place}/{d}" if d else place: list(n) for d, n in written.items()}
 
     def _commit(
         self,
@@ -178,14 +173,16 @@ class ParquetTable:
         transaction: tuple[str, int] | None = None,
     ) -> Snapshot:
         """Write the rows and publish a state of them plus the ``kept`` directories."""
-        generation, places = self._write(df)
+        generation, sizes = self._write(df)
         live = {value: list(dirs) for value, dirs in kept.items()}
-        for value, dirs in places.items():
-            live.setdefault(value, []).extend(dirs)
+        for place in sizes:
+            live.setdefault(place.partition(f"/{PART}=")[2], []).append(place)
+        for dirs in kept.values():
+            sizes.update({d: before.sizes[d] for d in dirs})
         transactions = dict(before.transactions) if before else {}
         if transaction:
             transactions[transaction[0]] = transaction[1]
-        state = Snapshot(generation, schema, live, transactions, self.layout)
+        state = Snapshot(generation, schema, live, sizes, transactions, self.layout)
         self._storage.publish(f"{GEN}={generation}/_live", state.to_json())
         return state
 
@@ -258,16 +255,11 @@ class ParquetTable:
         merged = merge.upsert(self.read(touched), aligned, keys, order_by, drop)
         return self._commit(merged, before, _without(before.live, touched), schema, transaction)
 
-    def delete(
-        self,
-        deleted: DataFrame,
-        keys: Sequence[str] = ("externalId",),
-        transaction: tuple[str, int] | None = None,
-    ) -> Snapshot | None:
+    def delete(self, deleted: DataFrame, keys: Sequence[str] = ("externalId",)) -> Snapshot | None:
         """Remove every row of the listed keys; a table that does not exist has none."""
         before = self.snapshot()
-        if before is None or self._applied(before, transaction):
-            return before
+        if before is None:
+            return None
         listed, _ = self._evolved(before, deleted.select(*keys))
         # a bucket of the key tells where its rows are; any other layout has to look everywhere
         touched = list(before.live)
@@ -276,7 +268,7 @@ class ParquetTable:
         if not touched:
             return before
         left = merge.delete_by_key(self.read(touched), listed, keys)
-        return self._commit(left, before, _without(before.live, touched), before.schema, transaction)
+        return self._commit(left, before, _without(before.live, touched), before.schema)
 
     # ---- maintenance -------------------------------------------------------------------------
 
@@ -292,10 +284,9 @@ class ParquetTable:
         kept: dict[str, list[str]] = {}
         files_before = 0
         for value, dirs in before.live.items() if before else ():
-            measured = {d: self._storage.sizes(d) for d in dirs}
-            small = [d for d, (files, size) in measured.items() if size < files * target_bytes]
-            files = sum(measured[d][0] for d in small)
-            if files > -(-sum(measured[d][1] for d in small) // target_bytes):
+            small = [d for d in dirs if before.sizes[d][1] < before.sizes[d][0] * target_bytes]
+            files, size = (sum(before.sizes[d][i] for d in small) for i in (0, 1))
+            if files > -(-size // target_bytes):
                 chosen[value], files_before = small, files_before + files
             rest = [d for d in dirs if d not in chosen.get(value, ())]
             if rest:
@@ -313,7 +304,9 @@ class ParquetTable:
             after = self._commit(fragments, before, kept, before.schema)
         return {
             "files_before": files_before,
-            "files_after": self._storage.sizes(f"{GEN}={after.generation}")[0],
+            "files_after": sum(
+                files for d, (files, _) in after.sizes.items() if d.startswith(f"{GEN}={after.generation}")
+            ),
         }
 
     def expire(self, retention_seconds: int = RETENTION_SECONDS, now_ms: int | None = None) -> list[str]:

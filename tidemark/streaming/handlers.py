@@ -29,6 +29,12 @@ def _kept(df: DataFrame) -> Iterator[DataFrame]:
         kept.unpersist()
 
 
+def _writer(batch: DataFrame, name: str) -> str:
+    """The name batch ids count under: a new checkpoint starts counting anew, so it is part of it."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{name}/{query}" if query else name
+
+
 def points_handler(
     table,
     name: str,
@@ -43,18 +49,18 @@ def points_handler(
         with _kept(point_ops.explode_feed(batch)) as points:
             order = [c for c in ("cursor",) if c in points.columns]
             if series_table is not None:
-                _store_new_series(points, series_table, series, assets, (f"{name}/series", batch_id))
-            table.upsert(points, point_ops.POINT_KEYS, order, order, (name, batch_id))
+                _store_new_series(points, series_table, series, assets)
+            table.upsert(points, point_ops.POINT_KEYS, order, order, (_writer(batch, name), batch_id))
             if log:
                 log.success(name, points.count(), "points written")
 
     return apply
 
 
-def _store_new_series(points, table, series, assets, transaction) -> None:
+def _store_new_series(points, table, series, assets) -> None:
     known = table.read().select("externalId") if table.exists() else points.select("externalId").limit(0)
     fresh = series.join(series_ops.unseen_ids(points, known), "externalId", "left_semi")
-    table.upsert(series_ops.series_rows(fresh, assets), ["externalId"], transaction=transaction)
+    table.upsert(series_ops.series_rows(fresh, assets), ["externalId"])
 
 
 def events_handler(
@@ -67,7 +73,7 @@ def events_handler(
             count = rows.count()
             if not count:
                 return
-            table.append(rows, (name, batch_id))
+            table.append(rows, (_writer(batch, name), batch_id))
             if log:
                 log.success(name, count, "events written to the table")
             if compact:
@@ -83,7 +89,7 @@ def raw_handler(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         with _kept(raw_ops.flatten_rows(batch, columns)) as rows:
-            table.upsert(rows, ["key"], ["last_updated_time"], (), (name, batch_id))
+            table.upsert(rows, ["key"], ["last_updated_time"], (), (_writer(batch, name), batch_id))
             if log:
                 log.success(name, rows.count(), "rows written to the table")
 
@@ -106,6 +112,7 @@ def instances_handler(
     edge_views = [v for v in views if v.used_for == "edge"]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        writer = _writer(batch, name)
         with _kept(batch) as changes:
             counts = {r["table_name"]: r for r in graph.route_counts(changes, views).collect()}
             nodes = changes.where(F.col("instanceType") == "node")
@@ -114,16 +121,16 @@ def instances_handler(
             plan.append((graph.edge_table(space), graph.flatten_edges(edges, edge_views)))
             for table_name, flat in plan:
                 if table_name in counts:
-                    _apply_to(open_named(table_name), flat, counts[table_name], name, batch_id)
+                    _apply_to(open_named(table_name), flat, counts[table_name], writer, batch_id)
             if log:
                 log.success(name, sum(r["upserts"] for r in counts.values()), "instances written")
 
     return apply
 
 
-def _apply_to(table, flat: DataFrame, count, name: str, batch_id: int) -> None:
+def _apply_to(table, flat: DataFrame, count, writer: str, batch_id: int) -> None:
     live, deleted = graph.split_deleted(flat)
     if count["upserts"]:
-        table.append(live, (name, batch_id))
+        table.append(live, (writer, batch_id))
     if count["deletes"]:
-        table.delete(deleted, ("externalId",), (f"{name}/deletes", batch_id))
+        table.delete(deleted)
