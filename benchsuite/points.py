@@ -128,8 +128,7 @@ def points_pivot(spark, sf):
         F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("timestamp"),
         "value",
     )
-    ids = sorted(r[0] for r in scan.distinct_ids(hourly).collect())
-    return ops.wide(hourly, ids)
+    return ops.wide(hourly, ops.wide_ids(hourly))
 
 
 @query(

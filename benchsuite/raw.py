@@ -41,8 +41,7 @@ def raw_flatten_map(spark, sf):
         F.create_map("event_type", "props").alias("columns"),
         d.ms("ts").alias("last_updated_time"),
     )
-    names = sorted(r["name"] for r in ops.column_names(rows).collect())
-    return ops.flatten_rows(rows, names)
+    return ops.flatten_rows(rows, ops.listed_names(rows))
 
 
 @query(

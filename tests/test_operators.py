@@ -38,7 +38,10 @@ def test_surplus_values_are_ignored(spark):
 
 def test_wide_frame(spark):
     df = spark.createDataFrame([(1, "a", 0.5), (1, "b", 0.6), (2, "a", 0.7)], "timestamp int, externalId string, value double")
+    assert points.wide_ids(df) == ["a", "b"]
     assert tuples(points.wide(df, ["a", "b"]), "timestamp") == [(1, 0.5, 0.6), (2, 0.7, None)]
+    with pytest.raises(ValueError):
+        points.wide_ids(df, at_most=1)
 
 
 def test_prefix(spark):
@@ -123,7 +126,7 @@ def test_raw_columns_are_promoted_and_fixed_ones_win(spark):
 
 def test_raw_maps_need_their_names(spark):
     rows = spark.createDataFrame([("k", {"a": "1", "b": "2"}, 5)], "key string, columns map<string,string>, last_updated_time long")
-    assert sorted(r.name for r in raw.column_names(rows).collect()) == ["a", "b"]
+    assert raw.listed_names(rows) == ["a", "b"]
     assert tuples(raw.flatten_rows(rows, ["a", "b"])) == [("1", "2", "k", 5)]
     with pytest.raises(ValueError):
         raw.flatten_rows(rows)

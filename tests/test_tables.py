@@ -58,6 +58,22 @@ def test_append_evolves_the_schema_and_widens(spark, path):
         table.append(frame(spark, [("text",)], "id string"))
 
 
+def test_structs_evolve_and_untyped_columns_are_left_out(spark, path):
+    table = ParquetTable(spark, path)
+    table.append(spark.sql("SELECT 1 id, named_struct('a', 1) s, array(named_struct('x', 1)) l, NULL n"))
+    table.append(spark.sql("SELECT 2 id, named_struct('b', 'z', 'a', 5) s, array(named_struct('y', 2)) l"))
+    got = [r.asDict(recursive=True) for r in table.read().orderBy("id").collect()]
+    assert got == [
+        {"id": 1, "s": {"a": 1, "b": None}, "l": [{"x": 1, "y": None}]},
+        {"id": 2, "s": {"a": 5, "b": "z"}, "l": [{"x": None, "y": 2}]},
+    ]
+    table.upsert(spark.sql("SELECT 1 id, named_struct('c', 1.5D, 'a', 7) s"), ["id"])
+    merged = table.read().where("id = 1").first().asDict(recursive=True)
+    assert merged["s"] == {"a": 7, "b": None, "c": 1.5} and merged["l"] == [{"x": 1, "y": None}]
+    with pytest.raises(TypeError, match="s.a"):
+        table.append(spark.sql("SELECT 3 id, named_struct('a', 'text') s"))
+
+
 def test_a_transaction_is_applied_once(spark, path):
     table = ParquetTable(spark, path)
     for batch in (0, 0, 1, 0, 1):

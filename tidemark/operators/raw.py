@@ -19,11 +19,19 @@ def column_names(rows: DataFrame) -> DataFrame:
     return rows.select(F.explode(F.map_keys("columns")).alias("name")).distinct()
 
 
+def listed_names(rows: DataFrame, at_most: int = 10_000) -> list[str]:
+    """The names as a list for ``flatten_rows``; a table cannot have more columns than that."""
+    names = [r["name"] for r in column_names(rows).limit(at_most + 1).collect()]
+    if len(names) > at_most:
+        raise ValueError(f"more than {at_most} column names")
+    return sorted(names)
+
+
 def flatten_rows(rows: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """``columns`` promoted to real columns, plus ``key`` and ``last_updated_time``.
 
     The fixed two win over promoted columns of the same name.  ``columns`` is a struct, or a map
-    whose names are given (see ``column_names``).
+    whose names are given (see ``listed_names``).
     """
     dtype = rows.schema["columns"].dataType
     if isinstance(dtype, T.StructType):

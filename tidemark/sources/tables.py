@@ -191,24 +191,31 @@ class ParquetTable:
         return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
     def _evolved(self, before: Snapshot | None, df: DataFrame) -> tuple[DataFrame, T.StructType]:
-        """Rows with the table's types, and the table schema with new columns added at the end."""
+        """Rows with the table's types, and the table schema with what is new added to it.
+
+        Columns without a type (all null) say nothing and are left out.
+        """
+        df = df.select(*[F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType != T.NullType()])
         if before is None:
             return df, self._nullable(df.schema)
-        known = {f.name: f.dataType for f in before.schema.fields}
-        columns, added = [], []
+        fields = {f.name: f for f in before.schema.fields}
+        columns = []
         for f in df.schema.fields:
             column = F.col(f"`{f.name}`")
-            if f.name not in known:
-                added.append(T.StructField(f.name, f.dataType, True))
-            elif f.dataType != known[f.name]:
-                if not _widens(f.dataType, known[f.name]):
-                    raise TypeError(
-                        f"{f.name}: {f.dataType.simpleString()} does not fit the table's "
-                        f"{known[f.name].simpleString()}"
-                    )
-                column = column.cast(known[f.name]).alias(f.name)
+            if f.name in fields:
+                stored = fields[f.name].dataType
+                merged = _merged(stored, f.dataType, f.name)
+                if merged == stored != f.dataType and not isinstance(stored, (T.StructType, T.ArrayType)):
+                    column = column.cast(stored).alias(f.name)
+            else:
+                merged = f.dataType
+            fields[f.name] = T.StructField(f.name, merged, True)
             columns.append(column)
-        return df.select(*columns), T.StructType([*before.schema.fields, *added])
+        rows, wanted = df.select(*columns), T.StructType([fields[n] for n in df.columns])
+        if any(isinstance(f.dataType, T.StructType) and f.dataType != wanted[f.name].dataType for f in rows.schema):
+            # union by name orders and fills the fields of structs as well
+            rows = self.spark.createDataFrame([], wanted).unionByName(rows, allowMissingColumns=True)
+        return rows, T.StructType(list(fields.values()))
 
     def last_transaction(self, writer: str) -> int | None:
         """The last batch of a writer the table holds."""
@@ -243,16 +250,19 @@ class ParquetTable:
         before = self.snapshot()
         if self._applied(before, transaction):
             return before
+        aligned, schema = self._evolved(before, source)
         if before is None:
-            rows = merge.dedupe_last(source, keys, order_by).drop(*drop)
+            rows = merge.dedupe_last(aligned, keys, order_by).drop(*drop)
             return self._commit(rows, None, {}, self._nullable(rows.schema), transaction)
-        aligned, schema = self._evolved(before, source)
         if drop:
-            schema = T.StructType([f for f in schema.fields if f.name not in drop])
+            kept = set(before.schema.fieldNames()) | set(source.columns) - set(drop)
+            schema = T.StructType([f for f in schema.fields if f.name in kept])
         touched = self._touched(aligned)
         if not touched:
             return before
-        merged = merge.upsert(self.read(touched), aligned, keys, order_by, drop)
+        stored = T.StructType([schema[f.name] for f in before.schema.fields])
+        dirs = [d for value in touched for d in before.live.get(value, ())]
+        merged = merge.upsert(self._read_dirs(stored, dirs), aligned, keys, order_by, drop)
         return self._commit(merged, before, _without(before.live, touched), schema, transaction)
 
     def delete(self, deleted: DataFrame, keys: Sequence[str] = ("externalId",)) -> Snapshot | None:
@@ -362,18 +372,35 @@ def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def _widens(source: T.DataType, target: T.DataType) -> bool:
+WHOLE = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
+
+
+def _widens(new: T.DataType, stored: T.DataType) -> bool:
     """Lossless casts a write may apply on its own."""
-    whole = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
-    if type(source) in whole:
-        if type(target) in whole:
-            return whole.index(type(source)) <= whole.index(type(target))
-        return isinstance(target, T.DoubleType) and not isinstance(source, T.LongType)
-    if isinstance(source, T.NullType):
-        return True
-    if isinstance(source, T.FloatType):
-        return isinstance(target, T.DoubleType)
-    return source.simpleString() == target.simpleString()
+    if type(new) in WHOLE and type(stored) in WHOLE:
+        return WHOLE.index(type(new)) <= WHOLE.index(type(stored))
+    if isinstance(stored, T.DoubleType):
+        return isinstance(new, (T.FloatType, T.ByteType, T.ShortType, T.IntegerType))
+    return new.simpleString() == stored.simpleString()
+
+
+def _merged(stored: T.DataType, new: T.DataType, name: str) -> T.DataType:
+    """The stored type with struct fields the new one adds; a type that does not fit is an error."""
+    if new == stored:
+        return stored
+    if isinstance(stored, T.StructType) and isinstance(new, T.StructType):
+        fields = {f.name: f.dataType for f in stored.fields}
+        for f in new.fields:
+            known = fields.get(f.name)
+            fields[f.name] = _merged(known, f.dataType, f"{name}.{f.name}") if known else f.dataType
+        return T.StructType([T.StructField(n, t, True) for n, t in fields.items()])
+    if isinstance(stored, T.ArrayType) and isinstance(new, T.ArrayType):
+        return T.ArrayType(_merged(stored.elementType, new.elementType, f"{name}[]"), True)
+    if not _widens(new, stored):
+        raise TypeError(
+            f"{name}: {new.simpleString()} does not fit the table's {stored.simpleString()}"
+        )
+    return stored
 
 
 def open_table(spark: SparkSession, path: str, layout: Layout | None = None, fmt: str = "parquet"):
