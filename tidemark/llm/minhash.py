@@ -226,7 +226,7 @@ WITH RECURSIVE w AS (
 ), sh AS (
   SELECT DISTINCT doc_id, s FROM (
     SELECT doc_id, unnest(CASE WHEN len(w) < 2 THEN [array_to_string(w, ' ')]
-      ELSE list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]) END) AS s
+      ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s
     FROM w WHERE len(w) > 0)
 ), n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
 shared AS (
