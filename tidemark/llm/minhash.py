@@ -1,7 +1,7 @@
 """Near-duplicate documents by b-bit MinHash.
 
-Every document's word shingles give ``BANDS * ROWS`` minima.  Bands of minima propose candidates; of
-each minimum only the lowest ``BITS`` bits are kept, packed into 64-bit words, and two signatures are
+Every document's word shingles give a number of minima.  Bands of minima propose candidates; of
+each minimum only the two lowest bits are kept, packed into 64-bit words, and two signatures are
 compared by counting the bits in which they differ, corrected for the matches that chance makes.
 Candidates whose estimate is not clearly too low are confirmed on the full sets of shingles.
 """
@@ -9,6 +9,8 @@ Candidates whose estimate is not clearly too low are confirmed on the full sets
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +20,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import components, stored
 from tidemark.llm.text import band_keys, distinct, lists, minima, mix, shingles, slices, words
 
-#: A pair at a similarity of 0.8 shares none of 40 bands of 5 minima in 1 of 8 million cases.
-BANDS, ROWS, BITS = 40, 5, 2
-PACKED = math.ceil(BANDS * ROWS * BITS / 64)
+BITS = 2
 #: Candidates go on unless their estimate is five standard deviations below the threshold.
 DEVIATIONS = 5
 #: Members of a bucket that are compared with each other in one task.
@@ -28,18 +28,44 @@ BLOCK = 1024
 SEED = 8
 _LOW = 0x5555555555555555
 
+
+class Scheme(NamedTuple):
+    """``bands`` of ``rows`` minima propose candidates; ``total`` minima are kept as two bits each."""
+
+    bands: int
+    rows: int
+    total: int
+
+    @property
+    def words(self) -> int:
+        return math.ceil(self.total * BITS / 64)
+
+    def missed(self, similarity: float) -> float:
+        """The chance that a pair of this similarity shares no band."""
+        return (1 - similarity**self.rows) ** self.bands
+
+    def lowest(self, percent: int) -> int:
+        """The fewest equal two-bit values, of all, at which a pair is still looked at."""
+        chance = 0.5**BITS
+        match = percent / 100 * (1 - chance) + chance
+        return math.floor(self.total * match - DEVIATIONS * math.sqrt(self.total * match * (1 - match)))
+
+
+#: Misses 1 pair of 8 million at a similarity of 0.8.
+DOCUMENTS = Scheme(40, 5, 200)
+
 _SKETCH = "doc_id long, n_shingles long, s1 long, s2 long, bits array<long>, keys array<long>"
 
 
-def packed(lows: np.ndarray) -> np.ndarray:
+def packed(lows: np.ndarray, scheme: Scheme) -> np.ndarray:
     """The lowest two bits of every minimum (after mixing), 32 to a signed 64-bit word."""
-    low = (mix(lows) & np.uint64(3)).astype(np.uint64)
-    low = np.pad(low, ((0, 0), (0, PACKED * 32 - low.shape[1])))
+    low = mix(lows) & np.uint64(3)
+    low = np.pad(low, ((0, 0), (0, scheme.words * 32 - low.shape[1])))
     shift = np.arange(0, 64, BITS, dtype=np.uint64)
-    return np.bitwise_or.reduce(low.reshape(len(low), PACKED, 32) << shift, axis=2).view(np.int64)
+    return np.bitwise_or.reduce(low.reshape(len(low), scheme.words, 32) << shift, axis=2).view(np.int64)
 
 
-def _sketcher(size: int):
+def _sketcher(size: int, scheme: Scheme):
     def sketch(batches):
         for batch in batches:
             ids = batch.column(0)
@@ -50,11 +76,11 @@ def _sketcher(size: int):
                 full = np.flatnonzero(count)
                 starts = (np.cumsum(count) - count)[full]
                 sums = np.zeros((2, n), np.int64)
-                lows = np.empty((0, BANDS * ROWS), np.uint64)
+                lows = np.empty((0, scheme.total), np.uint64)
                 if len(full):
                     sums[0, full] = np.add.reduceat(mix(hashes), starts).view(np.int64)
                     sums[1, full] = np.add.reduceat(mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5)), starts).view(np.int64)
-                    lows = minima(hashes, starts, BANDS * ROWS, SEED)
+                    lows = minima(hashes, starts, scheme.total, SEED)
                 has = (count > 0).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -62,8 +88,8 @@ def _sketcher(size: int):
                         pa.array(count.astype(np.int64)),
                         pa.array(sums[0]),
                         pa.array(sums[1]),
-                        lists(packed(lows).ravel(), has * PACKED, pa.int64()),
-                        lists(band_keys(lows, BANDS, ROWS).ravel(), has * BANDS, pa.int64()),
+                        lists(packed(lows, scheme).ravel(), has * scheme.words, pa.int64()),
+                        lists(band_keys(lows, scheme.bands, scheme.rows).ravel(), has * scheme.bands, pa.int64()),
                     ],
                     names=["doc_id", "n_shingles", "s1", "s2", "bits", "keys"],
                 )
@@ -71,25 +97,18 @@ def _sketcher(size: int):
     return sketch
 
 
-def _lowest_estimate(percent: int) -> int:
-    """The fewest equal two-bit values, of all, at which a pair is still looked at."""
-    total, chance = BANDS * ROWS, 0.5**BITS
-    match = percent / 100 * (1 - chance) + chance
-    return math.floor(total * match - DEVIATIONS * math.sqrt(total * match * (1 - match)))
-
-
-def estimated(left: str, right: str):
-    """Equal two-bit values of two packed signatures; the padding's equal zeros are taken off."""
+def equal_values(left: str, right: str, scheme: Scheme):
+    """Equal two-bit values of two packed signatures, by counting the bits that differ."""
     differ = F.zip_with(left, right, lambda x, y: x.bitwiseXOR(y))
     counts = F.transform(differ, lambda d: F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(_LOW))))
     unequal = F.aggregate(counts, F.lit(0), lambda total, c: total + c)
-    return F.lit(BANDS * ROWS) - unequal
+    return F.lit(scheme.total) - unequal
 
 
-def similarity(left: str, right: str):
+def similarity(left: str, right: str, scheme: Scheme = DOCUMENTS):
     """The collision-corrected estimate of the Jaccard similarity of two packed signatures."""
     chance = 0.5**BITS
-    return (estimated(left, right) / F.lit(float(BANDS * ROWS)) - chance) / (1 - chance)
+    return (equal_values(left, right, scheme) / F.lit(float(scheme.total)) - chance) / (1 - chance)
 
 
 def _confirmer(size: int, percent: int):
@@ -113,21 +132,23 @@ def _confirmer(size: int, percent: int):
     return confirm
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar; texts meet in two joins that split hot keys."""
-    text = docs.select("doc_id", "text").where("text is not null")
+def confirmed(pairs: DataFrame, text: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose ``text`` (doc_id, text) has similar full shingle sets.
+
+    The texts meet in two joins from one shuffle of them, in which Spark can split a hot key.
+    """
     with_b = pairs.join(text, F.col("b") == F.col("doc_id")).select("a", "b", F.col("text").alias("text_b"))
     both = with_b.join(text, F.col("a") == F.col("doc_id")).select("a", "b", "text", "text_b")
     return both.mapInArrow(_confirmer(size, percent), "a long, b long")
 
 
-def _within_buckets(lowest: int):
+def _within_buckets(scheme: Scheme, lowest: int):
     """Pairs of one bucket's blocks from different components, by bit counts of their signatures."""
 
     def compare(table):
         side = np.array(table.column("side"))
         node, group = np.array(table.column("doc_id")), np.array(table.column("component"))
-        bits = np.array(table.column("bits").combine_chunks().flatten()).reshape(-1, PACKED).view(np.uint64)
+        bits = np.array(table.column("bits").combine_chunks().flatten()).reshape(-1, scheme.words).view(np.uint64)
         pivot = np.array(table.column("pivot"))
         left, right = np.flatnonzero(side < 2), np.flatnonzero(side > 0)
         found = []
@@ -135,7 +156,7 @@ def _within_buckets(lowest: int):
             some = left[at:at + 64]
             x = bits[some][:, None, :] ^ bits[right][None, :, :]
             unequal = np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(_LOW)).sum(axis=2, dtype=np.int32)
-            i, j = np.nonzero((BANDS * ROWS - unequal >= lowest) & (group[some][:, None] != group[right][None, :]))
+            i, j = np.nonzero((scheme.total - unequal >= lowest) & (group[some][:, None] != group[right][None, :]))
             i, j = some[i], right[j]
             new = (node[i] != pivot[i]) & (node[j] != pivot[j])  # pairs with the pivot were looked at before
             found.append(np.stack([np.minimum(node[i], node[j])[new], np.maximum(node[i], node[j])[new]], 1))
@@ -145,14 +166,14 @@ def _within_buckets(lowest: int):
     return compare
 
 
-def links(docs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
-    """Confirmed links (u, v) that connect every two similar representatives.
+def links(reps: DataFrame, scheme: Scheme, percent: int, confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Links (u, v) that connect every two similar ones of ``reps`` (doc_id, n_shingles, bits, keys).
 
     A bucket's documents are first compared with its smallest one.  Links found so join documents to
     components; only where a bucket still holds several are its other members compared with each
-    other, in blocks, and only across components.
+    other, in blocks, and only across components.  ``confirm`` keeps the pairs (a, b) to link.
     """
-    lowest = _lowest_estimate(percent)
+    lowest = scheme.lowest(percent)
     banded = reps.select("doc_id", F.explode("keys").alias("key"))
     pivots = banded.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.count(F.lit(1)).alias("members"))
     pivots = stored(pivots.where("members > 1"), "pivots")
@@ -161,8 +182,8 @@ def links(docs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFram
     pairs = members.where("pivot <> doc_id").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
     pairs = pairs.join(signed.toDF("b", "n_b", "bits_b"), "b").join(signed.toDF("a", "n_a", "bits_a"), "a")
     fits = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    pairs = stored(pairs.where(fits & (estimated("bits_a", "bits_b") >= lowest)).select("a", "b"), "candidates")
-    found = stored(_confirmed(pairs, docs, size, percent).toDF("u", "v").distinct(), "links")
+    pairs = stored(pairs.where(fits & (equal_values("bits_a", "bits_b", scheme) >= lowest)).select("a", "b"), "candidates")
+    found = stored(confirm(pairs).toDF("u", "v").distinct(), "links")
 
     group = components(found)
     named = members.where("members > 2").join(group.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
@@ -180,9 +201,11 @@ def links(docs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFram
         F.expr("case when block = other then 1 when block < other then 0 else 2 end").alias("side"),
         "doc_id", "component", "pivot", "bits",
     )
-    more = left_over.groupBy("key", "x", "y").applyInArrow(_within_buckets(lowest), "a long, b long").distinct()
-    more = stored(_confirmed(stored(more, "more"), docs, size, percent).toDF("u", "v").distinct(), "links")
-    return found.union(more)
+    more = left_over.groupBy("key", "x", "y").applyInArrow(_within_buckets(scheme, lowest), "a long, b long").distinct()
+    more = stored(more, "more")
+    if more.isEmpty():  # spares a shuffle of the texts
+        return found
+    return found.union(stored(confirm(more).toDF("u", "v").distinct(), "links"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -198,14 +221,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     * Other columns are ignored; an empty table gives no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketch = stored(docs.mapInArrow(_sketcher(size), _SKETCH), "sketch")
+    sketch = stored(docs.mapInArrow(_sketcher(size, DOCUMENTS), _SKETCH), "sketch")
     known = sketch.where("doc_id is not null and n_shingles > 0")
     alike = ["n_shingles", "s1", "s2"]
     classes = known.groupBy(*alike).agg(
         F.min(F.struct("doc_id", "bits", "keys")).alias("rep"), F.count(F.lit(1)).alias("copies")
     ).select(*alike, "rep.*", "copies")
     classes = stored(classes, "classes")
-    found = links(docs, classes, size, percent)
+    text = docs.where("text is not null")
+    found = links(classes, DOCUMENTS, percent, lambda pairs: confirmed(pairs, text, size, percent))
     # rows of one doc_id with different texts, and copies, connect through their classes
     same = known.join(classes.where("copies > 1").select(*alike, F.col("doc_id").alias("rep")), alike)
     same = same.select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import minhash
+from tidemark.llm import covertree, minhash, mixing, paragraphs, pii, quality, suffixes, toxicity
 from tidemark.llm.shared import prepared
 
 
@@ -10,14 +10,53 @@ def _table(spark, sf_dir, name):
     return prepared(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
+
+
+def op3_suffix_array_dedup(spark, sf_dir):
+    return suffixes.digest(_table(spark, sf_dir, "documents"))
+
+
+def op4_embedding_near_dedup(spark, sf_dir):
+    return covertree.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op6_pii(spark, sf_dir):
+    return pii.find(_table(spark, sf_dir, "documents"))
+
+
+def op7_substring_dedup(spark, sf_dir):
+    return paragraphs.digest(_table(spark, sf_dir, "documents"))
+
+
 def op8_minhash_near_dedup(spark, sf_dir):
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), size=2, percent=80)
 
 
+def op9_quality_classifier(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return quality.scores(docs, quality.learn(docs, _table(spark, sf_dir, "labels")))
+
+
+def op10_mixing_sources(spark, sf_dir):
+    return mixing.taken(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
+    "op6_pii": op6_pii,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_quality_classifier": op9_quality_classifier,
+    "op10_mixing_sources": op10_mixing_sources,
 }
 
 ORACLE = {
+    "op3_suffix_array_dedup": suffixes.ORACLE,
+    "op4_embedding_near_dedup": covertree.ORACLE,
     "op8_minhash_near_dedup": minhash.ORACLE,
 }
