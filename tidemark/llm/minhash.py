@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import components, stored
+from tidemark.llm.shared import components, smallest, stored
 from tidemark.llm.text import band_keys, distinct, lists, minima, mix, shingles, slices, words
 
 BITS = 2
@@ -142,36 +142,97 @@ def confirmed(pairs: DataFrame, text: DataFrame, size: int, percent: int) -> Dat
     return both.mapInArrow(_confirmer(size, percent), "a long, b long")
 
 
-def _within_buckets(scheme: Scheme, lowest: int):
-    """Pairs of one bucket's blocks from different components, by bit counts of their signatures."""
+def _alike(scheme: Scheme, lowest: int):
+    """(u, v): components of a bucket's blocks that hold a pair whose estimate is high enough, chained."""
 
     def compare(table):
-        side = np.array(table.column("side"))
-        node, group = np.array(table.column("doc_id")), np.array(table.column("component"))
+        side, group = np.array(table.column("side")), np.array(table.column("component"))
         bits = np.array(table.column("bits").combine_chunks().flatten()).reshape(-1, scheme.words).view(np.uint64)
-        pivot = np.array(table.column("pivot"))
         left, right = np.flatnonzero(side < 2), np.flatnonzero(side > 0)
-        found = []
+        names, group = np.unique(group, return_inverse=True)
+        found = [np.zeros((0, 2), np.int64)]
         for at in range(0, len(left), 64):
             some = left[at:at + 64]
             x = bits[some][:, None, :] ^ bits[right][None, :, :]
             unequal = np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(_LOW)).sum(axis=2, dtype=np.int32)
             i, j = np.nonzero((scheme.total - unequal >= lowest) & (group[some][:, None] != group[right][None, :]))
-            i, j = some[i], right[j]
-            new = (node[i] != pivot[i]) & (node[j] != pivot[j])  # pairs with the pivot were looked at before
-            found.append(np.stack([np.minimum(node[i], node[j])[new], np.maximum(node[i], node[j])[new]], 1))
-        found = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-        return pa.table({"a": found[:, 0], "b": found[:, 1]})
+            found.append(np.unique(np.stack([group[some[i]], group[right[j]]], 1), axis=0))
+        label = smallest(np.concatenate(found), len(names))
+        chained = np.flatnonzero(label != np.arange(len(names)))
+        return pa.table({"u": names[chained], "v": names[label[chained]]})
 
     return compare
 
 
-def links(reps: DataFrame, scheme: Scheme, percent: int, confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def _set_maker(size: int):
+    """(doc_id, text) to (doc_id, the hashes of its shingles)."""
+
+    def make(batches):
+        for batch in batches:
+            for first, data, offsets in slices(batch.column(1)):
+                n = len(offsets) - 1
+                rows, hashes = distinct(*shingles(words(data, offsets), n, size))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, n), lists(hashes.view(np.int64), np.bincount(rows, minlength=n), pa.int64())],
+                    names=["doc_id", "shingles"],
+                )
+
+    return make
+
+
+def _across(percent: int):
+    """Links between components of two blocks, by exact counts of shared shingles; enough of them to join what links."""
+
+    def compare(table):
+        side, node = np.array(table.column("side")), np.array(table.column("doc_id"))
+        names, group = np.unique(np.array(table.column("component")), return_inverse=True)
+        column = table.column("shingles").combine_chunks()
+        ends = np.array(column.offsets).astype(np.int64)
+        held = np.array(column.values)
+        size = np.diff(ends)
+        main = np.bincount(group).argmax()  # most are of one component, and need no comparing among themselves
+        left, right = np.flatnonzero(side < 2), np.flatnonzero(side > 0)
+        found = []
+        for ones, others in ((left[group[left] != main], right), (right[group[right] != main], left[group[left] == main])):
+            if not len(ones) or not len(others):
+                continue
+            owner = np.repeat(np.arange(len(others)), size[others])
+            values = np.concatenate([held[ends[k]:ends[k + 1]] for k in others])
+            order = np.argsort(values, kind="stable")
+            values, owner = values[order], owner[order]
+            for k in ones:
+                mine = held[ends[k]:ends[k + 1]]
+                lo, hi = np.searchsorted(values, mine, "left"), np.searchsorted(values, mine, "right")
+                run = np.repeat(lo - np.cumsum(hi - lo) + (hi - lo), hi - lo) + np.arange(int((hi - lo).sum()))
+                both = np.bincount(owner[run], minlength=len(others))
+                hit = (100 * both >= percent * (size[k] + size[others] - both)) & (group[others] != group[k])
+                _, some = np.unique(group[others[hit]], return_index=True)  # one link to each component
+                found += [(node[k], node[j]) for j in others[hit][some]]
+        found = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"u": found[:, 0], "v": found[:, 1]})
+
+    return compare
+
+
+def _in_blocks(rows: DataFrame, by: str, *columns: str) -> DataFrame:
+    """``rows`` dealt to pairs of blocks (by, x, y) of bounded size; ``side`` is 0 or 2 in different blocks, 1 in one."""
+    sizes = rows.groupBy(by).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    rows = rows.join(stored(sizes, "blocks"), by)
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return rows.select(
+        by, F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
+        F.expr("case when block = other then 1 when block < other then 0 else 2 end").alias("side"), *columns,
+    )
+
+
+def links(reps: DataFrame, scheme: Scheme, size: int, percent: int, texts_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Links (u, v) that connect every two similar ones of ``reps`` (doc_id, n_shingles, bits, keys).
 
-    A bucket's documents are first compared with its smallest one.  Links found so join documents to
-    components; only where a bucket still holds several are its other members compared with each
-    other, in blocks, and only across components.  ``confirm`` keeps the pairs (a, b) to link.
+    A bucket's documents are first compared with its smallest one, which joins most of them.  Where a
+    bucket still holds several components, those with a pair of high enough estimate form a cluster, and
+    only in clusters are documents of different components compared, on their full sets and in blocks.
+    ``texts_of`` gives the texts (doc_id, text) of at least the documents (doc_id) asked for.
     """
     lowest = scheme.lowest(percent)
     banded = reps.select("doc_id", F.explode("keys").alias("key"))
@@ -183,29 +244,27 @@ def links(reps: DataFrame, scheme: Scheme, percent: int, confirm: Callable[[Data
     pairs = pairs.join(signed.toDF("b", "n_b", "bits_b"), "b").join(signed.toDF("a", "n_a", "bits_a"), "a")
     fits = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
     pairs = stored(pairs.where(fits & (equal_values("bits_a", "bits_b", scheme) >= lowest)).select("a", "b"), "candidates")
-    found = stored(confirm(pairs).toDF("u", "v").distinct(), "links")
+    asked = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    found = stored(confirmed(pairs, texts_of(asked), size, percent).toDF("u", "v").distinct(), "links")
 
-    group = components(found)
-    named = members.where("members > 2").join(group.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
+    group = components(found).withColumnRenamed("node", "doc_id")
+    named = members.where("members > 2").select("key", "doc_id").join(group, "doc_id", "left")
     named = stored(named.withColumn("component", F.coalesce("component", "doc_id")), "named")
-    open_keys = named.groupBy("key").agg(
-        F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("held"),
-    ).where("least <> most").select("key", F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks"))
-    open_keys = stored(open_keys, "open")
-    left_over = named.join(open_keys, "key").join(signed.select("doc_id", "bits"), "doc_id")
-    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks"))
-    left_over = left_over.withColumn("block", block.cast("int"))
-    # each member meets its own block once and every other block once, on the side its number says
-    left_over = left_over.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
-        F.expr("case when block = other then 1 when block < other then 0 else 2 end").alias("side"),
-        "doc_id", "component", "pivot", "bits",
-    )
-    more = left_over.groupBy("key", "x", "y").applyInArrow(_within_buckets(scheme, lowest), "a long, b long").distinct()
-    more = stored(more, "more")
-    if more.isEmpty():  # spares a shuffle of the texts
+    open_ = named.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    named = named.join(stored(open_.where("least <> most").select("key"), "open"), "key")
+    named = stored(named.join(signed.select("doc_id", "bits"), "doc_id"), "named")
+    alike = _in_blocks(named, "key", "component", "bits").groupBy("key", "x", "y")
+    cluster = components(alike.applyInArrow(_alike(scheme, lowest), "u long, v long"))
+    cluster = cluster.select(F.col("node").alias("component"), F.col("component").alias("cluster"))
+    asked = named.select("doc_id", "component").distinct().join(cluster, "component")
+    asked = stored(asked, "asked")
+    if asked.isEmpty():  # spares a shuffle of the texts
         return found
-    return found.union(stored(confirm(more).toDF("u", "v").distinct(), "links"))
+    sets = texts_of(asked.select("doc_id")).join(asked, "doc_id").select("doc_id", "text")
+    sets = sets.mapInArrow(_set_maker(size), "doc_id long, shingles array<long>")
+    blocks = _in_blocks(stored(asked.join(sets, "doc_id"), "sets"), "cluster", "doc_id", "component", "shingles")
+    more = blocks.groupBy("cluster", "x", "y").applyInArrow(_across(percent), "u long, v long")
+    return found.union(stored(more, "links"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -229,7 +288,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     ).select(*alike, "rep.*", "copies")
     classes = stored(classes, "classes")
     text = docs.where("text is not null")
-    found = links(classes, DOCUMENTS, percent, lambda pairs: confirmed(pairs, text, size, percent))
+    found = links(classes, DOCUMENTS, size, percent, lambda _: text)
     # rows of one doc_id with different texts, and copies, connect through their classes
     same = known.join(classes.where("copies > 1").select(*alike, F.col("doc_id").alias("rep")), alike)
     same = same.select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.minhash import SEED, Scheme, confirmed, links, packed
+from tidemark.llm.minhash import SEED, Scheme, links, packed
 from tidemark.llm.shared import components, stored
 from tidemark.llm.text import LOWER, band_keys, distinct, lists, minima, mix, shingles, slices, words
 
@@ -144,15 +144,14 @@ def removals(docs: DataFrame, size: int = 5, percent: int = 80, least: int = 5,
         "classes",
     )
 
-    def confirm(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        wanted = classes.join(ids, "doc_id").groupBy("first.doc").agg(
+    def texts_of(asked: DataFrame) -> DataFrame:
+        wanted = classes.join(asked, "doc_id").groupBy("first.doc").agg(
             F.collect_list(F.struct(F.col("doc_id").alias("pid"), F.col("first.lo").alias("lo"), F.col("first.hi").alias("hi"))).alias("wanted")
         ).withColumnRenamed("doc", "doc_id")
-        texts = docs.join(wanted, "doc_id", "left").select("doc_id", "text", "wanted").mapInArrow(_cut_out, "doc_id long, text string")
-        return confirmed(pairs, stored(texts, "cut_out"), size, percent)
+        texts = docs.join(wanted, "doc_id", "left").select("doc_id", "text", "wanted")
+        return stored(texts.mapInArrow(_cut_out, "doc_id long, text string"), "cut_out")
 
-    group = components(links(classes, scheme, percent, confirm))
+    group = components(links(classes, scheme, size, percent, texts_of))
     # one row for each class that holds more than its first paragraph, or is linked to another class
     named = classes.join(group.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     named = named.where("copies > 1 or component is not null").select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +29,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def smallest(edges: np.ndarray, n: int) -> np.ndarray:
+    """The smallest vertex connected to each of ``n``."""
+    label = np.arange(n)
+    while len(edges):
+        low = np.minimum(label[edges[:, 0]], label[edges[:, 1]])
+        before = label.copy()
+        np.minimum.at(label, label[edges[:, 0]], low)
+        np.minimum.at(label, label[edges[:, 1]], low)
+        np.minimum.at(label, edges[:, 0], low)
+        np.minimum.at(label, edges[:, 1], low)
+        label = label[label]
+        if (label == before).all():
+            break
+    return label
+
+
 def _print_of(edges: DataFrame):
     row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return tuple(row)
