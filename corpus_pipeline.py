@@ -1,25 +1,71 @@
-"""Documents to training samples, stage by stage; each stage's result is written and read by the next."""
+"""Documents to training samples, stage by stage; each stage's result is written and read by the next.
+
+Every stage takes (spark, docs, sf_dir) and, but for the last, returns the columns of ``docs``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import minhash
+from tidemark.llm import minhash, mixing, pieces, pii, toxicity
 from tidemark.llm.shared import prepared, stored
 
 
-def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity scores below 0.5, by a lexicon learned from the labels that are not held out.
+
+    Null and empty texts stay; repeated rows share a fate; without labels or documents nothing is rejected.
+    """
+    labels = prepared(spark).read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.without_toxic(docs, toxicity.learn(docs, labels))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near copies (five words, 0.8) stays, the one with the smallest doc_id.
 
-    Rows that repeat a doc_id count as one; rows without doc_id all stay.
+    Rows that repeat a doc_id count as one document; rows without doc_id and those without words all stay.
     """
     verdicts = minhash.near_duplicates(docs, size=5, percent=80).where("kept and doc_id is not null")
-    kept = docs.join(verdicts.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    verdicts = stored(verdicts.select("doc_id").distinct(), "kept")
+    kept = docs.join(verdicts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.select(docs.columns).union(docs.where(F.col("doc_id").isNull()))
 
 
-STAGES = [("near_copies", near_copies)]
+def clean_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, with personal data and the terms that reveal it replaced; ``n_chars`` follows the text."""
+    out = pii.sanitised(docs)
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(length))
+    return out
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them: weights 5, 2, 1, 150% of all words, twice at most.
+
+    Documents without words are never taken.
+    """
+    return mixing.mix(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, ids, round_trip, samples): the pieces of every document and two sampled segmentations.
+
+    A null or empty text has no ids.  Rows that repeat a document repeat its pieces.
+    """
+    found = pieces.encoded(docs)
+    return found.select("doc_id", "ids", F.col("exact").alias("round_trip"), "samples")
+
+
+STAGES = [
+    ("reject_toxic", reject_toxic),
+    ("drop_near_copies", drop_near_copies),
+    ("clean_personal_data", clean_personal_data),
+    ("mix_sources", mix_sources),
+    ("encode", encode),
+]
+#: SQL can express neither the learned lexicon nor the sampled segmentations.
 ORACLE_SQL = None
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import components, stored
+from tidemark.llm.shared import components, smallest, stored
 
 #: Vectors in a block, about; the most centres that blocks are dealt by.
 BLOCK = 4096
@@ -96,7 +96,9 @@ class Block:
     """Vectors of a block in the order of its cover tree."""
 
     def __init__(self, ids, copies, vectors, nodes, cosine):
-        self.ids, self.copies, self.vectors, self.nodes = ids, copies, vectors, nodes
+        # times a power of two, which changes no cosine but keeps products in the range of doubles
+        self.vectors = vectors = np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1))[1][:, None])
+        self.ids, self.copies, self.nodes = ids, copies, nodes
         self.theta = math.sqrt(max(0.0, 2 - 2 * cosine))
         self.units = unit(vectors)
         self.singles = self.units[nodes["centre"]].astype(np.float32)
@@ -159,8 +161,6 @@ class Links:
         """Pairs of vectors: those that reach the cosine, in double precision."""
         a, b = self.a, self.b
         cosine = np.einsum("ij,ij->i", a.vectors[i], b.vectors[j]) / (a.norms[i] * b.norms[j])
-        if not np.isfinite(cosine).all():  # products beyond the range of doubles
-            cosine = np.where(np.isfinite(cosine), cosine, np.einsum("ij,ij->i", a.units[i], b.units[j]))
         hit = cosine >= self.cosine
         i, j = i[hit], j[hit]
         np.add.at(self.counts[0], i, b.copies[j])
@@ -202,22 +202,6 @@ def traverse(a: Block, b: Block, cosine: float, same: bool) -> Links:
     return found
 
 
-def _smallest(edges: np.ndarray, n: int) -> np.ndarray:
-    """The smallest vertex connected to each of ``n``."""
-    label = np.arange(n)
-    while len(edges):
-        low = np.minimum(label[edges[:, 0]], label[edges[:, 1]])
-        before = label.copy()
-        np.minimum.at(label, label[edges[:, 0]], low)
-        np.minimum.at(label, label[edges[:, 1]], low)
-        np.minimum.at(label, edges[:, 0], low)
-        np.minimum.at(label, edges[:, 1], low)
-        label = label[label]
-        if (label == before).all():
-            break
-    return label
-
-
 def _packer(dimension: int):
     """One block's rows to one row: ids, copies, vectors in the order of their cover tree, and the tree."""
 
@@ -263,7 +247,7 @@ def _linker(dimension: int, cosine: float):
         by_id = np.argsort(ids)
         rank = np.empty(len(ids), np.int64)
         rank[by_id] = np.arange(len(ids))
-        label = ids[by_id][_smallest(rank[edges], len(ids))][rank]
+        label = ids[by_id][smallest(rank[edges], len(ids))][rank]
         has = counts > 0
         return pa.table({"vec_id": ids[has], "links": counts[has], "label": label[has]})
 

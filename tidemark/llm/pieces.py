@@ -33,7 +33,7 @@ KEPT = 2_000_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 SAMPLE = "rank: int, n_tokens: long, log_prob: double, value: double, inclusion: double"
-ENCODED = f"doc_id long, ids array<int>, decoded string, samples array<struct<{SAMPLE}, ids: array<int>>>"
+ENCODED = f"doc_id long, ids array<int>, decoded string, exact boolean, samples array<struct<{SAMPLE}, ids: array<int>>>"
 DIGEST = f"doc_id long, n_tokens long, ids_sha256 string, round_trip boolean, samples array<struct<{SAMPLE}, ids_sha256: string>>"
 
 
@@ -274,7 +274,7 @@ def sampled(lattices: Lattices, slot, per_row, keys, ways: list, k: int) -> list
     cuts = [np.concatenate([[0], np.cumsum(count)]) for _, count in ways]
     paths = [ways[0][0][cuts[0][a]:cuts[0][b]] for a, b in zip(chunk_at, chunk_end)]
     owners = [np.repeat(np.arange(a, b), ways[0][1][a:b]) for a, b in zip(chunk_at, chunk_end)]
-    draws = lambda j: mix(keys + np.uint64(j) * _STEP)
+    draws = lambda j: mix(keys + np.full(1, j, np.uint64) * _STEP)
     values = -np.log(-np.log(uniform(draws(1))))
     starts, mass, gone = [0] * n, np.zeros(n), [[] for _ in range(n)]
     out, heaps, alive, number = [[] for _ in range(n)], [[] for _ in range(n)], list(range(n)), 0
@@ -396,13 +396,19 @@ def _type(ddl: str) -> pa.DataType:
     return pa.list_(pa.struct([*numbers, last]))
 
 
+def _exact(texts: pa.Array, decoded: list) -> pa.Array:
+    """Whether decoding gives the text again."""
+    return pa.array([(t or "") == d for t, d in zip(texts.to_pylist(), decoded)], pa.bool_())
+
+
 def _whole(encode):
     def emit(batches):
-        for ids, _, decoded, found in encode(batches):
+        for ids, texts, decoded, found in encode(batches):
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array([x.tolist() for x, _ in found], pa.list_(pa.int32())), pa.array(decoded, pa.string()),
+                 _exact(texts, decoded),
                  pa.array([_samples(d, lambda e: {"ids": e.tolist()}) for _, d in found], _type(ENCODED))],
-                names=["doc_id", "ids", "decoded", "samples"],
+                names=["doc_id", "ids", "decoded", "exact", "samples"],
             )
 
     return emit
@@ -415,10 +421,9 @@ def _sha(ids: np.ndarray) -> str:
 def _digested(encode):
     def emit(batches):
         for ids, texts, decoded, found in encode(batches):
-            same = [(t or "") == d for t, d in zip(texts.to_pylist(), decoded)]
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array([len(x) for x, _ in found], pa.int64()), pa.array([_sha(x) for x, _ in found], pa.string()),
-                 pa.array(same, pa.bool_()), pa.array([_samples(d, lambda e: {"ids_sha256": _sha(e)}) for _, d in found], _type(DIGEST))],
+                 _exact(texts, decoded), pa.array([_samples(d, lambda e: {"ids_sha256": _sha(e)}) for _, d in found], _type(DIGEST))],
                 names=["doc_id", "n_tokens", "ids_sha256", "round_trip", "samples"],
             )
 
@@ -437,7 +442,7 @@ def _model(path: str) -> bytes:
 def encoded(docs: DataFrame, model: str = MODEL, k: int = SAMPLES, seed: int = SEED) -> DataFrame:
     """``ENCODED`` for every row of ``docs`` (doc_id, text, ...).
 
-    ``ids`` are the model's, ``decoded`` is their text again, and ``samples`` are up to ``k`` different
+    ``ids`` are the model's, ``decoded`` is their text again (``exact``: the same), and ``samples`` are up to ``k`` different
     segmentations drawn without replacement: their log probability, perturbed value and probability of
     inclusion (given the threshold), the largest value first.
 

@@ -104,28 +104,38 @@ def _listed(spans: str, names: list[str]) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", kinds[s["kind"]], s["start"], s["end"])), ",")
 
 
+def _numbered(places: str, kind: int) -> Column:
+    return F.transform(places, lambda s: F.struct(s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end")))
+
+
 def base_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, email, ip, card, phone, base): what the patterns find; null texts read as empty."""
+    """(doc_id, text, row, email, ip, card, phone, base): what the patterns find; null texts read as empty.
+
+    ``row`` holds the row's other columns, whatever their names, and whether there is a text.
+    """
+    rest = [F.col(f"`{c}`").alias(f"c{n}") for n, c in enumerate(docs.columns) if c != "text"]
     docs = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        F.struct(*rest, F.col("text").isNull().alias("missing")).alias("row"),
     )
-    found = docs.select("doc_id", "text", *(c.alias(k) for c, k in zip(_found(F.col("text")), KINDS)))
-    each = [
-        F.transform(k, lambda s, n=n: F.struct(s["start"].alias("start"), F.lit(n).alias("kind"), s["end"].alias("end")))
-        for n, k in enumerate(KINDS)
-    ]
+    found = docs.select("doc_id", "text", "row", *(c.alias(k) for c, k in zip(_found(F.col("text")), KINDS)))
+    each = [_numbered(k, n) for n, k in enumerate(KINDS)]
     return found.withColumn("base", F.array_sort(F.concat(*each)).cast(_SPAN))
 
 
+def _named(kind: str) -> Column:
+    """Finds of a kind as (entity, start, end); numbers are known by their digits."""
+
+    def name(found):
+        same = _digits(found) if kind in ("card", "phone") else F.lower(found)
+        return F.concat_ws(":", F.lit(kind), same)
+
+    return F.transform(kind, lambda s: F.struct(name(s["found"]).alias("entity"), s["start"].alias("start"), s["end"].alias("end")))
+
+
 def _entities(found: DataFrame) -> DataFrame:
     """(doc_id, entity, left, right): every find as a protected entity, with the text around it."""
-    each = [
-        F.transform(k, lambda s, k=k: F.struct(
-            F.concat_ws(":", F.lit(k), _digits(s["found"]) if k in ("card", "phone") else F.lower(s["found"])).alias("entity"),
-            s["start"].alias("start"), s["end"].alias("end"),
-        ))
-        for k in KINDS
-    ]
+    each = [_named(k) for k in KINDS]
     rows = found.where(F.size("base") > 0).select("doc_id", "text", F.explode(F.concat(*each)).alias("e"))
     start = F.greatest(F.col("e.start") - REACH, F.lit(0))
     rows = rows.select(
@@ -174,8 +184,8 @@ def marked(docs: DataFrame) -> DataFrame:
     rows = found.join(stored(terms, "marks"), "doc_id", "left")
     pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join("terms", "|"), F.lit(r")(?![\p{L}\p{N}])"))
     own = F.when(F.col("terms").isNotNull(), _places(F.col("text"), pattern))
-    own = F.transform(own, lambda s: F.struct(s["start"].alias("start"), F.lit(len(KINDS)).alias("kind"), s["end"].alias("end")))
     rows = rows.withColumn("own", own)
+    rows = rows.withColumn("own", _numbered("own", len(KINDS)))
     apart = F.filter("own", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     return rows.withColumn("spans", F.when(F.col("own").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", apart)).cast(_SPAN)))
 
@@ -188,14 +198,14 @@ def find(docs: DataFrame) -> DataFrame:
     Other columns are ignored; an empty table gives no rows.
     """
     names = [*KINDS, "term"]
-    return marked(docs).select(
+    return marked(docs.select("doc_id", "text")).select(
         "doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS),
         F.sha2(_listed("base", names), 256).alias("base_sha256"), _listed("spans", names).alias("spans"),
     )
 
 
 def sanitised(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, clean): each row's text, and with every span replaced.
+    """The rows of ``docs`` (doc_id, text, ...), all columns, with every span of the text replaced.
 
     What the patterns find becomes its kind in brackets, a disclosing term ``[TERM]``, or nothing where
     it reveals the entity almost surely.  Of overlapping spans the first is replaced, and the rest of
@@ -216,4 +226,7 @@ def sanitised(docs: DataFrame) -> DataFrame:
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     rest = lambda s: F.concat(s["out"], F.substring("text", s["at"] + 1, F.length("text")))
     clean = F.when(F.size("spans") == 0, F.col("text")).otherwise(F.aggregate("spans", start, add, rest))
-    return marked(docs).select("doc_id", "text", clean.alias("clean"))
+    clean = F.when(F.col("row.missing"), F.lit(None)).otherwise(clean)
+    return marked(docs).select(*(
+        clean.alias(c) if c == "text" else F.col(f"row.c{n}").alias(c) for n, c in enumerate(docs.columns)
+    ))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import covertree, minhash, mixing, paragraphs, pii, quality, suffixes, toxicity
+from tidemark.llm import covertree, minhash, mixing, paragraphs, pieces, pii, quality, search, suffixes, toxicity
 from tidemark.llm.shared import prepared
 
 
@@ -15,6 +15,12 @@ def op1_toxicity(spark, sf_dir):
     return toxicity.scores(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
 
 
+def op2_exact_top_k_search(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    asked = docs.where("doc_id % 20 = 0").withColumnRenamed("doc_id", "query_id")
+    return search.search(docs, asked)
+
+
 def op3_suffix_array_dedup(spark, sf_dir):
     return suffixes.digest(_table(spark, sf_dir, "documents"))
 
@@ -23,6 +29,10 @@ def op4_embedding_near_dedup(spark, sf_dir):
     return covertree.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op5_sentencepiece(spark, sf_dir):
+    return pieces.digest(_table(spark, sf_dir, "documents"))
+
+
 def op6_pii(spark, sf_dir):
     return pii.find(_table(spark, sf_dir, "documents"))
 
@@ -46,8 +56,10 @@ def op10_mixing_sources(spark, sf_dir):
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_exact_top_k_search": op2_exact_top_k_search,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_pii": op6_pii,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,

@@ -335,15 +335,15 @@ def digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 ORACLE = """
 WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-at AS (SELECT doc_id, unnest(range(0, len(h) // 2)) AS p FROM b),
-w AS (SELECT at.doc_id, p, substr(h, 2 * p + 1, 200) AS s FROM at JOIN b USING (doc_id) WHERE 2 * p + 200 <= len(h)),
+spot AS (SELECT doc_id, unnest(range(0, len(h) // 2)) AS p FROM b),
+w AS (SELECT spot.doc_id, p, substr(h, 2 * p + 1, 200) AS s FROM spot JOIN b USING (doc_id) WHERE 2 * p + 200 <= len(h)),
 dup AS (
   SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS k FROM w)
   WHERE k > 1
 ), covered AS (
-  SELECT at.doc_id, at.p, coalesce(max(dup.p) OVER (
-    PARTITION BY at.doc_id ORDER BY at.p ROWS BETWEEN 99 PRECEDING AND CURRENT ROW), -1) >= 0 AS gone
-  FROM at LEFT JOIN dup ON dup.doc_id = at.doc_id AND dup.p = at.p
+  SELECT spot.doc_id, spot.p, coalesce(max(dup.p) OVER (
+    PARTITION BY spot.doc_id ORDER BY spot.p ROWS BETWEEN 99 PRECEDING AND CURRENT ROW), -1) >= 0 AS gone
+  FROM spot LEFT JOIN dup ON dup.doc_id = spot.doc_id AND dup.p = spot.p
 ), edges AS (
   SELECT doc_id, p, gone, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), false) AS new FROM covered
 ), sums AS (
