@@ -325,16 +325,18 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     dimension = sizes["d"]
     usable = sound & (F.size("vector") == dimension)
     classes = rows.where(usable).groupBy("vector").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    classes = stored(classes.select(F.col("rep").alias("vec_id"), "copies", "vector"), "classes")
-    links = stored(_links(classes, dimension, cosine), "links")
-    counts = links.groupBy("vec_id").agg(F.sum("links").alias("links"))
-    members = rows.where(usable).join(classes.toDF("rep", "copies", "vector"), "vector").select("vec_id", "rep", "copies")
+    # numbered once, as a vec_id may have several vectors
+    classes = stored(classes.select(F.monotonically_increasing_id().alias("number"), "rep", "copies", "vector"), "classes")
+    links = stored(_links(classes.select(F.col("number").alias("vec_id"), "copies", "vector"), dimension, cosine), "links")
+    counts = stored(links.groupBy("vec_id").agg(F.sum("links").alias("links")), "counts").withColumnRenamed("vec_id", "number")
+    members = rows.where(usable).join(classes, "vector").select("vec_id", "number", "rep", "copies")
     members = stored(members, "members")
+    names = classes.select("number", "rep")
+    joined = links.select("vec_id", "label").distinct().join(names.toDF("vec_id", "u"), "vec_id").join(names.toDF("label", "v"), "label")
     group = components(
-        links.select(F.col("vec_id").alias("u"), F.col("label").alias("v"))
-        .union(members.select(F.col("vec_id").alias("u"), F.col("rep").alias("v")))
+        joined.select("u", "v").union(members.select(F.col("vec_id").alias("u"), F.col("rep").alias("v")))
     ).withColumnRenamed("node", "vec_id")
-    linked = members.join(stored(counts, "counts").withColumnRenamed("vec_id", "rep"), "rep", "left").select(
+    linked = members.join(counts, "number", "left").select(
         "vec_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
     )
     out = linked.unionAll(rows.where(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links")))
