@@ -60,6 +60,7 @@ class Vocabulary:
             elif not (self.model.is_control(k) or self.model.is_unknown(k) or self.model.is_unused(k)):
                 pieces[self.model.id_to_piece(k).replace("▁", " ").encode()] = k
                 scores.append(self.model.get_score(k))
+        self.space = [pieces[b" "]] if b" " in pieces else [int(self.byte[0x20])]
         ids = np.array(list(pieces.values()), np.int32)
         scores = np.array(scores)
         # merges are scored by their rank, which frequencies fall with as by Zipf's law
@@ -132,7 +133,9 @@ class Lattices:
     def _add(self, data: np.ndarray, offsets: np.ndarray):
         vocabulary, n = self.vocabulary, len(offsets) - 1
         text = data.tobytes()
-        ids = vocabulary.model.encode([text[a + 1:b].decode() for a, b in zip(offsets[:-1], offsets[1:])])  # it adds the first space
+        # the model puts a space before every text but the empty one
+        ids = vocabulary.model.encode([text[a + 1:b].decode() for a, b in zip(offsets[:-1], offsets[1:])])
+        ids = [x or vocabulary.space for x in ids]
         self.id_at = np.concatenate([self.id_at, self.id_at[-1] + np.cumsum([len(x) for x in ids])])
         self.ids = np.concatenate([self.ids, np.array([y for x in ids for y in x], np.int32)])
 
@@ -254,7 +257,7 @@ class Regions:
         lo = int(self.ends[k - 1]) if k else 0
         free = self.free[lo:self.ends[k]]
         some = np.argpartition(-free, most)[:most] if len(free) > most else np.arange(len(free))
-        return lo + some[self.rest[lo + some] > 1e-12]
+        return lo + some[self.rest[lo + some] > 1e-15]
 
 
 def bounded(free: float, bound: float) -> float:
@@ -372,7 +375,7 @@ def _encoder(model: bytes, k: int, seed: int):
                     own = mix(keys[first:first + n] ^ np.uint64(0xD1B54A32D192ED03 + draw))
                     ways.append(lattices.walk(begin, stop, mix(own[row] + place.astype(np.uint64))))
                 samples = sampled(lattices, slot, per_row, keys[first:first + n], ways, k)
-                size = lattices.id_at[slot + 1] - lattices.id_at[slot]
+                size = np.where(blank[row], 0, lattices.id_at[slot + 1] - lattices.id_at[slot])
                 canonical = lattices.ids[_ragged(lattices.id_at[slot], size)]
                 cut = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(per_row)])]
                 found = [(canonical[a:b], drawn) for a, b, drawn in zip(cut[:-1], cut[1:], samples)]
@@ -447,7 +450,8 @@ def encoded(docs: DataFrame, model: str = MODEL, k: int = SAMPLES, seed: int = S
     inclusion (given the threshold), the largest value first.
 
     * Null or empty text: no ids, decoded to the empty text, and one sample, empty.
-    * Fewer than ``k`` segmentations: all of them, with inclusion 1.
+    * Fewer than ``k`` segmentations: all of them, with inclusion 1 (but for those less likely than 1e-15,
+      which doubles don't tell from none).
     * Null doc_id: a key of its own, the same for all such rows; rows that repeat a doc_id and text get
       the same samples.  Other columns are ignored; an empty table gives no rows.
     """
