@@ -29,6 +29,8 @@ LENGTH = 100
 GRAM = 24
 #: Classes of one gram that are sorted in one task; a gram with more is dealt over several.
 BLOCK = 2048
+#: Bytes looked at together, so that what is derived from them stays in the processor's caches.
+NEAR = 1 << 18
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 _RUN = "gram long, ctx long, doc_id long, span long"
 _CONTEXT = "gram long, salt int, salted boolean, doc_id long, lo long, off int, body binary"
@@ -48,12 +50,13 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
     if len(data) < length:
         return tuple(np.zeros(0, np.int64) for _ in range(6))
     prefixes = Prefixes(data)
-    at = np.arange(len(data) - gram + 1)
-    hashes = mix(prefixes.of(at, at + gram))
-    lowest = _sliding_min((hashes & _HIGH) | at.astype(np.uint64), length - gram + 1)  # leftmost of equals
+    hashes = mix(prefixes.all(gram))
+    lowest = _sliding_min((hashes & _HIGH) | np.arange(len(hashes), dtype=np.uint64), length - gram + 1)  # leftmost of equals
     anchor = (lowest & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    left = np.repeat(offsets[1:], np.diff(offsets)) - np.arange(len(data))
-    valid = left[: len(anchor)] >= length
+    valid = np.ones(len(data), bool)
+    for end, begin in zip(offsets[1:], offsets[:-1]):  # a window ends within its row
+        valid[max(begin, end - length + 1):end] = False
+    valid = valid[: len(anchor)]
     fresh = valid.copy()
     fresh[1:] &= ~valid[:-1] | (anchor[1:] != anchor[:-1])
     ends = np.ones(len(valid), bool)
@@ -69,7 +72,7 @@ def _runs(length: int):
     def emit(batches):
         for batch in batches:
             ids = batch.column(0)
-            for first, data, offsets in slices(batch.column(1)):
+            for first, data, offsets in slices(batch.column(1), NEAR):
                 row, gram, context, lo, n, off = runs_of(data, offsets, length)
                 span = (lo << 24) | (n << 12) | off
                 yield pa.RecordBatch.from_arrays(
@@ -156,7 +159,23 @@ class Suffixes:
 
 
 def repeats(group, rel, at, data, length):
-    """Classes of equal suffixes among those of one (group, rel): a number for each suffix."""
+    """Classes of equal suffixes among those of one (group, rel): a number for each suffix.
+
+    A suffix whose first ``length`` bytes no other of its group hashes alike is a class of its own and
+    left out of the sort.
+    """
+    hashes = Prefixes(data).of(at, at + length) + mix(np.asarray(group).astype(np.uint64))
+    order = np.argsort(hashes, kind="stable")
+    alike = np.zeros(len(at) + 1, bool)
+    alike[1:-1] = hashes[order[1:]] == hashes[order[:-1]]
+    some = np.sort(order[alike[1:] | alike[:-1]])
+    classes = np.arange(len(at)) + len(some)
+    classes[some] = _sorted_classes(group[some], rel[some], at[some], data, length)
+    return classes
+
+
+def _sorted_classes(group, rel, at, data, length):
+    """``repeats`` by the suffix sort; numbers below that of the suffixes, or collisions far above."""
     key = np.lexsort((at, rel, group))
     segment = np.cumsum(np.concatenate([[True], (np.diff(group[key]) != 0) | (np.diff(rel[key]) != 0)])) if len(key) else key
     suffixes = Suffixes(data, length)
@@ -171,11 +190,11 @@ def repeats(group, rel, at, data, length):
         wide = np.arange(length)
         wrong[lo:lo + 65536] = (data[one[some][:, None] + wide] != data[other[some][:, None] + wide]).any(axis=1)
     classes = np.empty(len(order), np.int64)
-    classes[order] = np.cumsum(np.concatenate([[True], ~same])) if len(order) else 0
+    classes[order] = np.cumsum(np.concatenate([[True], ~same])) - 1 if len(order) else 0
     for bad in np.unique(segment[pairs[wrong]]):  # a collision: this segment by its bytes
         members = order[segment == bad]
         texts = {}
-        top = classes.max() + 1
+        top = max(classes.max(), 1 << 40) + 1
         for m in members:
             classes[m] = top + texts.setdefault(data[at[m]:at[m] + length].tobytes(), len(texts))
     return classes

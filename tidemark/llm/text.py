@@ -52,6 +52,10 @@ class Prefixes:
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return (self.sums[end] - self.sums[start]) * self.inverse[start]
 
+    def all(self, size: int) -> np.ndarray:
+        """The hashes of every substring of ``size`` bytes."""
+        return (self.sums[size:] - self.sums[:-size]) * self.inverse[: len(self.sums) - size]
+
 
 class Words(NamedTuple):
     hash: np.ndarray  # of the word's bytes, A-Z in lower case
