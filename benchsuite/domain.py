@@ -270,14 +270,35 @@ def instances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nodes(spark, sf_dir).unionByName(edges(spark, sf_dir))
 
 
-def ids_per_table(tables: dict) -> DataFrame:
-    """(table_name, externalId) of all tables; one no instance was routed to does not exist."""
-    parts = [
-        table.read().select(F.lit(name).alias("table_name"), "externalId")
-        for name, table in tables.items()
-        if table.exists()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+TABLE_COLUMNS = (
+    "table_name string, name string, brand string, size int, nation int, price double, startNode string, endNode string, "
+    "quantity double"
+)
+
+
+def rows_per_table(tables: dict) -> DataFrame:
+    """Every column of all tables, endpoints as ids; one no instance was routed to does not exist."""
+    parts = []
+    for name, table in tables.items():
+        if table.exists():
+            rows = table.read().withColumn("table_name", F.lit(name))
+            for end in ("startNode", "endNode"):
+                if end in rows.columns:
+                    rows = rows.withColumn(end, F.col(f"{end}.externalId"))
+            parts.append(rows)
+    every = parts[0].sparkSession.createDataFrame([], TABLE_COLUMNS)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts, every)
+
+
+_BASE = 'space, "externalId", version, "lastUpdatedTime", "createdTime"'
+TABLES_SQL = f"""WITH n AS ({NODES}), e AS ({EDGES})
+  SELECT 'plant_' || view AS table_name, {_BASE}, 'node' AS "instanceType", name, brand, size, nation, CAST(NULL AS DOUBLE) AS price,
+    CAST(NULL AS VARCHAR) AS "startNode", CAST(NULL AS VARCHAR) AS "endNode", CAST(NULL AS DOUBLE) AS quantity
+  FROM n WHERE "deletedTime" IS NULL
+  UNION ALL SELECT 'plant_Premium', {_BASE}, 'node', NULL, NULL, NULL, NULL, price, NULL, NULL, NULL
+  FROM n WHERE "deletedTime" IS NULL AND price IS NOT NULL
+  UNION ALL SELECT 'plant_edges', {_BASE}, 'edge', NULL, NULL, NULL, NULL, NULL, start_id, end_id, quantity
+  FROM e WHERE "deletedTime" IS NULL"""
 
 
 # ---- files -----------------------------------------------------------------------------------
@@ -288,3 +309,18 @@ def page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select(
         F.col("url").alias("external_id"), F.col("page_id").alias("source_modified_time")
     )
+
+
+def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as a listing of files: their path, time, length and bytes."""
+    return table(spark, sf_dir, "pages").select(
+        F.concat(F.col("url"), F.lit("/"), F.col("page_id")).alias("path"),
+        F.timestamp_seconds(F.col("page_id") + 1_700_000_000).alias("modificationTime"),
+        F.octet_length("html").cast("long").alias("length"),
+        F.encode("html", "UTF-8").alias("content"),
+    )
+
+
+LISTING = """SELECT url || '/' || page_id AS external_id, CAST(page_id AS VARCHAR) AS name, CAST(123456 AS BIGINT) AS data_set_id,
+  (page_id + 1700000000) * 1000 AS source_created_time, (page_id + 1700000000) * 1000 AS source_modified_time,
+  strlen(html) AS length, md5(html) AS content FROM pages"""

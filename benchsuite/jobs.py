@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from contextlib import suppress
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from benchsuite import domain as d
 from benchsuite.events import _with_assets
 from benchsuite.raw import RAW_LAST
 from benchsuite.registry import query
+from tidemark.operators.instances import views_of
+from tidemark.plans.audit import counters
 from tidemark.plans.config import Destination, EventFeed, RawExport, RawFeed, Space, Subscription
 from tidemark.plans.jobs import Jobs
 from tidemark.session import shared_folder
@@ -32,7 +38,7 @@ def job_replicate_points(spark, sf):
 
 @query(
     "job_replicate_events",
-    f"""SELECT "externalId", "createdTime", "startTime", "type", '{{"priority": "' || "dataSet" || '"}}' AS metadata
+    f"""SELECT "externalId", "createdTime", "startTime", "dataSet", "type", '{{"priority": "' || "dataSet" || '"}}' AS metadata
         FROM ({d.EVT}) WHERE "dataSet" = '1-URGENT'""",
 )
 def job_replicate_events(spark, sf):
@@ -44,40 +50,31 @@ def job_replicate_events(spark, sf):
     )
     job.replicate_events(events.where(F.col("createdTime") < 900000000000), feed)
     job.replicate_events(events, feed)
-    return job.table(feed.table).read().drop("dataSet")
+    return job.table(feed.table).read()
 
 
-@query(
-    "job_replicate_raw",
-    f"""SELECT "key", last_updated_time FROM ({d.RAW}) {RAW_LAST}""",
-)
+@query("job_replicate_raw", f"SELECT * FROM ({d.RAW}) {RAW_LAST}")
 def job_replicate_raw(spark, sf):
     home = shared_folder(spark, "job-raw")
-    job, feed = Jobs(spark, f"{home}/state"), RawFeed("db", "lines", f"{home}/lines", buckets=8)
+    job, feed = Jobs(spark, f"{home}/state"), RawFeed("db", "lines", f"{home}/lines")
     rows = d.raw_rows(spark, sf)
     job.replicate_raw(rows.where(F.col("last_updated_time") < 900000000000), feed)
     job.replicate_raw(rows, feed)
-    return job.table(feed.table).read().select("key", "last_updated_time")
+    return job.table(feed.table).read()
 
 
-@query(
-    "job_replicate_instances",
-    f"""WITH n AS ({d.NODES}), e AS ({d.EDGES})
-        SELECT 'plant_' || view AS table_name, "externalId" FROM n WHERE "deletedTime" IS NULL
-        UNION ALL SELECT 'plant_Premium', "externalId" FROM n WHERE "deletedTime" IS NULL AND price IS NOT NULL
-        UNION ALL SELECT 'plant_edges', "externalId" FROM e WHERE "deletedTime" IS NULL""",
-)
+@query("job_replicate_instances", d.TABLES_SQL)
 def job_replicate_instances(spark, sf):
     """First run up to a point in time, the second takes the rest of the changes."""
     home = shared_folder(spark, "job-instances")
     job = Jobs(spark, f"{home}/state")
-    space = Space(d.SPACE, d.VIEWS, f"{home}/tables", buckets=8)
+    space = Space(d.SPACE, d.VIEWS, f"{home}/tables")
     d.instances(spark, sf).write.parquet(f"{home}/feed")
     changes = spark.read.parquet(f"{home}/feed")
     job.replicate_instances(space, changes, run_start=950000000000)
     job.replicate_instances(space, changes)
     tables = {path.rsplit("/", 1)[1]: job.table(path) for path in job.space_tables(space)}
-    return d.ids_per_table(tables)
+    return d.rows_per_table(tables)
 
 
 @query(
@@ -86,7 +83,7 @@ def job_replicate_instances(spark, sf):
 )
 def job_export_points(spark, sf):
     home = shared_folder(spark, "job-export-points")
-    job, to = Jobs(spark, f"{home}/state"), Destination(f"{home}/out", "lake_", 123456, buckets=8)
+    job, to = Jobs(spark, f"{home}/state"), Destination(f"{home}/out", "lake_", 123456)
     points = d.points(spark, sf).drop("event_id")
     job.export_points(points.where(F.col("timestamp") < "2024-01-15"), "Tables/RawTS", to)
     job.export_points(points, "Tables/RawTS", to)
@@ -103,7 +100,7 @@ def job_export_points(spark, sf):
 )
 def job_export_events(spark, sf):
     home = shared_folder(spark, "job-export-events")
-    job, to = Jobs(spark, f"{home}/state"), Destination(f"{home}/out", data_set_id=123456, buckets=8)
+    job, to = Jobs(spark, f"{home}/state"), Destination(f"{home}/out", data_set_id=123456)
     starts = d.events(spark, sf).select("externalId", "startTime")
     events = starts.join(_with_assets(spark, sf), "externalId")
     job.export_events(
@@ -118,11 +115,11 @@ def job_export_events(spark, sf):
 @query(
     "job_export_raw",
     """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, event_type, value,
-         md5(CAST(event_id AS VARCHAR)) AS "key" FROM events""",
+         md5(CAST(event_id AS VARCHAR)) AS row_key FROM events""",
 )
 def job_export_raw(spark, sf):
     home = shared_folder(spark, "job-export-raw")
-    job, to = Jobs(spark, f"{home}/state"), Destination(f"{home}/out", buckets=8)
+    job, to = Jobs(spark, f"{home}/state"), Destination(f"{home}/out")
     spec = RawExport("db", "events", ("event_id",), "ts", md5_key=True)
     events = d.table(spark, sf, "events").drop("user_id", "props")
     job.export_raw(events.where(F.col("ts") < "2024-01-15"), spec, to)
@@ -130,9 +127,92 @@ def job_export_raw(spark, sf):
     return job.table(f"{to.tables}/db/events").read()
 
 
-@query("job_export_files")
+@query("job_export_files", d.LISTING)
 def job_export_files(spark, sf):
+    """Two runs over a growing, changing listing: the second takes what is new or has another time."""
     home = shared_folder(spark, "job-files")
-    job, to = Jobs(spark, f"{home}/state"), Destination(f"{home}/out", data_set_id=123456, buckets=4)
-    job.export_files(sf, to)
-    return job.table(f"{to.tables}/files").read()
+    job, to = Jobs(spark, f"{home}/state"), Destination(f"{home}/out", data_set_id=123456)
+    files = d.listing(spark, sf)
+    some = F.col("length") % 3
+    before = files.where(some > 0).withColumn(
+        "modificationTime", F.col("modificationTime") - F.when(some > 1, F.expr("INTERVAL 1 HOUR")).otherwise(F.expr("INTERVAL 0 HOUR"))
+    )
+    job.export_files(before, "pages", to)
+    job.export_files(files, "pages", to)
+    return job.table(f"{to.tables}/files").read().withColumn("content", F.md5("content"))
+
+
+@query(
+    "job_replicate_subscriptions",
+    """SELECT 'sub_' || (user_id % 4) AS "subscription", 'user_' || user_id AS "externalId", ts AS "timestamp", value
+       FROM (SELECT user_id, date_trunc('millisecond', ts) AS ts, value, event_id // 1000 AS "cursor" FROM events)
+       QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY "cursor" DESC, value DESC) = 1""",
+)
+def job_replicate_subscriptions(spark, sf):
+    """Four feeds followed at once, each into tables of its own, all logging to one run log."""
+    home = shared_folder(spark, "job-subscriptions")
+    feed = d.feed(spark, sf).withColumn("part", F.substr("external_id", F.lit(6)).cast("long") % 4)
+    subs = []
+    for k in range(4):
+        feed.where(F.col("part") == k).drop("part").write.parquet(f"{home}/feed{k}")
+        subs.append(Subscription(f"sub_{k}", f"{home}/feed{k}", f"{home}/points{k}", f"{home}/series{k}"))
+    job = Jobs(spark, f"{home}/state")
+    job.replicate_points(subs, d.series(spark, sf), d.assets(spark, sf))
+    parts = [
+        job.table(s.points_table).read().select(
+            F.lit(s.external_id).alias("subscription"), "externalId", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "value"
+        )
+        for s in subs
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _logged(spark, sf):
+    """The log of two event runs, one of RAW rows and a failing export."""
+    home = shared_folder(spark, "job-log")
+    job, feed = Jobs(spark, f"{home}/state"), EventFeed(f"{home}/events", "1-URGENT")
+    events = d.events(spark, sf)
+    job.replicate_events(events.where(F.col("createdTime") < 900000000000), feed)
+    job.replicate_events(events, feed)
+    job.replicate_events(events, feed)
+    job.replicate_raw(d.raw_rows(spark, sf), RawFeed("db", "lines", f"{home}/lines"))
+    with suppress(Exception):
+        job.export_raw(events, RawExport("db", "orders", ("no such column",)), Destination(f"{home}/out"))
+    return job.log.table.read()
+
+
+RUNS_SQL = f"""SELECT 'event_state' AS pipeline, 'success' AS status, count(*) AS "rows" FROM ({d.EVT})
+    WHERE "dataSet" = '1-URGENT' AND "createdTime" < 900000000000
+  UNION ALL SELECT 'event_state', 'success', count(*) FROM ({d.EVT}) WHERE "dataSet" = '1-URGENT' AND "createdTime" >= 900000000000
+  UNION ALL SELECT 'event_state', 'seen', NULL
+  UNION ALL SELECT 'db_lines_raw_state', 'success', count(*) FROM lineitem
+  UNION ALL SELECT 'raw/db/orders', 'failure', NULL"""
+
+
+@query("run_log", RUNS_SQL)
+def run_log(spark, sf):
+    return _logged(spark, sf).select("pipeline", "status", "rows")
+
+
+@query(
+    "run_counters",
+    f"""SELECT pipeline, count(*) FILTER (WHERE status = 'success') AS writes, count(*) FILTER (WHERE status = 'failure') AS failures,
+         CAST(coalesce(sum("rows") FILTER (WHERE status = 'success'), 0) AS BIGINT) AS "rows" FROM ({RUNS_SQL}) GROUP BY 1""",
+)
+def run_counters(spark, sf):
+    return counters(_logged(spark, sf))
+
+
+@query(
+    "instances_views",
+    """SELECT p_brand AS "externalId", 'plant_' || p_brand AS "table", count(DISTINCT p_type) AS properties
+       FROM part GROUP BY p_brand""",
+)
+def instances_views(spark, sf):
+    """A view of every brand, its properties the types of its parts, listed from a catalog table."""
+    catalog = d.table(spark, sf, "part").groupBy(F.col("p_brand").alias("externalId")).agg(
+        F.map_from_entries(F.collect_set(F.struct(F.col("p_type").alias("k"), F.lit("text").alias("v")))).alias("properties")
+    )
+    catalog = catalog.withColumns({"space": F.lit(d.SPACE), "version": F.lit("1"), "usedFor": F.lit("node")})
+    views = [(v.external_id, v.table, len(v.properties)) for v in views_of(catalog, d.SPACE)]
+    return spark.createDataFrame(views, "externalId string, table string, properties long")

@@ -31,17 +31,18 @@ def raw_flatten(spark, sf):
     """SELECT CAST(event_id AS VARCHAR) AS "key", epoch_us(ts) // 1000 AS last_updated_time,
          CASE WHEN event_type = 'click' THEN props END AS click, CASE WHEN event_type = 'error' THEN props END AS error,
          CASE WHEN event_type = 'view' THEN props END AS "view",
-         CASE WHEN event_type = 'purchase' THEN props END AS purchase,
-         CASE WHEN event_type = 'signup' THEN props END AS signup FROM events""",
+         CASE WHEN event_type IN ('purchase', 'signup') THEN event_type || '=' || props END AS other_columns FROM events""",
 )
 def raw_flatten_map(spark, sf):
-    """Free-form maps: which names occur takes one distinct pass over their keys."""
+    """Free-form maps: declared names become columns, the others stay in a map."""
     rows = d.table(spark, sf, "events").select(
         F.col("event_id").cast("string").alias("key"),
         F.create_map("event_type", "props").alias("columns"),
         d.ms("ts").alias("last_updated_time"),
     )
-    return ops.flatten_rows(rows, ops.listed_names(rows))
+    flat = ops.flatten_rows(rows, ["click", "error", "view"])
+    other = F.transform(F.map_entries(ops.OTHER), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return flat.withColumn(ops.OTHER, F.array_join(other, ";"))
 
 
 @query(
@@ -108,7 +109,7 @@ def raw_upsert(spark, sf):
          strftime(l_shipdate, '%Y-%m-%d %H:%M:%S.%f') AS l_shipdate,
          CASE WHEN l_discount > 0 THEN l_tax END AS tax,
          '["' || l_returnflag || '","' || l_linestatus || '"]' AS flags,
-         l_orderkey || '-' || l_linenumber AS "key" FROM lineitem""",
+         l_orderkey || '-' || l_linenumber AS row_key FROM lineitem""",
 )
 def raw_export(spark, sf):
     rows = d.table(spark, sf, "lineitem").select(
@@ -126,7 +127,7 @@ def raw_export(spark, sf):
     "raw_export_md5",
     """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, event_type, value,
          md5(event_id || '-' || strftime(ts, '%Y-%m-%d %H:%M:%S.%f') || '-' || event_type || '-' ||
-             CAST(value AS VARCHAR)) AS "key" FROM events""",
+             CAST(value AS VARCHAR)) AS row_key FROM events""",
 )
 def raw_export_md5(spark, sf):
     return ops.export_rows(

@@ -8,7 +8,6 @@ from benchsuite import domain as d
 from benchsuite.registry import query
 from tidemark.functions import text
 from tidemark.operators import files, scan, watermark
-from tidemark.sources.feeds import list_files
 
 
 @query("scan_full", "SELECT * FROM events")
@@ -87,9 +86,9 @@ def subscription_members(spark, sf):
     return scan.subscription_members(d.series(spark, sf), 8)
 
 
-@query("file_catalog")
+@query("file_catalog", d.LISTING)
 def file_catalog(spark, sf):
-    return files.catalog_rows(list_files(spark, sf), 123456)
+    return files.catalog_rows(d.listing(spark, sf), 123456).withColumn("content", F.md5("content"))
 
 
 @query(

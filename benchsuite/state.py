@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from benchsuite import domain as d
 from benchsuite.registry import query
 from tidemark.functions import text
-from tidemark.operators import scan, watermark
-from tidemark.plans.audit import counters, written_counts
+from tidemark.operators import watermark
 
 
 @query(
@@ -99,30 +98,3 @@ def recent_update_flag(spark, sf):
         for v in (d.PART, d.SUPPLIER)
     ]
     return flags[0].unionByName(flags[1])
-
-
-@query(
-    "run_log",
-    """SELECT "dataSet", count(*) AS "rows", 'success' AS status, count(*) || ' rows written' AS message
-       FROM (SELECT o_orderpriority AS "dataSet" FROM orders) GROUP BY 1""",
-)
-def run_log(spark, sf):
-    return written_counts(scan.since(d.events(spark, sf), "createdTime"), "dataSet")
-
-
-@query(
-    "run_counters",
-    """SELECT event_type AS pipeline, count(*) FILTER (WHERE value >= 10) AS writes,
-         count(*) FILTER (WHERE value < 10) AS failures,
-         CAST(coalesce(sum(event_id) FILTER (WHERE value >= 10), 0) AS BIGINT) AS "rows"
-       FROM events GROUP BY 1""",
-)
-def run_counters(spark, sf):
-    """Events standing in for run-log entries."""
-    return counters(
-        d.table(spark, sf, "events").select(
-            F.col("event_type").alias("pipeline"),
-            F.when(F.col("value") >= 10, "success").otherwise("failure").alias("status"),
-            F.col("event_id").alias("rows"),
-        )
-    )

@@ -50,12 +50,12 @@ def test_target_only_columns_survive_and_new_ones_are_added(spark):
     )
 
 
-def test_repeated_target_keys_are_each_updated_on_request(spark):
-    target = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, v int")
+def test_a_repeated_target_key_is_held_once_after_a_match(spark):
+    """Whether the source has all columns or not; keys it doesn't hold stay as they are."""
+    target = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 3, "z"), ("b", 3, "z")], "k string, v int, w string")
     source = spark.createDataFrame([("a", 9)], "k string, v int")
-    assert rows(merge.upsert(target, source, ["k"], unique_target=False)) == Counter(
-        {("a", 9): 2, ("b", 3): 1}
-    )
+    assert rows(merge.upsert(target.drop("w"), source, ["k"])) == Counter({("a", 9): 1, ("b", 3): 2})
+    assert rows(merge.upsert(target, source, ["k"]).select("k", "v")) == Counter({("a", 9): 1, ("b", 3): 2})
 
 
 def test_order_columns_can_be_left_out(spark):
@@ -91,9 +91,8 @@ KEY = st.one_of(st.none(), st.sampled_from("abcd"))
 @given(
     st.dictionaries(st.sampled_from("abcdef"), st.integers(0, 9)),
     st.lists(st.tuples(KEY, st.integers(0, 9), st.integers(0, 5)), max_size=12),
-    st.booleans(),
 )
-def test_upsert_equals_brute_force(spark, target, source, unique):
+def test_upsert_equals_brute_force(spark, target, source):
     left = spark.createDataFrame(list(target.items()), "k string, v int")
     right = spark.createDataFrame(source, "k string, v int, seq int")
     latest, loose = {}, Counter()
@@ -103,7 +102,7 @@ def test_upsert_equals_brute_force(spark, target, source, unique):
         elif k not in latest or (seq, v) > latest[k]:
             latest[k] = (seq, v)
     expected = {**target, **{k: v for k, (_, v) in latest.items()}}
-    merged = merge.upsert(left, right, ["k"], ["seq"], ["seq"], unique_target=unique)
+    merged = merge.upsert(left, right, ["k"], ["seq"], ["seq"])
     assert rows(merged) == Counter(expected.items()) + loose
 
 
@@ -116,12 +115,13 @@ def test_a_key_holding_most_rows_is_reduced_before_the_shuffle(spark):
     assert "partial_max" in plan[exchange:]
 
 
-@pytest.mark.parametrize("unique", [True, False])
-def test_no_side_is_forced_to_broadcast(spark, unique):
+@pytest.mark.parametrize("more", [[], ["w"]])
+def test_no_side_is_forced_to_broadcast(spark, more):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        target = spark.range(10).select(F.col("id").alias("k"), F.col("id").alias("v"))
-        plan = merge.upsert(target, target, ["k"], unique_target=unique)._jdf.queryExecution().executedPlan().toString()
+        source = spark.range(10).select(F.col("id").alias("k"), F.col("id").alias("v"))
+        target = source.withColumns({w: F.lit(1) for w in more})
+        plan = merge.upsert(target, source, ["k"])._jdf.queryExecution().executedPlan().toString()
         assert "Broadcast" not in plan and "CartesianProduct" not in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

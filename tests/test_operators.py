@@ -38,10 +38,15 @@ def test_surplus_values_are_ignored(spark):
 
 def test_wide_frame(spark):
     df = spark.createDataFrame([(1, "a", 0.5), (1, "b", 0.6), (2, "a", 0.7)], "timestamp int, externalId string, value double")
-    assert points.wide_ids(df) == ["a", "b"]
     assert tuples(points.wide(df, ["a", "b"]), "timestamp") == [(1, 0.5, 0.6), (2, 0.7, None)]
-    with pytest.raises(ValueError):
-        points.wide_ids(df, at_most=1)
+    assert points.wide(df, ["b", "c"]).columns == ["timestamp", "b", "c"]
+
+
+def test_a_wide_frame_of_many_series(spark):
+    names = [f"s{n}" for n in range(1001)]
+    df = spark.createDataFrame([(1, n, float(k)) for k, n in enumerate(names)], "timestamp int, externalId string, value double")
+    row = points.wide(df, names).first()
+    assert len(row) == 1002 and row.s1000 == 1000.0
 
 
 def test_prefix(spark):
@@ -124,18 +129,29 @@ def test_raw_columns_are_promoted_and_fixed_ones_win(spark):
     assert tuples(raw.flatten_rows(rows)) == [("N", "k1", 17)]
 
 
-def test_raw_maps_need_their_names(spark):
-    rows = spark.createDataFrame([("k", {"a": "1", "b": "2"}, 5)], "key string, columns map<string,string>, last_updated_time long")
-    assert raw.listed_names(rows) == ["a", "b"]
-    assert tuples(raw.flatten_rows(rows, ["a", "b"])) == [("1", "2", "k", 5)]
-    with pytest.raises(ValueError):
-        raw.flatten_rows(rows)
+def test_raw_maps_keep_undeclared_names(spark):
+    kind = "key string, columns map<string,string>, last_updated_time long"
+    rows = spark.createDataFrame([("k", {"a": "1", "b": "2", "key": "x"}, 5)], kind)
+    assert tuples(raw.flatten_rows(rows, ["a", "b"])) == [("1", "2", None, "k", 5)]
+    assert tuples(raw.flatten_rows(rows, ["a"])) == [("1", {"b": "2"}, "k", 5)]
+    assert tuples(raw.flatten_rows(rows)) == [({"a": "1", "b": "2"}, "k", 5)]
+    many = spark.createDataFrame([("k", {f"n{n}": str(n) for n in range(10_001)}, 5)], kind)
+    got = raw.flatten_rows(many, ["n7"]).first()
+    assert got.n7 == "7" and len(got.other_columns) == 10_000
+
+
+def test_a_key_column_of_the_table_stays(spark):
+    df = spark.createDataFrame([("a-b", "c", "x"), ("a", "b-c", "y"), ("a\\", "-b", "z")], "p string, q string, key string")
+    out = raw.export_rows(df, ["p", "q"])
+    assert sorted(r.key for r in out.collect()) == ["x", "y", "z"]
+    assert len({r.row_key for r in out.collect()}) == 3  # separators within values are escaped
+    assert [r.row_key for r in raw.export_rows(df, ["p"]).orderBy("key").collect()] == ["a-b", "a", "a\\"]
 
 
 @pytest.mark.parametrize("fields, md5", [(["a"], False), (["a", "b"], True), (None, True), (None, False)])
 def test_exported_rows_have_a_stable_key(spark, fields, md5):
     df = spark.createDataFrame([(1, "x"), (2, None)], "a int, b string")
-    keys = [r.key for r in raw.export_rows(df, fields, md5).orderBy("a").collect()]
+    keys = [r.row_key for r in raw.export_rows(df, fields, md5).orderBy("a").collect()]
     if fields == ["a"]:
         assert keys == ["1", "2"]
     else:

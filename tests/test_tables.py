@@ -1,20 +1,20 @@
-from __future__ import annotations
+"""Tables that are only ever added to: what a batch costs, what repeats change, how rows are read."""
 
+from __future__ import annotations
 
+import os
 import sys
-import time
 from collections import Counter
-from datetime import datetime
+from concurrent.futures import ThreadPoolExecutor
 from types import ModuleType
 from unittest.mock import MagicMock
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.session import shared_folder
-from tidemark.sources import Layout, ParquetTable, open_table
+from tidemark.sources import Shape, Table, open_table
 
-LAYOUTS = [Layout(), Layout.by_bucket("k", 4)]
+KEYED = Shape(keys=("k",))
 
 
 def rows(df):
@@ -30,219 +30,155 @@ def path(tmp_path):
     return str(tmp_path / "table")
 
 
-@pytest.mark.parametrize("layout", LAYOUTS)
-def test_upsert_creates_then_merges(spark, path, layout):
-    table = ParquetTable(spark, path, layout)
-    assert not table.exists()
-    table.upsert(frame(spark, [("a", 1), ("a", 2), ("b", 3), (None, 4)]), ["k"], ["v"])
-    table.upsert(frame(spark, [("b", 30), ("c", 40), (None, 5)]), ["k"])
-    assert rows(table.read()) == Counter({("a", 2): 1, ("b", 30): 1, ("c", 40): 1, (None, 4): 1, (None, 5): 1})
-
-
-@pytest.mark.parametrize("layout", LAYOUTS)
-def test_delete_by_key(spark, path, layout):
-    table = ParquetTable(spark, path, layout)
-    assert table.delete(frame(spark, [("a", 1)]), ["k"]) is None
-    table.append(frame(spark, [("a", 1), ("a", 2), ("o'b", 3), ("c", 4)]))
-    table.delete(frame(spark, [("a", 0), ("o'b", 0), ("zzz", 0)]), ["k"])
-    assert rows(table.read()) == Counter({("c", 4): 1})
+def files(path):
+    return {os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.startswith("part-")}
 
 
-def test_append_evolves_the_schema_and_widens(spark, path):
-    table = ParquetTable(spark, path)
-    table.append(frame(spark, [(1, "a")], "id long, x string"))
-    table.append(frame(spark, [(2, 0.5)], "id int, y double"))
+def test_the_last_row_of_a_key_counts(spark, path):
+    table = Table(spark, path, KEYED)
+    assert not table.exists()
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    assert table.add(frame(spark, [("a", 1), ("b", 3), (None, 4)])) == 3
+    assert table.add(frame(spark, [("b", 30), ("c", 40), (None, 5)])) == 3
+    assert rows(table.read()) == Counter({("a", 1): 1, ("b", 30): 1, ("c", 40): 1, (None, 4): 1, (None, 5): 1})
+
+
+def test_a_batch_costs_its_own_size(spark, path):
+    """One row added to a table of many changes no file that was there."""
+    table = Table(spark, path, KEYED)
+    table.add(spark.range(5000).select(F.col("id").cast("string").alias("k"), F.lit(0).alias("v")))
+    before = {f: os.stat(f).st_mtime_ns for f in files(path)}
+    table.add(frame(spark, [("17", 1)]))
+    after = files(path)
+    assert {f: os.stat(f).st_mtime_ns for f in before} == before
+    assert sum(os.path.getsize(f) for f in after - set(before)) < 5000
+    assert table.read().where("v = 1").count() == 1 and table.read().count() == 5000
+
+
+def test_a_repeated_batch_replaces_itself(spark, path):
+    table = Table(spark, path)
+    table.add(frame(spark, [("a", 1)]), ("w", 0))
+    table.add(frame(spark, [("b", 1)]), ("w/x y", "1-2"))
+    table.add(frame(spark, [("a", 1), ("c", 1)]), ("w", 0))
+    assert rows(table.read()) == Counter({("a", 1): 1, ("b", 1): 1, ("c", 1): 1})
+    assert rows(table.read_batch(("w/x y", "1-2"))) == Counter({("b", 1): 1})
+
+
+def test_writers_at_once_lose_nothing(spark, path):
+    table = Table(spark, path)
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda n: Table(spark, path).add(frame(spark, [(str(n), n)]), (f"w{n}", 0)), range(18)))
+    assert rows(table.read()) == Counter({(str(n), n): 1 for n in range(18)})
+
+
+def test_an_order_beats_the_time_of_arrival(spark, path):
+    table = Table(spark, path, Shape(keys=("k",), order=("cursor",), hidden=("cursor",)))
+    kind = "k string, v int, cursor long"
+    table.add(frame(spark, [("a", 1, 9), ("a", 0, 8), ("b", 1, 1)], kind))
+    table.add(frame(spark, [("a", 2, 3), ("b", 2, 1)], kind))  # equal cursors: the later arrival
+    assert table.read().columns == ["k", "v"] and rows(table.read()) == Counter({("a", 1): 1, ("b", 2): 1})
+
+
+def test_columns_that_a_write_lacks_keep_what_they_were(spark, path):
+    table = Table(spark, path, KEYED)
+    table.add(frame(spark, [("a", 1, "x"), ("b", 2, "y"), ("c", 3, "z")], "k string, v int, w string"))
+    table.add(frame(spark, [("a", 10), ("d", 40), (None, 7)]))
+    table.add(frame(spark, [("b", None, None)], "k string, v int, w string"))
+    want = {("a", 10, "x"): 1, ("b", None, None): 1, ("c", 3, "z"): 1, ("d", 40, None): 1, (None, 7, None): 1}
+    assert rows(table.read()) == Counter(want)
+
+
+def test_columns_are_added_and_widened(spark, path):
+    table = Table(spark, path)
+    table.add(frame(spark, [(1, "a")], "id long, x string"))
+    table.add(frame(spark, [(2, 0.5, None)], "id int, y double, z void"))
     assert table.read().columns == ["id", "x", "y"]
     assert rows(table.read()) == Counter({(1, "a", None): 1, (2, None, 0.5): 1})
     with pytest.raises(TypeError, match="id"):
-        table.append(frame(spark, [("text",)], "id string"))
-
-
-def test_structs_evolve_and_untyped_columns_are_left_out(spark, path):
-    table = ParquetTable(spark, path)
-    table.append(spark.sql("SELECT 1 id, named_struct('a', 1) s, array(named_struct('x', 1)) l, NULL n"))
-    table.append(spark.sql("SELECT 2 id, named_struct('b', 'z', 'a', 5) s, array(named_struct('y', 2)) l"))
-    got = [r.asDict(recursive=True) for r in table.read().orderBy("id").collect()]
-    assert got == [
-        {"id": 1, "s": {"a": 1, "b": None}, "l": [{"x": 1, "y": None}]},
-        {"id": 2, "s": {"a": 5, "b": "z"}, "l": [{"x": None, "y": 2}]},
-    ]
-    table.upsert(spark.sql("SELECT 1 id, named_struct('c', 1.5D, 'a', 7) s"), ["id"])
-    merged = table.read().where("id = 1").first().asDict(recursive=True)
-    assert merged["s"] == {"a": 7, "b": None, "c": 1.5} and merged["l"] == [{"x": 1, "y": None}]
-    with pytest.raises(TypeError, match="s.a"):
-        table.append(spark.sql("SELECT 3 id, named_struct('a', 'text') s"))
-
-
-def test_a_transaction_is_applied_once(spark, path):
-    table = ParquetTable(spark, path)
-    for batch in (0, 0, 1, 0, 1):
-        table.append(frame(spark, [("a", batch)]), ("stream", batch))
-    assert rows(table.read()) == Counter({("a", 0): 1, ("a", 1): 1})
-
-
-def test_an_unpublished_write_is_invisible(spark, path):
-    table = ParquetTable(spark, path)
-    table.append(frame(spark, [("a", 1)]))
-    frame(spark, [("crashed", 2)]).write.parquet(f"{path}/tm_gen=2")
-    assert rows(ParquetTable(spark, path).read()) == Counter({("a", 1): 1})
-    table.append(frame(spark, [("b", 3)]))
-    assert rows(table.read()) == Counter({("a", 1): 1, ("b", 3): 1})
-
-
-def test_a_second_writer_of_the_same_generation_fails(spark, path):
-    table = ParquetTable(spark, path)
-    table.append(frame(spark, [("a", 1)]))
-    with pytest.raises(FileExistsError):
-        table._storage.publish("tm_gen=1/_live", "{}")
-
-
-def day(d):
-    return datetime(2024, 1, d, 12)
-
-
-def points(spark, data):
-    return spark.createDataFrame(data, "externalId string, timestamp timestamp, value double")
-
-
-def test_only_touched_days_are_rewritten(spark, path):
-    table = ParquetTable(spark, path, Layout.by_day("timestamp"))
-    first = table.upsert(points(spark, [("a", day(d), 1.0) for d in (1, 2, 3)]), ["externalId", "timestamp"])
-    second = table.upsert(points(spark, [("a", day(3), 9.0), ("b", day(4), 2.0)]), ["externalId", "timestamp"])
-    same = [v for v in first.live if second.live[v] == first.live[v]]
-    assert sorted(same) == ["2024-01-01", "2024-01-02"] and len(second.live) == 4
-    assert table.read().where("value = 9.0").count() == 1 and table.read().count() == 4
-
-
-def test_days_can_be_pruned_and_do_not_depend_on_the_session_zone(spark, path):
-    table = ParquetTable(spark, path, Layout.by_day("timestamp"))
-    late = spark.sql("SELECT 'a' externalId, timestamp'2024-01-01 23:30:00Z' timestamp, 1D value")
-    table.upsert(late, ["externalId", "timestamp"])
-    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
-    try:
-        table.upsert(late, ["externalId", "timestamp"])
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-    assert table.read().count() == 1
-    assert table.read(at_least="2024-01-02").count() == 0
-    assert table.read(parts=["2024-01-01"]).count() == 1
-
-
-def test_a_table_brings_its_layout(spark, path):
-    ParquetTable(spark, path, Layout.by_bucket("k", 4)).append(frame(spark, [("a", 1)]))
-    assert ParquetTable(spark, path).layout == Layout.by_bucket("k", 4)
-    with pytest.raises(ValueError):
-        ParquetTable(spark, path, Layout.by_bucket("k", 8))
-
-
-def test_overwriting_from_itself(spark, path):
-    table = ParquetTable(spark, path)
-    table.append(frame(spark, [("a", 1), ("b", 2)]))
-    table.overwrite(table.read().where("v > 1"))
-    assert rows(table.read()) == Counter({("b", 2): 1})
-
-
-@pytest.mark.parametrize("layout", LAYOUTS)
-def test_compaction_keeps_rows_and_reduces_files(spark, path, layout):
-    table = ParquetTable(spark, path, layout)
-    for i in range(5):
-        table.append(frame(spark, [(f"k{i}", i), ("x", i)]))
-    before = rows(table.read())
-    outcome = table.compact()
-    assert rows(table.read()) == before
-    assert outcome["files_after"] < outcome["files_before"]
-    again = table.compact()
-    assert again["files_after"] == again["files_before"]
-    assert table.snapshot().layout == layout
-
-
-def test_large_files_are_left_alone(spark, path):
-    table = ParquetTable(spark, path)
-    table.append(spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("k")).coalesce(1))
-    big = table.snapshot().live[""][0]
-    for i in range(3):
-        table.append(frame(spark, [(f"k{i}",)], "k string"))
-    table.compact(target_bytes=100_000)
-    assert big in table.snapshot().live[""] and len(table.snapshot().live[""]) == 2
-    assert table.read().count() == 20_003
-
-
-def test_expiry_respects_the_retention(spark, path):
-    table = ParquetTable(spark, path)
-    for i in range(3):
-        table.append(frame(spark, [("a", i)]))
-    table.compact()
-    frame(spark, [("crashed", 2)]).write.parquet(f"{path}/tm_gen=9")
-    assert table.expire(retention_seconds=3600) == []
-    later = int(time.time() * 1000) + 3_700_000
-    removed = table.expire(retention_seconds=3600, now_ms=later)
-    assert "tm_gen=9" in removed and len(removed) >= 3
-    assert table.read().count() == 3
-    assert table.expire(retention_seconds=3600, now_ms=later) == []
-
-
-def test_expiry_keeps_what_an_older_reader_still_uses(spark, path):
-    table = ParquetTable(spark, path)
-    table.append(frame(spark, [("a", 1)]))
-    reader = table.read()
-    table.overwrite(frame(spark, [("b", 2)]))
-    table.expire(retention_seconds=3600)
-    assert rows(reader) == Counter({("a", 1): 1})
-
-
-def test_reading_a_missing_table(spark, path):
-    with pytest.raises(FileNotFoundError):
-        ParquetTable(spark, path).read()
+        table.add(frame(spark, [("text",)], "id string"))
+    assert table.read().count() == 2
+
+
+def test_nested_fields_are_added(spark, path):
+    table = Table(spark, path)
+    table.add(frame(spark, [(1, (1,), [(1,)])], "id int, s struct<a:int>, l array<struct<a:int>>"))
+    table.add(frame(spark, [(2, (2, "x"), [(2,)])], "id int, s struct<a:int,b:string>, l array<struct<a:int>>"))
+    table.add(frame(spark, [(3, (3,), [(3,)])], "id int, s struct<a:int>, l array<struct<a:int>>"))
+    got = {r.id: (r.s.a, r.s.b) for r in table.read().collect()}
+    assert got == {1: (1, None), 2: (2, "x"), 3: (3, None)}
+
+
+HISTORY = Shape(gone=("id", "changed", "deleted"))
+
+
+@pytest.mark.parametrize("cut", [1, 2, 5])
+def test_deletes_remove_what_was_changed_before_them(spark, tmp_path, cut):
+    """However the changes are cut into batches."""
+    changes = [("o'a", 1, None), ("o'a", 2, 5), ("b", 2, None), ("o'a", 7, None), ("b", 3, None)]
+    table = Table(spark, str(tmp_path / str(cut)), HISTORY)
+    for lo in range(0, len(changes), cut):
+        table.add(frame(spark, changes[lo:lo + cut], "id string, changed long, deleted long"))
+    assert rows(table.read()) == Counter({("o'a", 7): 1, ("b", 2): 1, ("b", 3): 1})
+
+
+def test_days_are_read_from_one_on(spark, path):
+    table = Table(spark, path, Shape(keys=("k",), day="at"))
+    data = spark.sql("SELECT cast(id AS string) AS k, timestamp '2024-01-01 23:30:00' + make_interval(0, 0, 0, id) AS at FROM range(4)")
+    table.add(data)
+    assert sorted(r.k for r in table.read("2024-01-03").collect()) == ["2", "3"]
+    plan = table.read("2024-01-03")._jdf.queryExecution().executedPlan().toString()
+    assert "tm_day" in plan[plan.index("PartitionFilters"):]
+
+
+def test_a_fold_holds_the_same_in_one_batch(spark, path, tmp_path):
+    table = Table(spark, path, Shape(keys=("k",), order=("n",), hidden=("n",)))
+    for n in range(4):
+        table.add(frame(spark, [("a", n, n), (str(n), n, n)], "k string, v int, n int"))
+    folded = table.fold(str(tmp_path / "folded"))
+    assert rows(folded.read()) == rows(table.read())
+    folded.add(frame(spark, [("a", 9, 1)], "k string, v int, n int"))  # an older row, still
+    assert rows(folded.read()) == rows(table.read())
 
 
-def test_shared_folder_comes_from_the_session(spark):
-    base = spark.conf.get("spark.checkpoint.dir")
-    first, second = shared_folder(spark, "x"), shared_folder(spark, "x")
-    assert first.startswith(base) and first != second
+def test_a_table_keeps_its_shape(spark, path):
+    Table(spark, path, KEYED).add(frame(spark, [("a", 1)]))
+    assert rows(Table(spark, path).read()) == Counter({("a", 1): 1})
+    Table(spark, path).add(frame(spark, [("a", 2)]))
+    assert rows(Table(spark, path).read()) == Counter({("a", 2): 1})
+    with pytest.raises(ValueError, match="not"):
+        Table(spark, path, Shape(keys=("v",))).add(frame(spark, [("a", 1)]))
 
 
-# ---- Delta -----------------------------------------------------------------------------------
+def test_empty_batches(spark, path):
+    table = Table(spark, path, KEYED)
+    assert table.add(frame(spark, [])) == 0
+    assert table.exists() and table.read().count() == 0
 
 
 @pytest.fixture
 def delta(monkeypatch):
-    """The Delta client replaced by a recorder; the package itself is not installed here."""
-    package, module = ModuleType("delta"), ModuleType("delta.tables")
-    module.DeltaTable = MagicMock()
-    monkeypatch.setitem(sys.modules, "delta", package)
-    monkeypatch.setitem(sys.modules, "delta.tables", module)
-    from tidemark.sources import delta as target
-
-    monkeypatch.setattr(target, "DeltaTable", module.DeltaTable)
-    return module.DeltaTable
-
-
-def test_delta_tables_merge_on_the_keys(spark, delta):
-    delta.isDeltaTable.return_value = True
-    table = open_table(spark, "/t", fmt="delta")
-    table.upsert(frame(spark, [("a", 1), ("a", 2)]), ["k", "v"])
-    merge = delta.forPath.return_value.alias.return_value.merge
-    assert merge.call_args[0][1] == "s.`k` = t.`k` AND s.`v` = t.`v`"
-    chain = merge.return_value.withSchemaEvolution.return_value
-    chain.whenMatchedUpdateAll.return_value.whenNotMatchedInsertAll.return_value.execute.assert_called_once()
-
-
-def test_delta_deletes_compaction_and_expiry(spark, delta):
-    delta.isDeltaTable.return_value = True
-    table = open_table(spark, "/t", fmt="delta")
-    table.delete(frame(spark, [("a", 1)]), ["k"])
-    merge = delta.forPath.return_value.alias.return_value.merge.return_value
-    merge.whenMatchedDelete.return_value.execute.assert_called_once()
-    table.compact()
-    delta.forPath.return_value.optimize.return_value.executeCompaction.assert_called_once()
-    table.expire(3600)
-    delta.forPath.return_value.vacuum.assert_called_once_with(1.0)
-    spark.conf.unset("spark.databricks.delta.retentionDurationCheck.enabled")
-
-
-def test_delta_is_gated(spark):
-    from tidemark.sources import delta as target
-
-    if target.DeltaTable is None:
-        with pytest.raises(ImportError):
-            open_table(spark, "/t", fmt="delta")
+    """A stand-in for the Delta package, which is not available here."""
+    module, tables = ModuleType("delta"), ModuleType("delta.tables")
+    tables.DeltaTable = MagicMock()
+    monkeypatch.setitem(sys.modules, "delta", module)
+    monkeypatch.setitem(sys.modules, "delta.tables", tables)
+    monkeypatch.delitem(sys.modules, "tidemark.sources.delta", raising=False)
+    yield tables.DeltaTable
+    sys.modules.pop("tidemark.sources.delta", None)
+
+
+def test_delta_merges_unless_older(spark, path, delta, monkeypatch):
+    table = open_table(spark, path, Shape(keys=("k",), order=("n",)), "delta")
+    merged = delta.forPath.return_value.alias.return_value.merge.return_value.withSchemaEvolution.return_value
+    merged.whenMatchedUpdateAll.return_value.whenNotMatchedInsertAll.return_value.execute.side_effect = (
+        lambda: delta.forPath.return_value.alias.return_value.merge.call_args[0][0].collect()
+    )
+    table.add(frame(spark, [("a", 1), ("a", 2)], "k string, n int"))
+    assert delta.forPath.return_value.alias.return_value.merge.call_args[0][1] == "s.`k` = t.`k`"
+    assert "s.`n` >= t.`n`" in merged.whenMatchedUpdateAll.call_args[0][0]
+
+
+def test_delta_needs_its_package(spark, path):
+    with pytest.raises(ImportError):
+        open_table(spark, path, fmt="delta")

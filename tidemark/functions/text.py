@@ -105,7 +105,7 @@ def number_text(column: Column) -> Column:
         raw, lambda r: _let(_shortest(column, r), lambda short: _plain_or_exponent(column, short))
     )
     # the common case needs no second look: no exponent, too few digits to be wrong
-    usual = (size >= 1e-3) & (size < 1e7) & (F.length(raw) < 17)
+    usual = (size == 0) | (size >= 1e-3) & (size < 1e7) & (F.length(raw) < 17)
     return F.when(usual, raw).otherwise(exact)
 
 
@@ -135,8 +135,14 @@ def md5_key(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
 
 
 def joined_key(df: DataFrame, columns: Sequence[str]) -> Column:
-    """The ``-``-joined text of the named columns, unhashed."""
-    return F.concat_ws("-", *[value_text(F.col(f"`{n}`"), df.schema[n].dataType) for n in columns])
+    """The ``-``-joined text of the named columns, unhashed.
+
+    Of several columns, a ``-`` or ``\\`` within a value is escaped, so different rows have different keys.
+    """
+    parts = [value_text(F.col(f"`{n}`"), df.schema[n].dataType) for n in columns]
+    if len(parts) > 1:
+        parts = [F.regexp_replace(p, r"([\\-])", r"\\$1") for p in parts]
+    return F.concat_ws("-", *parts)
 
 
 def storage_url_parts(url: str | Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import base_name
+from tidemark.operators.joins import join_aggregated
 
 
 def catalog_rows(files: DataFrame, data_set_id: int | None = None) -> DataFrame:
@@ -31,6 +32,6 @@ def changed_files(catalog: DataFrame, state: DataFrame) -> DataFrame:
 
     ``state`` is (external_id, stored_time).  A time that moved backwards is a change as well.
     """
-    joined = catalog.join(state.select("external_id", "stored_time"), "external_id", "left")
+    joined = join_aggregated(catalog, state.select("external_id", "stored_time"), ["external_id"], "left")
     same = F.col("source_modified_time").eqNullSafe(F.col("stored_time"))
     return joined.where(~same).select(*catalog.columns)

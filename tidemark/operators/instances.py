@@ -1,18 +1,21 @@
 """Property-graph instances: flattening per view, routing, history and deletes.
 
 A change-feed row has the base fields, ``deletedTime``, optional endpoints, and ``properties``:
-a struct with one nullable struct per view, named after the view's external id.
+a struct with one nullable struct per view.  A view is known by space, external id and version; its
+struct is named after its external id, or, where views share one, as the view's ``named`` says.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.merge import append_evolving, delete_by_key
+from tidemark.operators.joins import join_aggregated
+from tidemark.operators.merge import append_evolving
 from tidemark.operators.scan import since
 
 BASE = ("space", "externalId", "version", "lastUpdatedTime", "createdTime")
@@ -28,22 +31,27 @@ class View:
     version: str = "1"
     used_for: str = "node"
     properties: tuple[str, ...] = field(default_factory=tuple)
+    named: str | None = None
 
     @property
     def table(self) -> str:
-        return f"{self.space}_{self.external_id}"
+        return f"{self.space}_{self.external_id}" if self.named is None else f"{self.space}_{self.named}"
 
     @property
     def data(self) -> str:
-        return f"properties.`{self.external_id}`"
+        return f"properties.`{self.named or self.external_id}`"
 
 
 def views_of(catalog: DataFrame, space: str) -> tuple[View, ...]:
     """The views of a space from the view catalog: (space, externalId, version, usedFor,
     properties).  A catalog has a row per view, and each becomes one lazy DataFrame."""
     rows = catalog.where(F.col("space") == space).orderBy("externalId", "version").collect()
+    shared = Counter(r["externalId"] for r in rows)
     return tuple(
-        View(r["space"], r["externalId"], r["version"], r["usedFor"], tuple(sorted(r["properties"])))
+        View(
+            r["space"], r["externalId"], r["version"], r["usedFor"], tuple(sorted(r["properties"])),
+            f"{r['externalId']}_{r['version']}" if shared[r["externalId"]] > 1 else None,
+        )
         for r in rows
     )
 
@@ -111,15 +119,16 @@ def split_deleted(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def routed(instances: DataFrame, views: Sequence[View]) -> DataFrame:
     """One row per destination: nodes once per view they have data in, edges to their space's
-    edge table.  A node without any view has no table and is left out."""
+    edge table.  A node without any view has a row without a table, so it is counted."""
+    node_views = [v for v in views if v.used_for != "edge"]
     node_tables = F.filter(
-        F.array(*[F.when(F.col(v.data).isNotNull(), F.lit(v.table)) for v in views]),
+        F.array(*[F.when(F.col(v.data).isNotNull(), F.lit(v.table)) for v in node_views]),
         lambda t: t.isNotNull(),
     )
     tables = F.when(
         F.col("instanceType") == "edge", F.array(F.concat(F.col("space"), F.lit("_edges")))
     ).otherwise(node_tables)
-    return instances.withColumn("table_name", F.explode(tables))
+    return instances.withColumn("table_name", F.explode_outer(tables))
 
 
 def route_counts(instances: DataFrame, views: Sequence[View]) -> DataFrame:
@@ -130,10 +139,29 @@ def route_counts(instances: DataFrame, views: Sequence[View]) -> DataFrame:
     )
 
 
+def flows(space: str, views: Sequence[View]) -> dict[str, Callable[[DataFrame], DataFrame]]:
+    """The tables of a space, and how the changes of its instances become rows of each."""
+    kind, own = F.col("instanceType"), F.col("space") == space
+    edge_views = [v for v in views if v.used_for == "edge"]
+
+    def nodes(view: View) -> Callable[[DataFrame], DataFrame]:
+        return lambda changes: flatten_nodes(changes.where((kind == "node") & own), view)
+
+    out = {v.table: nodes(v) for v in views if v.used_for != "edge"}
+    out[edge_table(space)] = lambda changes: flatten_edges(changes.where((kind == "edge") & own), edge_views)
+    return out
+
+
 def apply_batch(target: DataFrame, flat: DataFrame) -> DataFrame:
-    """A table after one batch: live rows are appended as history, then deleted ids go."""
+    """A table after one batch: live rows are appended as history, then deleted ids go.
+
+    A delete removes the versions changed up to its time; an id created again later stays, however
+    its changes are cut into batches.
+    """
     live, deleted = split_deleted(flat)
-    return delete_by_key(append_evolving(target, live), deleted)
+    until = deleted.groupBy("externalId").agg(F.max("deletedTime").alias("tm_until"))
+    rows = join_aggregated(append_evolving(target, live), until, ["externalId"], "left")
+    return rows.where(F.col("tm_until").isNull() | (F.col("lastUpdatedTime") > F.col("tm_until"))).drop("tm_until")
 
 
 def changes_since(instances: DataFrame, watermark: int | None, up_to: int | None = None) -> DataFrame:

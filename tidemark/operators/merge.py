@@ -37,12 +37,13 @@ def dedupe_last(
     a key holding a third of all rows still shuffles one row per task.  Rows with a null key
     identify nothing and are all kept, unless ``keep_null_keys`` is off.
     """
-    if keep_null_keys:
-        whole = df.where(~_any_null(keys))
-        return dedupe_last(whole, keys, order_by, False).unionByName(df.where(_any_null(keys)))
     rest = [c for c in df.columns if c not in keys]
+    if not keep_null_keys:
+        df = df.where(~_any_null(keys))
+    # a row that nothing identifies is a group of its own
+    own = F.when(_any_null(keys), F.monotonically_increasing_id())
     if not rest:
-        return df.distinct()
+        return df.withColumn("__own", own).distinct().drop("__own")
     ranked = list(order_by) + [
         c for c in rest if c not in order_by and _orderable(df.schema[c].dataType)
     ]
@@ -51,7 +52,7 @@ def dedupe_last(
     else:
         last = F.max_by(F.struct(*[_quoted(c) for c in rest]), F.struct(*[_quoted(c) for c in ranked]))
     return (
-        df.groupBy(*keys)
+        df.groupBy(*[_quoted(k) for k in keys], own.alias("__own"))
         .agg(last.alias("__last"))
         .select(*[_quoted(c) if c in keys else F.col(f"__last.`{c}`").alias(c) for c in df.columns])
     )
@@ -76,40 +77,24 @@ def upsert(
     keys: Sequence[str],
     order_by: Sequence[str] = (),
     drop: Sequence[str] = (),
-    unique_target: bool = True,
 ) -> DataFrame:
     """MERGE: matched rows take every source column, the others are inserted.
 
     Null keys match nothing, so such rows of both sides stay.  The source is reduced to its last
     row per key by ``order_by``; columns in ``drop`` only serve that order and are not stored.
-    When it carries every target column, a matched target row is replaced outright:
-    the target streams once through an anti join against the narrow, distinct source keys.
-    Columns only the target has survive a match, which needs the joined form; so does a target
-    that may hold a key several times (``unique_target=False``), where each copy is updated.
+    A key the source holds is held once afterwards, however often the target repeats it.
+
+    Rows of other keys stream through an anti join against the narrow, reduced source keys.  When
+    the source carries every target column, that is all; columns that only the target has survive
+    a match, for which the few matched target rows are joined to the source.
     No side is hinted for broadcast: Catalyst and AQE do so below their size threshold.
     """
     keys = list(keys)
     stored = [c for c in source.columns if c not in drop]
     src = dedupe_last(source, keys, order_by).select(*[_quoted(c) for c in stored])
-    if unique_target and set(target.columns) <= set(stored):
-        return append_evolving(delete_by_key(target, source, keys), src)
-
-    matchable = dedupe_last(source.where(~_any_null(keys)), keys, order_by, keep_null_keys=False)
-    shared = [c for c in stored if c in target.columns and c not in keys]
-    added = [c for c in stored if c not in target.columns]
-    incoming = matchable.select(
-        *keys,
-        F.struct(*[_quoted(c) for c in shared + added], F.lit(True).alias("__hit")).alias("__new"),
-    )
-    hit = F.col("__new.__hit")
-    updated = join_aggregated(target, incoming, keys, "left").select(
-        *[
-            F.when(hit, F.col(f"__new.`{c}`")).otherwise(_quoted(c)).alias(c) if c in shared else _quoted(c)
-            for c in target.columns
-        ],
-        *[F.col(f"__new.`{c}`").alias(c) for c in added],
-    )
-    # target keys the source holds: small when the source is, whatever the size of the target
-    named = source.select(*keys).distinct()
-    present = join_aggregated(target.select(*keys), named, keys, "left_semi").distinct()
-    return append_evolving(updated, join_aggregated(src, present, keys, "left_anti"))
+    kept = [c for c in target.columns if c not in stored]
+    untouched = delete_by_key(target, src, keys)
+    if kept:
+        matched = join_aggregated(target.select(*keys, *[_quoted(c) for c in kept]), src.select(*keys).distinct(), keys, "left_semi")
+        src = join_aggregated(src, dedupe_last(matched, keys, keep_null_keys=False), keys, "left")
+    return append_evolving(untouched, src)

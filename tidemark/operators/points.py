@@ -33,18 +33,12 @@ def prefix_ids(points: DataFrame, prefix: str) -> DataFrame:
     return points.withColumn("externalId", F.concat(F.lit(prefix), F.col("externalId")))
 
 
-def wide_ids(points: DataFrame, at_most: int = 1000) -> list[str]:
-    """The series ids of a frame narrow enough to be laid out wide; more of them is an error."""
-    ids = [r["externalId"] for r in points.select("externalId").distinct().limit(at_most + 1).collect()]
-    if len(ids) > at_most:
-        raise ValueError(f"more than {at_most} series do not fit a wide frame; keep the long form")
-    return sorted(i for i in ids if i is not None)
-
-
 def wide(points: DataFrame, ids: Sequence[str]) -> DataFrame:
     """One row per timestamp, one column per listed series.
 
-    Only for frames of known width: the long form is what tables store.  Aggregating with ``max``
-    rather than ``first`` keeps the result the same however rows arrive.
+    The caller names the series, however many; others are left out, and one without points is a
+    column of nulls.  The long form is what tables store.  Aggregating with ``max`` rather than
+    ``first`` keeps the result the same however rows arrive.
     """
-    return points.groupBy("timestamp").pivot("externalId", list(ids)).agg(F.max("value"))
+    columns = [F.max(F.when(F.col("externalId") == i, F.col("value"))).alias(i) for i in ids]
+    return points.groupBy("timestamp").agg(*columns)

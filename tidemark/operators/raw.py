@@ -12,6 +12,8 @@ from tidemark.functions.text import joined_key, md5_key
 from tidemark.functions.values import dates_to_strings, nan_to_null, nested_to_text
 
 RAW_FIXED = ("key", "last_updated_time")
+OTHER = "other_columns"
+ROW_KEY = "row_key"
 
 
 def column_names(rows: DataFrame) -> DataFrame:
@@ -19,28 +21,23 @@ def column_names(rows: DataFrame) -> DataFrame:
     return rows.select(F.explode(F.map_keys("columns")).alias("name")).distinct()
 
 
-def listed_names(rows: DataFrame, at_most: int = 10_000) -> list[str]:
-    """The names as a list for ``flatten_rows``; a table cannot have more columns than that."""
-    names = [r["name"] for r in column_names(rows).limit(at_most + 1).collect()]
-    if len(names) > at_most:
-        raise ValueError(f"more than {at_most} column names")
-    return sorted(names)
-
-
 def flatten_rows(rows: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """``columns`` promoted to real columns, plus ``key`` and ``last_updated_time``.
 
-    The fixed two win over promoted columns of the same name.  ``columns`` is a struct, or a map
-    whose names are given (see ``listed_names``).
+    The fixed two win over promoted columns of the same name.  ``columns`` is a struct, or a map:
+    of a map the declared ``names`` become columns, and whatever else it holds stays in a map
+    column ``other_columns`` (null where nothing is left), so rows may use any number of names.
     """
     dtype = rows.schema["columns"].dataType
     if isinstance(dtype, T.StructType):
         promoted = [F.col(f"columns.`{n}`").alias(n) for n in dtype.fieldNames() if n not in RAW_FIXED]
-    else:
-        if names is None:
-            raise ValueError("names are needed to promote the keys of a map column")
-        promoted = [F.col("columns")[n].alias(n) for n in names if n not in RAW_FIXED]
-    return rows.select(*promoted, *RAW_FIXED)
+        return rows.select(*promoted, *RAW_FIXED)
+    listed = [n for n in names or () if n not in RAW_FIXED]
+    promoted = [F.col("columns")[n].alias(n) for n in listed]
+    known = F.array(*[F.lit(n) for n in (*listed, *RAW_FIXED)])
+    other = F.map_filter("columns", lambda name, _: ~F.array_contains(known, name))
+    other = F.when(F.size(other) > 0, other).alias(OTHER)
+    return rows.select(*promoted, other, *RAW_FIXED)
 
 
 def export_rows(
@@ -48,12 +45,12 @@ def export_rows(
     key_fields: Sequence[str] | None = None,
     md5: bool = False,
 ) -> DataFrame:
-    """Lake rows as text-friendly RAW rows under a ``key`` column.
+    """Lake rows as text-friendly RAW rows, their key in a column ``row_key``.
 
-    Datetimes and nested values become text, NaN becomes null.  The key is the md5 of the key
+    A column ``key`` of the table is data like any other and stays.  Datetimes and nested values become text, NaN becomes null.  The key is the md5 of the key
     fields (all columns when none are named) with ``md5`` on, the joined key fields otherwise,
     and the md5 of all columns when neither is given: a row's position is no stable key.
     """
     clean = nan_to_null(dates_to_strings(nested_to_text(df)))
     key = joined_key(clean, key_fields) if key_fields and not md5 else md5_key(clean, key_fields)
-    return clean.withColumn("key", key)
+    return clean.withColumn(ROW_KEY, key)

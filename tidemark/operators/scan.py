@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.values import typed_watermark
 from tidemark.operators.joins import join_aggregated
@@ -30,54 +29,17 @@ def in_order(df: DataFrame, field: str, *tie_break: str) -> DataFrame:
     return df.orderBy(field, *tie_break)
 
 
-HISTOGRAM_BINS = 2048
-
-
-def _axis(field: str, dtype: T.DataType) -> Column | None:
-    """The field as a double that never decreases where the field increases."""
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(field).cast("timestamp")).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(field).cast("double")
-    return F.col(field).cast("double") if isinstance(dtype, T.NumericType) else None
-
-
-def _reached(counts: DataFrame, order: str, value: str, size: int) -> Column:
-    """The first ``value``, going through the few counts in order, by which ``size`` rows are had."""
-    enough = F.sum("n").over(Window.orderBy(order)) >= size
-    running = counts.select(value, enough.alias("enough"))
-    first = F.min(F.when(F.col("enough"), F.col(value)))
-    return running.agg(F.coalesce(first, F.max(value))).scalar()
-
-
-def _batch_end(values: DataFrame, field: str, size: int) -> Column:
-    """The ``size``-th smallest value, as a scalar subquery.
-
-    A plain top-n would send ``size`` rows of every scan task to a single one.  Instead a
-    histogram of the column narrows it to the bins that hold the batch, equal values are counted
-    where they are read, and only the ``size`` smallest distinct ones meet in one task.
-    """
-    axis = _axis(field, values.schema[field].dataType)
-    if axis is not None:
-        low, high = (values.agg(f(axis)).scalar() for f in (F.min, F.max))
-        place = F.try_divide((axis - low) * HISTOGRAM_BINS, high - low)
-        bins = values.groupBy(F.coalesce(F.floor(place), F.lit(0)).alias("bin")).agg(
-            F.count(F.lit(1)).alias("n"), F.max(field).alias("top")
-        )
-        values = values.where(F.col(field) <= _reached(bins, "bin", "top", size))
-    counts = values.groupBy(field).agg(F.count(F.lit(1)).alias("n")).orderBy(field).limit(size)
-    return _reached(counts, field, field, size)
-
-
 def next_batch(df: DataFrame, field: str, size: int, watermark: object = None) -> DataFrame:
     """The first ``size`` rows after the watermark, with every tie of the last one.
 
     A batch that cut between equal values would lose the rest of them: the next run starts
-    strictly above the value reached here.  The end is pushed to the scan as a plain ``<=``.
+    strictly above the value reached here.  Two scans: a top-n of the one column (``size`` is what the
+    caller is ready to take at once), and the rows, with the end pushed down as a plain ``<=``.  To
+    go through a whole table batch by batch, follow it as a stream.
     """
     rows = since(df, field, watermark)
-    values = rows.select(field).where(F.col(field).isNotNull())
-    within = F.col(field) <= _batch_end(values, field, size)
+    first = rows.select(field).where(F.col(field).isNotNull()).orderBy(field).limit(size)
+    within = F.col(field) <= first.agg(F.max(field)).scalar()
     if typed_watermark(watermark, df.schema[field].dataType) is None:
         # a null never exceeds a watermark, so the first load is its only chance
         within = within | F.col(field).isNull()
@@ -85,9 +47,9 @@ def next_batch(df: DataFrame, field: str, size: int, watermark: object = None) -
 
 
 def events_since(events: DataFrame, last_created: int | Column | None, data_set: str) -> DataFrame:
-    """Events of one data set created at ``last + 1`` or later (from 1 on the first run)."""
+    """Events of one data set created at ``last + 1`` or later (from 1 on the first run), oldest first."""
     bound = F.coalesce(F.lit(last_created).cast("long"), F.lit(0)) + 1
-    return events.where((F.col("createdTime") >= bound) & (F.col("dataSet") == data_set))
+    return events.where((F.col("createdTime") >= bound) & (F.col("dataSet") == data_set)).orderBy("createdTime")
 
 
 def series_since(points: DataFrame, watermarks: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from tidemark.functions.text import datetime_text, parse_datetime
 
 SIDES = ("low", "high")
+#: The stored text of a state that was set back.
+CLEARED = ""
 
 
 def value_text(column: Column, dtype: T.DataType) -> Column:
@@ -72,7 +74,8 @@ def latest(history: DataFrame, order: str = "seq") -> DataFrame:
         c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c)
         for c in ("low", "high", "value_type")
     }
-    return history.groupBy("state_id").agg(*newest.values())
+    rows = history.groupBy("state_id").agg(*newest.values())
+    return rows.select("state_id", *[F.nullif(F.col(c), F.lit(CLEARED)).alias(c) for c in SIDES], "value_type")
 
 
 def advance(states: DataFrame, new: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
@@ -19,12 +19,12 @@ class RunLog:
         self.table = table
 
     def write_all(self, entries: Iterable[tuple[str, str, int | None, str]]) -> None:
-        """Append (pipeline, status, rows, message) entries in one commit."""
+        """Append (pipeline, status, rows, message) entries; any number of jobs may do so at once."""
         now = datetime.now(timezone.utc)
         rows = [(pipeline, status, message, count, now) for pipeline, status, count, message in entries]
         if any(status not in STATUSES for _, status, *_ in rows):
             raise ValueError(f"status must be one of {STATUSES}")
-        self.table.append(self.table.spark.createDataFrame(rows, RUN_LOG))
+        self.table.add(self.table.spark.createDataFrame(rows, RUN_LOG))
 
     def write(self, pipeline: str, status: str, rows: int | None = None, message: str = "") -> None:
         self.write_all([(pipeline, status, rows, message)])
@@ -35,23 +35,24 @@ class RunLog:
     def success(self, pipeline: str, rows: int, what: str) -> None:
         self.write(pipeline, "success", rows, f"{rows} {what}")
 
+    def runs(self, pipelines: Sequence[str]) -> dict[str, int]:
+        """How often each pipeline has written, read in one go."""
+        if not self.table.exists():
+            return dict.fromkeys(pipelines, 0)
+        mine = F.col("pipeline").isin(list(pipelines)) & (F.col("status") == "success")
+        counts = self.table.read().where(mine).groupBy("pipeline").count().collect()
+        return dict.fromkeys(pipelines, 0) | {r["pipeline"]: r["count"] for r in counts}
+
     @contextmanager
     def watching(self, pipeline: str) -> Iterator[None]:
         """Log a failure and let it through."""
         try:
             yield
         except Exception as error:
-            self.write(pipeline, "failure", message=f"{type(error).__name__}: {error}"[:2000])
+            self.write(pipeline, "failure", message=f"{type(error).__name__}: {error}")
             raise
 
 
-def written_counts(df: DataFrame, *by: str) -> DataFrame:
-    """Rows written per group with the message the log carries."""
-    counted = df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))
-    message = F.concat(F.col("rows").cast("string"), F.lit(" rows written"))
-    return counted.withColumn("status", F.lit("success")).withColumn("message", message)
-
-
 def counters(log: DataFrame) -> DataFrame:
     """Per pipeline: runs that wrote, runs that failed, rows written in all."""
     succeeded = F.col("status") == "success"

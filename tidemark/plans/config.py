@@ -1,4 +1,4 @@
-"""Job parameters."""
+"""Job parameters, and the shapes of the tables that jobs keep."""
 
 from __future__ import annotations
 
@@ -7,6 +7,18 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 from tidemark.operators.instances import View
+from tidemark.operators.points import POINT_KEYS
+from tidemark.sources.tables import Shape
+
+#: The point with the highest cursor counts, however a feed's pages were cut into batches.
+POINTS = Shape(keys=POINT_KEYS, order=("cursor",), hidden=("cursor",), day="timestamp")
+SERIES = Shape(keys=("externalId",))
+RAW_ROWS = Shape(keys=("key",), order=("last_updated_time",))
+INSTANCES = Shape(gone=("externalId", "lastUpdatedTime", "deletedTime"))
+FILES = Shape(keys=("external_id",))
+OUT_POINTS = Shape(keys=POINT_KEYS, day="timestamp")
+OUT_EVENTS = Shape(keys=("externalId",), order=("__order",), hidden=("__order",))
+
 
 @dataclass(frozen=True)
 class Subscription:
@@ -32,14 +44,12 @@ class Space:
     space: str
     views: tuple[View, ...]
     tables: str
-    buckets: int = 64
 
 
 @dataclass(frozen=True)
 class EventFeed:
     table: str
     data_set: str
-    batch_size: int | None = None
 
 
 @dataclass(frozen=True)
@@ -48,8 +58,6 @@ class RawFeed:
     table_name: str
     table: str
     columns: tuple[str, ...] | None = None
-    batch_size: int | None = None
-    buckets: int = 64
 
     @property
     def state_id(self) -> str:
@@ -68,6 +76,10 @@ class RawExport:
     def state_id(self) -> str:
         return f"raw/{self.db_name}/{self.table_name}"
 
+    @property
+    def shape(self) -> Shape:
+        return Shape(keys=("row_key",), order=(self.incremental_field,) if self.incremental_field else ())
+
 
 @dataclass(frozen=True)
 class Destination:
@@ -76,4 +88,3 @@ class Destination:
     tables: str
     series_prefix: str = ""
     data_set_id: int | None = None
-    buckets: int = 64

@@ -2,14 +2,15 @@
 
 Every incremental job reads its upper bound before it copies anything: rows are taken from
 ``(watermark, bound]``, written, and only then does the bound become the watermark.  Rows that
-arrive meanwhile are above the bound and wait for the next run.
+arrive meanwhile are above the bound and wait for the next run.  A run writes the batch named after
+the watermark it starts from, so a run that failed half-way is replaced by the next one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from contextlib import nullcontext
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,13 +23,14 @@ from tidemark.operators import raw as raw_ops
 from tidemark.operators import scan
 from tidemark.operators import series as series_ops
 from tidemark.operators import watermark as marks
+from tidemark.plans import config
 from tidemark.plans.audit import RunLog
 from tidemark.plans.config import Destination, EventFeed, RawExport, RawFeed, Space, Subscription
 from tidemark.plans.state import Watermarks
 from tidemark.session import apply_settings
-from tidemark.sources.feeds import list_files, stream_feed
-from tidemark.sources.tables import Layout, open_table
-from tidemark.streaming.handlers import events_handler, points_handler, raw_handler
+from tidemark.sources.feeds import stream_feed
+from tidemark.sources.tables import Shape, open_table
+from tidemark.streaming.handlers import events_handler, kept, points_handler, raw_handler
 from tidemark.streaming.run import start
 
 EVENT_STATE = "event_state"
@@ -42,8 +44,8 @@ class Jobs:
         self.states = Watermarks(self.table(f"{self.home}/watermarks"))
         self.log = RunLog(self.table(f"{self.home}/run_log"))
 
-    def table(self, path: str, layout: Layout | None = None):
-        return open_table(self.spark, path, layout, self.fmt)
+    def table(self, path: str, shape: Shape | None = None):
+        return open_table(self.spark, path, shape, self.fmt)
 
     # ---- feeds into the lake -----------------------------------------------------------------
 
@@ -54,7 +56,7 @@ class Jobs:
         assets: DataFrame,
         poll_seconds: float | None = None,
     ) -> list:
-        """Stream each subscription's feed into its points and series tables."""
+        """Stream each subscription's feed into its points and series tables, all at once."""
         queries = []
         for sub in subscriptions:
             feed = stream_feed(
@@ -66,9 +68,9 @@ class Jobs:
                 partitions=sub.partitions,
             )
             apply = points_handler(
-                self.table(sub.points_table, Layout.by_day("timestamp")),
+                self.table(sub.points_table, config.POINTS),
                 sub.external_id,
-                self.table(sub.series_table, Layout.by_bucket("externalId", 16)),
+                self.table(sub.series_table, config.SERIES),
                 series,
                 assets,
                 self.log,
@@ -81,65 +83,52 @@ class Jobs:
         return queries
 
     def replicate_events(self, events: DataFrame, feed: EventFeed) -> int:
-        """Append the events created since the last run, then compact when any were."""
-        table, total = self.table(feed.table), 0
+        """Append the events created since the last run."""
+        table = self.table(feed.table)
         with self.log.watching(EVENT_STATE):
-            while True:
-                # the table knows of an append whose watermark a crash kept from being stored
-                done = table.last_transaction(EVENT_STATE)
-                last = max((int(v) for v in (self.states.get(EVENT_STATE, "high"), done) if v), default=None)
-                rows = scan.events_since(events, last, feed.data_set)
-                if feed.batch_size:
-                    rows = scan.next_batch(rows, "createdTime", feed.batch_size)
-                bound, count = _bound(rows, "createdTime")
-                if not count:
-                    break
-                rows = scan.since(rows, "createdTime", up_to=bound)
-                table.append(event_ops.metadata_as_json(rows), (EVENT_STATE, int(bound)))
-                self.states.set_value(EVENT_STATE, bound, "high")
-                self.log.success(EVENT_STATE, count, "events written to the table")
-                total += count
-            if total:
-                table.compact()
-            else:
+            last = self.states.get(EVENT_STATE, "high")
+            rows = scan.events_since(events, int(last) if last else None, feed.data_set)
+            bound, count = _bound(rows, "createdTime")
+            if not count:
                 self.log.seen(EVENT_STATE)
-        return total
+                return 0
+            rows = scan.since(rows, "createdTime", up_to=bound)
+            count = table.add(event_ops.metadata_as_json(rows), self._batch(EVENT_STATE, EVENT_STATE, last))
+            self.states.set_value(EVENT_STATE, bound, "high")
+            self.log.success(EVENT_STATE, count, "events written to the table")
+        return count
 
     def stream_events(self, landing: str, schema, feed: EventFeed, poll_seconds: float | None = None):
         """The streaming form of ``replicate_events`` over landed files."""
         events = stream_feed(self.spark, landing, schema)
         events = events.where(F.col("dataSet") == feed.data_set)
-        apply = events_handler(self.table(feed.table), EVENT_STATE, self.log, compact=True)
+        apply = events_handler(self.table(feed.table), EVENT_STATE, self.log)
         query = start(events, apply, f"{self.home}/checkpoints/{EVENT_STATE}", poll_seconds)
         if poll_seconds is None:
             query.awaitTermination()
         return query
 
     def replicate_raw(self, rows: DataFrame, feed: RawFeed) -> int:
-        """Upsert the RAW rows updated since the last run, batch by batch until none are left."""
-        table, total = self.table(feed.table, Layout.by_bucket("key", feed.buckets)), 0
+        """Add the RAW rows updated since the last run under their key."""
+        table = self.table(feed.table, config.RAW_ROWS)
         with self.log.watching(feed.state_id):
-            while True:
-                last = self.states.get(feed.state_id)
-                if feed.batch_size:
-                    fresh = scan.next_batch(rows, "last_updated_time", feed.batch_size, last)
-                else:
-                    fresh = scan.since(rows, "last_updated_time", last)
-                bound, count = _bound(fresh, "last_updated_time")
-                if not count:
-                    break
-                table.upsert(raw_ops.flatten_rows(fresh, feed.columns), ["key"], ["last_updated_time"])
-                total += count
-                self._commit_bound(feed.state_id, bound)
-                self.log.success(feed.state_id, count, "rows written to the table")
-                if self.states.get(feed.state_id) == last:
-                    break  # rows without an update time move no watermark
-        return total
+            last = self.states.get(feed.state_id)
+            fresh = scan.since(rows, "last_updated_time", last)
+            bound, count = _bound(fresh, "last_updated_time")
+            if not count:
+                return 0
+            if bound is not None:
+                within = scan.since(fresh, "last_updated_time", up_to=bound)
+                # the first run also takes rows without a time; no later run could
+                fresh = within if last else within.unionByName(fresh.where(F.col("last_updated_time").isNull()))
+            count = table.add(raw_ops.flatten_rows(fresh, feed.columns), self._batch(feed.state_id, feed.state_id, last))
+            self._commit_bound(feed.state_id, bound)
+            self.log.success(feed.state_id, count, "rows written to the table")
+        return count
 
     def stream_raw(self, landing: str, schema, feed: RawFeed, poll_seconds: float | None = None):
         rows = stream_feed(self.spark, landing, schema)
-        table = self.table(feed.table, Layout.by_bucket("key", feed.buckets))
-        apply = raw_handler(table, feed.state_id, feed.columns, self.log)
+        apply = raw_handler(self.table(feed.table, config.RAW_ROWS), feed.state_id, feed.columns, self.log)
         query = start(rows, apply, f"{self.home}/checkpoints/{feed.state_id}", poll_seconds)
         if poll_seconds is None:
             query.awaitTermination()
@@ -150,86 +139,69 @@ class Jobs:
     ) -> None:
         """Bring every view table of a space, and its edge table, up to date.
 
-        A view without a watermark starts from the snapshot (the change feed itself when none is
-        given), taking the feed's position first; later runs follow the feed up to their start.
+        A flow without a watermark takes the snapshot and starts from its newest change (from the
+        change feed's beginning when none is given); later runs follow the feed up to their start.
+        A watermark never moves back.  The changes of a later run are read once and held for all tables.
         """
-        nodes = [v for v in space.views if v.used_for != "edge"]
-        edge_views = [v for v in space.views if v.used_for == "edge"]
-        kind = F.col("instanceType")
-        flows = {
-            f"state_{space.space}_{v.external_id}_{v.version}": (
-                v.table,
-                lambda df, view=v: graph.flatten_nodes(df.where(kind == "node"), view),
-            )
-            for v in nodes
-        }
-        flows[f"state_{space.space}_edges"] = (
-            graph.edge_table(space.space),
-            lambda df: graph.flatten_edges(
-                df.where((kind == "edge") & (F.col("space") == space.space)), edge_views
-            ),
-        )
-        bound, _ = _bound(graph.changes_since(changes, None, run_start), "lastUpdatedTime")
-        if bound is None and snapshot is not None:
-            bound, _ = _bound(snapshot, "lastUpdatedTime")
-        stored = self.states.get_all(list(flows), "high")
+        flows = graph.flows(space.space, space.views)
+        state_ids = {name: f"state_{space.space}_{name}" for name in flows}
+        stored = self.states.get_all(list(state_ids.values()), "high")
+        last = {name: None if stored[s] is None else int(stored[s]) for name, s in state_ids.items()}
+        fresh = [name for name in flows if last[name] is None and snapshot is not None]
+        follow = [name for name in flows if name not in fresh]
+        runs = self.log.runs(list(state_ids.values()))
         reached, entries = {}, []
-        for state_id, (name, flatten) in flows.items():
-            with self.log.watching(state_id):
-                path = f"{space.tables}/{name}"
-                table = self.table(path, Layout.by_bucket("externalId", space.buckets))
-                last = None if stored[state_id] is None else int(stored[state_id])
-
-                def batch(up_to, last):
-                    first = last is None and snapshot is not None
-                    return snapshot if first else graph.changes_since(changes, last, up_to)
-
-                appended = table.last_transaction(state_id)
-                if appended is not None and (last is None or appended > last):
-                    # the previous run stopped between its append and its watermark
-                    _delete_gone(table, flatten(batch(appended, last)))
-                    reached[state_id] = last = appended
-                if bound is None or last == int(bound):
-                    entries.append((state_id, "seen", None, ""))
-                    continue
-                flat = flatten(batch(int(bound), last))
-                live, _ = graph.split_deleted(flat)
-                written = live.count()
-                if written:
-                    table.append(live, (state_id, int(bound)))
-                _delete_gone(table, flat)
-                reached[state_id] = bound
-                entries.append((state_id, "success", written, f"{written} instances written"))
+
+        def load(rows: DataFrame, names: list[str], lowest: int | None) -> None:
+            # a first load is read per table, as little of it as each needs, rather than held
+            rows = scan.since(rows, "lastUpdatedTime", lowest)
+            with nullcontext(rows) if lowest is None else kept(rows) as held:
+                bound, _ = _bound(held, "lastUpdatedTime")
+                for name in names:
+                    state_id = state_ids[name]
+                    with self.log.watching(state_id):
+                        if bound is None or (last[name] is not None and int(bound) <= last[name]):
+                            entries.append((state_id, "seen", None, ""))
+                            continue
+                        flat = flows[name](scan.since(held, "lastUpdatedTime", last[name]))
+                        batch = (state_id, f"{runs[state_id]}-{last[name] or 'first'}")
+                        count = self.table(f"{space.tables}/{name}", config.INSTANCES).add(flat, batch)
+                        reached[state_id] = bound
+                        entries.append((state_id, "success", count, f"{count} instances written"))
+
+        if fresh:
+            load(snapshot, fresh, None)
+        if follow:
+            known = [last[name] for name in follow]
+            load(graph.changes_since(changes, None, run_start), follow, None if None in known else min(known))
         self.states.set_values(reached, "high")
         self.log.write_all(entries)
 
     # ---- lake tables out ---------------------------------------------------------------------
 
     def export_points(self, points: DataFrame, path: str, to: Destination) -> int:
-        """Upsert each series' points newer than its watermark under the prefixed id.
+        """Add each series' points newer than its watermark under the prefixed id.
 
-        Series the destination lacks are created first.  One watermark per series, after the write.
+        One pass over the points writes them; what was written then tells which series the
+        destination lacks and how far each series came.  One watermark per series, at the end, so a
+        run that stops before it is repeated whole.
         """
         with self.log.watching(path):
             fresh = scan.series_since(points, marks.series_bounds(self.states.frame(), path))
-            # one row per series: everything but the points themselves follows from it
-            per_series = fresh.groupBy("externalId").agg(
-                F.max("timestamp").alias("timestamp"), F.count(F.lit(1)).alias("rows")
-            ).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                count = per_series.agg(F.sum("rows")).first()[0] or 0
-                if not count:
-                    self.log.seen(path)
-                    return 0
-                series = self.table(f"{to.tables}/series", Layout.by_bucket("externalId", to.buckets))
+            target = self.table(f"{to.tables}/points", config.OUT_POINTS)
+            batch = self._batch(path, path)
+            count = target.add(point_ops.prefix_ids(fresh, to.series_prefix), batch)
+            if not count:
+                self.log.seen(path)
+                return 0
+            written = target.read_batch(batch)
+            latest = written.groupBy("externalId").agg(F.max("timestamp").alias("timestamp"))
+            with kept(latest) as latest:
+                series = self.table(f"{to.tables}/series", config.SERIES)
                 known = series.read() if series.exists() else self._empty("externalId string")
-                named = point_ops.prefix_ids(per_series, to.series_prefix)
-                series.upsert(series_ops.missing_series(named, known, to.data_set_id), ["externalId"])
-                target = self.table(f"{to.tables}/points", Layout.by_day("timestamp"))
-                target.upsert(point_ops.prefix_ids(fresh, to.series_prefix), point_ops.POINT_KEYS)
-                self.states.set(marks.series_watermark(per_series, path))
-            finally:
-                per_series.unpersist()
+                series.add(series_ops.missing_series(latest, known, to.data_set_id), batch)
+                own = F.substr("externalId", F.lit(len(to.series_prefix) + 1))
+                self.states.set(marks.series_watermark(latest.withColumn("externalId", own), path))
             self.log.success(path, count, "points inserted")
             return count
 
@@ -242,107 +214,88 @@ class Jobs:
         incremental_field: str | None = None,
         strict: bool = False,
     ) -> int:
-        """Upsert the lake's new events by external id, asset references resolved.
+        """Add the lake's new events under their external id, asset references resolved.
 
-        A reference to an unknown asset is skipped, or with ``strict`` fails the run.
+        A reference to an unknown asset is skipped, or with ``strict`` fails the run, all of them
+        listed in the table ``unknown_assets`` of the destination.
         """
         state_id = f"{path}-state"
         with self.log.watching(path):
-            fresh, bound, count = self._fresh(events, incremental_field, state_id)
-            if not count:
-                self.log.seen(path)
-                return 0
+            fresh, bound, last = self._fresh(events, incremental_field, state_id)
+            batch = self._batch(path, state_id, last)
             shaped = event_ops.event_rows(fresh, to.data_set_id, incremental_field or "startTime")
             if strict:
-                unknown = event_ops.unknown_assets(shaped, assets).take(10)
+                misses = self.table(f"{to.tables}/unknown_assets")
+                unknown = misses.add(event_ops.unknown_assets(shaped, assets), batch)
                 if unknown:
-                    raise LookupError(f"no such assets: {[r['externalId'] for r in unknown]}")
+                    raise LookupError(f"{unknown} references to assets that do not exist, see {misses.path}")
             rows = event_ops.resolve_assets(shaped, assets)
-            target = self.table(f"{to.tables}/events", Layout.by_bucket("externalId", to.buckets))
-            target.upsert(rows, ["externalId"], ["__order"], ["__order"])
+            target = self.table(f"{to.tables}/events", config.OUT_EVENTS)
+            count = target.add(rows, batch)
+            if not count:
+                self.log.seen(path)
+                return 0
             self._commit_bound(state_id, bound)
             self.log.success(path, count, "events inserted")
             return count
 
     def export_raw(self, df: DataFrame, spec: RawExport, to: Destination) -> int:
-        """Upsert the table's new rows as RAW rows under their key."""
+        """Add the table's new rows as RAW rows under their key."""
         with self.log.watching(spec.state_id):
-            fresh, bound, count = self._fresh(df, spec.incremental_field, spec.state_id)
+            fresh, bound, last = self._fresh(df, spec.incremental_field, spec.state_id)
+            rows = raw_ops.export_rows(fresh, spec.key_fields, spec.md5_key)
+            target = self.table(f"{to.tables}/{spec.db_name}/{spec.table_name}", spec.shape)
+            count = target.add(rows, self._batch(spec.state_id, spec.state_id, last))
             if not count:
                 self.log.seen(spec.state_id)
                 return 0
-            rows = raw_ops.export_rows(fresh, spec.key_fields, spec.md5_key)
-            order = [spec.incremental_field] if spec.incremental_field else []
-            target = self.table(
-                f"{to.tables}/{spec.db_name}/{spec.table_name}", Layout.by_bucket("key", to.buckets)
-            )
-            target.upsert(rows, ["key"], order)
             self._commit_bound(spec.state_id, bound)
             self.log.success(spec.state_id, count, f"rows inserted to {spec.table_name}")
             return count
 
-    def export_files(self, folder: str, to: Destination, content: bool = False) -> int:
-        """Upsert the catalog rows (on request the bytes) of new and changed files of a folder."""
-        with self.log.watching(folder):
-            listing = file_ops.catalog_rows(list_files(self.spark, folder, content), to.data_set_id)
-            target = self.table(f"{to.tables}/files", Layout.by_bucket("external_id", to.buckets))
+    def export_files(self, files: DataFrame, name: str, to: Destination) -> int:
+        """Add the catalog rows (the bytes, where given) of new and changed ones of the listed files.
+
+        ``files`` is a listing (path, modificationTime, length[, content]), such as ``list_files``
+        makes of a folder or a table of pages holds.
+        """
+        with self.log.watching(name):
+            listing = file_ops.catalog_rows(files, to.data_set_id)
+            target = self.table(f"{to.tables}/files", config.FILES)
             stored = target.read() if target.exists() else self._empty(schemas.FILES)
             state = stored.select("external_id", F.col("source_modified_time").alias("stored_time"))
-            changed = file_ops.changed_files(listing, state)
-            count = changed.count()
+            count = target.add(file_ops.changed_files(listing, state), self._batch(name, name))
             if count:
-                target.upsert(changed, ["external_id"])
-                self.log.success(folder, count, f"files uploaded from {folder}")
+                self.log.success(name, count, f"files uploaded from {name}")
             return count
 
+    def _batch(self, pipeline: str, writer: str, last: object = None) -> tuple[str, str]:
+        """The batch a run writes: another one once the pipeline has logged a success or moved its watermark."""
+        return writer, f"{self.log.runs([pipeline])[pipeline]}-{last or 'first'}"
+
     def _empty(self, schema) -> DataFrame:
         return self.spark.createDataFrame([], schema)
 
-    def _fresh(self, df: DataFrame, field: str | None, state_id: str) -> tuple[DataFrame, object, int]:
-        """(rows of this run, their upper bound, how many); everything without a field."""
+    def _fresh(self, df: DataFrame, field: str | None, state_id: str) -> tuple[DataFrame, object, object]:
+        """(rows of this run, their upper bound, the watermark they start from); everything without a field."""
         if not field:
-            return df, None, df.count()
+            return df, None, None
         watermark = self.states.get(state_id)
         rows = scan.since(df, field, watermark)
-        bound, count = _bound(rows, field)
+        bound, _ = _bound(rows, field)
         within = rows if bound is None else scan.since(rows, field, up_to=bound)
         if watermark is None and bound is not None:
             # the first run also takes rows without a value; no later run could
             within = within.unionByName(rows.where(F.col(field).isNull()))
-        return within, bound, count
+        return within, bound, watermark
 
     def _commit_bound(self, state_id: str, bound: object) -> None:
         if bound is not None:
             self.states.set_value(state_id, bound)
 
-    # ---- maintenance -------------------------------------------------------------------------
-
-    def maintain(self, paths: Iterable[str]) -> dict[str, object]:
-        """Compact and expire each table; one that fails is logged and the sweep goes on."""
-        outcome: dict[str, object] = {}
-        for path in [*paths, f"{self.home}/watermarks", f"{self.home}/run_log"]:
-            try:
-                table = self.table(path)
-                if path == self.states.table.path:
-                    self.states.fold()
-                outcome[path] = table.compact()
-                table.expire()
-            except Exception as error:
-                outcome[path] = error
-                self.log.write("maintenance", "failure", message=f"{path}: {error}"[:2000])
-        return outcome
-
     def space_tables(self, space: Space) -> list[str]:
         """Table paths of a space, its edge table included."""
-        names = [v.table for v in space.views if v.used_for != "edge"]
-        return [f"{space.tables}/{n}" for n in [*names, graph.edge_table(space.space)]]
-
-
-def _delete_gone(table, flat: DataFrame) -> None:
-    """Delete the ids of the deleted instances among the rows, when there are any."""
-    _, deleted = graph.split_deleted(flat)
-    if not deleted.isEmpty():
-        table.delete(deleted)
+        return [f"{space.tables}/{name}" for name in graph.flows(space.space, space.views)]
 
 
 def _bound(df: DataFrame, field: str) -> tuple[str | None, int]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -18,7 +19,7 @@ class Watermarks:
     """Watermark rows in a table; set only after the sink of a run has committed.
 
     A setting is appended with a running number, so it costs what it sets, not what is stored,
-    and the newest one counts.  ``fold`` drops the settings that were overtaken.
+    and the newest one counts.  Clearing a state sets it to nothing: the next run starts over.
     """
 
     def __init__(self, table) -> None:
@@ -42,8 +43,11 @@ class Watermarks:
         return self.get_all([state_id], side)[state_id]
 
     def set(self, new: DataFrame) -> None:
-        seq = (self._history().agg(F.max("seq")).first()[0] or 0) + 1
-        self.table.append(marks.set_rows(new).withColumn("seq", F.lit(seq).cast("long")))
+        self._append(marks.set_rows(new))
+
+    def _append(self, rows: DataFrame) -> None:
+        # the clock orders settings of one state, which only one job makes
+        self.table.add(rows.withColumn("seq", F.lit(time.time_ns())))
 
     def set_values(self, values: Mapping[str, object], side: str = "low") -> None:
         rows = [
@@ -57,7 +61,7 @@ class Watermarks:
     def set_value(self, state_id: str, value: object, side: str = "low") -> None:
         self.set_values({state_id: value}, side)
 
-    def fold(self) -> None:
-        """Keep the newest setting of each state only."""
-        if self.table.exists():
-            self.table.overwrite(self.frame().withColumn("seq", F.lit(0).cast("long")))
+    def clear(self, state_id: str) -> None:
+        """Forget a state, so that its job reads everything again."""
+        rows = [(state_id, marks.CLEARED, marks.CLEARED, None)]
+        self._append(self.table.spark.createDataFrame(rows, WATERMARKS))

@@ -1,5 +1,5 @@
-"""Where tables, feeds and files are read from and written to."""
+"""Where tables and feeds are read from and written to."""
 
-from tidemark.sources.tables import Layout, ParquetTable, open_table
+from tidemark.sources.tables import Shape, Table, open_table
 
-__all__ = ["Layout", "ParquetTable", "open_table"]
+__all__ = ["Shape", "Table", "open_table"]

@@ -1,12 +1,14 @@
-"""The same table operations on Delta Lake, where MERGE, OPTIMIZE and VACUUM are built in."""
+"""The same table operations on Delta Lake, where MERGE and transactions are built in."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators import merge
+from tidemark.sources.tables import Shape
 
 try:
     from delta.tables import DeltaTable
@@ -15,67 +17,53 @@ except ImportError:  # pragma: no cover - depends on the cluster
 
 
 class DeltaLakeTable:
-    def __init__(self, spark: SparkSession, path: str) -> None:
+    """Keyed rows are merged, deletes applied and other rows appended when they are written."""
+
+    def __init__(self, spark: SparkSession, path: str, shape: Shape | None = None) -> None:
         if DeltaTable is None:
             raise ImportError("the delta-spark package is not installed")
-        self.spark, self.path = spark, path
+        self.spark, self.path, self.shape = spark, path, shape or Shape()
 
     def exists(self) -> bool:
         return DeltaTable.isDeltaTable(self.spark, self.path)
 
-    def read(self, parts: Sequence[str] | None = None, at_least: str | None = None) -> DataFrame:
-        """The table; file statistics prune what partition arguments prune elsewhere."""
-        return self.spark.read.format("delta").load(self.path)
-
-    def last_transaction(self, writer: str) -> int | None:
-        """Not readable through the public API; Delta itself skips a repeated transaction."""
-        return None
+    def read(self, at_least: str | None = None) -> DataFrame:
+        """The table; file statistics prune what days prune elsewhere."""
+        rows = self.spark.read.format("delta").load(self.path).drop(*self.shape.hidden)
+        if at_least is None or not self.shape.day:
+            return rows
+        return rows.where(F.col(self.shape.day) >= F.lit(at_least))
 
-    def append(self, df: DataFrame, transaction: tuple[str, int] | None = None) -> None:
-        writer = df.write.format("delta").mode("append").option("mergeSchema", "true")
-        if transaction:
-            writer = writer.option("txnAppId", transaction[0]).option("txnVersion", transaction[1])
+    def _append(self, rows: DataFrame, batch: tuple[str, object] | None) -> None:
+        writer = rows.write.format("delta").mode("append").option("mergeSchema", "true")
+        if batch and isinstance(batch[1], int):  # Delta skips a transaction it has
+            writer = writer.option("txnAppId", batch[0]).option("txnVersion", batch[1])
         writer.save(self.path)
 
-    def upsert(
-        self,
-        source: DataFrame,
-        keys: Sequence[str],
-        order_by: Sequence[str] = (),
-        drop: Sequence[str] = (),
-        transaction: tuple[str, int] | None = None,
-    ) -> None:
-        rows = merge.dedupe_last(source, keys, order_by).drop(*drop)
-        if not self.exists():
-            self.append(rows, transaction)
-            return
-        condition = " AND ".join(f"s.`{k}` = t.`{k}`" for k in keys)
-        (
-            DeltaTable.forPath(self.spark, self.path)
-            .alias("t")
-            .merge(rows.alias("s"), condition)
-            .withSchemaEvolution()
-            .whenMatchedUpdateAll()
-            .whenNotMatchedInsertAll()
-            .execute()
-        )
-
-    def delete(self, deleted: DataFrame, keys: Sequence[str] = ("externalId",)) -> None:
-        if not self.exists():
-            return
-        condition = " AND ".join(f"s.`{k}` = t.`{k}`" for k in keys)
-        (
-            DeltaTable.forPath(self.spark, self.path)
-            .alias("t")
-            .merge(deleted.select(*keys).distinct().alias("s"), condition)
-            .whenMatchedDelete()
-            .execute()
-        )
-
-    def compact(self) -> None:
-        DeltaTable.forPath(self.spark, self.path).optimize().executeCompaction()
+    def _on(self, keys) -> str:
+        return " AND ".join(f"s.`{k}` = t.`{k}`" for k in keys)
 
-    def expire(self, retention_seconds: int = 3600) -> None:
-        """VACUUM; a retention below Delta's safety minimum needs its check off."""
-        self.spark.conf.set("spark.databricks.delta.retentionDurationCheck.enabled", "false")
-        DeltaTable.forPath(self.spark, self.path).vacuum(retention_seconds / 3600)
+    def add(self, df: DataFrame, batch: tuple[str, object] | None = None) -> int:
+        seen, shape = Observation(), self.shape
+        rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        if shape.keys:
+            order = [c for c in shape.order if c in rows.columns]
+            rows = merge.dedupe_last(rows, shape.keys, order)
+            if self.exists():
+                # an older row does not replace a newer one
+                newer = reduce(lambda a, b: f"{a} AND {b}", [f"(t.`{c}` IS NULL OR s.`{c}` >= t.`{c}`)" for c in order], "true")
+                (
+                    DeltaTable.forPath(self.spark, self.path).alias("t").merge(rows.alias("s"), self._on(shape.keys))
+                    .withSchemaEvolution().whenMatchedUpdateAll(newer).whenNotMatchedInsertAll().execute()
+                )
+            else:
+                self._append(rows, None)
+        elif shape.gone and shape.gone[2] in rows.columns:
+            name, changed, deleted = shape.gone
+            self._append(rows.where(F.col(deleted).isNull()).drop(deleted), batch)
+            until = df.where(F.col(deleted).isNotNull()).groupBy(name).agg(F.max(deleted).alias("until"))
+            condition = f"s.`{name}` = t.`{name}` AND t.`{changed}` <= s.until"
+            DeltaTable.forPath(self.spark, self.path).alias("t").merge(until.alias("s"), condition).whenMatchedDelete().execute()
+        else:
+            self._append(rows, batch)
+        return seen.get["rows"]

@@ -1,375 +1,217 @@
-"""Keyed tables as Parquet directories that are replaced, never rewritten in place.
+"""Tables as plain Parquet folders that are only ever added to.
 
-A write goes to a fresh ``tm_gen=N`` directory; publishing the small ``tm_gen=N/_live`` file makes it
-current.  ``_live`` names the directories holding the table's rows, so readers see one consistent
-state, a crashed write leaves the previous one intact, and a keyed write only has to rewrite the
-partitions its source touches.
+A write goes to ``tm_writer=<who>/tm_batch=<which>``, a folder of its own, so it costs what it writes,
+writers never meet, and a batch that is repeated replaces its own folder and nothing else.  What the rows
+mean is settled on reading: of a keyed table the newest row of each key counts, and deletes are rows
+too.  ``fold`` writes what a table holds now as a new table, for when its history has grown long.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
-from dataclasses import asdict, dataclass
+import uuid
+from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import merge
-from tidemark.sources.storage import Storage
+from tidemark.operators.joins import join_aggregated
 
-# directory keys; unusual on purpose, since they must not clash with table columns
-GEN, PART = "tm_gen", "tm_part"
-NULL_PART = "__HIVE_DEFAULT_PARTITION__"
-TARGET_FILE_BYTES = 256 * 1024 * 1024
-RETENTION_SECONDS = 3600
+# names of stored columns that tables add; unusual on purpose, since they must not clash with theirs
+WRITER, BATCH, AT, DAY, GIVEN = "tm_writer", "tm_batch", "tm_at", "tm_day", "tm_given"
+SCHEMAS = "_schemas"
 
 
 @dataclass(frozen=True)
-class Layout:
-    """How rows map to partitions: by day of a datetime, by hash bucket of a key, or not at all.
+class Shape:
+    """How the rows of a table are to be read.
 
-    The partition must follow from the merge key, so a key's old and new row share one.
+    ``keys`` make it a keyed table: the last row of each by ``order`` and then by arrival counts.
+    ``hidden`` columns only serve the order and are not shown.  ``gone`` names (id, changed, deleted)
+    columns of a history: rows with a ``deleted`` time remove those of the same id changed up to it.
+    ``day`` is a datetime column whose day rows are filed under.
     """
 
-    column: str | None = None
-    buckets: int | None = None
+    keys: tuple[str, ...] = ()
+    order: tuple[str, ...] = ()
+    hidden: tuple[str, ...] = ()
+    gone: tuple[str, str, str] | None = None
+    day: str | None = None
 
-    @staticmethod
-    def by_day(column: str) -> Layout:
-        return Layout(column)
 
-    @staticmethod
-    def by_bucket(column: str, buckets: int) -> Layout:
-        return Layout(column, buckets)
+class Table:
+    """A table at a path.  An existing one knows its shape; a new one takes the given."""
 
-    @property
-    def dtype(self) -> T.DataType:
-        return T.IntegerType() if self.buckets else T.DateType()
-
-    def expression(self, dtype: T.DataType) -> Column:
-        if self.buckets:
-            return F.pmod(F.xxhash64(self.column), F.lit(self.buckets)).cast("int")
-        if isinstance(dtype, T.TimestampType):
-            # the UTC day whatever the session zone, or a key could move between partitions
-            return F.date_from_unix_date(F.floor(F.unix_seconds(self.column) / 86400).cast("int"))
-        return F.to_date(self.column)
-
-
-@dataclass
-class Snapshot:
-    generation: int
-    schema: T.StructType
-    live: dict[str, list[str]]  # partition value ("" when unpartitioned) -> directories
-    sizes: dict[str, list[int]]  # directory -> files, bytes
-    transactions: dict[str, int]  # writer -> last batch applied
-    layout: Layout
-
-    def to_json(self) -> str:
-        schema, layout = json.loads(self.schema.json()), asdict(self.layout)
-        return json.dumps({**vars(self), "schema": schema, "layout": layout})
-
-    @staticmethod
-    def from_json(text: str) -> Snapshot:
-        state = json.loads(text)
-        schema, layout = T.StructType.fromJson(state["schema"]), Layout(**state["layout"])
-        return Snapshot(**{**state, "schema": schema, "layout": layout})
-
-
-class ParquetTable:
-    """A table at a path.  An existing table brings its own layout; a new one takes the given."""
-
-    def __init__(self, spark: SparkSession, path: str, layout: Layout | None = None) -> None:
+    def __init__(self, spark: SparkSession, path: str, shape: Shape | None = None) -> None:
         self.spark, self.path = spark, path.rstrip("/")
-        self._storage = Storage(spark, self.path)
-        stored = self.snapshot()
-        self.layout = stored.layout if stored else layout or Layout()
-        if layout and layout != self.layout:
-            raise ValueError(f"{self.path} is laid out by {self.layout}, not {layout}")
+        self._given = shape
 
-    # ---- reading -----------------------------------------------------------------------------
+    # ---- what is known -----------------------------------------------------------------------
 
-    def _generations(self) -> list[int]:
-        names = [n for n, is_dir, *_ in self._storage.children() if is_dir and n.startswith(f"{GEN}=")]
-        return sorted(int(n.removeprefix(f"{GEN}=")) for n in names)
+    def _known(self) -> tuple[T.StructType, Shape, bool] | None:
+        """The columns of all writes so far, oldest first, the shape, and whether some writes lacked columns.
 
-    def _load(self, generation: int) -> Snapshot | None:
-        file = f"{GEN}={generation}/_live"
-        if not self._storage.exists(file):
+        There is one small file per writer and kind of write.
+        """
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{SCHEMAS}")
+        if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
             return None
-        return Snapshot.from_json(self._storage.read(file))
-
-    def snapshot(self) -> Snapshot | None:
-        """The newest published state."""
-        return next((s for g in reversed(self._generations()) if (s := self._load(g))), None)
+        rows = self.spark.read.text(f"{self.path}/{SCHEMAS}/*").collect()
+        kinds = sorted((json.loads(r["value"]) for r in rows), key=lambda k: k["at"])
+        if not kinds:  # another writer is about to note the first
+            return None
+        schema = T.StructType()
+        for kind in kinds:
+            schema = _union(schema, T.StructType.fromJson(kind["schema"]))
+        shape = {k: tuple(v) if isinstance(v, list) else v for k, v in kinds[0]["shape"].items()}
+        return schema, Shape(**shape), any(k["partly"] for k in kinds)
 
     def exists(self) -> bool:
-        return self.snapshot() is not None
-
-    def _read_dirs(self, schema: T.StructType, dirs: Sequence[str]) -> DataFrame:
-        if not dirs:
-            return self.spark.createDataFrame([], schema)
-        stored = T.StructType([*schema.fields, T.StructField(GEN, T.IntegerType())])
-        if self.layout.column:
-            stored = stored.add(PART, self.layout.dtype)
-        return (
-            self.spark.read.schema(stored)
-            .option("basePath", self.path)
-            .parquet(*[f"{self.path}/{d}" for d in dirs])
-            .select(*[F.col(f"`{n}`") for n in schema.fieldNames()])
-        )
-
-    def read(self, parts: Sequence[str] | None = None, at_least: str | None = None) -> DataFrame:
-        """The table, or only some partitions: listed ones, or those from a day on.
+        return self._known() is not None
 
-        Partitions left out are not even listed, which is how an incremental scan of a
-        day-partitioned table stays proportional to what is new.
-        """
-        snap = self.snapshot()
-        if snap is None:
-            raise FileNotFoundError(f"no table at {self.path}")
-        wanted = None if parts is None else set(parts)
-        dirs = [
-            d
-            for value, places in snap.live.items()
-            if (wanted is None or value in wanted) and (at_least is None or value >= at_least)
-            for d in places
-        ]
-        return self._read_dirs(snap.schema, dirs)
+    def _shape(self, known) -> Shape:
+        shape = known[1] if known else self._given or Shape()
+        if self._given and self._given != shape:
+            raise ValueError(f"{self.path} has {shape}, not {self._given}")
+        return shape
 
     # ---- writing -----------------------------------------------------------------------------
 
-    def _touched(self, source: DataFrame) -> list[str]:
-        """Partition values of the rows; bounded by the number of days or buckets there are."""
-        if not self.layout.column:
-            return [""]
-        part = self.layout.expression(source.schema[self.layout.column].dataType)
-        rows = source.select(part.cast("string").alias(PART)).distinct().collect()
-        return [NULL_PART if r[0] is None else r[0] for r in rows]
-
-    def _write(self, df: DataFrame) -> tuple[int, dict[str, list[int]]]:
-        """Write rows into a new generation; returns it with the size of each directory in it."""
-        generation = max(self._generations(), default=0) + 1
-        place = f"{GEN}={generation}"
-        if self.layout.column:
-            # rebalance gives each partition one writer and splits a partition that is too large
-            part = self.layout.expression(df.schema[self.layout.column].dataType)
-            df = df.withColumn(PART, part).hint("rebalance", PART)
-            df.write.partitionBy(PART).parquet(f"{self.path}/{place}")
-        else:
-            df.write.parquet(f"{self.path}/{place}")
-        written = self._storage.sizes(place)
-        return generation, {f"{place}/{d}" if d else place: list(n) for d, n in written.items()}
-
-    def _commit(
-        self,
-        df: DataFrame,
-        before: Snapshot | None,
-        kept: dict[str, list[str]],
-        schema: T.StructType,
-        transaction: tuple[str, int] | None = None,
-    ) -> Snapshot:
-        """Write the rows and publish a state of them plus the ``kept`` directories."""
-        generation, sizes = self._write(df)
-        live = {value: list(dirs) for value, dirs in kept.items()}
-        for place in sizes:
-            live.setdefault(place.partition(f"/{PART}=")[2], []).append(place)
-        for dirs in kept.values():
-            sizes.update({d: before.sizes[d] for d in dirs})
-        transactions = dict(before.transactions) if before else {}
-        if transaction:
-            transactions[transaction[0]] = transaction[1]
-        state = Snapshot(generation, schema, live, sizes, transactions, self.layout)
-        self._storage.publish(f"{GEN}={generation}/_live", state.to_json())
-        return state
-
-    @staticmethod
-    def _nullable(schema: T.StructType) -> T.StructType:
-        return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
-
-    def _evolved(self, before: Snapshot | None, df: DataFrame) -> tuple[DataFrame, T.StructType]:
-        """Rows with the table's types, and the table schema with what is new added to it.
-
-        Columns without a type (all null) say nothing and are left out.
-        """
+    def _aligned(self, df: DataFrame, known) -> DataFrame:
+        """Rows with the table's types; columns without a type (all null) say nothing and are left out."""
         df = df.select(*[F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType != T.NullType()])
-        if before is None:
-            return df, self._nullable(df.schema)
-        fields = {f.name: f for f in before.schema.fields}
+        if known is None:
+            return df
+        wanted = T.StructType([f for f in _union(known[0], df.schema) if f.name in df.columns])
         columns = []
         for f in df.schema.fields:
-            column = F.col(f"`{f.name}`")
-            if f.name in fields:
-                stored = fields[f.name].dataType
-                merged = _merged(stored, f.dataType, f.name)
-                if merged == stored != f.dataType and not isinstance(stored, (T.StructType, T.ArrayType)):
-                    column = column.cast(stored).alias(f.name)
-            else:
-                merged = f.dataType
-            fields[f.name] = T.StructField(f.name, merged, True)
-            columns.append(column)
-        rows, wanted = df.select(*columns), T.StructType([fields[n] for n in df.columns])
+            column, to = F.col(f"`{f.name}`"), wanted[f.name].dataType
+            if to != f.dataType and not isinstance(to, (T.StructType, T.ArrayType)):
+                column = column.cast(to)
+            columns.append(column.alias(f.name))
+        rows = df.select(*columns)
         if any(isinstance(f.dataType, T.StructType) and f.dataType != wanted[f.name].dataType for f in rows.schema):
             # union by name orders and fills the fields of structs as well
             rows = self.spark.createDataFrame([], wanted).unionByName(rows, allowMissingColumns=True)
-        return rows, T.StructType(list(fields.values()))
-
-    def last_transaction(self, writer: str) -> int | None:
-        """The last batch of a writer the table holds."""
-        snap = self.snapshot()
-        return snap.transactions.get(writer) if snap else None
-
-    def _applied(self, snap: Snapshot | None, transaction: tuple[str, int] | None) -> bool:
-        return bool(snap and transaction and snap.transactions.get(transaction[0], -1) >= transaction[1])
-
-    def append(self, df: DataFrame, transaction: tuple[str, int] | None = None) -> Snapshot:
-        """Add rows, new columns included.  A transaction already applied is skipped."""
-        before = self.snapshot()
-        if self._applied(before, transaction):
-            return before
-        rows, schema = self._evolved(before, df)
-        return self._commit(rows, before, before.live if before else {}, schema, transaction)
-
-    def overwrite(self, df: DataFrame) -> Snapshot:
-        """Replace all rows; safe when ``df`` was read from this very table."""
-        before = self.snapshot()
-        return self._commit(df, before, {}, self._nullable(df.schema))
-
-    def upsert(
-        self,
-        source: DataFrame,
-        keys: Sequence[str],
-        order_by: Sequence[str] = (),
-        drop: Sequence[str] = (),
-        transaction: tuple[str, int] | None = None,
-    ) -> Snapshot:
-        """Merge by key, creating the table on first use; untouched partitions stay as they are."""
-        before = self.snapshot()
-        if self._applied(before, transaction):
-            return before
-        aligned, schema = self._evolved(before, source)
-        if before is None:
-            rows = merge.dedupe_last(aligned, keys, order_by).drop(*drop)
-            return self._commit(rows, None, {}, self._nullable(rows.schema), transaction)
-        if drop:
-            kept = set(before.schema.fieldNames()) | set(source.columns) - set(drop)
-            schema = T.StructType([f for f in schema.fields if f.name in kept])
-        touched = self._touched(aligned)
-        if not touched:
-            return before
-        stored = T.StructType([schema[f.name] for f in before.schema.fields])
-        dirs = [d for value in touched for d in before.live.get(value, ())]
-        merged = merge.upsert(self._read_dirs(stored, dirs), aligned, keys, order_by, drop)
-        return self._commit(merged, before, _without(before.live, touched), schema, transaction)
-
-    def delete(self, deleted: DataFrame, keys: Sequence[str] = ("externalId",)) -> Snapshot | None:
-        """Remove every row of the listed keys; a table that does not exist has none."""
-        before = self.snapshot()
-        if before is None:
-            return None
-        listed, _ = self._evolved(before, deleted.select(*keys))
-        # a bucket of the key tells where its rows are; any other layout has to look everywhere
-        touched = list(before.live)
-        if self.layout.buckets and self.layout.column in keys:
-            touched = [v for v in self._touched(listed) if v in before.live]
-        if not touched:
-            return before
-        left = merge.delete_by_key(self.read(touched), listed, keys)
-        return self._commit(left, before, _without(before.live, touched), before.schema)
-
-    # ---- maintenance -------------------------------------------------------------------------
-
-    def compact(self, target_bytes: int = TARGET_FILE_BYTES) -> dict[str, int]:
-        """Rewrite fragmented directories into files of about the target size.
-
-        Directories whose files are large already stay.  Without a layout no shuffle is needed:
-        the scan packs small files into splits of the target size and each split is written back
-        as one file.  With one, rows are rebalanced per partition.
-        """
-        before = self.snapshot()
-        chosen: dict[str, list[str]] = {}
-        kept: dict[str, list[str]] = {}
-        files_before = 0
-        for value, dirs in before.live.items() if before else ():
-            small = [d for d in dirs if before.sizes[d][1] < before.sizes[d][0] * target_bytes]
-            files, size = (sum(before.sizes[d][i] for d in small) for i in (0, 1))
-            if files > -(-size // target_bytes):
-                chosen[value], files_before = small, files_before + files
-            rest = [d for d in dirs if d not in chosen.get(value, ())]
-            if rest:
-                kept[value] = rest
-        if not chosen:
-            return {"files_before": files_before, "files_after": files_before}
-        settings = {
-            "spark.sql.files.maxPartitionBytes": str(target_bytes),
-            "spark.sql.files.openCostInBytes": "0",
-            "spark.sql.files.minPartitionNum": "1",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
-        }
-        with _settings(self.spark, settings):
-            fragments = self._read_dirs(before.schema, [d for dirs in chosen.values() for d in dirs])
-            after = self._commit(fragments, before, kept, before.schema)
-        return {
-            "files_before": files_before,
-            "files_after": sum(
-                files for d, (files, _) in after.sizes.items() if d.startswith(f"{GEN}={after.generation}")
-            ),
-        }
-
-    def expire(self, retention_seconds: int = RETENTION_SECONDS, now_ms: int | None = None) -> list[str]:
-        """Delete directories no state of the retention window uses; returns what was deleted.
-
-        Kept are the newest state, every state published within the window and the one that was
-        current when it opened, since a reader may still be on any of them.  Generations never
-        published are crash leftovers, or a write in progress while they are young.
+        return rows
+
+    def folder(self, writer: str, batch: object) -> str:
+        return f"{self.path}/{WRITER}={quote(writer, safe='')}/{BATCH}={quote(str(batch), safe='')}"
+
+    def add(self, df: DataFrame, batch: tuple[str, object] | None = None) -> int:
+        """Write rows as a batch (writer, which) of their own; returns how many came.
+
+        A batch written before is replaced, so repeating it changes nothing.  Of a keyed table the
+        rows are reduced to the last of each key first.  New columns become the table's.
         """
-        cutoff = (int(time.time() * 1000) if now_ms is None else now_ms) - retention_seconds * 1000
-        published: dict[int, int] = {}
-        contents = {g: self._storage.children(f"{GEN}={g}") for g in self._generations()}
-        for generation, children in contents.items():
-            for name, _, _, modified in children:
-                if name == "_live":
-                    published[generation] = modified
-        if not published:
-            return []
-        older = [g for g, t in published.items() if t < cutoff]
-        states = {g for g, t in published.items() if t >= cutoff} | {max(published)}
-        states |= {max(older)} if older else set()
-        used = {d for g in states for dirs in self._load(g).live.values() for d in dirs}
-        removed = []
-        for generation, children in contents.items():
-            place = f"{GEN}={generation}"
-            if generation not in published and any(t >= cutoff for *_, t in children):
-                continue
-            parts = [f"{place}/{name}" for name, is_dir, *_ in children if is_dir]
-            if place not in used and generation not in states and not used.intersection(parts):
-                removed.append(place)
-            else:
-                removed += [p for p in parts if place not in used and p not in used]
-        for place in removed:
-            self._storage.delete(place)
-        return removed
-
-
-def _without(live: dict[str, list[str]], values: Sequence[str]) -> dict[str, list[str]]:
-    gone = set(values)
-    return {value: dirs for value, dirs in live.items() if value not in gone}
-
-
-@contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    """Session settings for the duration of one write."""
-    previous = {key: spark.conf.get(key, None) for key in values}
-    try:
-        for key, value in values.items():
-            spark.conf.set(key, value)
-        yield
-    finally:
-        for key, value in previous.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+        known = self._known()
+        shape, at = self._shape(known), time.time_ns()
+        writer, which = batch or (uuid.uuid4().hex, 0)
+        seen = Observation()
+        rows = self._aligned(df, known).observe(seen, F.count(F.lit(1)).alias("rows"))
+        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema.fields])
+        partly = bool(shape.keys and known and set(known[0].names) - {*schema.names, *shape.hidden})
+        self._note(schema, shape, partly, writer, at)
+        if shape.keys:
+            rows = merge.dedupe_last(rows, shape.keys, [c for c in shape.order if c in rows.columns])
+        if partly:
+            rows = rows.withColumn(GIVEN, F.array(*[F.lit(n) for n in schema.names]))
+        rows = rows.withColumn(AT, F.lit(at))
+        if shape.day and shape.day in rows.columns:
+            # the UTC day whatever the session zone; rebalance splits a day that is too large
+            day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col(shape.day).cast("timestamp")) / 86400).cast("int"))
+            rows = rows.withColumn(DAY, day).hint("rebalance", DAY)
+            rows.write.mode("overwrite").partitionBy(DAY).parquet(self.folder(writer, which))
+        else:
+            rows.write.mode("overwrite").parquet(self.folder(writer, which))
+        return seen.get["rows"]
+
+    def _note(self, schema: T.StructType, shape: Shape, partly: bool, writer: str, at: int) -> None:
+        """Store what a write looks like, once for each writer and look."""
+        kind = {"schema": json.loads(schema.json()), "shape": {k: v for k, v in vars(shape).items() if v}, "partly": partly}
+        name = hashlib.md5(json.dumps([kind, writer], sort_keys=True).encode()).hexdigest()
+        line = self.spark.createDataFrame([(json.dumps(kind | {"at": at}),)], "value string").coalesce(1)
+        line.write.mode("ignore").text(f"{self.path}/{SCHEMAS}/{name}")
+
+    # ---- reading -----------------------------------------------------------------------------
+
+    def _stored(self, schema: T.StructType, shape: Shape, partly: bool, path: str | None = None) -> DataFrame:
+        stored = T.StructType([*schema.fields, T.StructField(AT, T.LongType())])
+        if partly:
+            stored = stored.add(GIVEN, T.ArrayType(T.StringType()))
+        if shape.day:
+            stored = stored.add(DAY, T.DateType())
+        stored = stored.add(WRITER, T.StringType()).add(BATCH, T.StringType())
+        return self.spark.read.schema(stored).option("basePath", self.path).parquet(path or self.path)
+
+    def read(self, at_least: str | None = None) -> DataFrame:
+        """What the table holds now; of one filed by day, from a day on."""
+        known = self._known()
+        if known is None:
+            raise FileNotFoundError(f"no table at {self.path}")
+        schema, shape, partly = known
+        rows = self._stored(schema, shape, partly)
+        if at_least is not None and shape.day:
+            rows = rows.where(F.col(DAY) >= F.lit(at_least).cast("date"))
+        shown = [n for n in schema.names if n not in shape.hidden]
+        if shape.keys:
+            rows = _newest(rows, schema.names, shape, partly)
+        elif shape.gone:
+            rows = _remaining(rows, shape.gone)
+            shown = [n for n in shown if n != shape.gone[2]]
+        return rows.select(*[F.col(f"`{n}`") for n in shown])
+
+    def read_batch(self, batch: tuple[str, object]) -> DataFrame:
+        """The rows of one batch as they were written."""
+        schema, shape, partly = self._known()
+        rows = self._stored(schema, shape, partly, self.folder(*batch))
+        return rows.select(*[F.col(f"`{n}`") for n in schema.names])
+
+    def fold(self, into: str) -> Table:
+        """What the table holds now, as a new table of the same shape at another path."""
+        schema, shape, partly = self._known()
+        rows = self._stored(schema, shape, partly)
+        if shape.keys:
+            rows = _newest(rows, schema.names, shape, partly)
+        elif shape.gone:
+            rows = _remaining(rows, shape.gone)
+        folded = Table(self.spark, into, shape)
+        folded.add(rows.select(*[F.col(f"`{n}`") for n in schema.names]), ("fold", 0))
+        return folded
+
+
+def _newest(rows: DataFrame, names: Sequence[str], shape: Shape, partly: bool) -> DataFrame:
+    """The last row of each key; columns that a write did not have keep what they were."""
+    order, keys = [*[c for c in shape.order if c in names], AT], list(shape.keys)
+    if not partly:
+        return merge.dedupe_last(rows.drop(WRITER, BATCH), keys, order)
+    # keys that some write gave in part: each column from the last write that had it
+    in_part = rows.where(F.col(GIVEN).isNotNull()).select(*keys).distinct()
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])  # nothing else is the same row
+    whole = merge.dedupe_last(rows.where(F.col(GIVEN).isNull() | no_key).drop(GIVEN, WRITER, BATCH), keys, order)
+    parts = join_aggregated(rows, in_part, keys, "left_semi")
+    last = F.struct(*[F.col(f"`{c}`") for c in order])
+    had = lambda name: F.col(GIVEN).isNull() | F.array_contains(GIVEN, F.lit(name))
+    rest = [n for n in names if n not in keys]
+    parts = parts.groupBy(*keys).agg(*[F.max_by(F.col(f"`{n}`"), F.when(had(n), last)).alias(n) for n in rest])
+    return merge.delete_by_key(whole, in_part, keys).unionByName(parts, allowMissingColumns=True)
+
+
+def _remaining(rows: DataFrame, gone: tuple[str, str, str]) -> DataFrame:
+    """Rows of a history that no delete of their id at or after them removes."""
+    name, changed, deleted = gone
+    if deleted not in rows.columns:
+        return rows
+    until = rows.where(F.col(deleted).isNotNull()).groupBy(name).agg(F.max(deleted).alias("tm_until"))
+    live = join_aggregated(rows.where(F.col(deleted).isNull()), until, [name], "left")
+    return live.where(F.col("tm_until").isNull() | (F.col(changed) > F.col("tm_until"))).drop("tm_until")
 
 
 WHOLE = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
@@ -380,7 +222,7 @@ def _widens(new: T.DataType, stored: T.DataType) -> bool:
     if type(new) in WHOLE and type(stored) in WHOLE:
         return WHOLE.index(type(new)) <= WHOLE.index(type(stored))
     if isinstance(stored, T.DoubleType):
-        return isinstance(new, (T.FloatType, T.ByteType, T.ShortType, T.IntegerType))
+        return isinstance(new, (T.DoubleType, T.FloatType, T.ByteType, T.ShortType, T.IntegerType))
     return new.simpleString() == stored.simpleString()
 
 
@@ -403,10 +245,18 @@ def _merged(stored: T.DataType, new: T.DataType, name: str) -> T.DataType:
     return stored
 
 
-def open_table(spark: SparkSession, path: str, layout: Layout | None = None, fmt: str = "parquet"):
+def _union(stored: T.StructType, new: T.StructType) -> T.StructType:
+    """The columns of both, those stored first."""
+    fields = {f.name: f.dataType for f in stored.fields}
+    for f in new.fields:
+        fields[f.name] = _merged(fields[f.name], f.dataType, f.name) if f.name in fields else f.dataType
+    return T.StructType([T.StructField(n, t, True) for n, t in fields.items()])
+
+
+def open_table(spark: SparkSession, path: str, shape: Shape | None = None, fmt: str = "parquet"):
     """A table of the requested format; ``delta`` needs its package on the class path."""
     if fmt == "delta":
         from tidemark.sources.delta import DeltaLakeTable
 
-        return DeltaLakeTable(spark, path)
-    return ParquetTable(spark, path, layout)
+        return DeltaLakeTable(spark, path, shape)
+    return Table(spark, path, shape)

@@ -20,13 +20,13 @@ Handler = Callable[[DataFrame, int], None]
 
 
 @contextmanager
-def _kept(df: DataFrame) -> Iterator[DataFrame]:
-    """Hold a batch that several writes read; it spills to disk and is recomputed if lost."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """Hold rows that several writes read; they spill to disk and are recomputed if lost."""
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield kept
+        yield held
     finally:
-        kept.unpersist()
+        held.unpersist()
 
 
 def _writer(batch: DataFrame, name: str) -> str:
@@ -43,41 +43,32 @@ def points_handler(
     assets: DataFrame | None = None,
     log: RunLog | None = None,
 ) -> Handler:
-    """Unnest a points feed and upsert it; store the metadata of series seen first."""
+    """Unnest a points feed and add it; store the metadata of series seen first."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        with _kept(point_ops.explode_feed(batch)) as points:
-            order = [c for c in ("cursor",) if c in points.columns]
-            if series_table is not None:
-                _store_new_series(points, series_table, series, assets)
-            table.upsert(points, point_ops.POINT_KEYS, order, order, (_writer(batch, name), batch_id))
-            if log:
-                log.success(name, points.count(), "points written")
+        writer = _writer(batch, name)
+        count = table.add(point_ops.explode_feed(batch), (writer, batch_id))
+        if series_table is not None:
+            _store_new_series(table.read_batch((writer, batch_id)), series_table, series, assets, (writer, batch_id))
+        if log:
+            log.success(name, count, "points written")
 
     return apply
 
 
-def _store_new_series(points, table, series, assets) -> None:
+def _store_new_series(points, table, series, assets, batch) -> None:
     known = table.read().select("externalId") if table.exists() else points.select("externalId").limit(0)
     fresh = series.join(series_ops.unseen_ids(points, known), "externalId", "left_semi")
-    table.upsert(series_ops.series_rows(fresh, assets), ["externalId"])
+    table.add(series_ops.series_rows(fresh, assets), batch)
 
 
-def events_handler(
-    table, name: str, log: RunLog | None = None, compact: bool = False
-) -> Handler:
+def events_handler(table, name: str, log: RunLog | None = None) -> Handler:
     """Append events with their metadata as JSON, each micro-batch exactly once."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        with _kept(event_ops.metadata_as_json(batch)) as rows:
-            count = rows.count()
-            if not count:
-                return
-            table.append(rows, (_writer(batch, name), batch_id))
-            if log:
-                log.success(name, count, "events written to the table")
-            if compact:
-                table.compact()
+        count = table.add(event_ops.metadata_as_json(batch), (_writer(batch, name), batch_id))
+        if log and count:
+            log.success(name, count, "events written to the table")
 
     return apply
 
@@ -85,13 +76,12 @@ def events_handler(
 def raw_handler(
     table, name: str, columns: Sequence[str] | None = None, log: RunLog | None = None
 ) -> Handler:
-    """Promote the columns of RAW rows and upsert them by key, latest update last."""
+    """Promote the columns of RAW rows and add them under their key, latest update last."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        with _kept(raw_ops.flatten_rows(batch, columns)) as rows:
-            table.upsert(rows, ["key"], ["last_updated_time"], (), (_writer(batch, name), batch_id))
-            if log:
-                log.success(name, rows.count(), "rows written to the table")
+        count = table.add(raw_ops.flatten_rows(batch, columns), (_writer(batch, name), batch_id))
+        if log:
+            log.success(name, count, "rows written to the table")
 
     return apply
 
@@ -103,34 +93,23 @@ def instances_handler(
     name: str,
     log: RunLog | None = None,
 ) -> Handler:
-    """Apply one batch of instance changes to every table it concerns.
+    """Add one batch of instance changes to every table it concerns.
 
-    ``open_named`` returns the table of a given name.  Nodes come before edges and, per table,
-    history is appended before deletes.  One count over the batch tells which tables have
-    anything to do; it has at most a row per view.
+    ``open_named`` returns the table of a given name.  One count over the batch tells which tables
+    have anything to do; it has at most a row per view.  Nodes come before edges.
     """
-    edge_views = [v for v in views if v.used_for == "edge"]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         writer = _writer(batch, name)
-        with _kept(batch) as changes:
+        with kept(batch.where(F.col("space") == space)) as changes:
             counts = {r["table_name"]: r for r in graph.route_counts(changes, views).collect()}
-            nodes = changes.where(F.col("instanceType") == "node")
-            edges = changes.where((F.col("instanceType") == "edge") & (F.col("space") == space))
-            plan = [(v.table, graph.flatten_nodes(nodes, v)) for v in views if v.used_for != "edge"]
-            plan.append((graph.edge_table(space), graph.flatten_edges(edges, edge_views)))
-            for table_name, flat in plan:
+            for table_name, flatten in graph.flows(space, views).items():
                 if table_name in counts:
-                    _apply_to(open_named(table_name), flat, counts[table_name], writer, batch_id)
+                    open_named(table_name).add(flatten(changes), (writer, batch_id))
             if log:
-                log.success(name, sum(r["upserts"] for r in counts.values()), "instances written")
+                log.success(name, sum(r["upserts"] for t, r in counts.items() if t), "instances written")
+                lost = counts.get(None)
+                if lost:
+                    log.success(name, lost["upserts"] + lost["deletes"], "instances without a view left out")
 
     return apply
-
-
-def _apply_to(table, flat: DataFrame, count, writer: str, batch_id: int) -> None:
-    live, deleted = graph.split_deleted(flat)
-    if count["upserts"]:
-        table.append(live, (writer, batch_id))
-    if count["deletes"]:
-        table.delete(deleted)

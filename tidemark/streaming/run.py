@@ -18,8 +18,8 @@ def start(
 ) -> StreamingQuery:
     """Follow the feed at a fixed cadence, or take what is there and stop (no ``poll_seconds``).
 
-    The checkpoint advances only after ``apply`` returned, so a crash repeats a batch; the table
-    transaction ids and keyed merges below make the repetition harmless.
+    The checkpoint advances only after ``apply`` returned, so a crash repeats a batch; the
+    folder of its own that a batch writes to makes the repetition harmless.
     """
     writer = feed.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     if poll_seconds is None:
