@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 import numpy as np
@@ -11,9 +12,17 @@ from pyspark.sql import functions as F
 from tidemark.session import apply_settings, shared_folder
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def prepared(spark: SparkSession) -> SparkSession:
     """The library's settings; a scratch folder only where a local session names none."""
     apply_settings(spark)
+    # tasks import this package from where the driver has it, whatever folder the driver was started in;
+    # on a cluster whose machines don't share that folder, ship it with --py-files
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
     if not spark.conf.get("spark.checkpoint.dir", None):
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir is not set; point it at storage all executors share")

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 #: Labelled rows that the lexicon is learned from, the most terms and phrases in it.
 MAX_TRAINING, MAX_TERMS, MAX_PHRASES = 10_000, 4_000, 2_000
 STEMS = (4, 5, 6, 7)
-LEAST_TEXTS, LEAST_LOG_ODDS = 5, 3.0
+#: What a term must have: different toxic texts, as a number and as a part of all, and log-odds.
+LEAST_TEXTS, LEAST_SHARE, LEAST_LOG_ODDS = 5, 0.01, 3.0
 
 # Letters of other scripts and the Latin letters that they look like.
 LOOKALIKES = dict(zip("асԁеһіјкӏмопрѕтцѵхуγαεικνορτυχ", "acdehijklmonpstuvxyyaeikvoptux"))
@@ -187,7 +188,8 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING) -> Lexic
 
     With no rows to learn from, or of one label only, it is empty and scores the share of toxic rows.
     """
-    rows = training_rows(docs, labels, "toxic", most).select("text", "toxic").persist()
+    rows = training_rows(docs, labels, "toxic", most).select("text", "toxic")
+    rows = rows.groupBy("text").agg(F.max("toxic").alias("toxic")).persist()  # copies are no further evidence
     try:
         sizes = dict(rows.groupBy("toxic").count().collect())
         clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
@@ -198,7 +200,7 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING) -> Lexic
         counts = rows.mapInArrow(_counted, "term string, clean long, toxic long").groupBy("term")
         counts = counts.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         odds = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
-        found = counts.withColumn("weight", odds).where((F.col("toxic") >= LEAST_TEXTS) & (F.col("weight") >= LEAST_LOG_ODDS))
+        found = counts.withColumn("weight", odds).where((F.col("toxic") >= max(LEAST_TEXTS, LEAST_SHARE * toxic)) & (F.col("weight") >= LEAST_LOG_ODDS))
         best = found.orderBy(F.desc(F.col("weight") * F.log1p("toxic")), "term").limit(MAX_TERMS).collect()
         terms: dict = {}
         for r in sorted(best, key=lambda r: (len(r["term"].rstrip()), r["term"])):  # a stem covers its words
