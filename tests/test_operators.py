@@ -116,6 +116,8 @@ def test_events_start_one_after_the_last_created(spark, last, expected):
         "externalId string, createdTime long, dataSet string",
     )
     assert [r[0] for r in tuples(scan.events_since(evs, last, "d"), "createdTime")] == expected
+    first = [r.externalId for r in scan.events_since(evs, last, "d", 1).collect()]
+    assert first == expected[:1]
 
 
 # ---- RAW -------------------------------------------------------------------------------------

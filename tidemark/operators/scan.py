@@ -46,10 +46,16 @@ def next_batch(df: DataFrame, field: str, size: int, watermark: object = None) -
     return rows.where(within)
 
 
-def events_since(events: DataFrame, last_created: int | Column | None, data_set: str) -> DataFrame:
-    """Events of one data set created at ``last + 1`` or later (from 1 on the first run), oldest first."""
+def events_since(
+    events: DataFrame, last_created: int | Column | None, data_set: str, size: int | None = None
+) -> DataFrame:
+    """Events of one data set created at ``last + 1`` or later (from 1 on the first run).
+
+    With ``size`` only the first of them, oldest first; without it nothing needs an order.
+    """
     bound = F.coalesce(F.lit(last_created).cast("long"), F.lit(0)) + 1
-    return events.where((F.col("createdTime") >= bound) & (F.col("dataSet") == data_set)).orderBy("createdTime")
+    rows = events.where((F.col("createdTime") >= bound) & (F.col("dataSet") == data_set))
+    return rows if size is None else in_order(next_batch(rows, "createdTime", size), "createdTime")
 
 
 def series_since(points: DataFrame, watermarks: DataFrame) -> DataFrame:
