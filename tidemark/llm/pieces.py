@@ -31,6 +31,7 @@ SAMPLES, SEED = 2, 5
 #: Positions of lattices kept from slice to slice.
 KEPT = 2_000_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+LOW = np.uint64((1 << 22) - 1)
 
 SAMPLE = "rank: int, n_tokens: long, log_prob: double, value: double, inclusion: double"
 ENCODED = f"doc_id long, ids array<int>, decoded string, exact boolean, samples array<struct<{SAMPLE}, ids: array<int>>>"
@@ -73,22 +74,24 @@ class Vocabulary:
         hashes = mix(Prefixes(data).of(starts, ends) + (ends - starts).astype(np.uint64))
         order = np.argsort(hashes)
         self.hashes, self.ids, self.weight = hashes[order], ids[order], weight[order]
-        self.pieces = self._table(hashes)
-        self.starts = np.zeros(1 << 22, bool)  # of pieces, the whole ones too: what may go on
+        # by the lowest bits of a hash: a piece that has them (-1: none, -2: several)
+        low = self.hashes & LOW
+        self.place = np.full(int(LOW) + 1, -1, np.int32)
+        self.place[low] = np.arange(len(low))
+        names, times = np.unique(low, return_counts=True)
+        self.place[names[times > 1]] = -2
+        self.starts = np.zeros(int(LOW) + 1, bool)  # of pieces, the whole ones too: what may go on
         for k in range(1, self.longest + 1):
             some = starts[ends - starts >= k]
-            self.starts |= self._table(mix(Prefixes(data).of(some, some + k) + np.uint64(k)))
-
-    @staticmethod
-    def _table(hashes: np.ndarray) -> np.ndarray:
-        table = np.zeros(1 << 22, bool)
-        table[hashes & np.uint64((1 << 22) - 1)] = True
-        return table
+            self.starts[mix(Prefixes(data).of(some, some + k) + np.uint64(k)) & LOW] = True
 
     def find(self, hashes: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(which of ``hashes`` are pieces, their places in the vocabulary); ``low`` are the hashes' lowest 22 bits."""
-        some = np.flatnonzero(self.pieces[low])
-        at = np.minimum(np.searchsorted(self.hashes, hashes[some]), len(self.hashes) - 1)
+        """(which of ``hashes`` are pieces, their places in the vocabulary); ``low`` are the hashes' lowest bits."""
+        at = self.place[low]
+        some = np.flatnonzero(at != -1)
+        at = at[some]
+        several = np.flatnonzero(at == -2)
+        at[several] = np.minimum(np.searchsorted(self.hashes, hashes[some[several]]), len(self.hashes) - 1)
         hit = self.hashes[at] == hashes[some]
         return some[hit], at[hit]
 
@@ -97,7 +100,7 @@ class Lattices:
     """Canonical ids and lattices of different chunks, side by side.
 
     Chunk ``c`` has positions ``first[c]`` to its end, one for each byte and one after the last.  The
-    edges of position ``p`` are ``edge[p]:edge[p + 1]``, likely ones first: how far they lead, their
+    edges of position ``p`` are ``edge[p]:edge[p + 1]``, the likeliest first: how far they lead, their
     piece, and the logarithm and the running total of their probabilities.
     """
 
@@ -141,7 +144,7 @@ class Lattices:
 
         left = np.repeat(offsets[1:], np.diff(offsets)) - np.arange(len(data))
         begins = (data & 0xC0) != 0x80
-        prefixes, at, lengths, pieces, weights = Prefixes(data), [], [], [], []
+        prefixes, found_at, found = Prefixes(data), [], []
         chars = np.diff(np.append(np.flatnonzero(begins), len(data)))
         width = np.zeros(len(data), np.int64)
         width[begins] = chars
@@ -150,24 +153,29 @@ class Lattices:
         for k in range(1, vocabulary.longest + 1):
             here = here[left[here] >= k]
             hashes = mix(prefixes.of(here, here + k) + np.uint64(k))
-            low = hashes & np.uint64((1 << 22) - 1)
-            found, place = vocabulary.find(hashes, low)
-            ends = here[found]
-            alone[ends[width[ends] == k]] = True
-            at.append(ends)
-            lengths.append(np.full(len(ends), k))
-            pieces.append(vocabulary.ids[place])
-            weights.append(vocabulary.weight[place])
+            low = hashes & LOW
+            some, place = vocabulary.find(hashes, low)
+            begin = here[some]
+            alone[begin[width[begin] == k]] = True
+            found_at.append(begin)
+            found.append(place)
             here = here[vocabulary.starts[low]]
         # a character that is no piece is spelled in bytes
         spelled = np.flatnonzero(np.repeat((~alone)[begins], chars))
-        at, lengths = np.concatenate([*at, spelled]), np.concatenate([*lengths, np.ones(len(spelled), np.int64)])
-        pieces = np.concatenate([*pieces, vocabulary.byte[data[spelled]]])
-        weights = np.concatenate([*weights, np.full(len(spelled), vocabulary.rare)])
-
-        # edges by place; from bytes to positions: each chunk has one more
-        order = np.argsort(at, kind="stable")
-        at, lengths, pieces, weights = at[order], lengths[order], pieces[order], weights[order]
+        # edges by the byte they start at, and the shorter first
+        held = np.zeros(len(data), np.int64)
+        for begin in (*found_at, spelled):
+            held[begin] += 1
+        begins_at = np.cumsum(held) - held
+        at = np.repeat(np.arange(len(data)), held)
+        lengths, pieces, weights = np.empty(len(at), np.int64), np.empty(len(at), np.int32), np.empty(len(at))
+        for k, (begin, place) in enumerate(zip(found_at, found), 1):
+            spot = begins_at[begin]
+            lengths[spot], pieces[spot], weights[spot] = k, vocabulary.ids[place], vocabulary.weight[place]
+            begins_at[begin] += 1
+        spot = begins_at[spelled]
+        lengths[spot], pieces[spot], weights[spot] = 1, vocabulary.byte[data[spelled]], vocabulary.rare
+        # from bytes to positions: each chunk has one more
         place = at + np.repeat(np.arange(n), np.diff(offsets))[at]
         total = np.zeros(len(data) + n)  # log of the sum over all ways to the end
         remaining = left[at]
@@ -185,9 +193,17 @@ class Lattices:
             total[from_[new]] = high + np.log(sums)
         log_prob = np.minimum(weights + total[place + lengths] - total[place], 0.0)
         prob = np.exp(log_prob)
-        order = np.argsort(place - 0.999 * prob, kind="stable")
-        lengths, pieces, log_prob, prob = lengths[order], pieces[order], log_prob[order], prob[order]
-        edge = np.searchsorted(place, np.arange(len(data) + n + 1))
+        # the likeliest edge of each place comes first
+        first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])) if len(place) else place
+        size = np.diff(np.append(first, len(place)))
+        top = np.flatnonzero(prob == np.repeat(np.maximum.reduceat(prob, first), size)) if len(place) else place
+        _, one = np.unique(place[top], return_index=True)
+        top = top[one]
+        for values in (lengths, pieces, log_prob, prob):
+            values[first], values[top] = values[top], values[first]
+        edge = np.zeros(len(data) + n + 1, np.int64)
+        edge[place[first] + 1] = size
+        np.cumsum(edge, out=edge)
         # whole numbers add up alike whatever else is in the slice
         running = np.concatenate([[0], np.cumsum(np.round(prob * 2.0**32).astype(np.int64))])
         running = (running[1:] - running[edge[place]]) * 2.0**-32
