@@ -18,6 +18,8 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 def prepared(spark: SparkSession) -> SparkSession:
     """The library's settings; a scratch folder only where a local session names none."""
     apply_settings(spark)
+    # rows hold whole texts: ten thousand of them at once are more than a small executor has room for
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     # tasks import this package from where the driver has it, whatever folder the driver was started in;
     # on a cluster whose machines don't share that folder, ship it with --py-files
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)

@@ -1,7 +1,7 @@
 """Words, shingles and rolling hashes of whole Arrow columns of text, computed with numpy inside tasks.
 
 A column is looked at as one run of UTF-8 bytes with the offsets of its rows, so no step loops over
-words in Python.  Rows are taken in slices of a few megabytes; a longer row is a slice of its own.
+words in Python.  Rows are taken in slices of a megabyte; a longer row is a slice of its own.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _BYTE = np.random.default_rng(20250611).integers(1, 2**63, 256, dtype=np.uint64)
