@@ -116,7 +116,7 @@ def test_forgotten_lattices_change_nothing(monkeypatch):
     texts = [f"word{k} and some more of it {k * 7919}" for k in range(300)]
     whole = run(texts)
     monkeypatch.setattr(pieces, "KEPT", 10)
-    monkeypatch.setattr(pieces, "slices", lambda column: __import__("tidemark.llm.text").llm.text.slices(column, 500))
+    monkeypatch.setattr(pieces, "slices", lambda column, limit: __import__("tidemark.llm.text").llm.text.slices(column, 500))
     for (a, x), (b, y) in zip(whole, run(texts)):
         assert a.tolist() == b.tolist()
         assert [(e.tolist(), p, v, q) for e, p, v, q in x] == [(e.tolist(), p, v, q) for e, p, v, q in y]

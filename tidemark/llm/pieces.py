@@ -1,7 +1,8 @@
 """Encoding to SentencePiece pieces, decoding, and sampled segmentations without replacement.
 
-The canonical ids are the model's own.  Pieces never cross from a character to a following space, so a
-text is encoded in chunks (spaces and what follows them up to the next space), each different chunk once.
+The canonical ids are the model's own.  Pieces never cross from a character to a following space, nor, in
+a vocabulary without them, a newline, so a text is encoded in chunks (spaces or a newline and what follows
+up to the next), each different chunk once.
 
 Sampling takes the pieces that fit a chunk as the edges of a lattice, weighed as in a unigram model.
 Backward sums give every edge the probability that a random segmentation goes on with it.  The k best of
@@ -28,8 +29,8 @@ from tidemark.llm.text import Prefixes, mix, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES, SEED = 2, 5
-#: Positions of lattices kept from slice to slice.
-KEPT = 2_000_000
+#: Positions of lattices kept from slice to slice, some 35 bytes each.
+KEPT = 5_000_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 LOW = np.uint64((1 << 22) - 1)
 
@@ -61,6 +62,7 @@ class Vocabulary:
             elif not (self.model.is_control(k) or self.model.is_unknown(k) or self.model.is_unused(k)):
                 pieces[self.model.id_to_piece(k).replace("▁", " ").encode()] = k
                 scores.append(self.model.get_score(k))
+        self.lines = not any(b"\n" in p for p in pieces)  # whether a newline ends every piece
         self.space = [pieces[b" "]] if b" " in pieces else [int(self.byte[0x20])]
         ids = np.array(list(pieces.values()), np.int32)
         scores = np.array(scores)
@@ -112,8 +114,13 @@ class Lattices:
         self.hashes, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.first = np.zeros(1, np.int64)
         self.id_at, self.ids = np.zeros(1, np.int64), np.zeros(0, np.int32)
-        self.edge, self.length, self.piece = np.zeros(1, np.int64), np.zeros(0, np.uint16), np.zeros(0, np.int32)
-        self.log_prob, self.total, self.position = np.zeros(0, np.float32), np.zeros(0, np.float32), np.zeros(0, np.int32)
+        vocabulary = self.vocabulary
+        self.edge, self.length = np.zeros(1, np.int64), np.zeros(0, np.uint8 if vocabulary.longest < 256 else np.int32)
+        self.piece = np.zeros(0, np.uint16 if vocabulary.model.get_piece_size() <= 1 << 16 else np.int32)
+        self.log_prob, self.total = np.zeros(0, np.float32), np.zeros(0, np.float32)
+
+    def position(self, edge: int) -> int:
+        return int(np.searchsorted(self.edge, edge, "right")) - 1
 
     def slots(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         """Each chunk's number, after adding those not seen yet."""
@@ -136,9 +143,10 @@ class Lattices:
     def _add(self, data: np.ndarray, offsets: np.ndarray):
         vocabulary, n = self.vocabulary, len(offsets) - 1
         text = data.tobytes()
-        # the model puts a space before every text but the empty one
-        ids = vocabulary.model.encode([text[a + 1:b].decode() for a, b in zip(offsets[:-1], offsets[1:])])
-        ids = [x or vocabulary.space for x in ids]
+        # the model puts a space before every text but the empty one; before a newline it is a piece of its own
+        opens = data[offsets[:-1]] == 0x20
+        ids = vocabulary.model.encode([text[a + o:b].decode() for a, b, o in zip(offsets[:-1], offsets[1:], opens)])
+        ids = [(x or vocabulary.space) if o else x[len(vocabulary.space):] for x, o in zip(ids, opens)]
         self.id_at = np.concatenate([self.id_at, self.id_at[-1] + np.cumsum([len(x) for x in ids])])
         self.ids = np.concatenate([self.ids, np.array([y for x in ids for y in x], np.int32)])
 
@@ -211,11 +219,10 @@ class Lattices:
         base = self.first[-1]
         self.first = np.concatenate([self.first, base + offsets[1:] + np.arange(1, n + 1)])
         self.edge = np.concatenate([self.edge, self.edge[-1] + edge[1:]])
-        self.length = np.concatenate([self.length, lengths.astype(np.uint16)])
-        self.piece = np.concatenate([self.piece, pieces])
+        self.length = np.concatenate([self.length, lengths.astype(self.length.dtype)])
+        self.piece = np.concatenate([self.piece, pieces.astype(self.piece.dtype)])
         self.log_prob = np.concatenate([self.log_prob, log_prob.astype(np.float32)])
         self.total = np.concatenate([self.total, running.astype(np.float32)])
-        self.position = np.concatenate([self.position, (base + place).astype(np.int32)])
 
     def walk(self, position: np.ndarray, end: np.ndarray, keys: np.ndarray):
         """Random ways from ``position`` to ``end``, all side by side: (edges, how many each way has)."""
@@ -255,7 +262,7 @@ class Regions:
         log_prob = lattices.log_prob[self.edges].astype(float)
         self.rest = -np.expm1(log_prob)  # what leaves the path at this edge
         for k in (k for k, g in enumerate(gone) if g and size[k]):
-            at = lattices.position[self.edges[first[k]]]
+            at = lattices.position(self.edges[first[k]])
             others = lattices.edge[at + 1] - lattices.edge[at] > len(gone[k]) + 1
             left = self.rest[first[k]] - np.exp(lattices.log_prob[gone[k]].astype(float)).sum()
             self.rest[first[k]] = max(0.0, left) if others else 0.0
@@ -318,7 +325,7 @@ def sampled(lattices: Lattices, slot, per_row, keys, ways: list, k: int) -> list
         for r in alive:
             value, _, place, mass[r], gone[r], path, owner = heapq.heappop(heaps[r])
             values[r], starts[r] = -value, place
-            at = lattices.position[path[place]]
+            at = lattices.position(path[place])
             others = np.arange(lattices.edge[at], lattices.edge[at + 1])
             others = others[~np.isin(others, gone[r])]
             log_prob = lattices.log_prob[others].astype(float)
@@ -347,7 +354,7 @@ def sampled(lattices: Lattices, slot, per_row, keys, ways: list, k: int) -> list
     return result
 
 
-def _chunks(data: np.ndarray, offsets: np.ndarray):
+def _chunks(data: np.ndarray, offsets: np.ndarray, lines: bool):
     """The bytes with a space before every row, and each chunk's (row, start, end)."""
     offsets = offsets + np.arange(len(offsets))
     spaced = np.full(offsets[-1], 0x20, np.uint8)
@@ -358,6 +365,8 @@ def _chunks(data: np.ndarray, offsets: np.ndarray):
     begin = space.copy()
     begin[1:] &= ~space[:-1]
     begin[offsets[:-1]] = True
+    if lines:
+        begin |= spaced == 0x0A
     start = np.flatnonzero(begin)
     return spaced, np.searchsorted(offsets, start, "right") - 1, start, np.append(start[1:], offsets[-1])
 
@@ -375,9 +384,9 @@ def _encoder(model: bytes, k: int, seed: int):
         for batch in batches:
             ids = batch.column(0)
             keys = mix(np.array(ids.fill_null(-1)).astype(np.int64).view(np.uint64) * _STEP + np.uint64(seed))
-            for first, data, offsets in slices(_plain(batch.column(1))):
+            for first, data, offsets in slices(_plain(batch.column(1)), 2 << 20):
                 n = len(offsets) - 1
-                spaced, row, start, end = _chunks(data, offsets)
+                spaced, row, start, end = _chunks(data, offsets, vocabulary.lines)
                 hashes = mix(Prefixes(spaced).of(start, end) + (end - start).astype(np.uint64))
                 slot = lattices.slots(spaced, start, end, hashes)
                 per_row = np.bincount(row, minlength=n)
