@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import threading
 import time
 import uuid
 from collections.abc import Sequence
@@ -52,6 +53,8 @@ class Table:
     def __init__(self, spark: SparkSession, path: str, shape: Shape | None = None) -> None:
         self.spark, self.path = spark, path.rstrip("/")
         self._given = shape
+        # who writes batches that nobody named, and the kinds of writes this object has noted
+        self._me, self._noted, self._lock = uuid.uuid4().hex, set(), threading.Lock()
 
     # ---- what is known -----------------------------------------------------------------------
 
@@ -113,7 +116,7 @@ class Table:
         """
         known = self._known()
         shape, at = self._shape(known), time.time_ns()
-        writer, which = batch or (uuid.uuid4().hex, 0)
+        writer, which = batch or (self._me, uuid.uuid4().hex)
         seen = Observation()
         rows = self._aligned(df, known).observe(seen, F.count(F.lit(1)).alias("rows"))
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema.fields])
@@ -137,8 +140,11 @@ class Table:
         """Store what a write looks like, once for each writer and look."""
         kind = {"schema": json.loads(schema.json()), "shape": {k: v for k, v in vars(shape).items() if v}, "partly": partly}
         name = hashlib.md5(json.dumps([kind, writer], sort_keys=True).encode()).hexdigest()
-        line = self.spark.createDataFrame([(json.dumps(kind | {"at": at}),)], "value string").coalesce(1)
-        line.write.mode("ignore").text(f"{self.path}/{SCHEMAS}/{name}")
+        with self._lock:  # streams of one process may share a table
+            if name not in self._noted:
+                line = self.spark.createDataFrame([(json.dumps(kind | {"at": at}),)], "value string").coalesce(1)
+                line.write.mode("ignore").text(f"{self.path}/{SCHEMAS}/{name}")
+                self._noted.add(name)
 
     # ---- reading -----------------------------------------------------------------------------
 
