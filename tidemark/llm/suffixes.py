@@ -352,23 +352,31 @@ def digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return removals(docs, length).mapInArrow(_digest, DIGEST)
 
 
+# documents are cut into pieces of 1000 bytes that overlap by 99, as finding a place in a long text takes long
 ORACLE = """
 WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-spot AS (SELECT doc_id, unnest(range(0, len(h) // 2)) AS p FROM b),
-w AS (SELECT spot.doc_id, p, substr(h, 2 * p + 1, 200) AS s FROM spot JOIN b USING (doc_id) WHERE 2 * p + 200 <= len(h)),
-dup AS (
+piece AS (
+  SELECT doc_id, c, substr(h, 2000 * c + 1, 2198) AS x
+  FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2000 + 1)) AS c FROM b)
+), spot AS (
+  SELECT doc_id, 1000 * c + r AS p, substr(x, 2 * r + 1, 2) AS byte
+  FROM (SELECT doc_id, c, x, unnest(range(0, least(1000, len(x) // 2))) AS r FROM piece)
+), w AS (
+  SELECT doc_id, 1000 * c + r AS p, md5(substr(x, 2 * r + 1, 200)) AS s
+  FROM (SELECT doc_id, c, x, unnest(range(0, least(1000, len(x) // 2 - 99))) AS r FROM piece)
+), dup AS (
   SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS k FROM w)
   WHERE k > 1
 ), covered AS (
-  SELECT spot.doc_id, spot.p, coalesce(max(dup.p) OVER (
+  SELECT spot.doc_id, spot.p, byte, coalesce(max(dup.p) OVER (
     PARTITION BY spot.doc_id ORDER BY spot.p ROWS BETWEEN 99 PRECEDING AND CURRENT ROW), -1) >= 0 AS gone
   FROM spot LEFT JOIN dup ON dup.doc_id = spot.doc_id AND dup.p = spot.p
 ), edges AS (
-  SELECT doc_id, p, gone, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), false) AS new FROM covered
+  SELECT doc_id, p, byte, gone, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), false) AS new FROM covered
 ), sums AS (
-  SELECT e.doc_id, count(*) AS n_bytes, count(*) FILTER (gone) AS n_removed, count(*) FILTER (new) AS n_spans,
-         coalesce(string_agg(substr(h, 2 * p + 1, 2), '' ORDER BY p) FILTER (NOT gone), '') AS kept
-  FROM edges e JOIN b ON b.doc_id = e.doc_id GROUP BY e.doc_id
+  SELECT doc_id, count(*) AS n_bytes, count(*) FILTER (gone) AS n_removed, count(*) FILTER (new) AS n_spans,
+         coalesce(string_agg(byte, '' ORDER BY p) FILTER (NOT gone), '') AS kept
+  FROM edges GROUP BY doc_id
 )
 SELECT b.doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
        sha256(unhex(coalesce(kept, ''))) AS kept_sha256
