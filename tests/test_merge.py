@@ -133,3 +133,19 @@ def test_keys_of_different_types_still_match(spark):
     assert rows(merge.upsert(target, source, ["k"])) == Counter(
         {(1, "a"): 1, (2, "c"): 1, (5_000_000_000, "d"): 1}
     )
+
+
+def scans(df, path):
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.split("Initial Plan")[0].count(f"[file:{path}]")
+
+
+def test_how_often_each_side_is_read(spark, tmp_path):
+    target, source = str(tmp_path / "target"), str(tmp_path / "source")
+    spark.range(100).select(F.col("id").alias("k"), F.col("id").alias("v")).write.parquet(target)
+    spark.range(50, 150).select(F.col("id").alias("k"), F.col("id").alias("v")).write.parquet(source)
+    left, right = spark.read.parquet(target), spark.read.parquet(source)
+    assert scans(merge.dedupe_last(right, ["k"]), source) == 1
+    merged = merge.upsert(left, right, ["k"])
+    assert scans(merged, target) == 1 and scans(merged, source) <= 2
