@@ -27,11 +27,13 @@ def test_all_but_the_last_keep_the_columns(stages):
         assert after.dtypes == before.dtypes
 
 
-def test_toxic_documents_go_and_clean_ones_stay(spark, sf_dir, stages):
-    _, before, after = stages[0]
+def test_toxic_documents_go_and_clean_ones_stay(spark):
+    sf_dir = "/root/testdata/sf0.01"  # the smallest tables have too few labels to learn from
+    before = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    after = corpus_pipeline.reject_toxic(spark, before, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     gone = before.join(after, "doc_id", "left_anti").join(labels, "doc_id").collect()
-    assert gone and sum(r.toxic for r in gone) >= 0.9 * len(gone)
+    assert len(gone) > 20 and sum(r.toxic for r in gone) >= 0.9 * len(gone)
     assert sorted(after.collect()) == sorted(before.join(after.select("doc_id"), "doc_id", "left_semi").select(before.columns).collect())
 
 
