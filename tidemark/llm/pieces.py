@@ -21,6 +21,7 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from tidemark.llm.text import Prefixes, mix, slices
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES, SEED = 2, 5
 #: Positions of lattices kept from slice to slice, some 35 bytes each.
-KEPT = 5_000_000
+KEPT = 8_000_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 LOW = np.uint64((1 << 22) - 1)
 
@@ -111,7 +112,9 @@ class Lattices:
         self.clear()
 
     def clear(self):
-        self.hashes, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        # chunks by two parts of their hash: their number and 1, or 0
+        self.place = [np.zeros(int(LOW) + 1, np.int32), np.zeros(int(LOW) + 1, np.int32)]
+        self.hashes = np.zeros(1, np.uint64)
         self.first = np.zeros(1, np.int64)
         self.id_at, self.ids = np.zeros(1, np.int64), np.zeros(0, np.int32)
         vocabulary = self.vocabulary
@@ -124,21 +127,24 @@ class Lattices:
 
     def slots(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         """Each chunk's number, after adding those not seen yet."""
-        unique, where, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.first) > 1 and self.first[-1] > KEPT:
+        if self.first[-1] > KEPT:
             self.clear()
-        at = np.searchsorted(self.hashes, unique)
-        known = at < len(self.hashes)
-        known[known] = self.hashes[at[known]] == unique[known]
-        new = where[~known]
+        low, high = hashes & LOW, (hashes >> np.uint64(22)) & LOW
+        at = self.place[0][low]
+        other = np.flatnonzero(self.hashes[at] != hashes)
+        at[other] = self.place[1][high[other]]
+        new = other[self.hashes[at[other]] != hashes[other]]
         if len(new):
-            size = end[new] - start[new]
-            self._add(data[_ragged(start[new], size)], np.concatenate([[0], np.cumsum(size)]))
-            self.hashes = np.concatenate([self.hashes, unique[~known]])
-            self.slot = np.concatenate([self.slot, np.arange(len(self.slot), len(self.hashes))])
-            order = np.argsort(self.hashes)
-            self.hashes, self.slot = self.hashes[order], self.slot[order]
-        return self.slot[np.searchsorted(self.hashes, unique)][back]
+            unique, where, back = np.unique(hashes[new], return_index=True, return_inverse=True)
+            size = end[new[where]] - start[new[where]]
+            self._add(data[_ragged(start[new[where]], size)], np.concatenate([[0], np.cumsum(size)]))
+            numbers = np.arange(len(self.hashes), len(self.hashes) + len(unique), dtype=np.int32)
+            self.hashes = np.concatenate([self.hashes, unique])
+            free = self.place[0][unique & LOW] == 0
+            self.place[0][unique[free] & LOW] = numbers[free]
+            self.place[1][(unique[~free] >> np.uint64(22)) & LOW] = numbers[~free]  # one pushed out is added again
+            at[new] = numbers[back]
+        return at.astype(np.int64) - 1
 
     def _add(self, data: np.ndarray, offsets: np.ndarray):
         vocabulary, n = self.vocabulary, len(offsets) - 1
@@ -288,18 +294,27 @@ def bounded(free: float, bound: float) -> float:
     return float(-np.logaddexp(-bound, -free))
 
 
-def sampled(lattices: Lattices, slot, per_row, keys, ways: list, k: int) -> list:
-    """For each text, its chunks ``slot`` (``per_row`` of them), up to ``k`` (edges, log probability, value, inclusion).
+def sampled(lattices: Lattices, begin, stop, row, keys, k: int) -> list:
+    """For each text (``keys``), up to ``k`` (edges, log probability, value, inclusion).
 
-    The texts are searched side by side: each round draws the next best segmentation of every one.
-    ``ways`` are ``k`` independent random ways through all chunks, the ends that paths go on with.
+    Its chunks, those of its ``row``, reach from ``begin`` to ``stop``.  The texts are searched side by
+    side: each round draws the next best segmentation of every one.
     """
-    n = len(per_row)
+    n = len(keys)
+    per_row = np.bincount(row, minlength=n)
     chunk_end = np.cumsum(per_row)
     chunk_at = chunk_end - per_row
-    cuts = [np.concatenate([[0], np.cumsum(count)]) for _, count in ways]
-    paths = [ways[0][0][cuts[0][a]:cuts[0][b]] for a, b in zip(chunk_at, chunk_end)]
-    owners = [np.repeat(np.arange(a, b), ways[0][1][a:b]) for a, b in zip(chunk_at, chunk_end)]
+    in_row = (np.arange(len(row)) - chunk_at[row]).astype(np.uint64)
+
+    def ways(draw: int, some):
+        """Random ways through some chunks, the same ones whatever others there are."""
+        own = mix(keys ^ np.uint64(0xD1B54A32D192ED03 + draw))
+        edges, count = lattices.walk(begin[some], stop[some], mix(own[row[some]] + in_row[some]))
+        return edges, count, np.concatenate([[0], np.cumsum(count)])
+
+    edges, count, cut = ways(0, slice(None))
+    paths = [edges[cut[a]:cut[b]] for a, b in zip(chunk_at, chunk_end)]
+    owners = [np.repeat(np.arange(a, b), count[a:b]) for a, b in zip(chunk_at, chunk_end)]
     draws = lambda j: mix(keys + np.full(1, j, np.uint64) * _STEP)
     values = -np.log(-np.log(uniform(draws(1))))
     starts, mass, gone = [0] * n, np.zeros(n), [[] for _ in range(n)]
@@ -332,18 +347,20 @@ def sampled(lattices: Lattices, slot, per_row, keys, ways: list, k: int) -> list
             weight = np.cumsum(np.exp(log_prob - log_prob.max()))
             edge = int(others[min(int(np.searchsorted(weight, picks[r] * weight[-1], "right")), len(others) - 1)])
             firsts.append((path[:place], edge, owner[:place], int(owner[place]), int(at)))
-        begin = np.array([at + int(lattices.length[edge]) for _, edge, _, _, at in firsts])
-        end = np.array([lattices.first[slot[chunk] + 1] - 1 for _, _, _, chunk, _ in firsts])
-        inner, count = lattices.walk(begin, end, draws(200 + draw)[alive])
+        opened = np.array([at + int(lattices.length[edge]) for _, edge, _, _, at in firsts])
+        chunks = np.array([chunk for _, _, _, chunk, _ in firsts])
+        inner, count = lattices.walk(opened, stop[chunks], draws(200 + draw)[alive])
         inner_end = np.cumsum(count)
-        edges, per_chunk = ways[draw + 1]
+        left = chunk_end[alive] - chunks - 1
+        edges, per_chunk, cut = ways(draw + 1, _ragged(chunks + 1, left))
+        tail = 0
         for at, (r, (head, edge, owner, chunk, _)) in enumerate(zip(alive, firsts)):
             middle = inner[inner_end[at] - count[at]:inner_end[at]]
-            tail = slice(chunk + 1, chunk_end[r])
-            paths[r] = np.concatenate([head, [edge], middle, edges[cuts[draw + 1][chunk + 1]:cuts[draw + 1][chunk_end[r]]]])
+            paths[r] = np.concatenate([head, [edge], middle, edges[cut[tail]:cut[tail + left[at]]]])
             owners[r] = np.concatenate([
-                owner, np.full(1 + len(middle), chunk), np.repeat(np.arange(chunk + 1, chunk_end[r]), per_chunk[tail]),
+                owner, np.full(1 + len(middle), chunk), np.repeat(np.arange(chunk + 1, chunk_end[r]), per_chunk[tail:tail + left[at]]),
             ])
+            tail += left[at]
     result = []
     for r in range(n):
         limit = -heaps[r][0][0] if heaps[r] else None
@@ -373,8 +390,7 @@ def _chunks(data: np.ndarray, offsets: np.ndarray, lines: bool):
 
 def _plain(column: pa.Array) -> pa.Array:
     """Text with the space mark itself read as the space that the model takes it for."""
-    texts = column.to_pylist()
-    return pa.array([t.replace("▁", " ") if t and "▁" in t else t for t in texts], pa.string())
+    return pc.replace_substring(column, "▁", " ")
 
 
 def _encoder(model: bytes, k: int, seed: int):
@@ -390,16 +406,11 @@ def _encoder(model: bytes, k: int, seed: int):
                 hashes = mix(Prefixes(spaced).of(start, end) + (end - start).astype(np.uint64))
                 slot = lattices.slots(spaced, start, end, hashes)
                 per_row = np.bincount(row, minlength=n)
-                place = np.arange(len(row)) - np.repeat(np.cumsum(per_row) - per_row, per_row)
                 begin, stop = lattices.first[slot], lattices.first[slot + 1] - 1
                 # a row of no text has no segmentation: its chunk is the space put before it
                 blank = np.diff(offsets) == 0
                 begin = np.where(blank[row], stop, begin)
-                ways = []
-                for draw in range(k):
-                    own = mix(keys[first:first + n] ^ np.uint64(0xD1B54A32D192ED03 + draw))
-                    ways.append(lattices.walk(begin, stop, mix(own[row] + place.astype(np.uint64))))
-                samples = sampled(lattices, slot, per_row, keys[first:first + n], ways, k)
+                samples = sampled(lattices, begin, stop, row, keys[first:first + n], k)
                 size = np.where(blank[row], 0, lattices.id_at[slot + 1] - lattices.id_at[slot])
                 canonical = lattices.ids[_ragged(lattices.id_at[slot], size)]
                 cut = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(per_row)])]
