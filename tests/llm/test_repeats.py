@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from tests.llm.test_near_documents import shingle_set
-from tidemark.llm import paragraphs, suffixes
+from tidemark.llm import paragraphs, queries, suffixes
 
 
 def brute_bytes(rows, length):
@@ -131,6 +131,17 @@ def test_odd_texts_paragraphs(documents, odd_texts):
     assert paragraphs.digest(documents([])).collect() == []
 
 
+def test_short_lines_take_part(documents, odd_texts, spark, tmp_path):
+    """Lines of one to four words go as their copies do, also through the query."""
+    texts = paragraph_texts(2) + ["All rights reserved.\nx", "b\nall  Rights reserved.\n\nall rights", "日本語の行です。\nb b\n", "日本語の行です。\nb b b b b b\nb b b b b"] + odd_texts[4:]
+    got = {r.doc_id: r.kept for r in paragraphs.without_repeats(documents(texts), least=1).collect()}
+    assert got == brute_paragraphs(list(enumerate(texts)), 5, 80, 1)
+    assert got[41] == "b\n\nall rights" and got[43] == "b b b b b b\n"
+    documents(texts).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r.kept_sha256 for r in queries.op7_substring_dedup(spark, str(tmp_path)).collect()}
+    assert found == {d: hashlib.sha256(t.encode()).hexdigest() for d, t in got.items()}
+
+
 def test_bands_are_tuned():
     for recall in (0.9, 0.999, 0.9999):
         scheme = paragraphs.tuned(80, recall)

@@ -60,9 +60,15 @@ def _sketcher(size: int, least: int, scheme: Scheme):
                 keep = count[rows] >= least
                 rows, hashes = rows[keep], hashes[keep]
                 sets = np.bincount(rows, minlength=n)[long]
-                lows = minima(hashes, np.cumsum(sets) - sets, scheme.total, SEED + 1)
+                # a line of fewer words than a shingle is like its copies only, which s1 and s2 tell: no bands
+                full = count[long] >= size
+                wide = count[rows] >= size
+                of = sets[full]
+                lows = np.empty((0, scheme.total), np.uint64)
+                if full.any():
+                    lows = minima(hashes[wide], np.cumsum(of) - of, scheme.total, SEED + 1)
                 row = np.searchsorted(offsets, cuts[long], "right") - 1
-                each = np.ones(len(long), np.int64)
+                each = full.astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.take(pa.array(first + row)),
@@ -169,8 +175,9 @@ def removals(docs: DataFrame, size: int = 5, percent: int = 80, least: int = 5,
 def without_repeats(docs: DataFrame, size: int = 5, percent: int = 80, least: int = 5, recall: float = 0.9999) -> DataFrame:
     """``KEPT`` for every row of ``docs`` (doc_id, text, ...): its text without repeated paragraphs.
 
-    Paragraphs (lines) of at least ``least`` words take part.  Two of them link when the Jaccard
-    similarity of their sets of ``size``-word shingles (A-Z in lower case) reaches ``percent``; of each
+    Paragraphs (lines) of at least ``least`` words (one or more) take part; with ``least`` of 1 all that
+    have words.  Two of them link when the Jaccard similarity of their sets of ``size``-word shingles (A-Z
+    in lower case; the whole sequence of words where a line has fewer) reaches ``percent``; of each
     component the paragraph that stands first (smallest doc_id, then place) stays, the others go with
     their newline.
 

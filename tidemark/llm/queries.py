@@ -38,7 +38,7 @@ def op6_pii(spark, sf_dir):
 
 
 def op7_substring_dedup(spark, sf_dir):
-    return paragraphs.digest(_table(spark, sf_dir, "documents"))
+    return paragraphs.digest(_table(spark, sf_dir, "documents"), least=1)
 
 
 def op8_minhash_near_dedup(spark, sf_dir):
