@@ -121,6 +121,31 @@ def test_disclosure_equals_counting(documents, spark):
     assert got == want and want
 
 
+@pytest.mark.parametrize("contexts", [1, 2])
+def test_names_seen_in_few_contexts(documents, contexts):
+    """One context is enough in a corpus in which the entity is rare; copies of it are no more than one."""
+    rng = random.Random(3)
+    words = [f"{a}{b}" for a in ("rep", "meet", "budg", "off", "mon", "rev") for b in ("ort", "ing", "et", "ice", "day", "iew")]
+    filler = lambda n: " ".join(words[k % 36] for k in rng.sample(range(36), n))
+    texts = [f"{filler(3)} Wolfsbane writes {SECRET} {filler(2 + k)}" for k in range(contexts)]
+    texts += [filler(20) for _ in range(1000)]
+    got = matches(documents, texts)
+    for k in range(contexts):
+        spans = [s.split(":") for s in got[k].spans.split(",")]
+        assert {texts[k][int(a):int(b)].lower() for kind, a, b in spans if kind == "term"} == {"wolfsbane", "writes"}
+    assert all("term" not in got[k].spans for k in range(contexts, len(texts)))
+    clean = {r.doc_id: r.text for r in pii.sanitised(documents(texts)).collect()}
+    assert "Wolfsbane" not in clean[0] and clean[contexts] == texts[contexts]
+
+
+def test_copies_are_no_evidence(documents):
+    """In a corpus in which a twentieth of all words are near the entity, one context is chance however often it is copied."""
+    filler = [f"w{k}x" for k in range(4)]
+    texts = [f"w0x Wolfsbane {SECRET} w1x w2x"] * 5 + [" ".join(filler * 5) for _ in range(20)]
+    got = matches(documents, texts)
+    assert all("term" not in r.spans for r in got.values())
+
+
 def test_sanitised_texts(documents):
     texts = corpus() + ["call +1 234 567 8901 or 4111 1111 1111 1111", None, "", "nothing here"]
     docs = documents(texts)

@@ -4,9 +4,14 @@ The base kinds (email, ip, card, phone) are found by patterns and checks.  What
 protected entities.  A term that stands near an entity says how much about it?  With p(e) the share of
 all word places that lie near e, and p(e|t) the share of t's places in the corpus that do, the pointwise
 mutual information log2 p(e|t) / p(e), taken as a part of the entity's information -log2 p(e), is the
-disclosure: 1 when t occurs nowhere else.  Terms above the threshold, seen in enough different contexts,
-are marked in the documents that hold the entity, and generalised or, where they reveal it almost
-surely, removed.  All of it is DataFrame functions.
+disclosure: 1 when t occurs nowhere else.  Terms above the threshold, whose places near the entity are
+no chance, are marked in the documents that hold the entity, and generalised or, where they reveal it
+almost surely, removed.  All of it is DataFrame functions.
+
+Chance: if t's places fell anywhere, that a share p(e|t) or more of n of them lies near e has a
+probability of at most exp(-n D), D the divergence of p(e|t) from p(e) (Chernoff's bound of the binomial
+tail; p(e) itself for one place near e of one).  Copies of a context are no further evidence, so n counts
+t's places as if each different context were one.  In a large corpus one context is enough.
 
 The patterns are written so that Java's matcher needs no recursion and no second pass over a run of
 characters: a loop over one character class, entered at the start of a run only.  They match what the
@@ -15,6 +20,8 @@ plain ones in ``KINDS`` match.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +44,8 @@ _TERM = r"[\p{L}\p{N}]+"
 #: Characters around an entity whose whole words are its context, and terms of fewer characters pass.
 REACH, SHORTEST = 60, 3
 #: Part of the entity's information that a term may disclose, the part of its places near the entity
-#: from which it is removed, and the different contexts that it takes to be judged.
-DISCLOSED, CERTAIN, CONTEXTS = 0.8, 0.9, 3
+#: from which it is removed, and the probability below which these are no chance.
+DISCLOSED, CERTAIN, CHANCE = 0.8, 0.9, 0.001
 
 _SPAN = "array<struct<start: int, kind: int, end: int>>"
 
@@ -160,24 +167,34 @@ def disclosing(docs: DataFrame, entities: DataFrame) -> DataFrame:
     near = _near(entities)
     once = near.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("n"))
     pairs = once.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("together"))
-    pairs = stored(pairs.where(F.col("contexts") >= CONTEXTS), "pairs")
+    pairs = stored(pairs, "pairs")
     words = docs.select(F.explode(F.regexp_extract_all(F.lower(F.col("text").cast("string")), F.lit(_TERM), F.lit(0))).alias("term"))
     counts = stored(words.where(F.length("term") >= SHORTEST).groupBy("term").agg(F.count(F.lit(1)).alias("all")), "terms")
     total = counts.agg(F.sum("all")).first()[0] or 0
     places = near.groupBy("entity").agg(F.count(F.lit(1)).alias("places"))
     judged = pairs.join(places, "entity").join(counts, "term")
     share = F.least(F.col("together") / F.greatest("all", "together"), F.lit(1.0))
-    information = -F.log2(F.col("places") / F.greatest(F.lit(total), F.col("places") + 1))
-    judged = judged.withColumn("share", share).withColumn("disclosed", 1 + F.log2("share") / information)
-    return judged.where(F.col("disclosed") >= DISCLOSED).select("entity", "term", (F.col("share") >= CERTAIN).alias("certain"))
+    judged = judged.withColumn("share", share).withColumn("p", F.col("places") / F.greatest(F.lit(total), F.col("places") + 1))
+    rest = F.when(F.col("share") < 1, (1 - F.col("share")) * F.log((1 - F.col("share")) / (1 - F.col("p")))).otherwise(0.0)
+    divergence = F.col("share") * F.log(F.col("share") / F.col("p")) + rest
+    evidence = F.greatest("all", "together") * F.col("contexts") / F.col("together")
+    judged = judged.withColumn("disclosed", 1 - F.log2("share") / F.log2("p"))
+    judged = judged.where((F.col("disclosed") >= DISCLOSED) & (evidence * divergence >= -math.log(CHANCE)))
+    return judged.select("entity", "term", (F.col("share") >= CERTAIN).alias("certain"))
 
 
 def marked(docs: DataFrame) -> DataFrame:
     """``base_spans`` of every row with ``certain`` (terms to remove) and ``spans``, which adds those of terms."""
     found = base_spans(docs)
     entities = stored(_entities(found), "entities")
-    terms = disclosing(docs, entities).join(entities.select("doc_id", "entity").distinct(), "entity")
-    terms = terms.where("doc_id is not null").groupBy("doc_id").agg(
+    terms = stored(disclosing(docs, entities), "disclosing")
+    # the words of the documents that hold an entity meet its terms: an entity of many documents has many terms
+    holders = entities.where("doc_id is not null").select("doc_id", "entity").distinct()
+    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text")), F.lit(_TERM), F.lit(0)))
+    held = found.where("size(base) > 0 and doc_id is not null").select("doc_id", F.explode(words).alias("term")).distinct()
+    held = held.join(terms.select("term").distinct(), "term", "left_semi")
+    known = held.join(holders, "doc_id").join(terms, ["entity", "term"])
+    terms = known.groupBy("doc_id").agg(
         F.array_sort(F.collect_set("term")).alias("terms"),
         F.collect_set(F.when(F.col("certain"), F.col("term"))).alias("certain"),
     )
