@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.llm import covertree, minhash, mixing, paragraphs, pieces, pii, quality, search, suffixes, toxicity
+from pyspark.sql import functions as F
+
+from tidemark.llm import chat, covertree, minhash, mixing, paragraphs, pieces, pii, quality, search, suffixes, toxicity
 from tidemark.llm.shared import prepared
 
 
@@ -54,6 +56,15 @@ def op10_mixing_sources(spark, sf_dir):
     return mixing.taken(_table(spark, sf_dir, "documents"))
 
 
+def op13_chat_formatting(spark, sf_dir):
+    said = F.explode(F.array(*[F.struct(F.lit(k).cast("long").alias("turn"), F.lit(r).alias("role")) for k, r in enumerate(("user", "assistant"))]))
+    added = spark.range(1).select(said.alias("t")).select(
+        F.lit(-1).cast("long").alias("conv_id"), "t.turn", "t.role", F.lit("</s>[INST] ok [/INST]").alias("text")
+    )
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digest(chat.formatted(rows.unionByName(added)))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_exact_top_k_search": op2_exact_top_k_search,
@@ -65,10 +76,12 @@ QUERIES = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_mixing_sources": op10_mixing_sources,
+    "op13_chat_formatting": op13_chat_formatting,
 }
 
 ORACLE = {
     "op3_suffix_array_dedup": suffixes.ORACLE,
     "op4_embedding_near_dedup": covertree.ORACLE,
     "op8_minhash_near_dedup": minhash.ORACLE,
+    "op13_chat_formatting": chat.ORACLE,
 }
