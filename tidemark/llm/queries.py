@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, covertree, minhash, mixing, paragraphs, pieces, pii, quality, search, suffixes, toxicity
+from tidemark.llm import chat, covertree, minhash, mixing, paragraphs, pieces, pii, quality, search, suffixes, toxicity, trie
 from tidemark.llm.shared import prepared
 
 
@@ -56,6 +56,10 @@ def op10_mixing_sources(spark, sf_dir):
     return mixing.taken(_table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_prefix_trie(spark, sf_dir):
+    return trie.prefixes(_table(spark, sf_dir, "conversations"))
+
+
 def op13_chat_formatting(spark, sf_dir):
     said = F.explode(F.array(*[F.struct(F.lit(k).cast("long").alias("turn"), F.lit(r).alias("role")) for k, r in enumerate(("user", "assistant"))]))
     added = spark.range(1).select(said.alias("t")).select(
@@ -76,6 +80,7 @@ QUERIES = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_mixing_sources": op10_mixing_sources,
+    "op12_conversation_prefix_trie": op12_conversation_prefix_trie,
     "op13_chat_formatting": op13_chat_formatting,
 }
 
@@ -83,5 +88,6 @@ ORACLE = {
     "op3_suffix_array_dedup": suffixes.ORACLE,
     "op4_embedding_near_dedup": covertree.ORACLE,
     "op8_minhash_near_dedup": minhash.ORACLE,
+    "op12_conversation_prefix_trie": trie.ORACLE,
     "op13_chat_formatting": chat.ORACLE,
 }
