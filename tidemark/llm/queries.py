@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, covertree, minhash, mixing, paragraphs, pieces, pii, quality, search, suffixes, toxicity, trie
+from tidemark.llm import chat, covertree, minhash, mixing, negatives, paragraphs, pieces, pii, quality, search, suffixes, toxicity, trie
 from tidemark.llm.shared import prepared
 
 
@@ -56,6 +56,10 @@ def op10_mixing_sources(spark, sf_dir):
     return mixing.taken(_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    return negatives.mine(_table(spark, sf_dir, "embeddings"))
+
+
 def op12_conversation_prefix_trie(spark, sf_dir):
     return trie.prefixes(_table(spark, sf_dir, "conversations"))
 
@@ -80,6 +84,7 @@ QUERIES = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_mixing_sources": op10_mixing_sources,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_conversation_prefix_trie": op12_conversation_prefix_trie,
     "op13_chat_formatting": op13_chat_formatting,
 }
@@ -88,6 +93,7 @@ ORACLE = {
     "op3_suffix_array_dedup": suffixes.ORACLE,
     "op4_embedding_near_dedup": covertree.ORACLE,
     "op8_minhash_near_dedup": minhash.ORACLE,
+    "op11_hard_negatives": negatives.ORACLE,
     "op12_conversation_prefix_trie": trie.ORACLE,
     "op13_chat_formatting": chat.ORACLE,
 }
