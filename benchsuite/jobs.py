@@ -178,7 +178,7 @@ def _logged(spark, sf):
     job.replicate_raw(d.raw_rows(spark, sf), RawFeed("db", "lines", f"{home}/lines"))
     with suppress(Exception):
         job.export_raw(events, RawExport("db", "orders", ("no such column",)), Destination(f"{home}/out"))
-    return job.log.table.read()
+    return job.log.read()
 
 
 RUNS_SQL = f"""SELECT 'event_state' AS pipeline, 'success' AS status, count(*) AS "rows" FROM ({d.EVT})

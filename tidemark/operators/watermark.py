@@ -68,13 +68,18 @@ def set_rows(new: DataFrame) -> DataFrame:
     return new.where(value.isNotNull() & ~value.isin("", "0", "0.0"))
 
 
-def latest(history: DataFrame, order: str = "seq") -> DataFrame:
+def settled(history: DataFrame, order: str = "seq") -> DataFrame:
     """One row per state from its settings in order; a side not set keeps its earlier value."""
     newest = {
         c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c)
         for c in ("low", "high", "value_type")
     }
-    rows = history.groupBy("state_id").agg(*newest.values())
+    return history.groupBy("state_id").agg(*newest.values(), F.max(order).alias(order))
+
+
+def latest(history: DataFrame, order: str = "seq") -> DataFrame:
+    """The settled states, sides that were set back as null."""
+    rows = settled(history, order)
     return rows.select("state_id", *[F.nullif(F.col(c), F.lit(CLEARED)).alias(c) for c in SIDES], "value_type")
 
 

@@ -2,12 +2,16 @@
 
 Every incremental job reads its upper bound before it copies anything: rows are taken from
 ``(watermark, bound]``, written, and only then does the bound become the watermark.  Rows that
-arrive meanwhile are above the bound and wait for the next run.  A run writes the batch named after
-the watermark it starts from, so a run that failed half-way is replaced by the next one.
+arrive meanwhile are above the bound and wait for the next run.
+
+A run has a number, one more than that of the last run that set its pipeline's states, and its batches
+are named after it.  Setting the states ends the run, in one step; whatever stops it before then leaves
+batches that no state rests on, which the next run reads as if they were not there, and replaces.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable
 from contextlib import nullcontext
 
@@ -41,8 +45,8 @@ class Jobs:
 
     def __init__(self, spark: SparkSession, home: str, fmt: str = "parquet") -> None:
         self.spark, self.home, self.fmt = apply_settings(spark), home.rstrip("/"), fmt
-        self.states = Watermarks(self.table(f"{self.home}/watermarks"))
-        self.log = RunLog(self.table(f"{self.home}/run_log"))
+        self.states = Watermarks(spark, f"{self.home}/watermarks")
+        self.log = RunLog(spark, f"{self.home}/run_log")
 
     def table(self, path: str, shape: Shape | None = None):
         return open_table(self.spark, path, shape, self.fmt)
@@ -93,8 +97,9 @@ class Jobs:
                 self.log.seen(EVENT_STATE)
                 return 0
             rows = scan.since(rows, "createdTime", up_to=bound)
-            count = table.add(event_ops.metadata_as_json(rows), self._batch(EVENT_STATE, EVENT_STATE, last))
-            self.states.set_value(EVENT_STATE, bound, "high")
+            batch = self.states.run(EVENT_STATE)
+            count = table.add(event_ops.metadata_as_json(rows), batch)
+            self.states.set_value(EVENT_STATE, bound, "high", batch)
             self.log.success(EVENT_STATE, count, "events written to the table")
         return count
 
@@ -121,8 +126,9 @@ class Jobs:
                 within = scan.since(fresh, "last_updated_time", up_to=bound)
                 # the first run also takes rows without a time; no later run could
                 fresh = within if last else within.unionByName(fresh.where(F.col("last_updated_time").isNull()))
-            count = table.add(raw_ops.flatten_rows(fresh, feed.columns), self._batch(feed.state_id, feed.state_id, last))
-            self._commit_bound(feed.state_id, bound)
+            batch = self.states.run(feed.state_id)
+            count = table.add(raw_ops.flatten_rows(fresh, feed.columns), batch)
+            self.states.set_values({feed.state_id: bound}, "low", batch)
             self.log.success(feed.state_id, count, "rows written to the table")
         return count
 
@@ -140,16 +146,17 @@ class Jobs:
         """Bring every view table of a space, and its edge table, up to date.
 
         A flow without a watermark takes the snapshot and starts from its newest change (from the
-        change feed's beginning when none is given); later runs follow the feed up to their start.
-        A watermark never moves back.  The changes of a later run are read once and held for all tables.
+        change feed's beginning when none is given); later runs follow the feed up to their start, now
+        unless ``run_start`` (epoch milliseconds) tells another.  A watermark never moves back.  The changes of a later run are read once and held for all tables.
         """
+        run_start = int(time.time() * 1000) if run_start is None else run_start
         flows = graph.flows(space.space, space.views)
         state_ids = {name: f"state_{space.space}_{name}" for name in flows}
         stored = self.states.get_all(list(state_ids.values()), "high")
         last = {name: None if stored[s] is None else int(stored[s]) for name, s in state_ids.items()}
         fresh = [name for name in flows if last[name] is None and snapshot is not None]
         follow = [name for name in flows if name not in fresh]
-        runs = self.log.runs(list(state_ids.values()))
+        owner, number = self.states.run(f"state_{space.space}")
         reached, entries = {}, []
 
         def load(rows: DataFrame, names: list[str], lowest: int | None) -> None:
@@ -164,8 +171,7 @@ class Jobs:
                             entries.append((state_id, "seen", None, ""))
                             continue
                         flat = flows[name](scan.since(held, "lastUpdatedTime", last[name]))
-                        batch = (state_id, f"{runs[state_id]}-{last[name] or 'first'}")
-                        count = self.table(f"{space.tables}/{name}", config.INSTANCES).add(flat, batch)
+                        count = self.table(f"{space.tables}/{name}", config.INSTANCES).add(flat, (state_id, number))
                         reached[state_id] = bound
                         entries.append((state_id, "success", count, f"{count} instances written"))
 
@@ -174,7 +180,8 @@ class Jobs:
         if follow:
             known = [last[name] for name in follow]
             load(graph.changes_since(changes, None, run_start), follow, None if None in known else min(known))
-        self.states.set_values(reached, "high")
+        if reached:
+            self.states.set_values(reached, "high", (owner, number))
         self.log.write_all(entries)
 
     # ---- lake tables out ---------------------------------------------------------------------
@@ -187,9 +194,9 @@ class Jobs:
         run that stops before it is repeated whole.
         """
         with self.log.watching(path):
-            fresh = scan.series_since(points, marks.series_bounds(self.states.frame(), path))
+            fresh = scan.series_since(points, marks.series_bounds(self.states.frame(path), path))
             target = self.table(f"{to.tables}/points", config.OUT_POINTS)
-            batch = self._batch(path, path)
+            batch = self.states.run(path)
             count = target.add(point_ops.prefix_ids(fresh, to.series_prefix), batch)
             if not count:
                 self.log.seen(path)
@@ -198,10 +205,10 @@ class Jobs:
             latest = written.groupBy("externalId").agg(F.max("timestamp").alias("timestamp"))
             with kept(latest) as latest:
                 series = self.table(f"{to.tables}/series", config.SERIES)
-                known = series.read() if series.exists() else self._empty("externalId string")
+                known = series.read(without=batch) if series.exists() else self._empty("externalId string")
                 series.add(series_ops.missing_series(latest, known, to.data_set_id), batch)
                 own = F.substr("externalId", F.lit(len(to.series_prefix) + 1))
-                self.states.set(marks.series_watermark(latest.withColumn("externalId", own), path))
+                self.states.set(marks.series_watermark(latest.withColumn("externalId", own), path), batch)
             self.log.success(path, count, "points inserted")
             return count
 
@@ -221,8 +228,8 @@ class Jobs:
         """
         state_id = f"{path}-state"
         with self.log.watching(path):
-            fresh, bound, last = self._fresh(events, incremental_field, state_id)
-            batch = self._batch(path, state_id, last)
+            fresh, bound = self._fresh(events, incremental_field, state_id)
+            batch = self.states.run(state_id)
             shaped = event_ops.event_rows(fresh, to.data_set_id, incremental_field or "startTime")
             if strict:
                 misses = self.table(f"{to.tables}/unknown_assets")
@@ -235,21 +242,22 @@ class Jobs:
             if not count:
                 self.log.seen(path)
                 return 0
-            self._commit_bound(state_id, bound)
+            self.states.set_values({state_id: bound}, "low", batch)
             self.log.success(path, count, "events inserted")
             return count
 
     def export_raw(self, df: DataFrame, spec: RawExport, to: Destination) -> int:
         """Add the table's new rows as RAW rows under their key."""
         with self.log.watching(spec.state_id):
-            fresh, bound, last = self._fresh(df, spec.incremental_field, spec.state_id)
+            fresh, bound = self._fresh(df, spec.incremental_field, spec.state_id)
             rows = raw_ops.export_rows(fresh, spec.key_fields, spec.md5_key)
             target = self.table(f"{to.tables}/{spec.db_name}/{spec.table_name}", spec.shape)
-            count = target.add(rows, self._batch(spec.state_id, spec.state_id, last))
+            batch = self.states.run(spec.state_id)
+            count = target.add(rows, batch)
             if not count:
                 self.log.seen(spec.state_id)
                 return 0
-            self._commit_bound(spec.state_id, bound)
+            self.states.set_values({spec.state_id: bound}, "low", batch)
             self.log.success(spec.state_id, count, f"rows inserted to {spec.table_name}")
             return count
 
@@ -262,24 +270,22 @@ class Jobs:
         with self.log.watching(name):
             listing = file_ops.catalog_rows(files, to.data_set_id)
             target = self.table(f"{to.tables}/files", config.FILES)
-            stored = target.read() if target.exists() else self._empty(schemas.FILES)
+            batch = self.states.run(f"files/{name}")
+            stored = target.read(without=batch) if target.exists() else self._empty(schemas.FILES)
             state = stored.select("external_id", F.col("source_modified_time").alias("stored_time"))
-            count = target.add(file_ops.changed_files(listing, state), self._batch(name, name))
+            count = target.add(file_ops.changed_files(listing, state), batch)
             if count:
+                self.states.set_values({}, "low", batch)
                 self.log.success(name, count, f"files uploaded from {name}")
             return count
 
-    def _batch(self, pipeline: str, writer: str, last: object = None) -> tuple[str, str]:
-        """The batch a run writes: another one once the pipeline has logged a success or moved its watermark."""
-        return writer, f"{self.log.runs([pipeline])[pipeline]}-{last or 'first'}"
-
     def _empty(self, schema) -> DataFrame:
         return self.spark.createDataFrame([], schema)
 
-    def _fresh(self, df: DataFrame, field: str | None, state_id: str) -> tuple[DataFrame, object, object]:
-        """(rows of this run, their upper bound, the watermark they start from); everything without a field."""
+    def _fresh(self, df: DataFrame, field: str | None, state_id: str) -> tuple[DataFrame, object]:
+        """(rows of this run, their upper bound); everything without a field."""
         if not field:
-            return df, None, None
+            return df, None
         watermark = self.states.get(state_id)
         rows = scan.since(df, field, watermark)
         bound, _ = _bound(rows, field)
@@ -287,11 +293,7 @@ class Jobs:
         if watermark is None and bound is not None:
             # the first run also takes rows without a value; no later run could
             within = within.unionByName(rows.where(F.col(field).isNull()))
-        return within, bound, watermark
-
-    def _commit_bound(self, state_id: str, bound: object) -> None:
-        if bound is not None:
-            self.states.set_value(state_id, bound)
+        return within, bound
 
     def space_tables(self, space: Space) -> list[str]:
         """Table paths of a space, its edge table included."""

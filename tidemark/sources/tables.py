@@ -1,16 +1,15 @@
 """Tables as plain Parquet folders that are only ever added to.
 
 A write goes to ``tm_writer=<who>/tm_batch=<which>``, a folder of its own, so it costs what it writes,
-writers never meet, and a batch that is repeated replaces its own folder and nothing else.  What the rows
-mean is settled on reading: of a keyed table the newest row of each key counts, and deletes are rows
-too.  ``fold`` writes what a table holds now as a new table, for when its history has grown long.
+writers never meet, and a batch that is repeated replaces its own folder and nothing else.  Columns are
+merged by Spark as the folders are read.  What the rows mean is settled on reading: of a keyed table the
+newest row of each key counts, and deletes are rows too.  ``fold`` writes what a table holds now as a new
+table, for when its history has grown long.
 """
 
 from __future__ import annotations
 
-import hashlib
 import json
-import threading
 import time
 import uuid
 from collections.abc import Sequence
@@ -18,16 +17,20 @@ from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import merge
 from tidemark.operators.joins import join_aggregated
+from tidemark.sources import folders
 
 # names of stored columns that tables add; unusual on purpose, since they must not clash with theirs
 WRITER, BATCH, AT, DAY, GIVEN = "tm_writer", "tm_batch", "tm_at", "tm_day", "tm_given"
-SCHEMAS = "_schemas"
+OWN = (WRITER, BATCH, AT, DAY, GIVEN)
+
+Batch = tuple[str, object]
 
 
 @dataclass(frozen=True)
@@ -53,146 +56,138 @@ class Table:
     def __init__(self, spark: SparkSession, path: str, shape: Shape | None = None) -> None:
         self.spark, self.path = spark, path.rstrip("/")
         self._given = shape
-        # who writes batches that nobody named, and the kinds of writes this object has noted
-        self._me, self._noted, self._lock = uuid.uuid4().hex, set(), threading.Lock()
+        # who writes batches that nobody named; what is known of the table, since shapes never change
+        self._me, self._shape_kept, self._columns = uuid.uuid4().hex, None, None
 
     # ---- what is known -----------------------------------------------------------------------
 
-    def _known(self) -> tuple[T.StructType, Shape, bool] | None:
-        """The columns of all writes so far, oldest first, the shape, and whether some writes lacked columns.
+    def exists(self) -> bool:
+        return self._kept_shape() is not None
 
-        There is one small file per writer and kind of write.
-        """
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{SCHEMAS}")
-        if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
-            return None
-        rows = self.spark.read.text(f"{self.path}/{SCHEMAS}/*").collect()
-        kinds = sorted((json.loads(r["value"]) for r in rows), key=lambda k: k["at"])
-        if not kinds:  # another writer is about to note the first
-            return None
-        schema = T.StructType()
-        for kind in kinds:
-            schema = _union(schema, T.StructType.fromJson(kind["schema"]))
-        shape = {k: tuple(v) if isinstance(v, list) else v for k, v in kinds[0]["shape"].items()}
-        return schema, Shape(**shape), any(k["partly"] for k in kinds)
+    def _kept_shape(self) -> Shape | None:
+        if self._shape_kept is None:
+            text = folders.read_text(self.spark, f"{self.path}/_shape")
+            if text:
+                self._shape_kept = Shape(**{k: tuple(v) if isinstance(v, list) else v for k, v in json.loads(text).items()})
+        return self._shape_kept
 
-    def exists(self) -> bool:
-        return self._known() is not None
+    def _shape(self) -> Shape:
+        kept = self._kept_shape()
+        if kept and self._given and self._given != kept:
+            raise ValueError(f"{self.path} has {kept}, not {self._given}")
+        return kept or self._given or Shape()
 
-    def _shape(self, known) -> Shape:
-        shape = known[1] if known else self._given or Shape()
-        if self._given and self._given != shape:
-            raise ValueError(f"{self.path} has {shape}, not {self._given}")
-        return shape
+    def _stored(self) -> DataFrame:
+        """All rows with the columns of every write, and those that tables add."""
+        return self.spark.read.option("mergeSchema", "true").option("basePath", self.path).parquet(self.path)
 
     # ---- writing -----------------------------------------------------------------------------
 
-    def _aligned(self, df: DataFrame, known) -> DataFrame:
+    def _aligned(self, df: DataFrame, columns: T.StructType | None) -> DataFrame:
         """Rows with the table's types; columns without a type (all null) say nothing and are left out."""
         df = df.select(*[F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType != T.NullType()])
-        if known is None:
+        known = T.StructType([f for f in columns if f.name in df.columns]) if columns else T.StructType()
+        if not known.fields:
             return df
-        wanted = T.StructType([f for f in _union(known[0], df.schema) if f.name in df.columns])
-        columns = []
-        for f in df.schema.fields:
-            column, to = F.col(f"`{f.name}`"), wanted[f.name].dataType
-            if to != f.dataType and not isinstance(to, (T.StructType, T.ArrayType)):
-                column = column.cast(to)
-            columns.append(column.alias(f.name))
-        rows = df.select(*columns)
-        if any(isinstance(f.dataType, T.StructType) and f.dataType != wanted[f.name].dataType for f in rows.schema):
-            # union by name orders and fills the fields of structs as well
-            rows = self.spark.createDataFrame([], wanted).unionByName(rows, allowMissingColumns=True)
-        return rows
+        try:
+            rows = self.spark.createDataFrame([], known).unionByName(df, allowMissingColumns=True)
+        except AnalysisException as error:
+            raise TypeError(f"{self.path}: columns do not fit the table's: {error}") from error
+        for f in known:
+            to, new = rows.schema[f.name].dataType, df.schema[f.name].dataType
+            # a union widens numbers; nothing else may become another type, and the stored type not at all
+            if not isinstance(to, (T.StructType, T.ArrayType)) and (to != f.dataType or new != to and not isinstance(new, T.NumericType)):
+                raise TypeError(f"{f.name}: {new.simpleString()} does not fit the table's {f.dataType.simpleString()}")
+        return rows.select(*[F.col(f"`{n}`") for n in df.columns])
 
     def folder(self, writer: str, batch: object) -> str:
-        return f"{self.path}/{WRITER}={quote(writer, safe='')}/{BATCH}={quote(str(batch), safe='')}"
+        """The letters keep Spark from taking a name for a number."""
+        return f"{self.path}/{WRITER}=w{quote(writer, safe='')}/{BATCH}=b{quote(str(batch), safe='')}"
 
-    def add(self, df: DataFrame, batch: tuple[str, object] | None = None) -> int:
+    def add(self, df: DataFrame, batch: Batch | None = None) -> int:
         """Write rows as a batch (writer, which) of their own; returns how many came.
 
         A batch written before is replaced, so repeating it changes nothing.  Of a keyed table the
         rows are reduced to the last of each key first.  New columns become the table's.
         """
-        known = self._known()
-        shape, at = self._shape(known), time.time_ns()
-        writer, which = batch or (self._me, uuid.uuid4().hex)
+        shape, at = self._shape(), time.time_ns()
+        if self._columns is None and self.exists():
+            self._columns = T.StructType([f for f in self._stored().schema if f.name not in OWN])
+        writer, which = batch or (self._me, f"{at:020d}")
         seen = Observation()
-        rows = self._aligned(df, known).observe(seen, F.count(F.lit(1)).alias("rows"))
+        rows = self._aligned(df, self._columns).observe(seen, F.count(F.lit(1)).alias("rows"))
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema.fields])
-        partly = bool(shape.keys and known and set(known[0].names) - {*schema.names, *shape.hidden})
-        self._note(schema, shape, partly, writer, at)
+        partly = bool(shape.keys and self._columns and set(self._columns.names) - {*schema.names, *shape.hidden})
+        if not self.exists():
+            self._create(schema, shape)
         if shape.keys:
             rows = merge.dedupe_last(rows, shape.keys, [c for c in shape.order if c in rows.columns])
         if partly:
             rows = rows.withColumn(GIVEN, F.array(*[F.lit(n) for n in schema.names]))
         rows = rows.withColumn(AT, F.lit(at))
-        if shape.day and shape.day in rows.columns:
-            # the UTC day whatever the session zone; rebalance splits a day that is too large
-            day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col(shape.day).cast("timestamp")) / 86400).cast("int"))
+        if shape.day:
+            day = F.lit(None).cast("date")
+            if shape.day in rows.columns:
+                # the UTC day whatever the session zone; rebalance splits a day that is too large
+                day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col(shape.day).cast("timestamp")) / 86400).cast("int"))
             rows = rows.withColumn(DAY, day).hint("rebalance", DAY)
-            rows.write.mode("overwrite").partitionBy(DAY).parquet(self.folder(writer, which))
-        else:
-            rows.write.mode("overwrite").parquet(self.folder(writer, which))
+        self._write(rows, self.folder(writer, which), [DAY] if shape.day else [])
+        names = set(self._columns.names) if self._columns else set()
+        self._columns = T.StructType([*(self._columns or []), *[f for f in schema if f.name not in names]])
         return seen.get["rows"]
 
-    def _note(self, schema: T.StructType, shape: Shape, partly: bool, writer: str, at: int) -> None:
-        """Store what a write looks like, once for each writer and look."""
-        kind = {"schema": json.loads(schema.json()), "shape": {k: v for k, v in vars(shape).items() if v}, "partly": partly}
-        name = hashlib.md5(json.dumps([kind, writer], sort_keys=True).encode()).hexdigest()
-        with self._lock:  # streams of one process may share a table
-            if name not in self._noted:
-                line = self.spark.createDataFrame([(json.dumps(kind | {"at": at}),)], "value string").coalesce(1)
-                line.write.mode("ignore").text(f"{self.path}/{SCHEMAS}/{name}")
-                self._noted.add(name)
+    def _write(self, rows: DataFrame, folder: str, filed: list[str]) -> None:
+        rows.write.mode("overwrite").partitionBy(*filed).parquet(folder)
+
+    def _create(self, schema: T.StructType, shape: Shape) -> None:
+        """A batch without rows tells the columns of a table that has none yet; the shape comes last."""
+        empty = self.spark.createDataFrame([], schema.add(AT, T.LongType())).coalesce(1)
+        folder = self.folder(self._me, "columns")
+        empty.write.mode("overwrite").parquet(f"{folder}/{DAY}=__HIVE_DEFAULT_PARTITION__" if shape.day else folder)
+        folders.write_text(self.spark, f"{self.path}/_shape", json.dumps({k: v for k, v in vars(shape).items() if v}))
+        self._shape_kept = None  # another writer's may have come first
+        self._shape()
 
     # ---- reading -----------------------------------------------------------------------------
 
-    def _stored(self, schema: T.StructType, shape: Shape, partly: bool, path: str | None = None) -> DataFrame:
-        stored = T.StructType([*schema.fields, T.StructField(AT, T.LongType())])
-        if partly:
-            stored = stored.add(GIVEN, T.ArrayType(T.StringType()))
-        if shape.day:
-            stored = stored.add(DAY, T.DateType())
-        stored = stored.add(WRITER, T.StringType()).add(BATCH, T.StringType())
-        return self.spark.read.schema(stored).option("basePath", self.path).parquet(path or self.path)
-
-    def read(self, at_least: str | None = None) -> DataFrame:
-        """What the table holds now; of one filed by day, from a day on."""
-        known = self._known()
-        if known is None:
+    def read(self, at_least: str | None = None, without: Batch | None = None) -> DataFrame:
+        """What the table holds now; of one filed by day, from a day on; or as if a batch had not been written."""
+        if not self.exists():
             raise FileNotFoundError(f"no table at {self.path}")
-        schema, shape, partly = known
-        rows = self._stored(schema, shape, partly)
+        shape, rows = self._shape(), self._stored()
         if at_least is not None and shape.day:
             rows = rows.where(F.col(DAY) >= F.lit(at_least).cast("date"))
-        shown = [n for n in schema.names if n not in shape.hidden]
-        if shape.keys:
-            rows = _newest(rows, schema.names, shape, partly)
-        elif shape.gone:
-            rows = _remaining(rows, shape.gone)
-            shown = [n for n in shown if n != shape.gone[2]]
-        return rows.select(*[F.col(f"`{n}`") for n in shown])
+        if without:
+            rows = rows.where(~self._is(without))
+        return _shown(rows, shape)
+
+    def _is(self, batch: Batch) -> Column:
+        writer, which = batch
+        return (F.col(WRITER) == f"w{writer}") & (F.col(BATCH) == f"b{which}")
 
-    def read_batch(self, batch: tuple[str, object]) -> DataFrame:
+    def read_batch(self, batch: Batch) -> DataFrame:
         """The rows of one batch as they were written."""
-        schema, shape, partly = self._known()
-        rows = self._stored(schema, shape, partly, self.folder(*batch))
-        return rows.select(*[F.col(f"`{n}`") for n in schema.names])
+        return self._stored().where(self._is(batch)).drop(*OWN)
 
     def fold(self, into: str) -> Table:
         """What the table holds now, as a new table of the same shape at another path."""
-        schema, shape, partly = self._known()
-        rows = self._stored(schema, shape, partly)
-        if shape.keys:
-            rows = _newest(rows, schema.names, shape, partly)
-        elif shape.gone:
-            rows = _remaining(rows, shape.gone)
+        shape = self._shape()
         folded = Table(self.spark, into, shape)
-        folded.add(rows.select(*[F.col(f"`{n}`") for n in schema.names]), ("fold", 0))
+        folded.add(_settled(self._stored(), shape).drop(*OWN), ("fold", 0))
         return folded
 
 
+def _settled(rows: DataFrame, shape: Shape) -> DataFrame:
+    if shape.keys:
+        return _newest(rows, [c for c in rows.columns if c not in OWN], shape, GIVEN in rows.columns)
+    return _remaining(rows, shape.gone) if shape.gone else rows
+
+
+def _shown(rows: DataFrame, shape: Shape) -> DataFrame:
+    hidden = {*OWN, *shape.hidden, *([shape.gone[2]] if shape.gone else [])}
+    return _settled(rows, shape).select(*[F.col(f"`{n}`") for n in rows.columns if n not in hidden])
+
+
 def _newest(rows: DataFrame, names: Sequence[str], shape: Shape, partly: bool) -> DataFrame:
     """The last row of each key; columns that a write did not have keep what they were."""
     order, keys = [*[c for c in shape.order if c in names], AT], list(shape.keys)
@@ -220,45 +215,6 @@ def _remaining(rows: DataFrame, gone: tuple[str, str, str]) -> DataFrame:
     return live.where(F.col("tm_until").isNull() | (F.col(changed) > F.col("tm_until"))).drop("tm_until")
 
 
-WHOLE = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
-
-
-def _widens(new: T.DataType, stored: T.DataType) -> bool:
-    """Lossless casts a write may apply on its own."""
-    if type(new) in WHOLE and type(stored) in WHOLE:
-        return WHOLE.index(type(new)) <= WHOLE.index(type(stored))
-    if isinstance(stored, T.DoubleType):
-        return isinstance(new, (T.DoubleType, T.FloatType, T.ByteType, T.ShortType, T.IntegerType))
-    return new.simpleString() == stored.simpleString()
-
-
-def _merged(stored: T.DataType, new: T.DataType, name: str) -> T.DataType:
-    """The stored type with struct fields the new one adds; a type that does not fit is an error."""
-    if new == stored:
-        return stored
-    if isinstance(stored, T.StructType) and isinstance(new, T.StructType):
-        fields = {f.name: f.dataType for f in stored.fields}
-        for f in new.fields:
-            known = fields.get(f.name)
-            fields[f.name] = _merged(known, f.dataType, f"{name}.{f.name}") if known else f.dataType
-        return T.StructType([T.StructField(n, t, True) for n, t in fields.items()])
-    if isinstance(stored, T.ArrayType) and isinstance(new, T.ArrayType):
-        return T.ArrayType(_merged(stored.elementType, new.elementType, f"{name}[]"), True)
-    if not _widens(new, stored):
-        raise TypeError(
-            f"{name}: {new.simpleString()} does not fit the table's {stored.simpleString()}"
-        )
-    return stored
-
-
-def _union(stored: T.StructType, new: T.StructType) -> T.StructType:
-    """The columns of both, those stored first."""
-    fields = {f.name: f.dataType for f in stored.fields}
-    for f in new.fields:
-        fields[f.name] = _merged(fields[f.name], f.dataType, f.name) if f.name in fields else f.dataType
-    return T.StructType([T.StructField(n, t, True) for n, t in fields.items()])
-
-
 def open_table(spark: SparkSession, path: str, shape: Shape | None = None, fmt: str = "parquet"):
     """A table of the requested format; ``delta`` needs its package on the class path."""
     if fmt == "delta":

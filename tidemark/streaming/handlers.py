@@ -57,7 +57,7 @@ def points_handler(
 
 
 def _store_new_series(points, table, series, assets, batch) -> None:
-    known = table.read().select("externalId") if table.exists() else points.select("externalId").limit(0)
+    known = table.read(without=batch).select("externalId") if table.exists() else points.select("externalId").limit(0)
     fresh = series.join(series_ops.unseen_ids(points, known), "externalId", "left_semi")
     table.add(series_ops.series_rows(fresh, assets), batch)
 
