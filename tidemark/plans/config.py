@@ -24,7 +24,9 @@ OUT_EVENTS = Shape(keys=("externalId",), order=("__order",), hidden=("__order",)
 class Subscription:
     """A points feed and the two tables it keeps.
 
-    With ``partitions`` the feed folder is laid out as ``partition=N`` and only those are followed.
+    With ``partitions`` the feed folder is laid out as ``partition=N`` and only those are followed.  With
+    ``pages`` it is paged by cursor (see ``sources/paged.py``), and a micro-batch takes at most so many pages
+    of a partition.
     """
 
     external_id: str
@@ -35,6 +37,7 @@ class Subscription:
     value_type: T.DataType = T.DoubleType()
     max_files: int | None = None
     max_bytes: str | None = None
+    pages: int | None = None
 
 
 @dataclass(frozen=True)

@@ -33,9 +33,10 @@ from tidemark.plans.config import Destination, EventFeed, RawExport, RawFeed, Sp
 from tidemark.plans.state import Watermarks
 from tidemark.session import apply_settings
 from tidemark.sources.feeds import stream_feed
+from tidemark.sources.paged import paged_feed
 from tidemark.sources.tables import Shape, open_table
 from tidemark.streaming.handlers import events_handler, kept, points_handler, raw_handler
-from tidemark.streaming.run import start
+from tidemark.streaming.run import catch_up, start
 
 EVENT_STATE = "event_state"
 
@@ -61,16 +62,9 @@ class Jobs:
         poll_seconds: float | None = None,
     ) -> list:
         """Stream each subscription's feed into its points and series tables, all at once."""
-        queries = []
+        subscriptions, queries = list(subscriptions), []
         for sub in subscriptions:
-            feed = stream_feed(
-                self.spark,
-                sub.feed,
-                schemas.points_feed(sub.value_type),
-                max_files=sub.max_files,
-                max_bytes=sub.max_bytes,
-                partitions=sub.partitions,
-            )
+            feed = self._feed(sub)
             apply = points_handler(
                 self.table(sub.points_table, config.POINTS),
                 sub.external_id,
@@ -80,12 +74,20 @@ class Jobs:
                 self.log,
             )
             checkpoint = f"{self.home}/checkpoints/{sub.external_id}"
-            queries.append(start(feed, apply, checkpoint, poll_seconds))
+            queries.append(start(feed, apply, checkpoint, 0 if sub.pages and poll_seconds is None else poll_seconds))
         if poll_seconds is None:
-            for query in queries:
-                query.awaitTermination()
+            for sub, query in zip(subscriptions, queries):
+                catch_up(query) if sub.pages else query.awaitTermination()
         return queries
 
+    def _feed(self, sub: Subscription) -> DataFrame:
+        schema = schemas.points_feed(sub.value_type)
+        if sub.pages:
+            return paged_feed(self.spark, sub.feed, schema, sub.pages, sub.partitions)
+        return stream_feed(
+            self.spark, sub.feed, schema, max_files=sub.max_files, max_bytes=sub.max_bytes, partitions=sub.partitions
+        )
+
     def replicate_events(self, events: DataFrame, feed: EventFeed) -> int:
         """Append the events created since the last run."""
         table = self.table(feed.table)

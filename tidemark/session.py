@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,6 +35,20 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Python workers import this package from where the driver has it, whatever folder that was started in.
+
+    On a cluster whose machines don't share that folder, ship it with ``--py-files``.
+    """
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, the storage every executor can reach."""
     base = spark.conf.get("spark.checkpoint.dir", None)

@@ -32,6 +32,18 @@ def drain(feed: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint:
     start(feed, apply, checkpoint).awaitTermination()
 
 
+def catch_up(query: StreamingQuery) -> None:
+    """Let a polling stream take micro-batches until it finds nothing new, then stop it.
+
+    For sources that decide themselves how much a micro-batch takes: the end of such a stream is found by
+    asking again, not known beforehand.
+    """
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def repeat(job: Callable[[], object], seconds: float, stop: threading.Event) -> None:
     """Run a batch job at a fixed cadence until told to stop; a long run shortens the wait."""
     while not stop.is_set():
