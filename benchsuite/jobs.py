@@ -14,7 +14,7 @@ from benchsuite.raw import RAW_LAST
 from benchsuite.registry import query
 from tidemark.operators.instances import views_of
 from tidemark.plans.audit import counters
-from tidemark.plans.config import Destination, EventFeed, RawExport, RawFeed, Space, Subscription
+from tidemark.plans.config import OUT_POINTS, Destination, EventFeed, RawExport, RawFeed, Space, Subscription
 from tidemark.plans.jobs import Jobs
 from tidemark.session import shared_folder
 
@@ -90,6 +90,25 @@ def job_export_points(spark, sf):
     return job.table(f"{to.tables}/points").read()
 
 
+@query(
+    "destination_after_failures",
+    f"""SELECT 'lake_' || "externalId" AS "externalId", "timestamp", value, 0::BIGINT AS read_meanwhile FROM ({d.PTS})""",
+)
+def destination_after_failures(spark, sf):
+    """An export whose tasks fail on the last day's rows: nothing of it is seen, and the next run takes it all."""
+    home = shared_folder(spark, "destination-failures")
+    job, to = Jobs(spark, f"{home}/state"), Destination(f"{home}/out", "lake_", 123456)
+    points = d.points(spark, sf).drop("event_id")
+    out = job.destination(f"{to.tables}/points", OUT_POINTS)
+    last = points.agg(F.max("timestamp")).first()[0]
+    broken = F.when(F.col("timestamp") == F.lit(last), F.raise_error(F.lit("lost"))).otherwise(F.col("value"))
+    with suppress(Exception):
+        job.export_points(points.withColumn("value", broken.cast("double")), "Tables/RawTS", to)
+    meanwhile = out.read().count()
+    job.export_points(points, "Tables/RawTS", to)
+    return out.read().withColumn("read_meanwhile", F.lit(meanwhile).cast("long"))
+
+
 @query(
     "job_export_events",
     """SELECT 'order_' || o_orderkey AS "externalId", epoch_ms(o_orderdate) AS "startTime",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import inspect
 import os
+import re
 import sys
 from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
@@ -12,6 +14,8 @@ from unittest.mock import MagicMock
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.plans import jobs
+from tidemark.streaming import handlers
 from tidemark.sources import Shape, Table, open_table
 
 KEYED = Shape(keys=("k",))
@@ -179,6 +183,31 @@ def test_delta_merges_unless_older(spark, path, delta, monkeypatch):
     assert "s.`n` >= t.`n`" in merged.whenMatchedUpdateAll.call_args[0][0]
 
 
+def test_both_kinds_of_table_offer_what_jobs_call(delta):
+    """Every method and argument that jobs and handlers use of a table, with the same names and defaults."""
+    from tidemark.sources.delta import DeltaLakeTable
+
+    sources = [inspect.getsource(m) for m in (jobs, handlers)]
+    called = {m for s in sources for m in re.findall(r"\b(?:table|target|series|misses|known|series_table)\.(\w+)\(", s)}
+    assert {"add", "read", "read_batch", "exists"} <= called
+    for name in called & set(dir(Table)):
+        ours, theirs = (inspect.signature(getattr(c, name)) for c in (Table, DeltaLakeTable))
+        assert list(ours.parameters) == list(theirs.parameters), name
+        assert [p.default for p in ours.parameters.values()] == [p.default for p in theirs.parameters.values()], name
+
+
+def test_delta_knows_a_repeated_append(spark, path, delta, monkeypatch):
+    writer = MagicMock()
+    writer.format.return_value = writer.mode.return_value = writer.option.return_value = writer
+    writer.save.side_effect = lambda p: written[0].collect()
+    written = []
+    monkeypatch.setattr(type(spark.range(1)), "write", property(lambda df: written.append(df) or writer))
+    assert open_table(spark, path, fmt="delta").add(frame(spark, [("a", 1)]), ("event_state", 3)) == 1
+    assert [c.args for c in writer.option.call_args_list] == [("mergeSchema", "true"), ("txnAppId", "event_state"), ("txnVersion", 3)]
+    row = written[0].first()
+    assert (row.tm_writer, row.tm_batch) == ("event_state", 3)
+
+
 def test_delta_needs_its_package(spark, path):
     with pytest.raises(ImportError):
         open_table(spark, path, fmt="delta")

@@ -52,6 +52,10 @@ class Jobs:
     def table(self, path: str, shape: Shape | None = None):
         return open_table(self.spark, path, shape, self.fmt)
 
+    def destination(self, path: str, shape: Shape | None = None):
+        """A table that exports write to: its batches appear whole."""
+        return open_table(self.spark, path, shape, "staged" if self.fmt == "parquet" else self.fmt)
+
     # ---- feeds into the lake -----------------------------------------------------------------
 
     def replicate_points(
@@ -197,7 +201,7 @@ class Jobs:
         """
         with self.log.watching(path):
             fresh = scan.series_since(points, marks.series_bounds(self.states.frame(path), path))
-            target = self.table(f"{to.tables}/points", config.OUT_POINTS)
+            target = self.destination(f"{to.tables}/points", config.OUT_POINTS)
             batch = self.states.run(path)
             count = target.add(point_ops.prefix_ids(fresh, to.series_prefix), batch)
             if not count:
@@ -206,7 +210,7 @@ class Jobs:
             written = target.read_batch(batch)
             latest = written.groupBy("externalId").agg(F.max("timestamp").alias("timestamp"))
             with kept(latest) as latest:
-                series = self.table(f"{to.tables}/series", config.SERIES)
+                series = self.destination(f"{to.tables}/series", config.SERIES)
                 known = series.read(without=batch) if series.exists() else self._empty("externalId string")
                 series.add(series_ops.missing_series(latest, known, to.data_set_id), batch)
                 own = F.substr("externalId", F.lit(len(to.series_prefix) + 1))
@@ -234,12 +238,12 @@ class Jobs:
             batch = self.states.run(state_id)
             shaped = event_ops.event_rows(fresh, to.data_set_id, incremental_field or "startTime")
             if strict:
-                misses = self.table(f"{to.tables}/unknown_assets")
+                misses = self.destination(f"{to.tables}/unknown_assets")
                 unknown = misses.add(event_ops.unknown_assets(shaped, assets), batch)
                 if unknown:
                     raise LookupError(f"{unknown} references to assets that do not exist, see {misses.path}")
             rows = event_ops.resolve_assets(shaped, assets)
-            target = self.table(f"{to.tables}/events", config.OUT_EVENTS)
+            target = self.destination(f"{to.tables}/events", config.OUT_EVENTS)
             count = target.add(rows, batch)
             if not count:
                 self.log.seen(path)
@@ -253,7 +257,7 @@ class Jobs:
         with self.log.watching(spec.state_id):
             fresh, bound = self._fresh(df, spec.incremental_field, spec.state_id)
             rows = raw_ops.export_rows(fresh, spec.key_fields, spec.md5_key)
-            target = self.table(f"{to.tables}/{spec.db_name}/{spec.table_name}", spec.shape)
+            target = self.destination(f"{to.tables}/{spec.db_name}/{spec.table_name}", spec.shape)
             batch = self.states.run(spec.state_id)
             count = target.add(rows, batch)
             if not count:
@@ -271,7 +275,7 @@ class Jobs:
         """
         with self.log.watching(name):
             listing = file_ops.catalog_rows(files, to.data_set_id)
-            target = self.table(f"{to.tables}/files", config.FILES)
+            target = self.destination(f"{to.tables}/files", config.FILES)
             batch = self.states.run(f"files/{name}")
             stored = target.read(without=batch) if target.exists() else self._empty(schemas.FILES)
             state = stored.select("external_id", F.col("source_modified_time").alias("stored_time"))

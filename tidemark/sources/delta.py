@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import merge
-from tidemark.sources.tables import Shape
+from tidemark.sources.tables import BATCH, WRITER, Batch, Shape
 
 try:
     from delta.tables import DeltaTable
@@ -17,7 +17,11 @@ except ImportError:  # pragma: no cover - depends on the cluster
 
 
 class DeltaLakeTable:
-    """Keyed rows are merged, deletes applied and other rows appended when they are written."""
+    """Keyed rows are merged, deletes applied and other rows appended when they are written.
+
+    A row carries the batch that last wrote it.  Batches of one writer have ascending whole numbers, as runs
+    and micro-batches have, so that Delta skips an append it has seen.
+    """
 
     def __init__(self, spark: SparkSession, path: str, shape: Shape | None = None) -> None:
         if DeltaTable is None:
@@ -27,24 +31,41 @@ class DeltaLakeTable:
     def exists(self) -> bool:
         return DeltaTable.isDeltaTable(self.spark, self.path)
 
-    def read(self, at_least: str | None = None) -> DataFrame:
-        """The table; file statistics prune what days prune elsewhere."""
-        rows = self.spark.read.format("delta").load(self.path).drop(*self.shape.hidden)
-        if at_least is None or not self.shape.day:
-            return rows
-        return rows.where(F.col(self.shape.day) >= F.lit(at_least))
+    def _stored(self) -> DataFrame:
+        return self.spark.read.format("delta").load(self.path)
+
+    def _is(self, batch: Batch) -> Column:
+        return F.col(WRITER).eqNullSafe(batch[0]) & F.col(BATCH).eqNullSafe(int(batch[1]))
+
+    def read(self, at_least: str | None = None, without: Batch | None = None) -> DataFrame:
+        """The table; file statistics prune what days prune elsewhere.
+
+        ``without`` leaves out the rows that a batch wrote, also those it merged over older ones.
+        """
+        rows = self._stored()
+        if at_least is not None and self.shape.day:
+            rows = rows.where(F.col(self.shape.day) >= F.lit(at_least))
+        if without:
+            rows = rows.where(~self._is(without))
+        return rows.drop(WRITER, BATCH, *self.shape.hidden)
+
+    def read_batch(self, batch: Batch) -> DataFrame:
+        """The rows that a batch was the last to write."""
+        return self._stored().where(self._is(batch)).drop(WRITER, BATCH)
 
-    def _append(self, rows: DataFrame, batch: tuple[str, object] | None) -> None:
+    def _append(self, rows: DataFrame, batch: Batch | None) -> None:
         writer = rows.write.format("delta").mode("append").option("mergeSchema", "true")
-        if batch and isinstance(batch[1], int):  # Delta skips a transaction it has
-            writer = writer.option("txnAppId", batch[0]).option("txnVersion", batch[1])
+        if batch:  # Delta skips a transaction it has
+            writer = writer.option("txnAppId", batch[0]).option("txnVersion", int(batch[1]))
         writer.save(self.path)
 
     def _on(self, keys) -> str:
         return " AND ".join(f"s.`{k}` = t.`{k}`" for k in keys)
 
-    def add(self, df: DataFrame, batch: tuple[str, object] | None = None) -> int:
+    def add(self, df: DataFrame, batch: Batch | None = None) -> int:
         seen, shape = Observation(), self.shape
+        writer, which = batch if batch else (None, None)
+        df = df.withColumn(WRITER, F.lit(writer).cast("string")).withColumn(BATCH, F.lit(None if which is None else int(which)).cast("long"))
         rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         if shape.keys:
             order = [c for c in shape.order if c in rows.columns]

@@ -131,12 +131,13 @@ class Table:
                 # the UTC day whatever the session zone; rebalance splits a day that is too large
                 day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col(shape.day).cast("timestamp")) / 86400).cast("int"))
             rows = rows.withColumn(DAY, day).hint("rebalance", DAY)
-        self._write(rows, self.folder(writer, which), [DAY] if shape.day else [])
+        written = self._write(rows, self.folder(writer, which), [DAY] if shape.day else [])
         names = set(self._columns.names) if self._columns else set()
         self._columns = T.StructType([*(self._columns or []), *[f for f in schema if f.name not in names]])
-        return seen.get["rows"]
+        return seen.get["rows"] if written is None else written
 
-    def _write(self, rows: DataFrame, folder: str, filed: list[str]) -> None:
+    def _write(self, rows: DataFrame, folder: str, filed: list[str]) -> int | None:
+        """How many rows were written, where the way of writing tells."""
         rows.write.mode("overwrite").partitionBy(*filed).parquet(folder)
 
     def _create(self, schema: T.StructType, shape: Shape) -> None:
@@ -216,9 +217,13 @@ def _remaining(rows: DataFrame, gone: tuple[str, str, str]) -> DataFrame:
 
 
 def open_table(spark: SparkSession, path: str, shape: Shape | None = None, fmt: str = "parquet"):
-    """A table of the requested format; ``delta`` needs its package on the class path."""
+    """A table of the requested format: ``parquet``, the same with ``staged`` batches, or ``delta`` (needs its package)."""
     if fmt == "delta":
         from tidemark.sources.delta import DeltaLakeTable
 
         return DeltaLakeTable(spark, path, shape)
+    if fmt == "staged":
+        from tidemark.sources.destination import StagedTable
+
+        return StagedTable(spark, path, shape)
     return Table(spark, path, shape)
