@@ -135,6 +135,29 @@ def points_pivot(spark, sf):
     return ops.wide(hourly, EVENT_TYPES)
 
 
+@query(
+    "points_wide_sparse",
+    """WITH p AS (SELECT date_trunc('hour', ts) AS "timestamp", 'user_' || user_id || '_' || event_type AS id, max(value) AS value
+                  FROM events GROUP BY ALL)
+       SELECT "timestamp", count(*) AS places, string_agg(id || '=' || value, ',' ORDER BY id) AS held,
+         (SELECT count(DISTINCT id) FROM p) AS width FROM p GROUP BY 1""",
+)
+def points_wide_sparse(spark, sf):
+    """Hourly points of every user and event type: a frame as wide as there are series, each row what it holds."""
+    hourly = d.table(spark, sf, "events").select(
+        F.concat(F.lit("user_"), "user_id", F.lit("_"), "event_type").alias("externalId"),
+        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("timestamp"), "value",
+    )
+    numbers = ops.dictionary(hourly)
+    rows = ops.wide_sparse(hourly, numbers)
+    width = numbers.agg((F.max("index") + 1).cast("long").alias("width"))
+    back = rows.select("timestamp", F.inline(F.arrays_zip("indices", "values"))).join(numbers, F.col("indices") == F.col("index"))
+    pair = F.struct("externalId", F.concat_ws("=", "externalId", F.col("values").cast("string")).alias("text"))
+    held = F.array_join(F.sort_array(F.collect_list(pair)).getField("text"), ",").alias("held")
+    named = back.groupBy("timestamp").agg(held)
+    return rows.select("timestamp", F.size("indices").cast("long").alias("places")).join(named, "timestamp").withColumn("width", width.scalar())
+
+
 @query(
     "series_metadata",
     """SELECT c_name AS "externalId", c_name AS name,

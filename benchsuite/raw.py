@@ -9,6 +9,9 @@ from benchsuite.registry import query
 from tidemark.functions import text, values
 from tidemark.operators import merge, scan
 from tidemark.operators import raw as ops
+from tidemark.plans.config import RAW_ROWS
+from tidemark.session import shared_folder
+from tidemark.sources.bucketed import BucketedTable
 
 
 @query(
@@ -45,6 +48,25 @@ def raw_flatten_map(spark, sf):
     return flat.withColumn(ops.OTHER, F.array_join(other, ";"))
 
 
+@query(
+    "raw_flatten_json",
+    """SELECT CAST(event_id AS VARCHAR) AS "key", epoch_us(ts) // 1000 AS last_updated_time, CAST(props->>'$.k' AS BIGINT) AS k,
+         CASE WHEN event_type = 'click' THEN value END AS click, CASE WHEN event_type = 'error' THEN value END AS error,
+         CASE WHEN event_type = 'view' THEN value END AS "view", CASE WHEN event_type = 'purchase' THEN value END AS purchase,
+         CASE WHEN event_type = 'signup' THEN value END AS signup, event_id % 2 = 0 AS "even 'id'",
+         '{"type":"' || event_type || '"}' AS nested FROM events""",
+)
+def raw_flatten_json(spark, sf):
+    """Free-form JSON rows, each with a name of its type: names and types are found, none is given."""
+    more = F.to_json(F.struct((F.col("event_id") % 2 == 0).alias("even 'id'"), F.struct(F.col("event_type").alias("type")).alias("nested")))
+    value = F.concat(F.lit('"'), "event_type", F.lit('": '), F.col("value").cast("string"), F.lit(", "))
+    rows = d.table(spark, sf, "events").select(
+        F.col("event_id").cast("string").alias("key"), d.ms("ts").alias("last_updated_time"),
+        F.concat(F.lit("{"), value, F.expr("substr(props, 2, length(props) - 2)"), F.lit(", "), F.substr(more, F.lit(2))).alias("columns"),
+    )
+    return ops.flatten_json(rows)
+
+
 @query(
     "raw_md5_key",
     """SELECT *, md5(concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR),
@@ -161,3 +183,15 @@ def nan_to_null(spark, sf):
     return values.nan_to_null(
         d.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", tax.alias("tax"))
     )
+
+
+@query("raw_upsert_bucketed", f"SELECT * FROM ({d.RAW}) {RAW_LAST}")
+def raw_upsert_bucketed(spark, sf):
+    """Three batches of RAW rows, one of them written twice, in buckets of their key."""
+    home, rows = shared_folder(spark, "raw-bucketed"), ops.flatten_rows(d.raw_rows(spark, sf))
+    name = f"bucketed_{home.rsplit('-', 1)[1]}"
+    table = BucketedTable(spark, name, f"{home}/rows", rows.schema, RAW_ROWS, buckets=8)
+    third = F.pmod(F.xxhash64("key", "last_updated_time"), F.lit(3))
+    for k in (0, 1, 1, 2):
+        table.add(rows.where(third == k), ("rows", k))
+    return table.read()

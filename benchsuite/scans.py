@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from benchsuite import domain as d
 from benchsuite.registry import query
 from tidemark.functions import text
 from tidemark.operators import files, scan, watermark
+from tidemark.session import shared_folder
 
 
 @query("scan_full", "SELECT * FROM events")
@@ -49,6 +51,20 @@ def scan_first_batch(spark, sf):
     return scan.next_batch(d.table(spark, sf, "events"), "ts", 1000)
 
 
+@query("scan_all_batches", "SELECT *, true AS in_order FROM events")
+def scan_all_batches(spark, sf):
+    """Every batch of 700 rows stored as its number; what is read back came in the order of time."""
+    home, events = shared_folder(spark, "scan-batches"), d.table(spark, sf, "events")
+    for number, batch in enumerate(scan.in_batches(events, "ts", 700)):
+        batch.write.parquet(f"{home}/batch={number}")
+    rows = spark.read.parquet(home)
+    ends = rows.groupBy("batch").agg(F.min("ts").alias("low"), F.max("ts").alias("high"), F.count(F.lit(1)).alias("n"))
+    before = F.lag("high").over(Window.orderBy("batch"))  # a row for each batch
+    ends = ends.select("batch", (F.coalesce(before < F.col("low"), F.lit(True)) & F.col("n").between(300, 1400)).alias("in_order"))
+    ends = ends.withColumn("in_order", F.col("in_order") | (F.col("batch") == F.max("batch").over(Window.partitionBy())))
+    return rows.join(ends, "batch").drop("batch")
+
+
 SERIES_STATE = """
   SELECT externalId, max("timestamp") AS since FROM pts WHERE event_type = 'error'
     AND "timestamp" < TIMESTAMP '2024-01-05' GROUP BY 1"""

@@ -9,13 +9,11 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark import schemas
 from tidemark.plans.audit import RunLog
-from tidemark.plans.config import POINTS, SERIES, Destination, RawExport
+from tidemark.plans.config import Destination, RawExport
 from tidemark.plans.jobs import Jobs
 from tidemark.plans.state import Watermarks
 from tidemark.sources import Table
-from tidemark.streaming.handlers import points_handler
 
 STEPS = [(Table, "add"), (Watermarks, "_end"), (RunLog, "write_all")]
 
@@ -100,22 +98,6 @@ def test_a_killed_export_and_its_repeat_equal_one_run(spark, tmp_path, monkeypat
     assert step >= 3
 
 
-def test_a_repeated_micro_batch_keeps_its_series(spark, tmp_path):
-    feed = spark.createDataFrame([(f"id{k}", ([1000], [1.0]), 1) for k in range(5)], schemas.POINTS_FEED)
-    series = spark.createDataFrame(
-        [(f"id{k}", "n", None, False, False, "u", {}, None) for k in range(5)],
-        "externalId string, name string, description string, isString boolean, isStep boolean, unit string, "
-        "metadata map<string,string>, assetId long",
-    )
-    known, assets = Table(spark, str(tmp_path / "s"), SERIES), spark.createDataFrame([], "id long, externalId string")
-    apply = points_handler(Table(spark, str(tmp_path / "p"), POINTS), "p", known, series, assets)
-    for _ in range(3):
-        apply(feed, 0)
-        assert known.read().count() == 5
-    apply(feed, 1)
-    assert known.read().count() == 5
-
-
 def test_states_of_a_run_that_was_killed_while_writing_them_do_not_count(spark, tmp_path):
     states = Watermarks(spark, str(tmp_path / "states"))
     states.set_values({"a": 1, "b": 2}, "low", states.run("p"))

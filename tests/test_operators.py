@@ -367,3 +367,66 @@ def test_batches_over_dates_and_doubles(spark):
     df = spark.range(100).select(F.date_add(F.lit("2024-01-01"), F.col("id").cast("int")).alias("d"), (F.col("id") / 7).alias("x"))
     assert scan.next_batch(df, "d", 10).count() == 10 and scan.next_batch(df, "x", 10).count() == 10
     assert scan.next_batch(df, "d", 10, "2024-01-31").count() == 10
+
+
+def test_json_columns_are_found(spark):
+    rows = spark.createDataFrame([
+        ("1", '{"a": 1, "b": "x", "c": 1.5, "key": "no"}', 1), ("2", '{"a": 2, "c": 3, "d": true, "n": {"x": [1, 2]}}', 2),
+        ("3", '{"b": 7, "o\'dd \\"name\\"": 1}', 3), ("4", "not json", 4), ("5", None, 5), ("6", "[1]", 6), ("7", '{"a": null}', 7),
+    ], "key string, columns string, last_updated_time long")
+    found = raw.found_columns(rows)
+    assert found == [
+        ("a", "bigint"), ("b", "string"), ("c", "double"), ("d", "boolean"), ("key", "string"), ("n", "string"), ("o'dd \"name\"", "bigint"),
+    ]
+    got = {r.key: r.asDict() for r in raw.flatten_json(rows).collect()}
+    assert len(got) == 7 and got["1"] == {
+        "a": 1, "b": "x", "c": 1.5, "d": None, "n": None, "o'dd \"name\"": None, "key": "1", "last_updated_time": 1}
+    assert got["2"]["n"] == '{"x":[1,2]}' and got["2"]["c"] == 3.0 and got["3"]["b"] == "7" and got["3"]["o'dd \"name\""] == 1
+    assert all(got[k]["a"] is None for k in "4567")
+    assert raw.flatten_json(rows.limit(0)).columns == ["key", "last_updated_time"]
+
+
+def test_a_frame_of_any_width(spark):
+    """20,000 series: as many places are held as there are points."""
+    at = F.timestamp_seconds(F.col("id") % 7)
+    rows = spark.range(40_000).select(F.concat(F.lit("s"), F.col("id") % 20_000).alias("externalId"), at.alias("timestamp"), F.col("id").cast("double").alias("value"))
+    numbers = points.dictionary(rows)
+    index = {r.externalId: r["index"] for r in numbers.collect()}
+    assert sorted(index.values()) == list(range(20_000)) and index == {r.externalId: r["index"] for r in points.dictionary(rows.repartition(3)).collect()}
+    got = {r.timestamp.timestamp() % 7: dict(zip(r.indices, r["values"])) for r in points.wide_sparse(rows, numbers).collect()}
+    want = {}
+    for r in rows.collect():
+        row = want.setdefault(r.timestamp.timestamp() % 7, {})
+        row[index[r.externalId]] = max(r.value, row.get(index[r.externalId], r.value))
+    assert got == want
+
+
+def test_wide_frames_look_at_each_point_once(spark):
+    rows = spark.createDataFrame([("a", 1, 1.0), ("a", 1, 2.0), ("b", 2, 3.0), ("c", 3, 4.0), (None, 4, 5.0)], "externalId string, timestamp int, value double")
+    wide = points.wide(rows, ["b", "a", "none"])
+    assert sorted(map(tuple, wide.collect())) == [(1, None, 2.0, None), (2, 3.0, None, None), (3, None, None, None), (4, None, None, None)]
+    assert "pivotfirst" in wide._jdf.queryExecution().executedPlan().toString().lower()
+
+
+@pytest.mark.parametrize("kind", ["long", "int", "double", "date", "timestamp", "timestamp_ntz"])
+def test_batches_cover_a_table_once_and_in_order(spark, tmp_path, kind):
+    value = {"long": "id % 900", "int": "cast(id % 900 as int)", "double": "if(id % 50 = 0, double('NaN'), id / 7)", "date": "date_add(date'2024-01-01', cast(id % 300 as int))"}
+    values = value.get(kind, f"cast(timestamp_seconds(id * 100 % 77700) as {kind})")
+    spark.sql(f"SELECT id, if(id % 97 = 0, null, {values}) AS v FROM range(3000)").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    parts = [[(r.id, r.v) for r in part.collect()] for part in scan.in_batches(table, "v", 400)]
+    assert sorted(i for part in parts for i, _ in part) == list(range(3000))
+    known = [[v for _, v in part if v is not None and v == v] for part in parts]
+    assert all(max(a) < min(b) for a, b in zip(known, known[1:])) and all(200 <= len(k) <= 600 for k in known[:-1])
+    plan = list(scan.in_batches(table, "v", 400))[1]._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(v" in plan and "LessThanOrEqual(v" in plan
+
+
+def test_batches_of_ties_and_of_nothing(spark):
+    same = spark.range(500).select(F.lit(3).alias("v"))
+    assert [part.count() for part in scan.in_batches(same, "v", 10)] == [500]
+    none = same.withColumn("v", F.lit(None).cast("int"))
+    assert [part.count() for part in scan.in_batches(none, "v", 10)] == [500]
+    assert [part.count() for part in scan.in_batches(same.limit(0), "v", 10)] == [0]
+    with pytest.raises(TypeError):
+        list(scan.in_batches(same.select(F.lit("x").alias("v")), "v", 10))

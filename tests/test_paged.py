@@ -10,7 +10,7 @@ import pytest
 from tidemark import schemas
 from tidemark.plans.config import Subscription
 from tidemark.plans.jobs import Jobs
-from tidemark.sources.paged import PagedReader, Pages, paged_feed
+from tidemark.sources.paged import HandoverReader, PagedReader, Pages, paged_feed
 from tidemark.streaming.run import catch_up, start
 
 
@@ -104,3 +104,29 @@ def test_a_paged_subscription(spark, feed, tmp_path):
     job.replicate_points([sub], series, spark.createDataFrame([], "id long, externalId string"))
     assert sorted(r.value for r in job.table(sub.points_table).read().collect()) == [1.0, 2.0, 3.0, 4.0, 5.0]
     assert job.log.read().where("status = 'success'").count() == 3
+
+
+def test_changes_follow_the_snapshot_they_are_not_in(spark, tmp_path):
+    feed = str(tmp_path / "feed")
+    land(spark, feed, "snapshot", "01", "02", "03")
+    land(spark, feed, "changes", "11", "12", "13")
+    make = lambda: HandoverReader({"path": feed, "pages": "2"}, schemas.POINTS_FEED)
+    r, seen = make(), []
+
+    def step(reader):
+        start = reader.position or reader.initialOffset()
+        end = reader.latestOffset()
+        seen.append(names(reader.partitions(start, end)))
+        return end
+
+    assert step(r)["phase"] == "snapshot" and step(r)["snapshot"] == "03"
+    assert step(r) == {"phase": "snapshot", "snapshot": "03"}  # not said to be complete yet
+    (tmp_path / "feed" / "_handover").write_text("11")
+    assert step(r) == {"phase": "changes", "snapshot": "03", "changes": "11"}
+    again = make()  # stopped between the phases
+    again.partitions(r.position, r.position)
+    assert step(again) == {"phase": "changes", "snapshot": "03", "changes": "13"}
+    assert seen == [[("snapshot", "01"), ("snapshot", "02")], [("snapshot", "03")], [], [], [("changes", "12"), ("changes", "13")]]
+    shutil.rmtree(f"{feed}/partition=changes")  # what came after 13 may be lost: the snapshot is taken again
+    land(spark, feed, "changes", "31")
+    assert step(again) == {"phase": "snapshot", "snapshot": "02"} and seen[-1] == [("snapshot", "01"), ("snapshot", "02")]

@@ -40,6 +40,36 @@ def flatten_rows(rows: DataFrame, names: Sequence[str] | None = None) -> DataFra
     return rows.select(*promoted, other, *RAW_FIXED)
 
 
+def found_columns(rows: DataFrame, column: str = "columns") -> list[tuple[str, str]]:
+    """(name, type) of what the JSON objects of a text column hold, found by an aggregate over all of them.
+
+    Whole numbers are ``bigint``, other numbers ``double``, truth values ``boolean``; everything else, nested
+    values and names whose values differ in kind among them, is ``string``.  One row a name comes back.
+    """
+    held = rows.select(F.try_parse_json(column).alias("held"))
+    each = held.lateralJoin(held.sparkSession.tvf.variant_explode(F.col("held").outer()))
+    kinds = each.groupBy("key").agg(F.schema_of_variant_agg("value").alias("kind")).where("key is not null")
+    kind = F.regexp_extract("kind", r"^\w+", 0)
+    as_ = F.when(kind == "BIGINT", "bigint").when(kind.isin("DECIMAL", "DOUBLE", "FLOAT"), "double").when(kind == "BOOLEAN", "boolean")
+    found = kinds.select("key", F.coalesce(as_, F.lit("string")).alias("as")).collect()
+    return sorted((r["key"], r["as"]) for r in found)
+
+
+def flatten_json(rows: DataFrame, names: Sequence[tuple[str, str]] | None = None) -> DataFrame:
+    """As ``flatten_rows``, of a ``columns`` column of JSON text, whose names and types are found if not given.
+
+    Every text is parsed once, as a variant.  A text that is no object, and a name that it lacks, give nulls;
+    a value that does not fit its column's type gives null, and nested values stay JSON text.
+    """
+    names = found_columns(rows) if names is None else names
+    held = rows.withColumn("columns", F.try_parse_json("columns"))
+    promoted = [
+        F.try_variant_get("columns", '$["' + name.replace("\\", "\\\\").replace('"', '\\"') + '"]', as_).alias(name)
+        for name, as_ in names if name not in RAW_FIXED
+    ]
+    return held.select(*promoted, *RAW_FIXED)
+
+
 def export_rows(
     df: DataFrame,
     key_fields: Sequence[str] | None = None,

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.values import typed_watermark
 from tidemark.operators.joins import join_aggregated
@@ -46,6 +50,55 @@ def next_batch(df: DataFrame, field: str, size: int, watermark: object = None) -
     return rows.where(within)
 
 
+def _number(field: str, dtype: T.DataType) -> tuple[Column, Callable[[object], Column]]:
+    """The field as a number of the same order, and a number as a value of the field."""
+    column = F.col(field)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(column.cast("timestamp")), lambda v: F.timestamp_micros(F.lit(v)).cast(dtype)
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(column).cast("long"), lambda v: F.date_from_unix_date(F.lit(v).cast("int"))
+    if isinstance(dtype, T.IntegralType):
+        return column.cast("long"), F.lit
+    if isinstance(dtype, T.FractionalType):
+        return F.nanvl(column.cast("double"), F.lit(None)), F.lit
+    raise TypeError(f"{field}: batches need a number or a time, not {dtype.simpleString()}")
+
+
+def batch_ends(df: DataFrame, field: str, size: int, k: int = 8192) -> list[object]:
+    """Numbers that cut the field into batches of about ``size`` rows, from one pass over the table.
+
+    Quantiles come from a KLL sketch of at most some ``8 * k`` bytes a task, whatever the table's size; they
+    are off by a share of all rows, some 0.1% with this ``k``.  A value with many rows is in one batch whole.
+    """
+    number, _ = _number(field, df.schema[field].dataType)
+    kind = "double" if isinstance(df.schema[field].dataType, T.FractionalType) else "bigint"
+    sketch = getattr(F, f"kll_sketch_agg_{kind}")(number, F.lit(k))
+    one = df.agg(sketch.alias("sketch"), F.max(number).alias("top"), F.count(number).alias("n")).first()
+    batches = math.ceil(one["n"] / size)
+    if not batches:
+        return []
+    shares = F.array(*[F.lit(j / batches) for j in range(1, batches + 1)])
+    quantiles = getattr(F, f"kll_sketch_get_quantile_{kind}")(F.lit(one["sketch"]), shares)
+    ends = df.sparkSession.range(1).select(quantiles.alias("ends")).first()["ends"]
+    return sorted({*ends[:-1], one["top"]})
+
+
+def in_batches(df: DataFrame, field: str, size: int) -> Iterator[DataFrame]:
+    """The whole table as batches of about ``size`` rows in the order of ``field``, ties together.
+
+    One pass finds where all batches end; each batch then is a range that the scan can push down.  Rows
+    without a value (null, NaN) come with the first.  Rows above the highest value of that pass are left
+    for another time.
+    """
+    number, value = _number(field, df.schema[field].dataType)
+    ends = batch_ends(df, field, size)
+    if not ends:
+        yield df.where(number.isNull())
+    for k, end in enumerate(ends):
+        within = F.col(field) <= value(end)
+        yield df.where(within & (F.col(field) > value(ends[k - 1])) if k else within | number.isNull())
+
+
 def events_since(
     events: DataFrame, last_created: int | Column | None, data_set: str, size: int | None = None
 ) -> DataFrame:

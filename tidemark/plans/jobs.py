@@ -31,11 +31,11 @@ from tidemark.plans import config
 from tidemark.plans.audit import RunLog
 from tidemark.plans.config import Destination, EventFeed, RawExport, RawFeed, Space, Subscription
 from tidemark.plans.state import Watermarks
-from tidemark.session import apply_settings
+from tidemark.session import apply_settings, in_pool
 from tidemark.sources.feeds import stream_feed
 from tidemark.sources.paged import paged_feed
 from tidemark.sources.tables import Shape, open_table
-from tidemark.streaming.handlers import events_handler, kept, points_handler, raw_handler
+from tidemark.streaming.handlers import adding_handler, events_handler, kept, points_handler, raw_handler, series_seen
 from tidemark.streaming.run import catch_up, start
 
 EVENT_STATE = "event_state"
@@ -65,24 +65,24 @@ class Jobs:
         assets: DataFrame,
         poll_seconds: float | None = None,
     ) -> list:
-        """Stream each subscription's feed into its points and series tables, all at once."""
-        subscriptions, queries = list(subscriptions), []
+        """Stream each subscription's feed into its points and series tables, all at once.
+
+        Points and series are two streams over the feed, each with a checkpoint.  A subscription's streams
+        have a scheduler pool of their own, so a large one does not hold up the others.
+        """
+        queries = []
         for sub in subscriptions:
-            feed = self._feed(sub)
-            apply = points_handler(
-                self.table(sub.points_table, config.POINTS),
-                sub.external_id,
-                self.table(sub.series_table, config.SERIES),
-                series,
-                assets,
-                self.log,
-            )
-            checkpoint = f"{self.home}/checkpoints/{sub.external_id}"
-            queries.append(start(feed, apply, checkpoint, 0 if sub.pages and poll_seconds is None else poll_seconds))
+            named = f"{self.home}/checkpoints/{sub.external_id}"
+            into = points_handler(self.table(sub.points_table, config.POINTS), sub.external_id, self.log)
+            seen = adding_handler(self.table(sub.series_table, config.SERIES), sub.external_id)
+            poll = 0 if sub.pages and poll_seconds is None else poll_seconds
+            with in_pool(self.spark, sub.external_id):
+                queries.append((sub, start(self._feed(sub), into, named, poll)))
+                queries.append((sub, start(series_seen(self._feed(sub), series, assets), seen, f"{named}-series", poll)))
         if poll_seconds is None:
-            for sub, query in zip(subscriptions, queries):
+            for sub, query in queries:
                 catch_up(query) if sub.pages else query.awaitTermination()
-        return queries
+        return [query for _, query in queries]
 
     def _feed(self, sub: Subscription) -> DataFrame:
         schema = schemas.points_feed(sub.value_type)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -18,12 +20,19 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # the state of streams on the executors' disks rather than in their heaps
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
+#: Taken when a session is started: streams get pools of their own (see ``in_pool``), which share alike.
+AT_START = {"spark.scheduler.mode": "FAIR"}
+
+
 def build_session(app_name: str = "tidemark", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**SETTINGS, **conf}.items():
+    for key, value in {**SETTINGS, **AT_START, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -35,6 +44,18 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def in_pool(spark: SparkSession, name: str) -> Iterator[None]:
+    """Jobs and streams started within run in a scheduler pool of that name: pools share the cluster alike."""
+    context, key = spark.sparkContext, "spark.scheduler.pool"
+    before = context.getLocalProperty(key)
+    context.setLocalProperty(key, name)
+    try:
+        yield
+    finally:
+        context.setLocalProperty(key, before)
+
+
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 

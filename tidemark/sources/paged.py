@@ -61,6 +61,14 @@ class Pages:
         names = self.after(partition, start)
         return names[: names.index(end) + 1] if end in names else []
 
+    def note(self, name: str) -> str | None:
+        """A small text beside the partitions."""
+        path = f"{self.root}/{name}"
+        if self.files.get_file_info(path).type == fs.FileType.NotFound:
+            return None
+        with self.files.open_input_stream(path) as stream:
+            return stream.read().decode()
+
     def read(self, partition: str, name: str) -> Iterator[pa.RecordBatch]:
         page = ds.dataset(f"{self.root}/partition={partition}/page={name}", filesystem=self.files, format="parquet")
         yield from page.to_batches()
@@ -111,8 +119,47 @@ class PagedReader(DataSourceStreamReader):
             yield from table.select(wanted.names).cast(wanted).to_batches()
 
 
+SNAPSHOT, CHANGES = "snapshot", "changes"
+
+
+class HandoverReader(PagedReader):
+    """A snapshot and then the changes after it, as one stream whose offsets tell the phase it is in.
+
+    The feed has the two as partitions.  Once its snapshot is complete, ``_handover`` holds the cursor of the
+    last change that the snapshot includes.  No change is taken before the snapshot's last page, and the first
+    one taken follows that cursor, so a stream stopped anywhere goes on where it was, between the phases too.
+    A cursor of the changes that the feed no longer knows means that changes may be lost: the stream goes
+    back to the snapshot, whose rows then come again.
+    """
+
+    def initialOffset(self) -> dict:
+        return {"phase": SNAPSHOT, SNAPSHOT: ""}
+
+    def latestOffset(self) -> dict:
+        at = self.position = self.position or self.initialOffset()
+        if at["phase"] == CHANGES:
+            known = self.pages.names(CHANGES)
+            if at[CHANGES] in known or at[CHANGES] == self.pages.note("_handover"):
+                taken = self.pages.after(CHANGES, at[CHANGES])[: self.limit]
+                return {**at, CHANGES: taken[-1]} if taken else at
+            at = self.initialOffset()
+        taken = self.pages.after(SNAPSHOT, at[SNAPSHOT])[: self.limit]
+        if taken:
+            return {"phase": SNAPSHOT, SNAPSHOT: taken[-1]}
+        handover = self.pages.note("_handover")
+        return at if handover is None else {"phase": CHANGES, SNAPSHOT: at[SNAPSHOT], CHANGES: handover}
+
+    def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
+        self.position = end
+        phase = end["phase"]
+        if start == end or phase not in start and phase == CHANGES:  # the step between the phases has no rows
+            return []
+        since = start[phase] if start["phase"] == phase else ""
+        return [Page(phase, name) for name in self.pages.between(phase, since, end[phase])]
+
+
 class PagedFeed(DataSource):
-    """Options: ``path``, ``schema`` (JSON), ``pages`` (of a partition in a micro-batch), ``partitions`` (JSON list)."""
+    """Options: ``path``, ``schema`` (JSON), ``pages`` (of a partition in a micro-batch), ``partitions`` (JSON list), ``handover``."""
 
     @classmethod
     def name(cls) -> str:
@@ -122,16 +169,23 @@ class PagedFeed(DataSource):
         return T.StructType.fromJson(json.loads(self.options["schema"]))
 
     def streamReader(self, schema: T.StructType) -> PagedReader:
-        return PagedReader(dict(self.options), schema)
+        kind = HandoverReader if self.options.get("handover") == "true" else PagedReader
+        return kind(dict(self.options), schema)
 
 
 def paged_feed(
-    spark: SparkSession, path: str, schema: T.StructType, pages: int = PAGES, partitions: Sequence[int] | None = None
+    spark: SparkSession, path: str, schema: T.StructType, pages: int = PAGES, partitions: Sequence[int] | None = None,
+    handover: bool = False,
 ) -> DataFrame:
-    """The feed as a stream of at most ``pages`` pages of each partition at a time, of all partitions or some."""
+    """The feed as a stream of at most ``pages`` pages of each partition at a time, of all partitions or some.
+
+    With ``handover`` it is a snapshot followed by the changes after it (see ``HandoverReader``).
+    """
     ship_package(spark)
     spark.dataSource.register(PagedFeed)
     reader = spark.readStream.format(FORMAT).option("schema", schema.json()).option("pages", pages)
+    if handover:
+        reader = reader.option("handover", "true")
     if partitions is not None:
         reader = reader.option("partitions", json.dumps(list(partitions)))
     return reader.load(path)

@@ -90,7 +90,8 @@ class Table:
         if not known.fields:
             return df
         try:
-            rows = self.spark.createDataFrame([], known).unionByName(df, allowMissingColumns=True)
+            # in the session of the rows, where what is observed of them is reported
+            rows = df.sparkSession.createDataFrame([], known).unionByName(df, allowMissingColumns=True)
         except AnalysisException as error:
             raise TypeError(f"{self.path}: columns do not fit the table's: {error}") from error
         for f in known:

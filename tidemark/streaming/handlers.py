@@ -35,31 +35,36 @@ def _writer(batch: DataFrame, name: str) -> str:
     return f"{name}/{query}" if query else name
 
 
-def points_handler(
-    table,
-    name: str,
-    series_table=None,
-    series: DataFrame | None = None,
-    assets: DataFrame | None = None,
-    log: RunLog | None = None,
-) -> Handler:
-    """Unnest a points feed and add it; store the metadata of series seen first."""
+def points_handler(table, name: str, log: RunLog | None = None) -> Handler:
+    """Unnest a points feed and add it."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        writer = _writer(batch, name)
-        count = table.add(point_ops.explode_feed(batch), (writer, batch_id))
-        if series_table is not None:
-            _store_new_series(table.read_batch((writer, batch_id)), series_table, series, assets, (writer, batch_id))
+        count = table.add(point_ops.explode_feed(batch), (_writer(batch, name), batch_id))
         if log:
             log.success(name, count, "points written")
 
     return apply
 
 
-def _store_new_series(points, table, series, assets, batch) -> None:
-    known = table.read(without=batch).select("externalId") if table.exists() else points.select("externalId").limit(0)
-    fresh = series.join(series_ops.unseen_ids(points, known), "externalId", "left_semi")
-    table.add(series_ops.series_rows(fresh, assets), batch)
+def series_seen(feed: DataFrame, series: DataFrame, assets: DataFrame) -> DataFrame:
+    """The stored rows of series that a points feed names for the first time, as a stream of their own.
+
+    Which ids have been seen is the stream's state, one entry an id, so a micro-batch costs its own ids and
+    not what is stored; a repeated micro-batch starts from the state before it and finds the same ones.  Ids
+    whose metadata is not there yet, or not complete, do not enter the state: a later record finds them.
+    """
+    rows = series_ops.series_rows(series, assets)
+    ids = feed.select(F.col("external_id").alias("externalId")).join(rows.select("externalId"), "externalId", "left_semi")
+    return ids.dropDuplicates(["externalId"]).join(rows, "externalId")
+
+
+def adding_handler(table, name: str) -> Handler:
+    """Add every micro-batch as it is."""
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        table.add(batch, (_writer(batch, name), batch_id))
+
+    return apply
 
 
 def events_handler(table, name: str, log: RunLog | None = None) -> Handler:

@@ -6,7 +6,8 @@ import threading
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -15,6 +16,7 @@ def start(
     apply: Callable[[DataFrame, int], None],
     checkpoint: str,
     poll_seconds: float | None = None,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Follow the feed at a fixed cadence, or take what is there and stop (no ``poll_seconds``).
 
@@ -22,6 +24,8 @@ def start(
     folder of its own that a batch writes to makes the repetition harmless.
     """
     writer = feed.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    if name:
+        writer = writer.queryName(name)
     if poll_seconds is None:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=f"{poll_seconds} seconds").start()
@@ -44,6 +48,37 @@ def catch_up(query: StreamingQuery) -> None:
         query.stop()
 
 
+class Finished(Exception):
+    """A micro-batch after the last one of a run; the next run takes it."""
+
+
+def poll_until(
+    feed: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str, field: str, reached: int, poll_seconds: float
+) -> None:
+    """Poll the feed until a micro-batch holds a row whose ``field`` is at least ``reached``; that one is applied whole.
+
+    This is what bounds a run to what had changed when it began: the feed goes on, the run does not.  The
+    highest value is observed while the micro-batch is written, without reading it once more.  A feed that
+    has nothing as late is polled on.
+    """
+    done = threading.Event()
+
+    def watched(batch: DataFrame, batch_id: int) -> None:
+        if done.is_set():
+            raise Finished
+        top = Observation()
+        apply(batch.observe(top, F.max(field).alias("top")), batch_id)
+        if (top.get["top"] or 0) >= reached:
+            done.set()
+
+    query = start(feed, watched, checkpoint, poll_seconds)
+    while query.isActive and not done.wait(0.05):
+        pass
+    query.stop()
+    if query.exception() and not done.is_set():
+        raise query.exception()
+
+
 def repeat(job: Callable[[], object], seconds: float, stop: threading.Event) -> None:
     """Run a batch job at a fixed cadence until told to stop; a long run shortens the wait."""
     while not stop.is_set():
