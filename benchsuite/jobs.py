@@ -14,7 +14,7 @@ from benchsuite.raw import RAW_LAST
 from benchsuite.registry import query
 from tidemark.operators.instances import views_of
 from tidemark.plans.audit import counters
-from tidemark.plans.config import OUT_POINTS, Destination, EventFeed, RawExport, RawFeed, Space, Subscription
+from tidemark.plans.config import OUT_POINTS, POINTS, Destination, EventFeed, RawExport, RawFeed, Space, Subscription
 from tidemark.plans.jobs import Jobs
 from tidemark.session import shared_folder
 
@@ -90,6 +90,27 @@ def job_export_points(spark, sf):
     return job.table(f"{to.tables}/points").read()
 
 
+@query(
+    "job_export_new_batches",
+    f"""SELECT 'lake_' || "externalId" AS "externalId", "timestamp", value FROM ({d.PTS})""",
+)
+def job_export_new_batches(spark, sf):
+    """Points of a table that grows by a batch between runs; each run reads the batches it has not seen.
+
+    Later batches hold newer points, and series that no earlier one has.
+    """
+    home = shared_folder(spark, "job-export-batches")
+    job, to = Jobs(spark, f"{home}/state"), Destination(f"{home}/out", "lake_", 123456)
+    table, points = job.table(f"{home}/points", POINTS), d.points(spark, sf).drop("event_id")
+    late = F.crc32(F.col("externalId").cast("binary")) % 10 == 0  # stand-in: a tenth of the series arrives last, whole
+    for k, days in enumerate((("2024-01-01", "2024-01-12"), ("2024-01-12", "2024-02-10"))):
+        table.add(points.where(~late & (F.col("timestamp") >= days[0]) & (F.col("timestamp") < days[1])), ("feed", k))
+        job.export_points(table, "Tables/RawTS", to)
+    table.add(points.where(late), ("feed", 2))
+    job.export_points(table, "Tables/RawTS", to)
+    return job.destination(f"{to.tables}/points").read()
+
+
 @query(
     "destination_after_failures",
     f"""SELECT 'lake_' || "externalId" AS "externalId", "timestamp", value, 0::BIGINT AS read_meanwhile FROM ({d.PTS})""",

@@ -202,6 +202,27 @@ def test_exported_points_continue_per_series(spark, job, tmp_path):
     assert created == [{"externalId": "test_ts_s1", "name": "test_ts_s1", "isString": True, "dataSetId": 123456}]
 
 
+def test_exports_of_a_table_read_new_batches_only(spark, job, tmp_path):
+    to, table = Destination(str(tmp_path / "out")), job.table(str(tmp_path / "points"), POINTS)
+    table.add(series_points(spark, 50), ("feed", 9))
+    assert job.export_points(table, "p", to) == 50
+    assert job.export_points(table, "p", to) == 0
+    table.add(series_points(spark, 80, 50), ("feed", 10))  # not before 9, as text would be
+    other = series_points(spark, 20).withColumn("externalId", F.lit("s2"))
+    table.add(other.unionByName(series_points(spark, 10)), ("repair", 0))  # a new series, and points already taken
+    _, states = job._new_batches(table, "p")
+    assert states == {"p#batch#feed": 10, "p#batch#repair": 0}
+    new = table._new({"feed": 9}, table.batches())
+    files = {r[0].split("tm_writer=w")[1].split("/tm_day")[0] for r in new.select(F.input_file_name()).collect()}
+    assert files == {"feed/tm_batch=b10", "repair/tm_batch=b0"}
+    plan = new._jdf.queryExecution().executedPlan().toString()  # other folders are not opened
+    assert "tm_batch" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+    assert job.export_points(table, "p", to) == 50
+    out = job.table(f"{to.tables}/points").read()
+    assert out.count() == 100 and out.where("externalId = 's2'").count() == 20
+    assert job.states.get("p#batch#feed", "high") == "10" and job.export_points(table, "p", to) == 0
+
+
 def test_a_stored_state_skips_the_first_half(spark, job, tmp_path):
     to = Destination(str(tmp_path / "out"))
     job.states.set_value("Tables/RawTS-s1-state", "2024-01-01 00:49:00+00:00")

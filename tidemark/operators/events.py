@@ -36,22 +36,26 @@ def event_rows(
 def resolve_assets(events: DataFrame, assets: DataFrame) -> DataFrame:
     """``assetExternalIds`` replaced by ``assetIds``: same order, unknown ids skipped.
 
-    Each distinct id list is resolved once and joined back, so events are never exploded and
-    need no row identity; lists shared by many events collapse before the first shuffle.
-    ``assets`` is (id, externalId).
+    Each distinct id list is resolved once and joined back by two 64-bit hashes of it, so events are never
+    exploded and need no row identity, and a list moves once; lists shared by many events collapse before
+    that.  ``assets`` is (id, externalId).
     """
-    lists = events.where(F.size("assetExternalIds") > 0).select("assetExternalIds").distinct()
+    name = ["__list", "__list_again"]
+    named = events.withColumns({
+        name[0]: F.xxhash64("assetExternalIds"), name[1]: F.xxhash64(F.lit(1), F.size("assetExternalIds"), "assetExternalIds")
+    })
+    lists = named.where(F.size("assetExternalIds") > 0).groupBy(*name).agg(F.first("assetExternalIds").alias("listed"))
     ids = assets.groupBy("externalId").agg(F.min("id").alias("id"))
     resolved = (
-        lists.select("assetExternalIds", F.posexplode("assetExternalIds").alias("pos", "externalId"))
+        lists.select(*name, F.posexplode("listed").alias("pos", "externalId"))
         .transform(join_aggregated, ids, ["externalId"], "inner")
-        .groupBy("assetExternalIds")
+        .groupBy(*name)
         .agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("__hits"))
-        .select("assetExternalIds", F.transform("__hits", lambda h: h["id"]).alias("__ids"))
+        .select(*name, F.transform("__hits", lambda h: h["id"]).alias("__ids"))
     )
     listed = F.when(F.col("assetExternalIds").isNotNull(), F.array().cast("array<bigint>"))
     kept = [c for c in events.columns if c != "assetExternalIds"]
-    return join_aggregated(events, resolved, ["assetExternalIds"], "left").select(
+    return join_aggregated(named, resolved, name, "left").select(
         *kept, F.coalesce(F.col("__ids").cast("array<bigint>"), listed).alias("assetIds")
     )
 

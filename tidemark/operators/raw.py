@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,6 +55,14 @@ def found_columns(rows: DataFrame, column: str = "columns") -> list[tuple[str, s
     return sorted((r["key"], r["as"]) for r in found)
 
 
+def _held(name: str, as_: str) -> Column:
+    """A name's value in the variant ``columns``; paths have no escapes, so a name with both quotes is looked up."""
+    for quote in "\"'":
+        if quote not in name:
+            return F.try_variant_get("columns", f"$[{quote}{name}{quote}]", as_)
+    return F.try_variant_get(F.col("columns").try_cast("map<string,variant>")[name], "$", as_)
+
+
 def flatten_json(rows: DataFrame, names: Sequence[tuple[str, str]] | None = None) -> DataFrame:
     """As ``flatten_rows``, of a ``columns`` column of JSON text, whose names and types are found if not given.
 
@@ -63,10 +71,7 @@ def flatten_json(rows: DataFrame, names: Sequence[tuple[str, str]] | None = None
     """
     names = found_columns(rows) if names is None else names
     held = rows.withColumn("columns", F.try_parse_json("columns"))
-    promoted = [
-        F.try_variant_get("columns", '$["' + name.replace("\\", "\\\\").replace('"', '\\"') + '"]', as_).alias(name)
-        for name, as_ in names if name not in RAW_FIXED
-    ]
+    promoted = [_held(name, as_).alias(name) for name, as_ in names if name not in RAW_FIXED]
     return held.select(*promoted, *RAW_FIXED)
 
 

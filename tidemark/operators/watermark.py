@@ -62,6 +62,10 @@ def series_bounds(states: DataFrame, path: str) -> DataFrame:
     )
 
 
+def batch_state_id(path: str, writer: str) -> str:
+    return f"{path}#batch#{writer}"
+
+
 def set_rows(new: DataFrame) -> DataFrame:
     """The rows that set something: an empty value (null, 0) leaves the stored one alone."""
     value = F.coalesce("low", "high")

@@ -34,7 +34,7 @@ from tidemark.plans.state import Watermarks
 from tidemark.session import apply_settings, in_pool
 from tidemark.sources.feeds import stream_feed
 from tidemark.sources.paged import paged_feed
-from tidemark.sources.tables import Shape, open_table
+from tidemark.sources.tables import Shape, Table, open_table
 from tidemark.streaming.handlers import adding_handler, events_handler, kept, points_handler, raw_handler, series_seen
 from tidemark.streaming.run import catch_up, start
 
@@ -192,15 +192,22 @@ class Jobs:
 
     # ---- lake tables out ---------------------------------------------------------------------
 
-    def export_points(self, points: DataFrame, path: str, to: Destination) -> int:
+    def export_points(self, points: DataFrame | Table, path: str, to: Destination) -> int:
         """Add each series' points newer than its watermark under the prefixed id.
 
+        Of a ``Table`` only the batches are read that came after those of the last run: what earlier ones
+        hold has been taken, or is at or below the watermark of its series.  Which batches those are is
+        kept with the watermarks.
+
         One pass over the points writes them; what was written then tells which series the
         destination lacks and how far each series came.  One watermark per series, at the end, so a
         run that stops before it is repeated whole.
         """
         with self.log.watching(path):
-            fresh = scan.series_since(points, marks.series_bounds(self.states.frame(path), path))
+            states, batches = self.states.frame(path), {}
+            if isinstance(points, Table):
+                points, batches = self._new_batches(points, path)
+            fresh = scan.series_since(points, marks.series_bounds(states, path))
             target = self.destination(f"{to.tables}/points", config.OUT_POINTS)
             batch = self.states.run(path)
             count = target.add(point_ops.prefix_ids(fresh, to.series_prefix), batch)
@@ -214,7 +221,8 @@ class Jobs:
                 known = series.read(without=batch) if series.exists() else self._empty("externalId string")
                 series.add(series_ops.missing_series(latest, known, to.data_set_id), batch)
                 own = F.substr("externalId", F.lit(len(to.series_prefix) + 1))
-                self.states.set(marks.series_watermark(latest.withColumn("externalId", own), path), batch)
+                reached = marks.series_watermark(latest.withColumn("externalId", own), path)
+                self.states.set(reached.unionByName(self.states.rows(batches, "high")), batch)
             self.log.success(path, count, "points inserted")
             return count
 
@@ -285,6 +293,14 @@ class Jobs:
                 self.log.success(name, count, f"files uploaded from {name}")
             return count
 
+    def _new_batches(self, table: Table, path: str) -> tuple[DataFrame, dict[str, int]]:
+        """(the rows of the batches that no run has taken, the states that tell the next run of them)."""
+        last = table.batches()
+        ids = {writer: marks.batch_state_id(path, writer) for writer in last}
+        stored = self.states.get_all(list(ids.values()), "high")
+        seen = {writer: int(stored[name]) for writer, name in ids.items() if stored[name] is not None}
+        return table.read_new(seen, last), {ids[writer]: number for writer, number in last.items()}
+
     def _empty(self, schema) -> DataFrame:
         return self.spark.createDataFrame([], schema)
 

@@ -89,14 +89,18 @@ class Watermarks:
         for old in before[:-1]:
             folders.remove(self.spark, f"{folder}/run={old}")
 
-    def set_values(self, values: Mapping[str, object], side: str = "low", batch: Batch | None = None) -> None:
+    def rows(self, values: Mapping[str, object], side: str = "low") -> DataFrame:
+        """Values as the rows that set them."""
         rows = [
             (k, str(v) if side == "low" else None, str(v) if side == "high" else None, type(v).__name__)
             for k, v in values.items()
             if v is not None
         ]
-        if rows or batch:
-            self.set(self.spark.createDataFrame(rows, WATERMARKS).coalesce(1), batch)
+        return self.spark.createDataFrame(rows, WATERMARKS).coalesce(1)
+
+    def set_values(self, values: Mapping[str, object], side: str = "low", batch: Batch | None = None) -> None:
+        if batch or any(v is not None for v in values.values()):
+            self.set(self.rows(values, side), batch)
 
     def set_value(self, state_id: str, value: object, side: str = "low", batch: Batch | None = None) -> None:
         self.set_values({state_id: value}, side, batch)

@@ -12,10 +12,10 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -167,6 +167,32 @@ class Table:
         writer, which = batch
         return (F.col(WRITER) == f"w{writer}") & (F.col(BATCH) == f"b{which}")
 
+    def batches(self) -> dict[str, int]:
+        """The highest number of each writer's batches, by the names of folders alone."""
+        out = {}
+        for name in folders.names(self.spark, self.path):
+            if name.startswith(f"{WRITER}=w"):
+                numbers = [n.removeprefix(f"{BATCH}=b") for n in folders.names(self.spark, f"{self.path}/{name}")]
+                numbers = [int(n) for n in numbers if n.isdigit()]
+                if numbers:
+                    out[unquote(name.removeprefix(f"{WRITER}=w"))] = max(numbers)
+        return out
+
+    def read_new(self, seen: Mapping[str, int], upto: Mapping[str, int]) -> DataFrame:
+        """What the table would hold of the batches after those ``seen`` of each writer, up to others.
+
+        Only their folders are read.  For whoever goes by batches and needs no row of an earlier one.
+        """
+        return _shown(self._new(seen, upto), self._shape())
+
+    def _new(self, seen: Mapping[str, int], upto: Mapping[str, int]) -> DataFrame:
+        number = F.substr(F.col(BATCH), F.lit(2)).try_cast("long")
+        new = [
+            (F.col(WRITER) == f"w{writer}") & (number > seen.get(writer, -1)) & (number <= last)
+            for writer, last in upto.items() if last > seen.get(writer, -1)
+        ]
+        return self._stored().where(reduce(lambda a, b: a | b, new, F.lit(False)))
+
     def read_batch(self, batch: Batch) -> DataFrame:
         """The rows of one batch as they were written."""
         return self._stored().where(self._is(batch)).drop(*OWN)
