@@ -10,14 +10,9 @@ from tidemark.llm import covertree
 
 def brute(rows, cosine):
     """[(vec_id, n_links, component)] of (vec_id, vector), rows in order."""
-    length = {}
     sound = [
         d is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v) for d, v in rows
     ]
-    for (_, v), ok in zip(rows, sound):
-        if ok:
-            length[len(v)] = length.get(len(v), 0) + 1
-    usual = max(length, key=lambda k: (length[k], k)) if length else 0
     label, links = {d: d for d, _ in rows if d is not None}, [0] * len(rows)
 
     def find(d):
@@ -27,7 +22,7 @@ def brute(rows, cosine):
 
     for i, (a, x) in enumerate(rows):
         for j, (b, y) in enumerate(rows):
-            if i != j and sound[i] and sound[j] and len(x) == len(y) == usual:
+            if i != j and sound[i] and sound[j] and len(x) == len(y):
                 x_, y_ = np.array(x) / np.max(np.abs(x)), np.array(y) / np.max(np.abs(y))
                 if x_ @ y_ / np.sqrt((x_ @ x_) * (y_ @ y_)) >= cosine:
                     links[i] += 1
@@ -64,6 +59,12 @@ def test_a_hot_vector_and_its_neighbours(spark, monkeypatch):
     check(spark, rows)
 
 
+def test_every_length_is_compared(spark, monkeypatch):
+    monkeypatch.setattr(covertree, "BLOCK", 20)
+    rows = clustered(1, 60, 5, 4, 0.1) + [(k + 1000, v, 0) for k, v, _ in clustered(2, 40, 9, 4, 0.1)]
+    check(spark, [*rows, (5000, [1.0], 0), (5001, [3.0], 0), (5002, [1.0, 1.0], 0), (5003, [2.0, 2.0], 0)])
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     check(spark, [

@@ -11,6 +11,7 @@ and the threshold allow, and taking it whole when they are so near that every pa
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -303,13 +304,17 @@ def _links(classes: DataFrame, dimension: int, cosine: float) -> DataFrame:
     return met.groupBy("x", "y").applyInArrow(_linker(dimension, cosine), "vec_id long, links long, label long")
 
 
+def _no_links(classes: DataFrame) -> DataFrame:
+    return classes.limit(0).select(*[F.lit(0).cast("long").alias(c) for c in ("vec_id", "links", "label")])
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding, ...).
 
     Two vectors link when their cosine in double precision is at least ``cosine`` (over 0).
 
     * Null or zero vectors, and those with null, NaN or infinite components: linked with nothing, kept.
-    * Vectors of another length than the table's most frequent one (the longest of such): likewise.
+    * Vectors of different lengths (numbers of components) are not linked.
     * Null vec_id: linked with nothing, component null, kept.
     * Rows that repeat a vec_id count as vectors of their own in ``n_links``, and are one in components.
     * Other columns are ignored; an empty table gives no rows.
@@ -317,19 +322,17 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
     sound = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     sound = F.coalesce(sound & F.exists("vector", lambda x: x != 0), F.lit(False)) & F.col("vec_id").isNotNull()
-    sizes = rows.where(sound).groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    if sizes is None:
-        return rows.select(
-            "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
-        )
-    dimension = sizes["d"]
-    usable = sound & (F.size("vector") == dimension)
-    classes = rows.where(usable).groupBy("vector").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    classes = rows.where(sound).groupBy("vector").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     # numbered once, as a vec_id may have several vectors
     classes = stored(classes.select(F.monotonically_increasing_id().alias("number"), "rep", "copies", "vector"), "classes")
-    links = stored(_links(classes.select(F.col("number").alias("vec_id"), "copies", "vector"), dimension, cosine), "links")
+    # vectors have a cosine with those of their own length only; a table has few lengths, one for each model
+    lengths = [r["d"] for r in classes.groupBy(F.size("vector").alias("d")).count().orderBy("d").collect()]
+    numbered = classes.select(F.col("number").alias("vec_id"), "copies", "vector")
+    found = [_links(numbered.where(F.size("vector") == d), d, cosine) for d in lengths]
+    links = reduce(DataFrame.unionAll, found, _no_links(classes))
+    links = stored(links, "links")
     counts = stored(links.groupBy("vec_id").agg(F.sum("links").alias("links")), "counts").withColumnRenamed("vec_id", "number")
-    members = rows.where(usable).join(classes, "vector").select("vec_id", "number", "rep", "copies")
+    members = rows.where(sound).join(classes, "vector").select("vec_id", "number", "rep", "copies")
     members = stored(members, "members")
     names = classes.select("number", "rep")
     joined = links.select("vec_id", "label").distinct().join(names.toDF("vec_id", "u"), "vec_id").join(names.toDF("label", "v"), "label")
@@ -339,7 +342,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     linked = members.join(counts, "number", "left").select(
         "vec_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
     )
-    out = linked.unionAll(rows.where(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links")))
+    out = linked.unionAll(rows.where(~sound).select("vec_id", F.lit(0).cast("long").alias("n_links")))
     component = F.coalesce("component", "vec_id")
     return out.join(group, "vec_id", "left").select(
         "vec_id", "n_links", component.alias("component_id"),
