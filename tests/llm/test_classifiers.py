@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+import random
+import re
+
 import pytest
 
 from tidemark.llm import quality, toxicity
@@ -96,3 +100,64 @@ def test_statistics(documents):
     assert (rows.words, rows.lines, rows.repeated_lines) == (10, 3, pytest.approx(1 / 3))
     assert rows.distinct_words == pytest.approx(4 / 10) and rows.most_frequent == pytest.approx(6 / 10)
     assert rows.digits == pytest.approx(2 / 41) and rows.bars == pytest.approx(1 / 41)
+
+
+def test_matches_equal_a_plain_scan():
+    """Random lexicons: every term and phrase is counted at every place where it stands."""
+    rng = random.Random(11)
+    words = ["ab", "abc", "abcd", "bcd", "cd", "b0b", "СаВ", "x", "a1b", "ABCD", "...", "d-c"]
+    for _ in range(60):
+        stems = {f" {''.join(rng.choice('abcd') for _ in range(rng.randint(1, 4)))}{rng.choice([' ', ''])}": rng.uniform(-2, 5) for _ in range(8)}
+        phrases = {f" {rng.choice(words[:5])} {rng.choice(words[:5])} ": rng.uniform(-5, 0) for _ in range(4)}
+        lexicon = toxicity.Lexicon(stems, phrases, (0.0, 0.0, 0.0))
+        text = " ".join(rng.choice(words) for _ in range(rng.randrange(40)))
+        plain = toxicity.folded(text)
+        weights = dict(stems)
+        for phrase, weight in phrases.items():
+            weights[phrase] = weights.get(phrase, 0) + weight
+        found = [w for term, w in weights.items() for at in range(len(plain)) if plain.startswith(term, at)]
+        n, total, by_length = toxicity.measured(text, lexicon.matcher())
+        assert n == sum(1 if w > 0 else -1 for w in found)
+        assert total == pytest.approx(max(0.0, sum(found)))
+        assert by_length == pytest.approx(1000 * max(0.0, sum(found)) / (len(plain.split()) + 21))
+
+
+def plain_statistics(text):
+    """A few of the statistics, counted with Python's own means."""
+    text = text or ""
+    data, found = text.encode(), re.findall(r"[^\x20\x09-\x0D]+", text)
+    lower = [w.translate({c: c + 32 for c in range(65, 91)}) for w in found]
+    lines = [tuple(x) for x in (re.findall(r"[^\x20\x09-\x0D]+", line) for line in "".join(
+        chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text).split("\n")) if x]
+    some, size = max(len(found), 1), max(len(data), 1)
+    pairs = list(zip(lower, lower[1:]))
+    return {
+        "words": len(found), "word_length": sum(len(w.encode()) for w in found) / some, "digits": sum(48 <= b < 58 for b in data) / size,
+        "distinct_words": len(set(lower)) / some, "most_frequent": max(map(lower.count, set(lower)), default=0) / some,
+        "repeated_next": sum(a == b for a, b in pairs) / max(len(pairs), 1), "distinct_pairs": len(set(pairs)) / max(len(pairs), 1),
+        "lines": len(lines), "repeated_lines": 1 - len(set(lines)) / max(len(lines), 1), "bars": data.count(b"|") / size,
+        "exclamations": data.count(b"!") / size, "line_words": len(found) / max(len(lines), 1),
+        "short_words": sum(len(w.encode()) <= 2 for w in found) / some, "stops": data.count(b".") / size,
+        "vowels": sum(b in b"aeiouAEIOU" for b in data) / size,
+    }
+
+
+def test_learned_rules_equal_a_plain_evaluation(spark, documents, odd_texts):
+    """Statistics by plain counting, rules by plain comparisons: the scores of the compiled column."""
+    sf_dir = "/root/testdata/sf0.01"
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rules = quality.learn(docs, labels)
+    assert len(rules.weights) > 5
+    rows = docs.select("doc_id", "text").limit(300).union(documents(odd_texts, 10**6).select("doc_id", "text")).where("doc_id is not null")
+    texts = {r.doc_id: r.text for r in rows.collect()}
+    measured = {r.doc_id: r.asDict() for r in quality.measured(rows).collect()}
+    scored = {r.doc_id: r.score for r in quality.scores(rows, rules).collect()}
+    assert set(texts) == set(measured) == set(scored)
+    for doc, text in texts.items():
+        for name, value in plain_statistics(text).items():
+            assert measured[doc][name] == pytest.approx(value, abs=1e-12), (doc, name)
+        total = rules.intercept
+        for rule, weight in rules.weights.items():
+            if all((measured[doc][quality.STATISTICS[c.statistic]] > c.threshold) == c.above for c in rule):
+                total += weight
+        assert scored[doc] == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-12)

@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled rows that the lexicon is learned from, the most terms and phrases in it.
-MAX_TRAINING, MAX_TERMS, MAX_PHRASES = 10_000, 4_000, 2_000
+#: Labelled rows that the lexicon is learned from; its terms and phrases are words of theirs, and as many as qualify.
+MAX_TRAINING = 10_000
 STEMS = (4, 5, 6, 7)
 #: What a term must have: different toxic texts, as a number and as a part of all, and log-odds.
 LEAST_TEXTS, LEAST_SHARE, LEAST_LOG_ODDS = 5, 0.01, 3.0
@@ -201,7 +201,7 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING) -> Lexic
         counts = counts.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         odds = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
         found = counts.withColumn("weight", odds).where((F.col("toxic") >= max(LEAST_TEXTS, LEAST_SHARE * toxic)) & (F.col("weight") >= LEAST_LOG_ODDS))
-        best = found.orderBy(F.desc(F.col("weight") * F.log1p("toxic")), "term").limit(MAX_TERMS).collect()
+        best = found.select("term", "weight").collect()
         terms: dict = {}
         for r in sorted(best, key=lambda r: (len(r["term"].rstrip()), r["term"])):  # a stem covers its words
             if not any(r["term"][:n + 1] in terms for n in STEMS if n + 1 < len(r["term"].rstrip())):
@@ -211,10 +211,10 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING) -> Lexic
             return empty
         phrases = rows.mapInArrow(_phrase_counter(terms), "phrase string, term string, clean long, toxic long")
         phrases = phrases.groupBy("phrase", "term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        harmless = phrases.where("clean >= 3 and toxic = 0").orderBy(F.desc("clean"), "phrase").limit(MAX_PHRASES).collect()
+        harmless = phrases.where("clean >= 3 and toxic = 0").select("phrase", "term").collect()
         lexicon = Lexicon(terms, {}, ())
         taken: dict = {}
-        for r in sorted(harmless, key=lambda r: r["phrase"]):
+        for r in sorted(harmless):
             taken[r["phrase"]] = -terms[r["term"]]
         lexicon = Lexicon(terms, taken, ())
         marked = rows.select(F.col("toxic").cast("long").alias("doc_id"), "text")
