@@ -15,12 +15,12 @@ from tidemark.llm import pieces
 MODEL = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
 
 
-def run(texts, k=2, seed=5, ids=None):
+def run(texts, k=2, seed=5, ids=None, kept=pieces.KEPT):
     batch = pa.RecordBatch.from_arrays(
         [pa.array(range(len(texts)) if ids is None else ids, pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"]
     )
-    encode = pieces._encoder(pieces._model(pieces.MODEL), k, seed)
-    return [found for _, _, _, part in encode([batch]) for found in part]
+    encode = pieces._encoder(pieces._model(pieces.MODEL), k, seed, kept)
+    return [(p.ids[a:b], drawn) for p in encode([batch]) for a, b, drawn in zip(p.cut[:-1], p.cut[1:], p.drawn)]
 
 
 def segmentations(text):
@@ -115,12 +115,32 @@ def test_samples_follow_the_row_key_alone():
 def test_forgotten_lattices_change_nothing(monkeypatch):
     texts = [f"word{k} and some more of it {k * 7919}" for k in range(300)]
     whole = run(texts)
-    monkeypatch.setattr(pieces, "KEPT", 10)
     monkeypatch.setattr(pieces, "slices", lambda column, limit: __import__("tidemark.llm.text").llm.text.slices(column, 500))
-    for (a, x), (b, y) in zip(whole, run(texts)):
+    for (a, x), (b, y) in zip(whole, run(texts, kept=350)):
         assert a.tolist() == b.tolist()
         assert [(e.tolist(), p, v, q) for e, p, v, q in x] == [(e.tolist(), p, v, q) for e, p, v, q in y]
 
 
+def test_lattices_stay_within_their_bytes():
+    vocabulary = pieces.Vocabulary(pieces._model(pieces.MODEL))
+    lattices, most, kept = pieces.Lattices(vocabulary, 4 << 20), 0, 4 << 20
+    for k in range(40):
+        texts = pa.array([f"unseen{k * 997 + i:x}word other{i * 7919 + k:x}" for i in range(800)])
+        for _, data, offsets in pieces.slices(texts, 1 << 20):
+            spaced, _, start, end = pieces._chunks(data, offsets, vocabulary.lines)
+            hashes = pieces.mix(pieces.Prefixes(spaced).of(start, end) + (end - start).astype(np.uint64))
+            lattices.slots(spaced, start, end, hashes)
+        held = (lattices.edge, lattices.length, lattices.piece, lattices.log_prob, lattices.total, lattices.ids, lattices.first)
+        most = max(most, sum(x.nbytes for x in held))
+    assert 0 < most < 2 * kept  # a slice is added before it is looked at again
+
+
+def test_ids_without_the_text_again(documents):
+    docs = documents(["one two", None, ""])
+    with_text, without = pieces.encoded(docs), pieces.encoded(docs, text=False)
+    assert without.columns == [c for c in with_text.columns if c != "decoded"]
+    assert without.collect() == with_text.drop("decoded").collect()
+
+
 def test_empty_table(documents):
     assert pieces.encoded(documents([])).collect() == [] and pieces.digest(documents([])).collect() == []

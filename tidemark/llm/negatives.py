@@ -32,7 +32,6 @@ SHELF = 4  # blocks that anchors are sent to together, about
 RATIO = 0.9  # of lengths in a bucket
 FOCUS = 3  # coordinates looked at
 SLACK = 1e-9  # for rounding of bounds, which are far coarser
-BATCH_BYTES = 32 << 20  # of blocks that a worker is given at once
 
 VECTORS = "row long, vec_id long, label long, vector array<long>"
 BLOCKS = "dim int, slot long, block long, longest double, only long, rows binary, ids binary, labels binary, kind string, values binary, orders binary"
@@ -289,7 +288,7 @@ def mine(embeddings: DataFrame) -> DataFrame:
     * Products beyond 64 bits are held at the ends of that range; components likewise.
     * Other columns are ignored; an empty table gives no rows.
     """
-    prepared(embeddings.sparkSession).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    prepared(embeddings.sparkSession)
     rows = stored(vectors(embeddings), "vectors")
     blocks = _blocks(rows)
     anchors = stored(blocks.drop("name").mapInArrow(_first_look, ASKED), "anchors")

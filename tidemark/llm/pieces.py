@@ -18,6 +18,8 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+from collections.abc import Callable
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -26,17 +28,20 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import Prefixes, mix, slices
+from tidemark.llm.text import Prefixes, lists, mix, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES, SEED = 2, 5
-#: Positions of lattices kept from slice to slice, some 35 bytes each.
-KEPT = 8_000_000
+#: Bytes of lattices that a worker keeps from slice to slice; a position takes about POSITION of them.
+KEPT, POSITION = 280 << 20, 35
+#: Bytes of text that a worker looks at together; new text takes some 190 times as much while its lattices are made.
+AT_ONCE = 2 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 LOW = np.uint64((1 << 22) - 1)
 
 SAMPLE = "rank: int, n_tokens: long, log_prob: double, value: double, inclusion: double"
-ENCODED = f"doc_id long, ids array<int>, decoded string, exact boolean, samples array<struct<{SAMPLE}, ids: array<int>>>"
+IDS = f"doc_id long, ids array<int>, exact boolean, samples array<struct<{SAMPLE}, ids: array<int>>>"
+ENCODED = IDS.replace("exact", "decoded string, exact")
 DIGEST = f"doc_id long, n_tokens long, ids_sha256 string, round_trip boolean, samples array<struct<{SAMPLE}, ids_sha256: string>>"
 
 
@@ -107,8 +112,8 @@ class Lattices:
     piece, and the logarithm and the running total of their probabilities.
     """
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
+    def __init__(self, vocabulary: Vocabulary, kept: int):
+        self.vocabulary, self.kept = vocabulary, kept
         self.clear()
 
     def clear(self):
@@ -127,7 +132,7 @@ class Lattices:
 
     def slots(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         """Each chunk's number, after adding those not seen yet."""
-        if self.first[-1] > KEPT:
+        if self.first[-1] * POSITION > self.kept:
             self.clear()
         low, high = hashes & LOW, (hashes >> np.uint64(22)) & LOW
         at = self.place[0][low]
@@ -393,14 +398,14 @@ def _plain(column: pa.Array) -> pa.Array:
     return pc.replace_substring(column, "▁", " ")
 
 
-def _encoder(model: bytes, k: int, seed: int):
+def _encoder(model: bytes, k: int, seed: int, kept: int = KEPT, at_once: int = AT_ONCE):
     def encode(batches):
         vocabulary = Vocabulary(model)
-        lattices = Lattices(vocabulary)
+        lattices = Lattices(vocabulary, kept)
         for batch in batches:
             ids = batch.column(0)
             keys = mix(np.array(ids.fill_null(-1)).astype(np.int64).view(np.uint64) * _STEP + np.uint64(seed))
-            for first, data, offsets in slices(_plain(batch.column(1)), 2 << 20):
+            for first, data, offsets in slices(_plain(batch.column(1)), at_once):
                 n = len(offsets) - 1
                 spaced, row, start, end = _chunks(data, offsets, vocabulary.lines)
                 hashes = mix(Prefixes(spaced).of(start, end) + (end - start).astype(np.uint64))
@@ -414,41 +419,51 @@ def _encoder(model: bytes, k: int, seed: int):
                 size = np.where(blank[row], 0, lattices.id_at[slot + 1] - lattices.id_at[slot])
                 canonical = lattices.ids[_ragged(lattices.id_at[slot], size)]
                 cut = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(per_row)])]
-                found = [(canonical[a:b], drawn) for a, b, drawn in zip(cut[:-1], cut[1:], samples)]
-                texts = vocabulary.model.decode([some.tolist() for some, _ in found])
-                yield ids.slice(first, n), batch.column(1).slice(first, n), texts, found
+                texts = vocabulary.model.decode([canonical[a:b].tolist() for a, b in zip(cut[:-1], cut[1:])])
+                yield Encoded(ids.slice(first, n), batch.column(1).slice(first, n), texts, canonical, cut, samples)
 
     return encode
 
 
-def _samples(drawn, last) -> list:
-    return [
-        {"rank": r + 1, "n_tokens": len(e), "log_prob": p, "value": v, "inclusion": q} | last(e)
-        for r, (e, p, v, q) in enumerate(drawn)
-    ]
+class Encoded(NamedTuple):
+    """A slice of rows: their ids one after the other, cut at ``cut``, and what was drawn for each."""
 
+    doc_id: pa.Array
+    text: pa.Array
+    decoded: list
+    ids: np.ndarray
+    cut: np.ndarray
+    drawn: list
 
-def _type(ddl: str) -> pa.DataType:
-    """The Arrow type of the ``samples`` column."""
-    last = ("ids", pa.list_(pa.int32())) if ddl == ENCODED else ("ids_sha256", pa.string())
-    numbers = [("rank", pa.int32()), ("n_tokens", pa.int64()), ("log_prob", pa.float64()), ("value", pa.float64()), ("inclusion", pa.float64())]
-    return pa.list_(pa.struct([*numbers, last]))
+    def exact(self) -> pa.Array:
+        """Whether decoding gives the text again."""
+        return pa.array([(t or "") == d for t, d in zip(self.text.to_pylist(), self.decoded)], pa.bool_())
 
+    def samples(self, name: str, last: Callable[[list], pa.Array]) -> pa.Array:
+        """Lists of structs; ``last`` makes their last field of all drawn ids."""
+        flat = [one for drawn in self.drawn for one in drawn]
+        numbers = [np.array([one[k] for one in flat], float) for k in (1, 2, 3)]
+        ranks = np.array([r + 1 for drawn in self.drawn for r in range(len(drawn))], np.int32)
+        sizes = np.array([len(one[0]) for one in flat], np.int64)
+        fields = [pa.array(ranks), pa.array(sizes), *map(pa.array, numbers), last([one[0] for one in flat])]
+        structs = pa.StructArray.from_arrays(fields, ["rank", "n_tokens", "log_prob", "value", "inclusion", name])
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, self.drawn)]).astype(np.int32)), structs)
 
-def _exact(texts: pa.Array, decoded: list) -> pa.Array:
-    """Whether decoding gives the text again."""
-    return pa.array([(t or "") == d for t, d in zip(texts.to_pylist(), decoded)], pa.bool_())
 
+def _lists(parts: list) -> pa.Array:
+    return lists(np.concatenate(parts) if parts else np.zeros(0), [len(x) for x in parts], pa.int32())
 
-def _whole(encode):
+
+def _whole(encode, text: bool):
     def emit(batches):
-        for ids, texts, decoded, found in encode(batches):
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([x.tolist() for x, _ in found], pa.list_(pa.int32())), pa.array(decoded, pa.string()),
-                 _exact(texts, decoded),
-                 pa.array([_samples(d, lambda e: {"ids": e.tolist()}) for _, d in found], _type(ENCODED))],
-                names=["doc_id", "ids", "decoded", "exact", "samples"],
-            )
+        for found in encode(batches):
+            columns = {
+                "doc_id": found.doc_id, "ids": lists(found.ids, np.diff(found.cut), pa.int32()), "decoded": pa.array(found.decoded, pa.string()),
+                "exact": found.exact(), "samples": found.samples("ids", _lists),
+            }
+            if not text:
+                del columns["decoded"]
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return emit
 
@@ -459,10 +474,11 @@ def _sha(ids: np.ndarray) -> str:
 
 def _digested(encode):
     def emit(batches):
-        for ids, texts, decoded, found in encode(batches):
+        for found in encode(batches):
+            hashes = [_sha(found.ids[a:b]) for a, b in zip(found.cut[:-1], found.cut[1:])]
+            samples = found.samples("ids_sha256", lambda drawn: pa.array([_sha(x) for x in drawn], pa.string()))
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([len(x) for x, _ in found], pa.int64()), pa.array([_sha(x) for x, _ in found], pa.string()),
-                 _exact(texts, decoded), pa.array([_samples(d, lambda e: {"ids_sha256": _sha(e)}) for _, d in found], _type(DIGEST))],
+                [found.doc_id, pa.array(np.diff(found.cut)), pa.array(hashes, pa.string()), found.exact(), samples],
                 names=["doc_id", "n_tokens", "ids_sha256", "round_trip", "samples"],
             )
 
@@ -478,10 +494,14 @@ def _model(path: str) -> bytes:
         return file.read()
 
 
-def encoded(docs: DataFrame, model: str = MODEL, k: int = SAMPLES, seed: int = SEED) -> DataFrame:
+def encoded(
+    docs: DataFrame, model: str = MODEL, k: int = SAMPLES, seed: int = SEED, text: bool = True, kept: int = KEPT, at_once: int = AT_ONCE
+) -> DataFrame:
     """``ENCODED`` for every row of ``docs`` (doc_id, text, ...).
 
-    ``ids`` are the model's, ``decoded`` is their text again (``exact``: the same), and ``samples`` are up to ``k`` different
+    ``kept`` and ``at_once`` bound a worker's memory and change nothing in the result.
+    ``ids`` are the model's, ``decoded`` is their text again (``exact``: the same; the text itself is left out
+    without ``text``), and ``samples`` are up to ``k`` different
     segmentations drawn without replacement: their log probability, perturbed value and probability of
     inclusion (given the threshold), the largest value first.
 
@@ -491,7 +511,7 @@ def encoded(docs: DataFrame, model: str = MODEL, k: int = SAMPLES, seed: int = S
     * Null doc_id: a key of its own, the same for all such rows; rows that repeat a doc_id and text get
       the same samples.  Other columns are ignored; an empty table gives no rows.
     """
-    return _texts(docs).mapInArrow(_whole(_encoder(_model(model), k, seed)), ENCODED)
+    return _texts(docs).mapInArrow(_whole(_encoder(_model(model), k, seed, kept, at_once), text), ENCODED if text else IDS)
 
 
 def digest(docs: DataFrame, model: str = MODEL, k: int = SAMPLES, seed: int = SEED) -> DataFrame:

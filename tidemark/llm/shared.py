@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from tidemark.session import apply_settings, shared_folder
 
 
+#: Of rows that a worker is given at once.
+BATCH_BYTES = 16 << 20
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -20,6 +22,7 @@ def prepared(spark: SparkSession) -> SparkSession:
     apply_settings(spark)
     # rows hold whole texts: ten thousand of them at once are more than a small executor has room for
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))  # whatever their length
     # tasks import this package from where the driver has it, whatever folder the driver was started in;
     # on a cluster whose machines don't share that folder, ship it with --py-files
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
