@@ -43,6 +43,15 @@ def test_one_of_each_group_stays(stages):
     assert sorted(r.doc_id for r in after.collect()) == sorted({c for _, c in group.values()})
 
 
+def test_texts_that_share_an_id_are_documents_of_their_own(spark, sf_dir):
+    copy, other = "one two three four five six seven", "quite another text that has nothing to do with it"
+    rows = [(1, copy, "a"), (1, other, "b"), (1, copy, "c"), (2, copy, "d"), (3, other + " ok", "e"), (None, copy, "f"), (4, None, "g"), (4, "", "h")]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, lang string")
+        got = {tuple(r) for r in corpus_pipeline.drop_near_copies(spark, docs, sf_dir).collect()}
+        assert got == {(1, copy, "a"), (1, other, "b"), (None, copy, "f"), (4, None, "g"), (4, "", "h")}
+
+
 def test_personal_data_goes(stages):
     from tidemark.llm import pii
 
