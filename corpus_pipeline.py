@@ -21,15 +21,32 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return toxicity.without_toxic(docs, toxicity.learn(docs, labels))
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows that have a doc_id, with a ``number`` for each different (doc_id, text), in that order."""
+    docs = docs.where("doc_id is not null")
+    again = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if again.isEmpty():  # ids that are unique are numbers
+        return docs.withColumn("number", F.col("doc_id").cast("long"))
+    text = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))
+    pairs = docs.select("doc_id", text.alias("text_md5")).distinct()
+    pairs = pairs.repartitionByRange("doc_id", "text_md5").sortWithinPartitions("doc_id", "text_md5")
+    pairs = stored(pairs.withColumn("number", F.monotonically_increasing_id()), "numbers")
+    same = docs.withColumn("text_md5", text).join(pairs, ["doc_id", "text_md5"]).drop("text_md5")
+    # rows equal in both may differ elsewhere: the least of them is the one that stays
+    least = same.groupBy("number").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row"))
+    return stored(least.select("row.*", "number"), "numbered")
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies (five words, 0.8) stays, the one with the smallest doc_id.
+    """One document of every group of near copies (five words, 0.8) stays, the one with the smallest (doc_id, text).
 
-    Rows that repeat a doc_id count as one document; rows without doc_id and those without words all stay.
+    Rows equal in doc_id and text are one document; rows that share a doc_id and differ in text are documents
+    of their own.  Rows without doc_id and those without words all stay.
     """
-    verdicts = minhash.near_duplicates(docs, size=5, percent=80).where("kept and doc_id is not null")
-    verdicts = stored(verdicts.select("doc_id").distinct(), "kept")
-    kept = docs.join(verdicts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(docs.columns).union(docs.where(F.col("doc_id").isNull()))
+    rows = _numbered(docs)
+    verdicts = minhash.near_duplicates(rows.select(F.col("number").alias("doc_id"), "text"), size=5, percent=80)
+    kept = stored(verdicts.where("kept").select(F.col("doc_id").alias("number")).distinct(), "kept")
+    return rows.join(kept, "number", "left_semi").select(docs.columns).union(docs.where(F.col("doc_id").isNull()))
 
 
 def clean_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,9 +69,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, ids, round_trip, samples): the pieces of every document and two sampled segmentations.
 
-    A null or empty text has no ids.  Rows that repeat a document repeat its pieces.
+    A null or empty text has no ids.  Rows that repeat a document repeat its pieces.  The text that decoding
+    gives is compared where it is made, and workers take less memory than they may: stages before this one
+    have filled the executors.
     """
-    found = pieces.encoded(docs)
+    found = pieces.encoded(docs, text=False, kept=pieces.KEPT // 3, at_once=pieces.AT_ONCE // 4)
     return found.select("doc_id", "ids", F.col("exact").alias("round_trip"), "samples")
 
 
