@@ -103,38 +103,41 @@ def _kept(batches):
     """(doc_id, text, cut) to the text left of each document, and what went."""
     for batch in batches:
         ids, texts, cuts = (batch.column(k) for k in range(3))
-        kept, gone, spans, count = [], [], [], []
+        kept, gone, spans, count, short = [], [], [], [], []
         for text, cut in zip(texts, cuts):
             body = (text.as_py() or "").encode()
-            parts = sorted((c["lo"], c["hi"]) for c in cut.as_py() or () if c["hi"] <= len(body))
+            found = [c for c in cut.as_py() or () if c["hi"] <= len(body)]
+            parts = sorted((c["lo"], c["hi"]) for c in found)
+            short.append(sum(c["short"] for c in found))
             ends, starts = [0, *(hi for _, hi in parts)], [*(lo for lo, _ in parts), len(body)]
             kept.append(b"".join(body[a:b] for a, b in zip(ends, starts)).decode("utf-8", "ignore"))
             gone.append(sum(b - a for a, b in parts))
             spans.append([{"lo": a, "hi": b} for a, b in parts])
             count.append(body.count(b"\n") + (len(body) > 0 and not body.endswith(b"\n")))
         yield pa.RecordBatch.from_arrays(
-            [ids, pa.array(count, pa.int64()), pa.array([len(s) for s in spans], pa.int64()), pa.array(gone, pa.int64()),
+            [ids, pa.array(count, pa.int64()), pa.array([len(s) - n for s, n in zip(spans, short)], pa.int64()),
+             pa.array(short, pa.int64()), pa.array(gone, pa.int64()),
              pa.array(kept, pa.string()), pa.array(spans, pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])))],
-            names=["doc_id", "n_paragraphs", "n_removed", "bytes_removed", "kept", "spans"],
+            names=["doc_id", "n_paragraphs", "n_removed", "n_short_removed", "bytes_removed", "kept", "spans"],
         )
 
 
-KEPT = ("doc_id long, n_paragraphs long, n_removed long, bytes_removed long, kept string, "
-        "spans array<struct<lo: long, hi: long>>")
-DIGEST = "doc_id long, n_paragraphs long, n_removed long, bytes_removed long, kept_sha256 string"
+_COUNTS = "doc_id long, n_paragraphs long, n_removed long, n_short_removed long, bytes_removed long"
+KEPT = f"{_COUNTS}, kept string, spans array<struct<lo: long, hi: long>>"
+DIGEST = f"{_COUNTS}, kept_sha256 string"
 
 
 def _digest(batches):
     for batch in _kept(batches):
         digests = [hashlib.sha256(x.as_py().encode()).hexdigest() for x in batch.column("kept")]
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(k) for k in range(4)), pa.array(digests, pa.string())],
-            names=["doc_id", "n_paragraphs", "n_removed", "bytes_removed", "kept_sha256"],
+            [*(batch.column(k) for k in range(5)), pa.array(digests, pa.string())],
+            names=[field.split()[0] for field in DIGEST.split(", ")],
         )
 
 
-def removals(docs: DataFrame, size: int = 5, percent: int = 80, least: int = 5, recall: float = 0.9999) -> DataFrame:
-    """(doc_id, text, cut): every row with the byte ranges of its repeated paragraphs."""
+def removals(docs: DataFrame, size: int = 5, percent: int = 80, least: int = 1, recall: float = 0.9999) -> DataFrame:
+    """(doc_id, text, cut): every row with the byte ranges of its repeated paragraphs, and whether they are short."""
     scheme = tuned(percent, recall)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = docs.where("doc_id is not null and text is not null").mapInArrow(_sketcher(size, least, scheme), _SKETCH)
@@ -166,20 +169,22 @@ def removals(docs: DataFrame, size: int = 5, percent: int = 80, least: int = 5,
     named = stored(named, "named")
     keeper = stored(named.groupBy("component").agg(F.min(F.struct("first.doc", "first.lo")).alias("keeper")), "keepers")
     fate = stored(named.join(keeper, "component").select("s1", "s2", "keeper"), "fates")
-    gone = sketch.select("doc_id", "lo", "hi", "s1", "s2").join(fate, ["s1", "s2"])
+    short = (F.size("keys") == 0).alias("short")  # too few words for a shingle, so without bands
+    gone = sketch.select("doc_id", "lo", "hi", short, "s1", "s2").join(fate, ["s1", "s2"])
     gone = gone.where("doc_id <> keeper.doc or lo <> keeper.lo")
-    cut = gone.groupBy("doc_id").agg(F.collect_set(F.struct("lo", "hi")).alias("cut"))
+    cut = gone.groupBy("doc_id").agg(F.collect_set(F.struct("lo", "hi", "short")).alias("cut"))
     return docs.join(cut, "doc_id", "left").select("doc_id", "text", "cut")
 
 
-def without_repeats(docs: DataFrame, size: int = 5, percent: int = 80, least: int = 5, recall: float = 0.9999) -> DataFrame:
+def without_repeats(docs: DataFrame, size: int = 5, percent: int = 80, least: int = 1, recall: float = 0.9999) -> DataFrame:
     """``KEPT`` for every row of ``docs`` (doc_id, text, ...): its text without repeated paragraphs.
 
     Paragraphs (lines) of at least ``least`` words (one or more) take part; with ``least`` of 1 all that
     have words.  Two of them link when the Jaccard similarity of their sets of ``size``-word shingles (A-Z
     in lower case; the whole sequence of words where a line has fewer) reaches ``percent``; of each
     component the paragraph that stands first (smallest doc_id, then place) stays, the others go with
-    their newline.
+    their newline.  ``n_removed`` counts those of at least ``size`` words, ``n_short_removed`` the others, which
+    are mostly stock lines.
 
     * Shorter paragraphs, empty lines, null or empty text: left alone.
     * Null doc_id: left alone, and nothing repeats it.
