@@ -24,16 +24,18 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.shared import stored
 from tidemark.llm.text import Prefixes, mix, slices
+from tidemark.operators.joins import join_aggregated
 
 LENGTH = 100
 GRAM = 24
-#: Classes of one gram that are sorted in one task; a gram with more is dealt over several.
+#: Classes of one gram that are sorted together.  A gram with more is told apart by the bytes next to it, and
+#: what then still has more is dealt over several tasks.
 BLOCK = 2048
 #: Bytes looked at together, so that what is derived from them stays in the processor's caches.
 NEAR = 1 << 18
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 _RUN = "gram long, ctx long, doc_id long, span long"
-_CONTEXT = "gram long, salt int, salted boolean, doc_id long, lo long, off int, body binary"
+_CONTEXT = "gram long, near long, doc_id long, lo long, off int, body binary"
 _FOUND = "doc_id long, lo long, n long, f1 long, f2 long"
 
 
@@ -83,24 +85,39 @@ def _runs(length: int):
     return emit
 
 
+def _sides(body: bytes, lo: int, n: int, off: int, length: int):
+    """(near, first window, windows) of the two halves of a hot gram's run.
+
+    A window around a gram holds either half of what is left of its bytes before the gram, or as many after
+    it.  These bytes tell windows apart, and equal windows lie on the same side with the same bytes.
+    """
+    size = min(GRAM, length)
+    half, at, last = (length - size) // 2, lo + off, lo + n - 1
+    cut = min(last, at - half)
+    for side, first, end, bytes_ in ((b"<", lo, cut, body[at - half:at]), (b">", max(lo, cut + 1), last, body[at + size:at + size + half])):
+        if first <= end:
+            near = int.from_bytes(hashlib.blake2b(side + bytes_, digest_size=8).digest(), "big", signed=True)
+            yield near or 1, first, end - first + 1
+
+
 def _contexts(length: int):
-    """The bytes around each wanted run, from (doc_id, text, wanted)."""
+    """The bytes around each wanted run, from (doc_id, text, wanted); those of a hot gram by side, ``near`` not 0."""
 
     def emit(batches):
         for batch in batches:
             ids, texts, wanted = (batch.column(k) for k in range(3))
-            rows = {k: [] for k in ("gram", "salt", "salted", "doc_id", "lo", "off", "body")}
+            rows = {k: [] for k in ("gram", "near", "doc_id", "lo", "off", "body")}
             for k in np.flatnonzero(np.array(wanted.is_valid(), bool)):
                 body = (texts[k].as_py() or "").encode()
                 for want in wanted[k].as_py():
                     lo, n, off = want["span"] >> 24, want["span"] >> 12 & 0xFFF, want["span"] & 0xFFF
-                    part = body[lo:lo + n + length - 1]
-                    if len(part) < n + length - 1:
+                    if len(body) < lo + n + length - 1:
                         continue  # a row that repeats the doc_id with another text
-                    for name, value in (("gram", want["gram"]), ("salt", want["salt"]), ("salted", want["salted"]),
-                                        ("doc_id", ids[k].as_py()), ("lo", lo), ("off", off), ("body", part)):
-                        rows[name].append(value)
-            kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+                    for near, first, count in _sides(body, lo, n, off, length) if want["hot"] else ((0, lo, n),):
+                        for name, value in (("gram", want["gram"]), ("near", near), ("doc_id", ids[k].as_py()), ("lo", first),
+                                            ("off", lo + off - first), ("body", body[first:first + count + length - 1])):
+                            rows[name].append(value)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), kinds)], names=list(rows))
 
     return emit
@@ -200,14 +217,22 @@ def _sorted_classes(group, rel, at, data, length):
     return classes
 
 
+GROUP = ("gram", "near", "deal")
+
+
+def _changes(table: pa.Table) -> np.ndarray:
+    """Where a row's group is another than that of the row before."""
+    columns = [np.array(table.column(k)) for k in GROUP]
+    return np.logical_or.reduce([np.diff(c) != 0 for c in columns])
+
+
 def _sorted_block(table: pa.Table, length: int):
-    """Repeats among whole groups of contexts: flagged windows, and a salted group's distinct windows."""
+    """Repeats among whole groups of contexts: flagged windows, and the distinct windows of a group that was dealt."""
     bodies = table.column("body").combine_chunks()
     _, data, offsets = next(slices(bodies, 1 << 40))
-    gram, salt = (np.array(table.column(k)) for k in ("gram", "salt"))
     doc, lo, off = (np.array(table.column(k)).astype(np.int64) for k in ("doc_id", "lo", "off"))
-    salted = np.array(table.column("salted"))
-    group = np.cumsum(np.concatenate([[True], (np.diff(gram) != 0) | (np.diff(salt) != 0)]))
+    dealt = np.array(table.column("dealt"))
+    group = np.cumsum(np.concatenate([[True], _changes(table)]))
     n = np.diff(offsets) - length + 1
     owner = np.repeat(np.arange(len(n)), n)
     place = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
@@ -225,7 +250,7 @@ def _sorted_block(table: pa.Table, length: int):
     end[:-1] = ~flagged[1:] | (owner[1:] != owner[:-1])
     new, end = np.flatnonzero(new), np.flatnonzero(end & flagged)
     parts = [(doc[owner[new]], start[new], end - new + 1, None, None)]
-    distinct = np.flatnonzero(~flagged & salted[owner])
+    distinct = np.flatnonzero(~flagged & dealt[owner])
     if len(distinct):
         spot = at[distinct]
         f1 = mix(Prefixes(data).of(spot, spot + length))
@@ -240,7 +265,7 @@ def _sorted_block(table: pa.Table, length: int):
 
 
 def _sorter(length: int):
-    """Over batches sorted by (gram, salt): whole groups at a time, however batches cut them."""
+    """Over batches sorted by GROUP: whole groups at a time, however batches cut them."""
 
     def sort(batches):
         held = None
@@ -249,9 +274,9 @@ def _sorter(length: int):
             held = pa.concat_tables([held, table]) if held is not None else table
             if not held.num_rows:
                 continue
-            gram, salt = np.array(held.column("gram")), np.array(held.column("salt"))
-            cut = int(np.flatnonzero((gram == gram[-1]) & (salt == salt[-1]))[0])
-            if cut:
+            starts = np.flatnonzero(_changes(held))
+            if len(starts):
+                cut = int(starts[-1]) + 1  # the last group may go on
                 yield from _sorted_block(held.slice(0, cut), length)
                 held = held.slice(cut)
         if held is not None and held.num_rows:
@@ -307,20 +332,20 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     place = F.struct("doc_id", "span")
     classes = stored(runs.groupBy("gram", "ctx").agg(F.min(place).alias("first")), "classes")
     kinds = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    blocks = F.ceil(F.col("kinds") / BLOCK)
     wanted = classes.join(stored(kinds, "kinds"), "gram").select(
-        "first.doc_id",
-        F.struct(
-            "gram", F.pmod(F.xxhash64("ctx"), blocks).cast("int").alias("salt"), (blocks > 1).alias("salted"),
-            F.col("first.span").alias("span"),
-        ).alias("want"),
+        "first.doc_id", F.struct("gram", (F.col("kinds") > BLOCK).alias("hot"), F.col("first.span").alias("span")).alias("want")
     )
     wanted = stored(wanted, "wanted").groupBy("doc_id").agg(F.collect_list("want").alias("wanted"))
     # both joins below take the texts from the same shuffle, so neither filters them first
     contexts = docs.join(wanted, "doc_id", "left").select("doc_id", "text", "wanted").mapInArrow(_contexts(length), _CONTEXT)
-    by_gram = contexts.repartition("gram", "salt").sortWithinPartitions("gram", "salt")
-    found = by_gram.mapInArrow(_sorter(length), _FOUND)
-    # a salted gram's blocks have listed each window once: the earliest of all blocks stays
+    contexts = stored(contexts, "contexts")
+    hot = contexts.where("near <> 0").groupBy("gram", "near").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")).where("blocks > 1")
+    dealt = join_aggregated(contexts, hot, ["gram", "near"], "left").select(
+        *contexts.columns, F.col("blocks").isNotNull().alias("dealt"),
+        F.pmod(F.xxhash64("body"), F.coalesce("blocks", F.lit(1).cast("long"))).cast("int").alias("deal"),
+    )
+    found = dealt.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(_sorter(length), _FOUND)
+    # the blocks of a group that was dealt have listed each window once: the earliest of all blocks stays
     window = Window.partitionBy("f1", "f2")
     across = found.where("f1 is not null").withColumn("first", F.min(F.struct("doc_id", "lo")).over(window))
     across = across.where("struct(doc_id, lo) <> first").select("doc_id", "lo", "n")
