@@ -205,7 +205,7 @@ class Jobs:
         """
         with self.log.watching(path):
             states, batches = self.states.frame(path), {}
-            if isinstance(points, Table):
+            if not isinstance(points, DataFrame):
                 points, batches = self._new_batches(points, path)
             fresh = scan.series_since(points, marks.series_bounds(states, path))
             target = self.destination(f"{to.tables}/points", config.OUT_POINTS)

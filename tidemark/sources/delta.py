@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -49,6 +50,20 @@ class DeltaLakeTable:
             rows = rows.where(~self._is(without))
         return rows.drop(WRITER, BATCH, *self.shape.hidden)
 
+    def batches(self) -> dict[str, int]:
+        """The highest number of each writer's batches."""
+        rows = self._stored().where(F.col(WRITER).isNotNull()).groupBy(WRITER).agg(F.max(BATCH).alias("last"))
+        return {r[WRITER]: r["last"] for r in rows.collect()}
+
+    def read_new(self, seen: Mapping[str, int], upto: Mapping[str, int]) -> DataFrame:
+        """What batches after those ``seen`` of each writer, up to others, were the last to write."""
+        new = [
+            (F.col(WRITER) == writer) & (F.col(BATCH) > seen.get(writer, -1)) & (F.col(BATCH) <= last)
+            for writer, last in upto.items()
+        ]
+        rows = self._stored().where(reduce(lambda a, b: a | b, new, F.lit(False)))
+        return rows.drop(WRITER, BATCH, *self.shape.hidden)
+
     def read_batch(self, batch: Batch) -> DataFrame:
         """The rows that a batch was the last to write."""
         return self._stored().where(self._is(batch)).drop(WRITER, BATCH)
