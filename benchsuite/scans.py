@@ -55,8 +55,8 @@ def scan_first_batch(spark, sf):
 def scan_all_batches(spark, sf):
     """Every batch of 700 rows stored as its number; what is read back came in the order of time."""
     home, events = shared_folder(spark, "scan-batches"), d.table(spark, sf, "events")
-    for number, batch in enumerate(scan.in_batches(events, "ts", 700)):
-        batch.write.parquet(f"{home}/batch={number}")
+    numbered = scan.in_batches(events, "ts", 700).numbered("batch")
+    numbered.repartition("batch").write.partitionBy("batch").parquet(home)
     rows = spark.read.parquet(home)
     ends = rows.groupBy("batch").agg(F.min("ts").alias("low"), F.max("ts").alias("high"), F.count(F.lit(1)).alias("n"))
     before = F.lag("high").over(Window.orderBy("batch"))  # a row for each batch

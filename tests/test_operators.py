@@ -430,3 +430,22 @@ def test_batches_of_ties_and_of_nothing(spark):
     assert [part.count() for part in scan.in_batches(same.limit(0), "v", 10)] == [0]
     with pytest.raises(TypeError):
         list(scan.in_batches(same.select(F.lit("x").alias("v")), "v", 10))
+
+
+@pytest.mark.parametrize("kind", ["long", "double", "date", "timestamp"])
+def test_numbered_batches_are_those_taken_one_by_one(spark, tmp_path, kind):
+    value = {"long": "9007199254740993 + id % 900", "double": "if(id % 50 = 0, double('NaN'), id / 7)", "date": "date_add(date'2024-01-01', cast(id % 300 as int))"}
+    values = value.get(kind, "timestamp_micros(1700000000000000 + id * 7 % 2500)")
+    spark.sql(f"SELECT id, if(id % 97 = 0, null, {values}) AS v FROM range(3000)").write.parquet(str(tmp_path / "t"))
+    batches = scan.in_batches(spark.read.parquet(str(tmp_path / "t")), "v", 400)
+    singly = {r.id: k for k, part in enumerate(batches) for r in part.collect()}
+    assert len(singly) == 3000 and {r.id: r.batch for r in batches.numbered("batch").collect()} == singly
+    empty = scan.in_batches(spark.range(0).select("id", F.col("id").alias("v")), "v", 400).numbered("batch")
+    assert empty.columns == ["id", "v", "batch"] and empty.count() == 0
+
+
+def test_small_batches_of_a_large_table_are_even(spark):
+    """A sketch of the whole table alone is off by more rows than such a batch has."""
+    table = spark.range(1_000_000).select((F.col("id") * 7919 % 1_000_003).alias("v"))
+    sizes = [r["count"] for r in scan.in_batches(table, "v", 100).numbered("b").groupBy("b").count().collect()]
+    assert sum(sizes) == 1_000_000 and 50 <= min(sizes) and max(sizes) <= 100

@@ -5,9 +5,12 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tidemark.functions.values import typed_watermark
 from tidemark.operators.joins import join_aggregated
@@ -64,39 +67,93 @@ def _number(field: str, dtype: T.DataType) -> tuple[Column, Callable[[object], C
     raise TypeError(f"{field}: batches need a number or a time, not {dtype.simpleString()}")
 
 
-def batch_ends(df: DataFrame, field: str, size: int, k: int = 8192) -> list[object]:
-    """Numbers that cut the field into batches of about ``size`` rows, from one pass over the table.
+#: About how many rows a cell holds, within which rows are ranked; and into how many a table is cut at most.
+CELL, CELLS = 100_000, 4096
+
+
+def _cuts(df: DataFrame, number: Column, kind: str, size: int, k: int = 8192) -> tuple[int, list[object]]:
+    """How many rows have a number, and numbers that end cells of about ``size`` of them, the highest last.
 
     Quantiles come from a KLL sketch of at most some ``8 * k`` bytes a task, whatever the table's size; they
-    are off by a share of all rows, some 0.1% with this ``k``.  A value with many rows is in one batch whole.
+    are off by a share of all rows, some 0.1% with this ``k``.
     """
-    number, _ = _number(field, df.schema[field].dataType)
-    kind = "double" if isinstance(df.schema[field].dataType, T.FractionalType) else "bigint"
     sketch = getattr(F, f"kll_sketch_agg_{kind}")(number, F.lit(k))
     one = df.agg(sketch.alias("sketch"), F.max(number).alias("top"), F.count(number).alias("n")).first()
-    batches = math.ceil(one["n"] / size)
-    if not batches:
-        return []
-    shares = F.array(*[F.lit(j / batches) for j in range(1, batches + 1)])
+    cells = min(math.ceil(one["n"] / size), CELLS)
+    if cells < 2:
+        return one["n"], [one["top"]] * cells
+    shares = F.array(*[F.lit(j / cells) for j in range(1, cells + 1)])
     quantiles = getattr(F, f"kll_sketch_get_quantile_{kind}")(F.lit(one["sketch"]), shares)
     ends = df.sparkSession.range(1).select(quantiles.alias("ends")).first()["ends"]
-    return sorted({*ends[:-1], one["top"]})
+    return one["n"], sorted({*ends[:-1], one["top"]})
+
+
+def _place(number: Column, ends: list[object], kind: str) -> Column:
+    """Which of ascending ends is the first not below a number: from 0, as many as there are for one above all."""
+    sorted_ends = np.array(ends, dtype="int64" if kind == "bigint" else "float64")
+
+    @F.pandas_udf("int")
+    def place(values: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(sorted_ends, values.to_numpy(), side="left"))
 
+    # nulls would turn whole numbers into fractions on their way to pandas
+    return F.when(number.isNotNull(), place(F.coalesce(number, F.lit(ends[0]))))
 
-def in_batches(df: DataFrame, field: str, size: int) -> Iterator[DataFrame]:
+
+def _kind(dtype: T.DataType) -> str:
+    return "double" if isinstance(dtype, T.FractionalType) else "bigint"
+
+
+def batch_ends(df: DataFrame, field: str, size: int, k: int = 8192) -> list[object]:
+    """Numbers that cut the field into batches of at most ``size`` rows, and of half as many at least.
+
+    A sketch cuts the values into cells of some 100,000 rows; within each the rows are ranked, so batches are
+    as even in a large table as in a small one.  A value with many rows is in one batch whole.
+    """
+    (number, _), kind = _number(field, df.schema[field].dataType), _kind(df.schema[field].dataType)
+    rows, cells = _cuts(df, number, kind, max(CELL, size * 8), k)
+    if not rows:
+        return []
+    counts = df.select(number.alias("number")).where("number is not null").groupBy("number").agg(F.count(F.lit(1)).alias("n"))
+    placed = counts.withColumn("cell", _place(F.col("number"), cells, kind)).where(F.col("cell") < len(cells))
+    one = Window.partitionBy("cell")
+    before = F.sum("n").over(one.orderBy("number").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    batch = F.floor(before * F.ceil(F.sum("n").over(one) / size) / F.sum("n").over(one))
+    ends = placed.select("cell", "number", batch.alias("batch")).groupBy("cell", "batch").agg(F.max("number").alias("end"))
+    return sorted(r["end"] for r in ends.select("end").collect())
+
+
+class Batches:
+    """A whole table as batches in the order of a field: one after the other, or all at once by their numbers."""
+
+    def __init__(self, df: DataFrame, field: str, size: int) -> None:
+        self.df, self.field = df, field
+        self._number, self._value = _number(field, df.schema[field].dataType)
+        self._ends = batch_ends(df, field, size)
+
+    def __iter__(self) -> Iterator[DataFrame]:
+        """Each batch is a range that the scan can push down, for whoever takes one at a time."""
+        if not self._ends:
+            yield self.df.where(self._number.isNull())
+        for k, end in enumerate(self._ends):
+            within = F.col(self.field) <= self._value(end)
+            yield self.df.where(within & (F.col(self.field) > self._value(self._ends[k - 1])) if k else within | self._number.isNull())
+
+    def numbered(self, name: str) -> DataFrame:
+        """The rows of all batches with the number of theirs, from 0: one pass, however many batches there are."""
+        if not self._ends:
+            return self.df.where(self._number.isNull()).withColumn(name, F.lit(0))
+        place = F.coalesce(_place(self._number, self._ends, _kind(self.df.schema[self.field].dataType)), F.lit(0))
+        return self.df.withColumn(name, place).where(F.col(name) < len(self._ends))
+
+
+def in_batches(df: DataFrame, field: str, size: int) -> Batches:
     """The whole table as batches of about ``size`` rows in the order of ``field``, ties together.
 
-    One pass finds where all batches end; each batch then is a range that the scan can push down.  Rows
-    without a value (null, NaN) come with the first.  Rows above the highest value of that pass are left
-    for another time.
+    Where all batches end is found first.  Rows without a value (null, NaN) come with the first.  Rows above
+    the highest value seen then are left for another time.
     """
-    number, value = _number(field, df.schema[field].dataType)
-    ends = batch_ends(df, field, size)
-    if not ends:
-        yield df.where(number.isNull())
-    for k, end in enumerate(ends):
-        within = F.col(field) <= value(end)
-        yield df.where(within & (F.col(field) > value(ends[k - 1])) if k else within | number.isNull())
+    return Batches(df, field, size)
 
 
 def events_since(
