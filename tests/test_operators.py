@@ -6,7 +6,9 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from benchsuite.streams import _tile
 from tidemark import schemas
 from tidemark.operators import events, files, instances, points, raw, scan, series, watermark
 from tidemark.operators.instances import View
@@ -449,3 +451,21 @@ def test_small_batches_of_a_large_table_are_even(spark):
     table = spark.range(1_000_000).select((F.col("id") * 7919 % 1_000_003).alias("v"))
     sizes = [r["count"] for r in scan.in_batches(table, "v", 100).numbered("b").groupBy("b").count().collect()]
     assert sum(sizes) == 1_000_000 and 50 <= min(sizes) and max(sizes) <= 100
+
+
+def test_rows_are_numbered_within_cells(spark, monkeypatch):
+    monkeypatch.setattr(scan, "CELL", 100)
+    rows = spark.range(3001).select("id", F.when(F.col("id") % 50 > 0, F.col("id") * 7919 % 1500).alias("v"))
+    numbered = scan.row_numbers(rows, "v", "row", "id")
+    expected = sorted(((-1 if r.v is None else r.v), r.id) for r in rows.collect())
+    assert [(-1 if r.v is None else r.v, r.id) for r in numbered.orderBy("row").collect()] == expected
+    assert sorted(r.row for r in numbered.collect()) == list(range(1, 3002))
+    assert scan.row_numbers(rows.limit(0), "v", "row").count() == 0
+    assert {r.row for r in scan.row_numbers(rows.where("v is null"), "v", "row").collect()} == set(range(1, 62))
+
+
+@pytest.mark.parametrize("rows", [5, 12, 100, 144])
+def test_tiles_are_those_of_ntile(spark, rows):
+    table = spark.range(rows).select((F.col("id") + 1).alias("row"))
+    tiles = table.select(_tile(F.col("row"), rows, 12).alias("mine"), F.ntile(12).over(Window.orderBy("row")).alias("theirs"))
+    assert tiles.where("mine = theirs").count() == rows

@@ -104,6 +104,24 @@ def _kind(dtype: T.DataType) -> str:
     return "double" if isinstance(dtype, T.FractionalType) else "bigint"
 
 
+def row_numbers(df: DataFrame, field: str, name: str, *tie_break: str) -> DataFrame:
+    """The rows numbered from 1 in the order of a field, those without a value (null, NaN) first.
+
+    Rows are ranked within cells that a sketch cuts, and cells start where those before them end, so no
+    task sees all rows.
+    """
+    number, _ = _number(field, df.schema[field].dataType)
+    kind = _kind(df.schema[field].dataType)
+    _, cells = _cuts(df, number, kind, CELL)
+    cell = F.coalesce(_place(number, cells, kind), F.lit(-1)) if cells else F.lit(-1)
+    placed = df.withColumn("__cell", cell)
+    before = Window.orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)  # a row for each cell
+    starts = placed.groupBy("__cell").agg(F.count(F.lit(1)).alias("n"))
+    starts = starts.select("__cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
+    place = F.row_number().over(Window.partitionBy("__cell").orderBy(field, *tie_break))
+    return placed.withColumn(name, place).join(starts, "__cell").withColumn(name, F.col("__start") + F.col(name)).drop("__cell", "__start")
+
+
 def batch_ends(df: DataFrame, field: str, size: int, k: int = 8192) -> list[object]:
     """Numbers that cut the field into batches of at most ``size`` rows, and of half as many at least.
 
