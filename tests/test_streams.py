@@ -9,6 +9,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from benchsuite import QUERIES, domain
 from tidemark import schemas
 from tidemark.plans.config import SERIES
 from tidemark.session import in_pool
@@ -147,3 +148,18 @@ def test_a_large_feed_does_not_hold_up_a_small_one(spark, tmp_path):
     assert pools == {"large": "large", "small": "small"}
     assert ends["small"] < ends["large"]
     assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None and threading.current_thread()
+
+
+@pytest.mark.parametrize("name, built", [("stream_instances_handover", "edges"), ("stream_replay", "feed")])
+def test_what_lands_is_built_once(spark, sf_dir, monkeypatch, name, built):
+    passed, build = spark.sparkContext.accumulator(0), getattr(domain, built)
+    key = {"edges": "externalId", "feed": "external_id"}[built]
+
+    @F.udf("string")
+    def seen(value):
+        passed.add(1)
+        return value
+
+    monkeypatch.setattr(domain, built, lambda *at: build(*at).withColumn(key, seen(key)))
+    QUERIES[name](spark, sf_dir).count()
+    assert passed.value == build(spark, sf_dir).count()
