@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.plans import jobs
 from tidemark.streaming import handlers
 from tidemark.sources import Shape, Table, open_table
+from tidemark.sources.tables import GIVEN
 
 KEYED = Shape(keys=("k",))
 
@@ -211,3 +212,13 @@ def test_delta_knows_a_repeated_append(spark, path, delta, monkeypatch):
 def test_delta_needs_its_package(spark, path):
     with pytest.raises(ImportError):
         open_table(spark, path, fmt="delta")
+
+
+def test_whole_rows_are_not_read_as_parts(spark, tmp_path):
+    """The table that made the folder goes on adding whole rows: no row lists the columns it was given."""
+    table = Table(spark, str(tmp_path / "t"), Shape(keys=("k",)))
+    for value in (1, 2):
+        table.add(spark.createDataFrame([("a", value)], "k string, v long"))
+    assert GIVEN not in table._stored().columns and [tuple(r) for r in table.read().collect()] == [("a", 2)]
+    table.add(spark.createDataFrame([("a",)], "k string"))
+    assert GIVEN in table._stored().columns and [tuple(r) for r in table.read().collect()] == [("a", 2)]
