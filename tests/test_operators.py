@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from benchsuite import domain
 from benchsuite.streams import _tile
 from tidemark import schemas
 from tidemark.operators import events, files, instances, points, raw, scan, series, watermark
@@ -469,3 +470,13 @@ def test_tiles_are_those_of_ntile(spark, rows):
     table = spark.range(rows).select((F.col("id") + 1).alias("row"))
     tiles = table.select(_tile(F.col("row"), rows, 12).alias("mine"), F.ntile(12).over(Window.orderBy("row")).alias("theirs"))
     assert tiles.where("mine = theirs").count() == rows
+
+
+def test_rows_are_counted_before_they_are_routed(spark, sf_dir):
+    changes = domain.instances(spark, sf_dir)
+    counts = instances.route_counts(changes, domain.VIEWS)
+    deleted = F.col("deletedTime").isNotNull()
+    plain = instances.routed(changes, domain.VIEWS).groupBy("table_name").agg(F.count_if(~deleted), F.count_if(deleted))
+    assert sorted(tuples(counts)) == sorted(tuples(plain))
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("count_if" if "count_if" in plan else "count(")

@@ -20,6 +20,8 @@ from tidemark.operators.scan import since
 
 BASE = ("space", "externalId", "version", "lastUpdatedTime", "createdTime")
 ENDPOINTS = ("startNode", "endNode")
+#: The columns of a change-feed row that become something in a table.
+READ = (*BASE, "instanceType", "deletedTime", *ENDPOINTS, "properties")
 
 
 @dataclass(frozen=True)
@@ -117,26 +119,33 @@ def split_deleted(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
     return flat.where(~deleted).drop("deletedTime"), flat.where(deleted)
 
 
+def _routes(views: Sequence[View], edge: Column, present: Sequence[Column]) -> Column:
+    """The tables a row goes to, by whether it is an edge and which node views it has data in."""
+    tables = F.filter(F.array(*[F.when(p, F.lit(v.table)) for p, v in zip(present, views)]), lambda t: t.isNotNull())
+    return F.when(edge, F.array(F.concat(F.col("space"), F.lit("_edges")))).otherwise(tables)
+
+
+def _node_views(views: Sequence[View]) -> list[View]:
+    return [v for v in views if v.used_for != "edge"]
+
+
 def routed(instances: DataFrame, views: Sequence[View]) -> DataFrame:
     """One row per destination: nodes once per view they have data in, edges to their space's
     edge table.  A node without any view has a row without a table, so it is counted."""
-    node_views = [v for v in views if v.used_for != "edge"]
-    node_tables = F.filter(
-        F.array(*[F.when(F.col(v.data).isNotNull(), F.lit(v.table)) for v in node_views]),
-        lambda t: t.isNotNull(),
-    )
-    tables = F.when(
-        F.col("instanceType") == "edge", F.array(F.concat(F.col("space"), F.lit("_edges")))
-    ).otherwise(node_tables)
+    own = _node_views(views)
+    tables = _routes(own, F.col("instanceType") == "edge", [F.col(v.data).isNotNull() for v in own])
     return instances.withColumn("table_name", F.explode_outer(tables))
 
 
 def route_counts(instances: DataFrame, views: Sequence[View]) -> DataFrame:
-    """Live and deleted rows per destination table."""
-    deleted = F.col("deletedTime").isNotNull()
-    return routed(instances, views).groupBy("table_name").agg(
-        F.count_if(~deleted).alias("upserts"), F.count_if(deleted).alias("deletes")
-    )
+    """Live and deleted rows per destination table; rows that go the same ways are counted before they are routed."""
+    own, deleted = _node_views(views), F.col("deletedTime").isNotNull()
+    present = [f"has_{k}" for k in range(len(own))]
+    ways = instances.groupBy(
+        "space", (F.col("instanceType") == "edge").alias("edge"), *[F.col(v.data).isNotNull().alias(n) for n, v in zip(present, own)]
+    ).agg(F.count_if(~deleted).alias("upserts"), F.count_if(deleted).alias("deletes"))
+    tables = F.explode_outer(_routes(own, F.col("edge"), [F.col(n) for n in present]))
+    return ways.withColumn("table_name", tables).groupBy("table_name").agg(F.sum("upserts").alias("upserts"), F.sum("deletes").alias("deletes"))
 
 
 def flows(space: str, views: Sequence[View]) -> dict[str, Callable[[DataFrame], DataFrame]]:

@@ -106,7 +106,8 @@ def instances_handler(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         writer = _writer(batch, name)
-        with kept(batch.where(F.col("space") == space)) as changes:
+        wanted = [c for c in batch.columns if c in graph.READ]
+        with kept(batch.where(F.col("space") == space).select(*wanted)) as changes:
             counts = {r["table_name"]: r for r in graph.route_counts(changes, views).collect()}
             for table_name, flatten in graph.flows(space, views).items():
                 if table_name in counts:
