@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
 
 from tests.llm.test_near_documents import shingle_set
-from tidemark.llm import paragraphs, queries, suffixes
+from tidemark.llm import paragraphs, passages, queries, suffixes
 
 
 def brute_bytes(rows, length):
@@ -142,6 +143,67 @@ def test_short_lines_take_part(documents, odd_texts, spark, tmp_path):
     assert found == {d: hashlib.sha256(t.encode()).hexdigest() for d, t in got.items()}
 
 
+def brute_passages(rows, length):
+    """{doc_id: (n_passages, passage_bytes)}, and the bytes that go."""
+    texts = [(d, (t or "").encode()) for d, t in rows if d is not None]
+    spots = [(d, b, [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", b)]) for d, b in texts]
+    first, out = {}, {}
+    for d, b, w in spots:
+        for k in range(len(w) - length + 1):
+            run = tuple(b[lo:hi].lower() for lo, hi in w[k:k + length])
+            first[run] = min(d, first.get(run, d))
+    for d, b, w in spots:
+        gone = np.zeros(len(w) + 1, bool)
+        for k in range(len(w) - length + 1):
+            if first[tuple(b[lo:hi].lower() for lo, hi in w[k:k + length])] < d:
+                gone[k:k + length] = True
+        starts = [k for k in range(len(w)) if gone[k] and not (k and gone[k - 1])]
+        ends = [k for k in range(len(w)) if gone[k] and not gone[k + 1]]
+        out.setdefault(d, []).append((len(starts), sum(w[e][1] - w[s][0] for s, e in zip(starts, ends))))
+    return out
+
+
+@pytest.mark.parametrize(("length", "gram"), [(50, 8), (12, 8), (6, 8), (12, 2)])
+def test_passages_inside_lines(documents, monkeypatch, length, gram, odd_texts):
+    """A passage that other documents have goes wherever it begins, and nothing is a passage that none has."""
+    monkeypatch.setattr(passages, "GRAM", gram)
+    rng = random.Random(length + gram)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    shared = [fresh(rng.randrange(length - 2, 3 * length)) for _ in range(6)] + [["und"] * 3 * length, ["a", "B", "c"] * length]
+    texts = []
+    for _ in range(40):
+        parts = [fresh(rng.randrange(0, 40))]
+        for _ in range(rng.randrange(3)):
+            passage = rng.choice(shared)
+            parts += [passage[rng.randrange(3):len(passage) - rng.randrange(3)], fresh(rng.randrange(0, 90))]
+        texts.append("".join(w + rng.choice([" ", " ", " ", "\n", "  "]) for w in sum(parts, [])).title() if rng.random() < 0.2 else " ".join(sum(parts, [])))
+    texts += odd_texts
+    got = {}
+    for r in paragraphs.without_repeats(documents(texts), length=length).collect():
+        if r.doc_id is not None:
+            got.setdefault(r.doc_id, []).append((r.n_passages, r.passage_bytes))
+            if r.n_passages:
+                assert r.bytes_removed >= r.passage_bytes
+    assert got == brute_passages([(k, t) for k, t in enumerate(texts) if t is not Ellipsis], length)
+    assert sum(n for x in got.values() for n, _ in x) > 10
+
+
+def test_passage_in_a_long_line_goes(documents, spark):
+    """Too little of a line for it to be a near copy: before, the whole line stayed."""
+    rng = random.Random(3)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage, a, b, c = fresh(60), fresh(200), fresh(150), fresh(150)
+    texts = [" ".join(a + passage + fresh(9)), " ".join(b + passage + c), " ".join(fresh(300))]
+    got = {r.doc_id: r for r in paragraphs.without_repeats(documents(texts)).collect()}
+    assert got[1].kept.split() == b + c and got[0].kept == texts[0] and got[2].kept == texts[2]
+    assert (got[1].n_passages, got[1].n_removed, got[1].bytes_removed) == (1, 0, len(" ".join(passage)))
+    # rows of one id are one document, each with its own text
+    rows = [(5, texts[1]), (5, "x " + texts[1]), (4, texts[0])]
+    kept = paragraphs.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.kept.split()[0] for r in kept if r.doc_id == 5) == sorted([b[0], "x"])
+    assert all([w for w in r.kept.split() if w != "x"] == b + c for r in kept if r.doc_id == 5)
+
+
 def test_bands_are_tuned():
     for recall in (0.9, 0.999, 0.9999):
         scheme = paragraphs.tuned(80, recall)

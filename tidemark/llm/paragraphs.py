@@ -1,5 +1,6 @@
 """Repeated paragraphs across a corpus: MinHash bands propose pairs, exact Jaccard confirms them,
-components of confirmed pairs keep their earliest paragraph.
+components of confirmed pairs keep their earliest paragraph.  Runs of words that other documents have go
+too, wherever in lines they begin (``passages``).
 
 A paragraph is a line.  The bands are tuned to a recall: few rows to a band, as paragraphs that have
 nothing in common share no shingle of five words, and as many bands as the recall needs.
@@ -15,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import passages
 from tidemark.llm.minhash import SEED, Scheme, links, packed
 from tidemark.llm.shared import components, stored
 from tidemark.llm.text import band_keys, distinct, lists, minima, mix, shingles, slices, words
@@ -99,45 +101,63 @@ def _cut_out(batches):
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
 
-def _kept(batches):
-    """(doc_id, text, cut) to the text left of each document, and what went."""
-    for batch in batches:
-        ids, texts, cuts = (batch.column(k) for k in range(3))
-        kept, gone, spans, count, short = [], [], [], [], []
-        for text, cut in zip(texts, cuts):
-            body = (text.as_py() or "").encode()
-            found = [c for c in cut.as_py() or () if c["hi"] <= len(body)]
-            parts = sorted((c["lo"], c["hi"]) for c in found)
-            short.append(sum(c["short"] for c in found))
-            ends, starts = [0, *(hi for _, hi in parts)], [*(lo for lo, _ in parts), len(body)]
-            kept.append(b"".join(body[a:b] for a, b in zip(ends, starts)).decode("utf-8", "ignore"))
-            gone.append(sum(b - a for a, b in parts))
-            spans.append([{"lo": a, "hi": b} for a, b in parts])
-            count.append(body.count(b"\n") + (len(body) > 0 and not body.endswith(b"\n")))
-        yield pa.RecordBatch.from_arrays(
-            [ids, pa.array(count, pa.int64()), pa.array([len(s) - n for s, n in zip(spans, short)], pa.int64()),
-             pa.array(short, pa.int64()), pa.array(gone, pa.int64()),
-             pa.array(kept, pa.string()), pa.array(spans, pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])))],
-            names=["doc_id", "n_paragraphs", "n_removed", "n_short_removed", "bytes_removed", "kept", "spans"],
-        )
-
-
-_COUNTS = "doc_id long, n_paragraphs long, n_removed long, n_short_removed long, bytes_removed long"
+def _joined(parts: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges of bytes without what they have in common."""
+    out = []
+    for a, b in sorted(parts):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _keeper(length: int):
+    def kept(batches):
+        """(doc_id, text, cut, passages) to the text left of each document, and what went."""
+        for batch in batches:
+            ids, texts, cuts, runs = (batch.column(k) for k in range(4))
+            kept, gone, spans, lines, count, short, passage, inside = [], [], [], [], [], [], [], []
+            for text, cut, run in zip(texts, cuts, runs):
+                body = (text.as_py() or "").encode()
+                found = [c for c in cut.as_py() or () if c["hi"] <= len(body)]
+                passage.append(passages.byte_runs(body, run.as_py(), length))
+                parts = _joined([*((c["lo"], c["hi"]) for c in found), *passage[-1]])
+                lines.append(len(found))
+                short.append(sum(c["short"] for c in found))
+                ends, starts = [0, *(hi for _, hi in parts)], [*(lo for lo, _ in parts), len(body)]
+                kept.append(b"".join(body[a:b] for a, b in zip(ends, starts)).decode("utf-8", "ignore"))
+                gone.append(sum(b - a for a, b in parts))
+                inside.append(sum(b - a for a, b in passage[-1]))
+                spans.append([{"lo": a, "hi": b} for a, b in parts])
+                count.append(body.count(b"\n") + (len(body) > 0 and not body.endswith(b"\n")))
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array(count, pa.int64()), pa.array([n - few for n, few in zip(lines, short)], pa.int64()),
+                 pa.array(short, pa.int64()), pa.array(gone, pa.int64()), pa.array([len(x) for x in passage], pa.int64()), pa.array(inside, pa.int64()),
+                 pa.array(kept, pa.string()), pa.array(spans, pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])))],
+                names=[*_NAMES, "kept", "spans"],
+            )
+
+    return kept
+
+
+_COUNTS = "doc_id long, n_paragraphs long, n_removed long, n_short_removed long, bytes_removed long, n_passages long, passage_bytes long"
+_NAMES = [field.split()[0] for field in _COUNTS.split(", ")]
 KEPT = f"{_COUNTS}, kept string, spans array<struct<lo: long, hi: long>>"
 DIGEST = f"{_COUNTS}, kept_sha256 string"
 
 
-def _digest(batches):
-    for batch in _kept(batches):
-        digests = [hashlib.sha256(x.as_py().encode()).hexdigest() for x in batch.column("kept")]
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(k) for k in range(5)), pa.array(digests, pa.string())],
-            names=[field.split()[0] for field in DIGEST.split(", ")],
-        )
+def _digest(length: int):
+    def digest(batches):
+        for batch in _keeper(length)(batches):
+            digests = [hashlib.sha256(x.as_py().encode()).hexdigest() for x in batch.column("kept")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in _NAMES), pa.array(digests, pa.string())], names=[*_NAMES, "kept_sha256"])
+
+    return digest
 
 
-def removals(docs: DataFrame, size: int = 5, percent: int = 80, least: int = 1, recall: float = 0.9999) -> DataFrame:
-    """(doc_id, text, cut): every row with the byte ranges of its repeated paragraphs, and whether they are short."""
+def removals(docs: DataFrame, size: int = 5, percent: int = 80, least: int = 1, recall: float = 0.9999, length: int = 50) -> DataFrame:
+    """(doc_id, text, cut, passages): every row with the byte ranges of its repeated paragraphs, whether they are short, and its passages."""
     scheme = tuned(percent, recall)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = docs.where("doc_id is not null and text is not null").mapInArrow(_sketcher(size, least, scheme), _SKETCH)
@@ -173,10 +193,13 @@ def removals(docs: DataFrame, size: int = 5, percent: int = 80, least: int = 1,
     gone = sketch.select("doc_id", "lo", "hi", short, "s1", "s2").join(fate, ["s1", "s2"])
     gone = gone.where("doc_id <> keeper.doc or lo <> keeper.lo")
     cut = gone.groupBy("doc_id").agg(F.collect_set(F.struct("lo", "hi", "short")).alias("cut"))
-    return docs.join(cut, "doc_id", "left").select("doc_id", "text", "cut")
+    runs = passages.elsewhere(docs.where("doc_id is not null and text is not null"), length)
+    cut = cut.join(runs.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("print", "passages"))).alias("runs")), "doc_id", "full_outer")
+    rows = docs.join(stored(cut, "cuts"), "doc_id", "left")
+    return rows.select("doc_id", "text", "cut", F.col("runs")[F.xxhash64("text")].alias("passages"))
 
 
-def without_repeats(docs: DataFrame, size: int = 5, percent: int = 80, least: int = 1, recall: float = 0.9999) -> DataFrame:
+def without_repeats(docs: DataFrame, size: int = 5, percent: int = 80, least: int = 1, recall: float = 0.9999, length: int = 50) -> DataFrame:
     """``KEPT`` for every row of ``docs`` (doc_id, text, ...): its text without repeated paragraphs.
 
     Paragraphs (lines) of at least ``least`` words (one or more) take part; with ``least`` of 1 all that
@@ -186,14 +209,18 @@ def without_repeats(docs: DataFrame, size: int = 5, percent: int = 80, least: in
     their newline.  ``n_removed`` counts those of at least ``size`` words, ``n_short_removed`` the others, which
     are mostly stock lines.
 
+    Each run of ``length`` words that also stands in a document of smaller id goes as well, across lines too, up
+    to the end of its last word (A-Z in lower case, space is not compared).  ``n_passages`` counts the longest such runs, ``passage_bytes`` their
+    bytes, whether their lines went as paragraphs or not; ``bytes_removed`` is all that went.  Both ways judge texts as they came.
+
     * Shorter paragraphs, empty lines, null or empty text: left alone.
     * Null doc_id: left alone, and nothing repeats it.
     * Rows that repeat a doc_id are one document: a paragraph at the same place in both is no repeat.
     * Other columns are ignored; an empty table gives no rows.
     """
-    return removals(docs, size, percent, least, recall).mapInArrow(_kept, KEPT)
+    return removals(docs, size, percent, least, recall, length).mapInArrow(_keeper(length), KEPT)
 
 
-def digest(docs: DataFrame, **parameters) -> DataFrame:
+def digest(docs: DataFrame, length: int = 50, **parameters) -> DataFrame:
     """``without_repeats`` with the SHA-256 of the text left in place of it."""
-    return removals(docs, **parameters).mapInArrow(_digest, DIGEST)
+    return removals(docs, length=length, **parameters).mapInArrow(_digest(length), DIGEST)
