@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from tidemark.llm import minhash, mixing, pieces, pii, toxicity
 from tidemark.llm.shared import prepared, stored
 
+#: What bounds a worker's memory while texts are encoded: lattices kept, text looked at together, tables.
+LITTLE = {"kept": pieces.KEPT // 16, "at_once": pieces.AT_ONCE // 16, "bits": 18}
+
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity scores below 0.5, by a lexicon learned from the labels that are not held out.
@@ -70,10 +73,10 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, ids, round_trip, samples): the pieces of every document and two sampled segmentations.
 
     A null or empty text has no ids.  Rows that repeat a document repeat its pieces.  The text that decoding
-    gives is compared where it is made, and workers take less memory than they may: stages before this one
-    have filled the executors.
+    gives is compared where it is made, and workers take far less memory than they may, for more time: stages
+    before this one have filled the executors.
     """
-    found = pieces.encoded(docs, text=False, kept=pieces.KEPT // 3, at_once=pieces.AT_ONCE // 4)
+    found = pieces.encoded(docs, text=False, **LITTLE)
     return found.select("doc_id", "ids", F.col("exact").alias("round_trip"), "samples")
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import random
+import tracemalloc
+
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -93,3 +97,25 @@ def test_odd_rows(spark, sf_dir, documents, odd_texts):
                 assert {0, 1, 2} <= {r.doc_id for r in kept}  # without words: linked with nothing
             docs = after
         docs.collect()
+
+
+def test_little_memory_encodes_the_same():
+    """The bounds of the pipeline's workers change no row, and hold."""
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["über", "日本", "x", "42\n"]) + str(rng.randrange(10**6)) for _ in range(rng.randrange(60))) for _ in range(1600)] + [None, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+
+    def rows(**bounds):
+        encode = pieces._encoder(pieces._model(pieces.MODEL), 2, 5, **bounds)
+        return [r for b in pieces._whole(encode, False)([batch]) for r in b.to_pylist()]
+
+    def peak(**bounds):
+        tracemalloc.start()
+        for _ in pieces._encoder(pieces._model(pieces.MODEL), 2, 5, **bounds)([batch]):
+            pass
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    assert rows(**corpus_pipeline.LITTLE) == rows(kept=1 << 16, at_once=1 << 12, bits=8) == rows()
+    assert peak(**corpus_pipeline.LITTLE) < 100 << 20 < peak(kept=pieces.KEPT // 3, at_once=pieces.AT_ONCE // 4)

@@ -37,7 +37,8 @@ KEPT, POSITION = 280 << 20, 35
 #: Bytes of text that a worker looks at together; new text takes some 190 times as much while its lattices are made.
 AT_ONCE = 2 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-LOW = np.uint64((1 << 22) - 1)
+#: Bits of a hash that tables of pieces and chunks are looked up by; a worker's tables take 13 bytes for each value of them.
+BITS = 22
 
 SAMPLE = "rank: int, n_tokens: long, log_prob: double, value: double, inclusion: double"
 IDS = f"doc_id long, ids array<int>, exact boolean, samples array<struct<{SAMPLE}, ids: array<int>>>"
@@ -58,7 +59,8 @@ def _ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 class Vocabulary:
     """Pieces by the hash of their bytes (a space for the space mark), with the weights of a lattice's edges."""
 
-    def __init__(self, model: bytes):
+    def __init__(self, model: bytes, bits: int = BITS):
+        self.bits, self.low = np.uint64(bits), np.uint64((1 << bits) - 1)
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.byte, pieces = np.zeros(256, np.int32), {}
         scores = []
@@ -83,15 +85,15 @@ class Vocabulary:
         order = np.argsort(hashes)
         self.hashes, self.ids, self.weight = hashes[order], ids[order], weight[order]
         # by the lowest bits of a hash: a piece that has them (-1: none, -2: several)
-        low = self.hashes & LOW
-        self.place = np.full(int(LOW) + 1, -1, np.int32)
+        low = self.hashes & self.low
+        self.place = np.full(1 << bits, -1, np.int32)
         self.place[low] = np.arange(len(low))
         names, times = np.unique(low, return_counts=True)
         self.place[names[times > 1]] = -2
-        self.starts = np.zeros(int(LOW) + 1, bool)  # of pieces, the whole ones too: what may go on
+        self.starts = np.zeros(1 << bits, bool)  # of pieces, the whole ones too: what may go on
         for k in range(1, self.longest + 1):
             some = starts[ends - starts >= k]
-            self.starts[mix(Prefixes(data).of(some, some + k) + np.uint64(k)) & LOW] = True
+            self.starts[mix(Prefixes(data).of(some, some + k) + np.uint64(k)) & self.low] = True
 
     def find(self, hashes: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(which of ``hashes`` are pieces, their places in the vocabulary); ``low`` are the hashes' lowest bits."""
@@ -118,7 +120,7 @@ class Lattices:
 
     def clear(self):
         # chunks by two parts of their hash: their number and 1, or 0
-        self.place = [np.zeros(int(LOW) + 1, np.int32), np.zeros(int(LOW) + 1, np.int32)]
+        self.place = [np.zeros(int(self.vocabulary.low) + 1, np.int32) for _ in range(2)]
         self.hashes = np.zeros(1, np.uint64)
         self.first = np.zeros(1, np.int64)
         self.id_at, self.ids = np.zeros(1, np.int64), np.zeros(0, np.int32)
@@ -134,7 +136,8 @@ class Lattices:
         """Each chunk's number, after adding those not seen yet."""
         if self.first[-1] * POSITION > self.kept:
             self.clear()
-        low, high = hashes & LOW, (hashes >> np.uint64(22)) & LOW
+        bits, mask = self.vocabulary.bits, self.vocabulary.low
+        low, high = hashes & mask, (hashes >> bits) & mask
         at = self.place[0][low]
         other = np.flatnonzero(self.hashes[at] != hashes)
         at[other] = self.place[1][high[other]]
@@ -145,9 +148,9 @@ class Lattices:
             self._add(data[_ragged(start[new[where]], size)], np.concatenate([[0], np.cumsum(size)]))
             numbers = np.arange(len(self.hashes), len(self.hashes) + len(unique), dtype=np.int32)
             self.hashes = np.concatenate([self.hashes, unique])
-            free = self.place[0][unique & LOW] == 0
-            self.place[0][unique[free] & LOW] = numbers[free]
-            self.place[1][(unique[~free] >> np.uint64(22)) & LOW] = numbers[~free]  # one pushed out is added again
+            free = self.place[0][unique & mask] == 0
+            self.place[0][unique[free] & mask] = numbers[free]
+            self.place[1][(unique[~free] >> bits) & mask] = numbers[~free]  # one pushed out is added again
             at[new] = numbers[back]
         return at.astype(np.int64) - 1
 
@@ -172,7 +175,7 @@ class Lattices:
         for k in range(1, vocabulary.longest + 1):
             here = here[left[here] >= k]
             hashes = mix(prefixes.of(here, here + k) + np.uint64(k))
-            low = hashes & LOW
+            low = hashes & vocabulary.low
             some, place = vocabulary.find(hashes, low)
             begin = here[some]
             alone[begin[width[begin] == k]] = True
@@ -398,9 +401,9 @@ def _plain(column: pa.Array) -> pa.Array:
     return pc.replace_substring(column, "▁", " ")
 
 
-def _encoder(model: bytes, k: int, seed: int, kept: int = KEPT, at_once: int = AT_ONCE):
+def _encoder(model: bytes, k: int, seed: int, kept: int = KEPT, at_once: int = AT_ONCE, bits: int = BITS):
     def encode(batches):
-        vocabulary = Vocabulary(model)
+        vocabulary = Vocabulary(model, bits)
         lattices = Lattices(vocabulary, kept)
         for batch in batches:
             ids = batch.column(0)
@@ -495,11 +498,12 @@ def _model(path: str) -> bytes:
 
 
 def encoded(
-    docs: DataFrame, model: str = MODEL, k: int = SAMPLES, seed: int = SEED, text: bool = True, kept: int = KEPT, at_once: int = AT_ONCE
+    docs: DataFrame, model: str = MODEL, k: int = SAMPLES, seed: int = SEED, text: bool = True, kept: int = KEPT, at_once: int = AT_ONCE,
+    bits: int = BITS,
 ) -> DataFrame:
     """``ENCODED`` for every row of ``docs`` (doc_id, text, ...).
 
-    ``kept`` and ``at_once`` bound a worker's memory and change nothing in the result.
+    ``kept``, ``at_once`` and ``bits`` bound a worker's memory and change nothing in the result.
     ``ids`` are the model's, ``decoded`` is their text again (``exact``: the same; the text itself is left out
     without ``text``), and ``samples`` are up to ``k`` different
     segmentations drawn without replacement: their log probability, perturbed value and probability of
@@ -511,7 +515,7 @@ def encoded(
     * Null doc_id: a key of its own, the same for all such rows; rows that repeat a doc_id and text get
       the same samples.  Other columns are ignored; an empty table gives no rows.
     """
-    return _texts(docs).mapInArrow(_whole(_encoder(_model(model), k, seed, kept, at_once), text), ENCODED if text else IDS)
+    return _texts(docs).mapInArrow(_whole(_encoder(_model(model), k, seed, kept, at_once, bits), text), ENCODED if text else IDS)
 
 
 def digest(docs: DataFrame, model: str = MODEL, k: int = SAMPLES, seed: int = SEED) -> DataFrame:
