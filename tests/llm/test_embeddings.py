@@ -74,3 +74,16 @@ def test_odd_vectors(spark):
     ])
     check(spark, [(1, None, 0), (None, None, 0)])
     check(spark, [])
+
+
+def test_vectors_of_blocks_are_not_dealt_to_pairs_of_them(spark, monkeypatch):
+    monkeypatch.setattr(covertree, "BLOCK", 8)
+    monkeypatch.setattr(covertree, "PARTNERS", 3)
+    rows = [(k, [float(np.float32(x)) for x in v], 0) for k, v, _ in clustered(3, 150, 6, 8, 0.15)]
+    rows += [(500, [0.0, 1.0, 0.0, 0.0, 0.0, 0.0], 0), (501, [-0.0, 2.0, -0.0, 0.0, 0.0, 0.0], 0), (502, [-0.0, 1.0, 0.0, 0.0, -0.0, 0.0], 0)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = covertree.near_duplicates(vectors).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == brute([r[:2] for r in rows], 0.95)
+    classes = vectors.selectExpr("vec_id", "1L as copies", "embedding as vector")
+    plan = covertree._links(classes, 6, 0.95)._jdf.queryExecution().executedPlan().toString()
+    assert "partners" in plan and "vectors" not in plan  # each was shuffled once for every block that its own met

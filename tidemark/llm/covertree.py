@@ -6,6 +6,9 @@ the data, and packed into blocks of bounded size; pairs of blocks that their rad
 brought together.  Each block holds a cover tree: nested levels of centres whose radii halve.  Two trees
 are traversed together, dropping a pair of nodes when their centres are further apart than both radii
 and the threshold allow, and taking it whole when they are so near that every pair must link.
+
+Blocks lie in the shared folder once, as files that tasks open themselves.  What is dealt to tasks are the
+numbers of blocks that meet: were their contents dealt, each block would be shuffled once for each other one.
 """
 
 from __future__ import annotations
@@ -15,17 +18,26 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as ds
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.shared import components, smallest, stored
+from tidemark.llm.shared import components, smallest, stored, written
+from tidemark.sources.paged import file_system
 
 #: Vectors in a block, about; the most centres that blocks are dealt by.
 BLOCK = 4096
 CENTRES = 1024
+#: Blocks that one is brought together with by a row of work at most, and pairs of blocks to a task, about.
+PARTNERS, PAIRS = 32, 512
 LEAF = 16
 #: What rounding may add to a distance: bounds are widened by it, and pairs near them looked at.
 SLACK = 1e-7
+#: What single precision may take a cosine for too much or too little by.
+SINGLE = 1e-5
+#: Where one in so many pairs of two blocks' vectors is to be looked at, all their cosines are taken by a matrix product.
+MANY = 1024
 _TREE = [("start", np.int64), ("end", np.int64), ("centre", np.int64), ("first", np.int64), ("last", np.int64), ("radius", np.float64)]
 
 
@@ -99,39 +111,46 @@ class Block:
     def __init__(self, ids, copies, vectors, nodes, cosine):
         # times a power of two, which changes no cosine but keeps products in the range of doubles
         self.vectors = vectors = np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1))[1][:, None])
-        self.ids, self.copies, self.nodes = ids, copies, nodes
+        self.ids, self.copies = ids, copies
         self.theta = math.sqrt(max(0.0, 2 - 2 * cosine))
         self.units = unit(vectors)
-        self.singles = self.units[nodes["centre"]].astype(np.float32)
+        self.single = self.units.astype(np.float32)
+        self.singles = self.single[nodes["centre"]]
+        # columns of their own, as pairs of nodes are many more than nodes
+        self.start, self.end, self.centre, self.first, self.last, self.radius = (np.ascontiguousarray(nodes[c]) for c, _ in _TREE)
         self.norms = np.sqrt((vectors * vectors).sum(axis=1))
         self.sums = np.concatenate([[0], np.cumsum(copies)])
 
 
 def _by_radius(block: Block, first: int, last: int):
     """Nodes in runs of like radius, each with the largest radius in it."""
-    order = first + np.argsort(block.nodes["radius"][first:last], kind="stable")
-    radius = block.nodes["radius"][order]
+    order = first + np.argsort(block.radius[first:last], kind="stable")
+    radius = block.radius[order]
     cuts = np.searchsorted(radius, [0, 0.05, 0.1, 0.2, 0.4, 0.8, 2.1], "right")
     for lo, hi in zip([0, *cuts], cuts):
         for at in range(lo, hi, 1024):
             yield order[at:min(at + 1024, hi)], radius[hi - 1]
 
 
+def _far(cosine: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum(2 - 2 * cosine, 0))
+
+
 def _centres_apart(a: Block, b: Block, first_a, last_a, first_b, last_b):
-    """(i, j, distance of their centres) of the crossed nodes; wide rows by a matrix product, and of
-    those only nodes that their radii don't keep apart."""
+    """(i, j, least and most that their centres may be apart) of the crossed nodes; wide rows by a matrix
+    product in single precision, and of those only nodes that their radii don't keep apart."""
     wide = (last_a - first_a) * (last_b - first_b) > 4096
     for k in np.flatnonzero(wide):
         for u, r in _by_radius(a, first_a[k], last_a[k]):
             for v, t in _by_radius(b, first_b[k], last_b[k]):
-                most = np.minimum(2.0, a.theta + r + t)  # single precision only shortlists
-                i, j = np.nonzero(a.singles[u] @ b.singles[v].T >= np.float32(1 - most * most / 2 - 1e-5))
-                i, j = u[i], v[j]
-                cosine = np.einsum("ij,ij->i", a.units[a.nodes["centre"][i]], b.units[b.nodes["centre"][j]])
-                yield i, j, np.sqrt(np.maximum(2 - 2 * cosine, 0))
+                most = np.minimum(2.0, a.theta + r + t)
+                cosine = (a.singles[u] @ b.singles[v].T).ravel()
+                at = np.flatnonzero(cosine >= np.float32(1 - most * most / 2 - SINGLE))
+                cosine = cosine[at].astype(float)
+                yield u[at // len(v)], v[at % len(v)], _far(cosine + SINGLE), _far(cosine - SINGLE)
     for i, j in _in_parts(first_a[~wide], last_a[~wide], first_b[~wide], last_b[~wide]):
-        cosine = np.einsum("ij,ij->i", a.units[a.nodes["centre"][i]], b.units[b.nodes["centre"][j]])
-        yield i, j, np.sqrt(np.maximum(2 - 2 * cosine, 0))
+        far = _far(np.einsum("ij,ij->i", a.units[a.centre[i]], b.units[b.centre[j]]))
+        yield i, j, far, far
 
 
 class Links:
@@ -141,6 +160,7 @@ class Links:
         self.a, self.b, self.cosine = a, b, cosine
         self.counts = [np.zeros(len(a.ids), np.int64), np.zeros(len(b.ids), np.int64)]
         self.edges: list[np.ndarray] = []
+        self.near: np.ndarray | None = None
 
     def whole(self, a_lo, a_hi, b_lo, b_hi):
         """Ranges whose every pair links: counts by differences, edges that only join them."""
@@ -159,8 +179,13 @@ class Links:
             self.edges.append(np.stack(pair, 1))
 
     def checked(self, i, j):
-        """Pairs of vectors: those that reach the cosine, in double precision."""
+        """Pairs of vectors: those that reach the cosine, in double precision (single precision only shortlists)."""
         a, b = self.a, self.b
+        if self.near is None and len(i) * MANY > len(a.ids) * len(b.ids):
+            self.near = a.single @ b.single.T >= np.float32(self.cosine - SINGLE)
+        if self.near is not None:
+            short = self.near[i, j]
+            i, j = i[short], j[short]
         cosine = np.einsum("ij,ij->i", a.vectors[i], b.vectors[j]) / (a.norms[i] * b.norms[j])
         hit = cosine >= self.cosine
         i, j = i[hit], j[hit]
@@ -175,28 +200,29 @@ def traverse(a: Block, b: Block, cosine: float, same: bool) -> Links:
     p, q = np.zeros(1, np.int64), np.zeros(1, np.int64)
     while len(p):
         next_p, next_q = [], []
-        x, y = a.nodes[p], b.nodes[q]
-        inner_x, inner_y = x["last"] > x["first"], y["last"] > y["first"]
+        first_p, last_p, first_q, last_q = a.first[p], a.last[p], b.first[q], b.last[q]
+        inner_x, inner_y, wide_x, wide_y = last_p > first_p, last_q > first_q, a.radius[p], b.radius[q]
         # the wider of the two opens, or both when one is not much wider
-        open_x = inner_x & (~inner_y | (x["radius"] >= y["radius"] / 2))
-        open_y = inner_y & (~inner_x | (y["radius"] >= x["radius"] / 2))
+        open_x = inner_x & (~inner_y | (wide_x >= wide_y / 2))
+        open_y = inner_y & (~inner_x | (wide_y >= wide_x / 2))
         done = ~open_x & ~open_y
-        for i, j in _in_parts(x["start"][done], x["end"][done], y["start"][done], y["end"][done]):
+        for i, j in _in_parts(a.start[p[done]], a.end[p[done]], b.start[q[done]], b.end[q[done]]):
             keep = i != j if same else slice(None)
             found.checked(i[keep], j[keep])
         more = ~done
         bounds = [
-            np.where(open_x, x["first"], p)[more], np.where(open_x, x["last"], p + 1)[more],
-            np.where(open_y, y["first"], q)[more], np.where(open_y, y["last"], q + 1)[more],
+            np.where(open_x, first_p, p)[more], np.where(open_x, last_p, p + 1)[more],
+            np.where(open_y, first_q, q)[more], np.where(open_y, last_q, q + 1)[more],
         ]
-        for i, j, far in _centres_apart(a, b, *bounds):
-            u, v = a.nodes[i], b.nodes[j]
-            reach = u["radius"] + v["radius"]
-            near = far <= theta + reach + SLACK
-            inside = near & (far + reach < theta - SLACK)
+        for i, j, least, most in _centres_apart(a, b, *bounds):
+            reach = a.radius[i] + b.radius[j]
+            near = least <= theta + reach + SLACK
+            inside = near & (most + reach < theta - SLACK)
             if same:
                 inside &= i != j
-            found.whole(*(w[inside] for w in (u["start"], u["end"], v["start"], v["end"])))
+            if inside.any():
+                u, v = i[inside], j[inside]
+                found.whole(a.start[u], a.end[u], b.start[v], b.end[v])
             next_p.append(i[near & ~inside])
             next_q.append(j[near & ~inside])
         p, q = (np.concatenate(w) if w else np.zeros(0, np.int64) for w in (next_p, next_q))
@@ -204,7 +230,7 @@ def traverse(a: Block, b: Block, cosine: float, same: bool) -> Links:
 
 
 def _packer(dimension: int):
-    """One block's rows to one row: ids, copies, vectors in the order of their cover tree, and the tree."""
+    """One block's rows to one row: ids, copies, vectors in the order of their cover tree, the tree, and how far from its centre they lie."""
 
     def pack(table: pa.Table) -> pa.Table:
         ids, copies = (np.array(table.column(k)).astype(np.int64) for k in ("vec_id", "copies"))
@@ -217,7 +243,8 @@ def _packer(dimension: int):
         nodes["centre"] = place[nodes["centre"]]
         return pa.table(
             {
-                "block": table.column("block")[:1],
+                "block": table.column("block")[:1], "node": table.column("node")[:1],
+                "radius": pa.array([float(np.array(table.column("far")).max())]),
                 "ids": pa.array([ids[order].tobytes()]), "copies": pa.array([copies[order].tobytes()]),
                 "vectors": pa.array([vectors[order].tobytes()]), "nodes": pa.array([nodes.tobytes()]),
             }
@@ -226,48 +253,95 @@ def _packer(dimension: int):
     return pack
 
 
-def _linker(dimension: int, cosine: float):
-    def link(table: pa.Table) -> pa.Table:
-        sides = np.array(table.column("side"))
-        blocks = []
-        for k in np.argsort(sides):
-            ids, copies, vectors, nodes = (table.column(c)[int(k)].as_py() for c in ("ids", "copies", "vectors", "nodes"))
-            blocks.append(
-                Block(np.frombuffer(ids, np.int64), np.frombuffer(copies, np.int64),
-                      np.frombuffer(vectors, np.float64).reshape(-1, dimension), np.frombuffer(nodes, _TREE), cosine)
+def _found(a: Block, b: Block, cosine: float) -> pa.RecordBatch | None:
+    """(vec_id, links, label) of the vectors of two blocks, or of one, that link; nothing where none do."""
+    same = a is b
+    found = traverse(a, b, cosine, same)
+    if same:  # each pair was met from both of its ends, so one side has it all
+        ids, counts = a.ids, found.counts[0]
+        edges = np.concatenate(found.edges) if found.edges else np.zeros((0, 2), np.int64)
+    else:
+        ids, counts = np.concatenate([a.ids, b.ids]), np.concatenate(found.counts)
+        edges = np.concatenate(found.edges) + [0, len(a.ids)] if found.edges else np.zeros((0, 2), np.int64)
+    has = counts > 0
+    if not has.any():
+        return None
+    by_id = np.argsort(ids)
+    rank = np.empty(len(ids), np.int64)
+    rank[by_id] = np.arange(len(ids))
+    label = ids[by_id][smallest(rank[edges], len(ids))][rank]
+    return pa.RecordBatch.from_arrays([pa.array(x[has]) for x in (ids, counts, label)], names=["vec_id", "links", "label"])
+
+
+def _linker(path: str, dimension: int, kind: type, cosine: float):
+    """Over (block, partners): the links of each block with its partners, which are read from ``path``."""
+
+    def link(batches):
+        files, root = file_system(path)
+
+        def read(block: int) -> Block:
+            there = ds.dataset(f"{root}/block={block}", filesystem=files, format="parquet")
+            row = there.to_table(columns=["ids", "copies", "vectors", "nodes"], use_threads=False).to_pylist()[0]
+            return Block(
+                np.frombuffer(row["ids"], np.int64), np.frombuffer(row["copies"], np.int64),
+                np.frombuffer(row["vectors"], kind).reshape(-1, dimension).astype(float), np.frombuffer(row["nodes"], _TREE), cosine,
             )
-        a, b = blocks[0], blocks[-1]
-        same = len(blocks) == 1
-        found = traverse(a, b, cosine, same)
-        if same:  # each pair was met from both of its ends, so one side has it all
-            ids, counts = a.ids, found.counts[0]
-            edges = np.concatenate(found.edges) if found.edges else np.zeros((0, 2), np.int64)
-        else:
-            ids, counts = np.concatenate([a.ids, b.ids]), np.concatenate(found.counts)
-            edges = np.concatenate(found.edges) + [0, len(a.ids)] if found.edges else np.zeros((0, 2), np.int64)
-        by_id = np.argsort(ids)
-        rank = np.empty(len(ids), np.int64)
-        rank[by_id] = np.arange(len(ids))
-        label = ids[by_id][smallest(rank[edges], len(ids))][rank]
-        has = counts > 0
-        return pa.table({"vec_id": ids[has], "links": counts[has], "label": label[has]})
+
+        for batch in batches:
+            for block, partners in zip(*(c.to_pylist() for c in batch.columns)):
+                a = read(block)
+                for partner in partners:
+                    found = _found(a, a if partner == block else read(partner), cosine)
+                    if found is not None:
+                        yield found
 
     return link
 
 
-def _nearest(centres: np.ndarray):
+def _partners(numbers: np.ndarray, nodes: np.ndarray, radii: np.ndarray, centres: np.ndarray, theta: float, most: int):
+    """Over the places of blocks: (block, partners), ``most`` at once of the blocks from itself on that radii don't keep apart from it."""
+
+    def pair(batches):
+        for batch in batches:
+            for k in batch.column(0).to_pylist():
+                apart = np.sqrt(np.maximum(2 - 2 * centres[nodes[k:]] @ centres[nodes[k]], 0))
+                meet = numbers[k:][apart <= radii[k:] + radii[k] + theta + SLACK]
+                runs = [meet[lo:lo + most].tolist() for lo in range(0, len(meet), most)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([int(numbers[k])] * len(runs), pa.int32()), pa.array(runs, pa.list_(pa.int32()))], names=["block", "partners"]
+                )
+
+    return pair
+
+
+def _nearest(vectors: pa.Array, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The centre nearest to each vector, and how far it is."""
+    near = unit(np.array(vectors.flatten()).astype(float).reshape(len(vectors), -1)) @ centres.T
+    node = near.argmax(axis=1)
+    return node.astype(np.int32), np.sqrt(np.maximum(2 - 2 * near[np.arange(len(node)), node], 0))
+
+
+def _counter(centres: np.ndarray):
+    """Over (vector): how many vectors are nearest to each centre."""
+
+    def count(batches):
+        n = np.zeros(len(centres), np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                n += np.bincount(_nearest(batch.column(0), centres)[0], minlength=len(n))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(n), dtype=np.int32)), pa.array(n)], names=["node", "n"])
+
+    return count
+
+
+def _dealer(centres: np.ndarray):
+    """Over (vec_id, copies, vector): the same rows with their nearest centre, and how far it is."""
+
     def deal(batches):
         for batch in batches:
-            vectors = np.array(batch.column(2).flatten()).reshape(batch.num_rows, -1)
-            if not len(vectors):
-                continue
-            near = unit(vectors) @ centres.T
-            node = near.argmax(axis=1)
-            far = np.sqrt(np.maximum(2 - 2 * near[np.arange(len(node)), node], 0))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(node.astype(np.int32)), pa.array(far)],
-                names=["vec_id", "copies", "vector", "node", "far"],
-            )
+            if batch.num_rows:
+                node, far = _nearest(batch.column(2), centres)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(node), pa.array(far)], names=["vec_id", "copies", "vector", "node", "far"])
 
     return deal
 
@@ -278,36 +352,43 @@ def _links(classes: DataFrame, dimension: int, cosine: float) -> DataFrame:
     most = max(1, min(CENTRES, math.ceil(n / BLOCK)))
     sample = classes.orderBy(F.xxhash64("vec_id"), "vec_id").limit(most).select("vector").collect()
     centres = unit(np.array([r[0] for r in sample], float).reshape(-1, dimension)) if sample else np.zeros((0, dimension))
-    kind = "vec_id long, copies long, vector array<double>, node int, far double"
-    dealt = classes.select("vec_id", "copies", "vector").mapInArrow(_nearest(centres), kind)
-    dealt = stored(dealt, "dealt")
-    nodes = dealt.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("radius")).collect()
-    theta = math.sqrt(max(0.0, 2 - 2 * cosine))
-    apart = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))
-    pairs = [
-        (x["node"], y["node"], math.ceil(y["n"] / BLOCK))
-        for x in nodes for y in nodes
-        if apart[x["node"], y["node"]] <= x["radius"] + y["radius"] + theta + SLACK
-    ]  # at most CENTRES squared
-    parts = spark.createDataFrame([(r["node"], math.ceil(r["n"] / BLOCK)) for r in nodes], "node int, parts int")
-    pairs = spark.createDataFrame(pairs, "node int, partner int, parts int")
-    block = F.struct("node", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int").alias("part")).alias("block")
-    blocks = dealt.join(F.broadcast(parts), "node").select(block, "vec_id", "copies", "vector")
-    kind = "block struct<node: int, part: int>, ids binary, copies binary, vectors binary, nodes binary"
-    blocks = stored(blocks.groupBy("block").applyInArrow(_packer(dimension), kind), "blocks")
-    met = blocks.join(F.broadcast(pairs), F.col("block.node") == pairs["node"])
-    met = met.withColumn("other", F.explode(F.expr("transform(sequence(0, parts - 1), p -> struct(partner as node, p as part))")))
-    met = met.select(
-        F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
-        (F.col("block") != F.least("block", "other")).alias("side"), "ids", "copies", "vectors", "nodes",
+    vector = classes.schema["vector"].dataType
+    # dealt once to count and once more into blocks, which takes less than to store vectors for it; a vector as near to
+    # two centres may go to either, so every centre may have a block, and blocks tell their radii
+    counts = classes.select("vector").mapInArrow(_counter(centres), "node int, n long").groupBy("node").agg(F.sum("n")).collect()
+    counts = dict(map(tuple, counts))
+    parts = [max(1, math.ceil(counts.get(node, 0) / BLOCK)) for node in range(len(centres))]
+    parts = [(node, sum(parts[:node]), here) for node, here in enumerate(parts)]
+    parts = spark.createDataFrame(parts, "node int, first int, parts int")
+    dealt = classes.select("vec_id", "copies", "vector").mapInArrow(
+        _dealer(centres), f"vec_id long, copies long, vector {vector.simpleString()}, node int, far double"
     )
-    return met.groupBy("x", "y").applyInArrow(_linker(dimension, cosine), "vec_id long, links long, label long")
+    block = (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("parts"))).cast("int").alias("block")
+    blocks = dealt.join(F.broadcast(parts), "node").select(block, "node", "far", "vec_id", "copies", "vector")
+    kind = "block int, node int, radius double, ids binary, copies binary, vectors binary, nodes binary"
+    path = written(blocks.groupBy("block").applyInArrow(_packer(dimension), kind), "blocks", "block")
+    # one row for each block, some thousands of vectors
+    blocks = spark.read.parquet(path).select("block", "node", "radius").orderBy("block").collect() if sample else []
+    numbers, nodes = (np.array([r[c] for r in blocks], np.int32) for c in ("block", "node"))
+    theta = math.sqrt(max(0.0, 2 - 2 * cosine))
+    # rows of a few numbers stand for much work, so how many tasks they make goes by pairs, and by cores where pairs are few
+    cores, pairs = spark.sparkContext.defaultParallelism, max(1, len(blocks) * (len(blocks) + 1) // 2)
+    tasks, most = min(pairs, max(4 * cores, pairs // PAIRS)), max(1, min(PARTNERS, pairs // (8 * cores)))
+    pair = _partners(numbers, nodes, np.array([r["radius"] for r in blocks]), centres, theta, most)
+    met = spark.range(len(blocks)).mapInArrow(pair, "block int, partners array<int>")
+    number = np.float32 if vector.elementType == T.FloatType() else np.float64
+    return met.repartition(tasks).mapInArrow(_linker(path, dimension, number, cosine), "vec_id long, links long, label long")
 
 
 def _no_links(classes: DataFrame) -> DataFrame:
     return classes.limit(0).select(*[F.lit(0).cast("long").alias(c) for c in ("vec_id", "links", "label")])
 
 
+def _digest() -> list:
+    """Two 64-bit hashes, which tell vectors apart where rows find their class."""
+    return [F.xxhash64("vector").alias("one"), F.xxhash64(F.lit(1), "vector").alias("two")]
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding, ...).
 
@@ -319,12 +400,16 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     * Rows that repeat a vec_id count as vectors of their own in ``n_links``, and are one in components.
     * Other columns are ignored; an empty table gives no rows.
     """
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
+    # single precision is kept as it is, which is half of what doubles of the same values take
+    kind = vectors.schema["embedding"].dataType
+    kind = kind if isinstance(kind, T.ArrayType) and kind.elementType == T.FloatType() else T.ArrayType(T.DoubleType())
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("vector"))
     sound = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     sound = F.coalesce(sound & F.exists("vector", lambda x: x != 0), F.lit(False)) & F.col("vec_id").isNotNull()
     classes = rows.where(sound).groupBy("vector").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     # numbered once, as a vec_id may have several vectors
     classes = stored(classes.select(F.monotonically_increasing_id().alias("number"), "rep", "copies", "vector"), "classes")
+    names = stored(classes.select("number", "rep", "copies", *_digest()), "names")
     # vectors have a cosine with those of their own length only; a table has few lengths, one for each model
     lengths = [r["d"] for r in classes.groupBy(F.size("vector").alias("d")).count().orderBy("d").collect()]
     numbered = classes.select(F.col("number").alias("vec_id"), "copies", "vector")
@@ -332,9 +417,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     links = reduce(DataFrame.unionAll, found, _no_links(classes))
     links = stored(links, "links")
     counts = stored(links.groupBy("vec_id").agg(F.sum("links").alias("links")), "counts").withColumnRenamed("vec_id", "number")
-    members = rows.where(sound).join(classes, "vector").select("vec_id", "number", "rep", "copies")
+    members = rows.where(sound).select("vec_id", *_digest()).join(names, ["one", "two"]).select("vec_id", "number", "rep", "copies")
     members = stored(members, "members")
-    names = classes.select("number", "rep")
+    names = names.select("number", "rep")
     joined = links.select("vec_id", "label").distinct().join(names.toDF("vec_id", "u"), "vec_id").join(names.toDF("label", "v"), "label")
     group = components(
         joined.select("u", "v").union(members.select(F.col("vec_id").alias("u"), F.col("rep").alias("v")))
